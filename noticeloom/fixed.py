@@ -306,3 +306,15 @@ UNIT_TEXT_MARKS = ("공급주택", "공급대상", "임대료", "입주가능일
 FORM_TEXT_MARKS = ("주소", "공급호실", "임대료", "입주가능일")
 UNIT_SUFFIX = "호"
 UNIT_TEXT_VALUES = 8
+
+# --- labels on landed pages
+LIST_TABLE_ID = "listTb"
+LABEL_TITLE = "제목"
+LABEL_VIEWS = "조회수"
+LABEL_POSTED = "작성일"
+LABEL_POSTED_INLINE = "등록일"
+DETAIL_TABLE_CLASS = "detailTable"
+BODY_CLASS = "cont"
+PREVIEW_PATH = "htmlConverter.do"
+ATTACHMENT_SCHEMA = ("array<struct<brdId:string,seq:string,fileSeq:string,filename:string,oriFileNm:string,"
+                     "size:string,fileSize:string,fileTp:string>>")
