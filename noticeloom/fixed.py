@@ -267,7 +267,7 @@ GENDERS = ("남성", "여성")
 TYPE_NAME = "마곡 도전숙"
 TYPE_GATES = ("마곡 도전숙", "공급현황", "공급유형별 면적 및 임대료")
 TYPE_SECTION_START = "공급유형 주택유형"
-TYPE_SECTION_ENDS = ("세대 내 옵션", "임대 금액 상세")
+TYPE_SECTION_END = "세대 내 옵션"
 TYPE_SUPPLY_METHOD = "일자리연계형 지원주택"
 TYPE_SUFFIX = "㎡형"
 TYPE_HEAD = r"[0-9]+㎡형"
@@ -279,7 +279,7 @@ HOPE_NAME = r"(내발산\s*공공기숙사|정릉\s*희망하우징|연남\s*공
 HOPE_ROW = HOPE_NAME + r"\s*(원룸형\s*1\s*인실(?:\s*\([^)]+\))?)\s*([0-9]+(?:\.[0-9]+)?)\s*㎡?\s*((?:(?:남성|여성)\s*[0-9]+\s*)+)"
 HOPE_GENDER = r"(남성|여성)\s*([0-9]+)"
 HOPE_ADDRESS = (HOPE_NAME + r"\s*·?\s*주소\s*:\s*(서울특별시\s+[가-힣]+구\s+.*?)"
-                r"(?:\s+·|\s+주택명|\s+정릉\s*희망하우징|\s+연남\s*공공원룸텔|$)")
+                r"(?=\s+·|\s+주택명|\s+정릉\s*희망하우징|\s+연남\s*공공원룸텔|$)")
 HOPE_RENT = HOPE_NAME + r"\s*(-|[0-9,]+\s*원)\s+(-|[0-9,]+\s*원)\s+(-|[0-9,]+\s*원)"
 SUPPORT_NAME = "전세임대형 든든주택"
 SUPPORT_GATES = ("전세임대형 든든주택", "공급호수")

@@ -6,6 +6,8 @@ Nothing here gathers a whole group in one task:
   shuffle, so a hot key sends at most one row per map task;
 * carried values and ordinals work on blocks of consecutive positions, then on
   block summaries, so a group is spread over as many tasks as it has blocks.
+  Their keys must not be null (use ``coalesce``), so that the joins stay plain
+  equi-joins on the partitioning the windows already made.
 """
 
 from __future__ import annotations
@@ -44,10 +46,9 @@ def _carry(df: DataFrame, keys: list[str], position: str, value: str, out: str,
         F.max_by(value, F.when(F.col(value).isNotNull(), F.col(position))).alias("_v"))
     carried = _carry(summary, keys, block, "_v", "_in", levels - 1).select(*keys, block, "_in")
     local = df.withColumn("_local", F.last(value, ignorenulls=True).over(prior))
-    on = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in [*keys, block]]
-    joined = local.alias("l").join(carried.alias("r"), on, "left")
-    plain = [F.col(f"l.{c}") for c in df.columns if c != block]
-    return joined.select(*plain, F.coalesce(F.col("l._local"), F.col("r._in")).alias(out))
+    joined = local.join(carried, [*keys, block], "left")
+    plain = [c for c in df.columns if c != block]
+    return joined.select(*plain, F.coalesce("_local", "_in").alias(out))
 
 
 def fill_down(df: DataFrame, keys: list[str], position: str, value: str, out: str, levels: int = 2) -> DataFrame:
@@ -69,8 +70,7 @@ def ordinals(df: DataFrame, keys: list[str], position: str, ordinal: str = "ordi
     counts = counts.select(*keys, "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"),
                            F.sum("_n").over(whole).alias("_total"))
     local = df.withColumn("_rn", F.row_number().over(W.partitionBy(*keys, "_block").orderBy(position)))
-    on = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in [*keys, "_block"]]
-    joined = local.alias("l").join(counts.alias("r"), on)
-    plain = [F.col(f"l.{c}") for c in df.columns if c != "_block"]
-    extra = [F.col("r._total").alias(total)] if total else []
-    return joined.select(*plain, (F.col("l._rn") + F.col("r._start")).alias(ordinal), *extra)
+    joined = local.join(counts, [*keys, "_block"])
+    plain = [c for c in df.columns if c != "_block"]
+    extra = [F.col("_total").alias(total)] if total else []
+    return joined.select(*plain, (F.col("_rn") + F.col("_start")).alias(ordinal), *extra)
