@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -66,11 +68,13 @@ def offering_merge_key(attachment_id="attachment_id", notice_id="notice_id", spa
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str], rules: dict[str, Rule] | None = None,
-           position: Column | None = None) -> DataFrame:
+           position: Column | None = None, version: str | None = None) -> DataFrame:
     """The target after the batch.
 
     Both sides are unique per key (the batch is cut to its last row per key by
     ``position``), so the join never fans out. Only columns of the target are kept.
+    With a ``version`` column, batch rows that are not newer than the stored row
+    are ignored, so that running a batch twice counts once.
     """
     rules = rules or {}
     if position is not None:
@@ -79,6 +83,7 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], rules: dict[str
     old = target.select(*keys, *[F.col(c).alias(f"_o_{c}") for c in values], F.lit(True).alias("_old"))
     new = batch.select(*keys, *[F.col(c).alias(f"_n_{c}") for c in values if c in batch.columns], F.lit(True).alias("_new"))
     joined = old.join(new, list(keys), "full_outer")
+    stale = F.coalesce(F.col(f"_o_{version}") >= F.col(f"_n_{version}"), F.lit(False)) if version else F.lit(False)
 
     def value(c):
         before = F.col(f"_o_{c}")
@@ -86,7 +91,7 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], rules: dict[str
             return before
         after = F.col(f"_n_{c}")
         both = rules[c](before, after) if c in rules else after
-        return F.when(F.col("_new").isNull(), before).when(F.col("_old").isNull(), after).otherwise(both)
+        return F.when(F.col("_new").isNull() | stale, before).when(F.col("_old").isNull(), after).otherwise(both)
 
     return joined.select(*[F.col(c) if c in keys else value(c).alias(c) for c in target.columns])
 
@@ -121,13 +126,17 @@ def with_bucket(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
     return df.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
 
 
+PRUNE_LIMIT = 1000
+
+
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[str], partition_by: list[str],
-                 rules: dict[str, Rule] | None = None, position: Column | None = None) -> None:
+                 rules: dict[str, Rule] | None = None, position: Column | None = None, version: str | None = None) -> None:
     """Upsert into a partitioned Parquet table, rewriting only the partitions the batch touches.
 
-    The partition columns must be determined by the key. Dynamic partition
-    overwrite stages the new files and swaps them in at commit, so a job that dies
-    leaves the table as it was and can simply run again.
+    The partition columns must be determined by the key. Up to ``PRUNE_LIMIT``
+    touched partitions are named in the scan's partition filter; beyond that a semi
+    join finds them. Dynamic partition overwrite stages the new files and swaps them
+    in at commit, so a job that dies leaves the table as it was and can run again.
     """
     if position is not None:
         batch = last_row(batch, list(keys), position)
@@ -139,9 +148,16 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[st
         result = batch
     else:
         touched = batch.select(*partition_by).distinct()
-        result = upsert(current.join(F.broadcast(touched) if len(partition_by) == 1 and partition_by == ["bucket"] else touched,
-                                     partition_by, "left_semi").select(*current.columns), batch, keys, rules)
-    (result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
+        named = touched.limit(PRUNE_LIMIT + 1).collect()
+        if len(named) <= PRUNE_LIMIT:
+            hit = F.lit(False)
+            for part in named:
+                hit = hit | reduce(and_, [F.col(c).eqNullSafe(F.lit(part[c])) for c in partition_by])
+            current = current.where(hit)
+        else:
+            current = current.join(touched, partition_by, "left_semi").select(*current.columns)
+        result = upsert(current, batch, keys, rules, version=version)
+    result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
 def append_rows(df: DataFrame, path: str) -> None:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from noticeloom.operators.upsert import Rule, upsert_table, with_bucket
 
@@ -31,10 +32,14 @@ def run_available(stream: DataFrame, checkpoint: str, each_batch: Callable[[Data
 def upsert_available(stream: DataFrame, table: str, checkpoint: str, keys: list[str], position: Column,
                      rules: dict[str, Rule] | None = None, prepare: Callable[[DataFrame], DataFrame] | None = None,
                      buckets: int = 16) -> None:
-    """Upsert a stream into a bucketed Parquet table."""
+    """Upsert a stream into a bucketed Parquet table.
+
+    Rows carry the batch number that wrote them, so a repeated batch changes nothing.
+    """
     def each(batch: DataFrame, batch_id: int) -> None:
-        rows = prepare(batch) if prepare else batch
-        upsert_table(batch.sparkSession, table, with_bucket(rows, keys, buckets), keys, ["bucket"], rules, position)
+        rows = (prepare(batch) if prepare else batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        upsert_table(batch.sparkSession, table, with_bucket(rows, keys, buckets), keys, ["bucket"], rules, position,
+                     version="batch_id")
 
     run_available(stream, checkpoint, each)
 
