@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from noticeloom.plans import table_queries, text_queries  # noqa: F401
+from noticeloom.plans import source_queries, table_queries, text_queries  # noqa: F401
 from noticeloom.plans.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

@@ -385,8 +385,9 @@ def _(t):
 
 
 # pages newest first, so that old rows come late
-_STOP = _DECIDED + """,
-    paged AS (SELECT *, (SELECT max(page) FROM list_rows) - page AS depth FROM decided),
+_LAST_PAGE = 1_000_000_000_000
+_STOP = _DECIDED + f""",
+    paged AS (SELECT *, {_LAST_PAGE} - page AS depth FROM decided),
     pending AS (SELECT DISTINCT board, target FROM targets WHERE board <> 3),
     met AS (SELECT p.board, p.target, min(depth) AS met FROM pending p LEFT JOIN paged g ON g.board = p.board AND g.target = p.target AND g.is_target GROUP BY p.board, p.target),
     ready AS (SELECT b.board, CASE WHEN count(m.target) = 0 THEN 0 WHEN count(m.met) = count(m.target) THEN max(m.met) END AS ready
@@ -397,8 +398,7 @@ _STOP = _DECIDED + """,
 
 def _paged(t):
     decided = _decided(t)
-    last = t.events.agg(F.floor(F.max("event_id") / 100).alias("_last"))
-    return decided.crossJoin(F.broadcast(last)).withColumn("depth", F.col("_last") - F.col("page")).drop("_last")
+    return decided.withColumn("depth", F.lit(_LAST_PAGE) - F.col("page"))
 
 
 @query("j06_page_early_stop", _STOP, ("list_rows",))
