@@ -47,7 +47,7 @@ def procedure_period(text: Column, starts=fixed.PROCEDURE_STARTS, stop: str = fi
         head = F.trim(F.substring(s, F.lit(1), dated - 1))
         for marker in starts:
             head = F.trim(F.regexp_replace(head, f"^{marker}", ""))
-        labels = F.filter(F.transform(F.split(head, separators), F.trim), lambda x: x != "")
+        labels = F.filter(F.transform(F.split(head, separators), lambda x: F.trim(x)), lambda x: x != "")
         days = match_all(F.substring(s, dated, F.length(s)), pattern)
 
         def pair(found):

@@ -10,6 +10,7 @@ from noticeloom.functions import numbers as N
 from noticeloom.functions import text as T
 from noticeloom.functions.payload import row_map
 from noticeloom.operators.dedupe import fill_down
+from noticeloom.sources.artifacts import clean_cells
 
 
 def header_role(cell: Column, roles=fixed.HEADER_ROLES) -> Column:
@@ -44,7 +45,7 @@ def with_headers(rows: DataFrame, sheet_keys: list[str], row_no: str = "row_no",
     the header rows, unique per (sheet, row). An applicant header is a header in
     force too: it blocks the rows below it until a valid one appears.
     """
-    marked = header_columns(rows, cells, **rules)
+    marked = header_columns(rows.withColumn(cells, clean_cells(F.col(cells))), cells, **rules)
     is_mark = F.col("is_header") | F.col("is_applicant")
     marked = marked.withColumn("_mark", F.when(is_mark, F.col(row_no)))
     headers = marked.where("is_header").select(
