@@ -10,6 +10,7 @@ from noticeloom.functions import numbers as N
 from noticeloom.functions import text as T
 from noticeloom.functions.dates import compact_date
 from noticeloom.functions.payload import json_payload
+from noticeloom.operators.staging import explode_rows, hold
 
 
 def unit_text_offerings(artifacts: DataFrame, keep: list[str], text: str = "raw_text", span: str = "source_span",
@@ -20,16 +21,15 @@ def unit_text_offerings(artifacts: DataFrame, keep: list[str], text: str = "raw_
     Two layouts: ordered markers around address and values, or an application
     form. The values stand between the third and the fourth marker.
     """
-    df = artifacts.select(*keep, span, T.tokens(text).alias("_t"))
+    df = hold(artifacts, _t=T.tokens(text)).select(*keep, span, "_t")
     pos = lambda word: T.token_index(F.col("_t"), word)
-    df = df.select("*", pos(marks[0]).alias("_a"), pos(marks[1]).alias("_b"), pos(marks[2]).alias("_v"),
-                   pos(marks[3]).alias("_e"), pos(form_marks[1]).alias("_room"))
-    df = df.withColumn("_addr", T.last_token_before(F.col("_t"), form_marks[0], F.col("_room")))
-    df = df.withColumn("_values", T.slice_tokens(F.col("_t"), F.col("_v") + 1, F.col("_e"))).where(
-        (F.col("_v") > 0) & (F.col("_e") > F.col("_v")) & (F.size("_values") >= min_values))
+    df = hold(df, _a=pos(marks[0]), _b=pos(marks[1]), _v=pos(marks[2]), _e=pos(marks[3]), _room=pos(form_marks[1]))
+    df = df.where((F.col("_v") > 0) & (F.col("_e") - F.col("_v") > min_values))
+    df = hold(df, _addr=T.last_token_before(F.col("_t"), form_marks[0], F.col("_room")),
+              _values=T.slice_tokens(F.col("_t"), F.col("_v") + 1, F.col("_e")))
     has_suffix = F.get("_values", F.lit(1)) == unit_suffix
-    df = df.withColumn("_unit", F.concat(F.get("_values", F.lit(0)), F.when(has_suffix, unit_suffix).otherwise("")))
-    df = df.withColumn("_off", F.when(has_suffix, 2).otherwise(0))
+    df = hold(df, _unit=F.concat(F.get("_values", F.lit(0)), F.when(has_suffix, unit_suffix).otherwise("")),
+              _off=F.when(has_suffix, 2).otherwise(0))
     first_layout = (F.col("_a") > 0) & (F.col("_a") < F.col("_b")) & (F.col("_b") < F.col("_v"))
     form_layout = (F.col("_addr") > 0) & (F.col("_room") > F.col("_addr"))
     listed = T.slice_tokens(F.col("_t"), F.col("_a") + 1, F.col("_b"))
@@ -38,8 +38,8 @@ def unit_text_offerings(artifacts: DataFrame, keep: list[str], text: str = "raw_
         F.concat(F.get(listed, n - 2), F.lit(unit_suffix)) == F.col("_unit"))
     listed = F.when(ends_with_unit, F.slice(listed, F.lit(1), F.greatest(n - 2, F.lit(0)))).otherwise(listed)
     on_form = T.slice_tokens(F.col("_t"), F.col("_addr") + 1, F.col("_room"))
-    df = df.where(first_layout | form_layout).withColumn(
-        "address", T.assemble_address(F.when(first_layout, listed).otherwise(on_form)))
+    df = hold(df.where(first_layout | form_layout), _street=F.when(first_layout, listed).otherwise(on_form))
+    df = hold(df, address=T.assemble_address(F.col("_street")))
     value = lambda i: F.get("_values", F.col("_off") + i)
     df = df.where(F.size("_values") >= F.col("_off") + 6)
     area = N.first_float(value(2))
@@ -63,9 +63,12 @@ def table_row_offerings(rows: DataFrame, keep: list[str], content: str = "conten
     texts = ("supply_method", "supply_category", "list_no", "address", "housing_name", "deposit_text",
              "jeonse_deposit_text", "monthly_rent_text", "gender_requirement", "occupancy_type", "heating_method",
              "move_in_start_text")
-    out = rows.select(
-        *keep, T.first_non_blank(get("application_unit_label"), N.unit_label(
-            get("housing_name"), unit, area, get("application_category"), get("gender_requirement"))).alias("application_unit_label"),
+    rows = hold(rows, _label=T.first_non_blank(get("application_unit_label"), N.unit_label(
+        get("housing_name"), unit, area, get("application_category"), get("gender_requirement"))), _unit=unit, _count=count)
+    rows = rows.where((F.col("_label") != "") | (F.col("_unit") != "") | F.col("_count").isNotNull())
+    unit, count = F.col("_unit"), F.col("_count")
+    return rows.select(
+        *keep, F.col("_label").alias("application_unit_label"),
         get("application_category").alias("application_category"),
         F.when(get("district") != "", get("district")).otherwise(T.district_of(get("address"))).alias("district"),
         get("housing_name").alias("complex_name"), unit.alias("unit_no"), area.alias("exclusive_area_m2"),
@@ -79,7 +82,6 @@ def table_row_offerings(rows: DataFrame, keep: list[str], content: str = "conten
         N.first_int(get("capacity_persons")).alias("capacity_persons"),
         N.first_krw(get("dormitory_fee_text")).alias("dormitory_fee_krw"),
         F.col(span).alias("source_span"), F.to_json(F.col(content)).alias("raw_row"), F.col("confidence"))
-    return out.where((F.col("application_unit_label") != "") | (F.col("unit_no") != "") | F.col("supply_count").isNotNull())
 
 
 def item_offerings(items: DataFrame, keep: list[str], span: Column) -> DataFrame:
@@ -126,12 +128,11 @@ def repair_offerings(outputs: DataFrame, keep: list[str], span: str = "source_sp
     All items of an output sit in one row, so the counting needs no shuffle.
     """
     own = lambda x: F.coalesce(F.nullif(T.trim_ws(x["source_span"]), F.lit("")), T.trim_ws(span))
-    staged = outputs.select(*keep, F.col(items).alias("_items"), F.transform(items, own).alias("_spans"))
-    rows = staged.select(*keep, "_spans", F.posexplode("_items").alias("_at", "_i"))
-    rows = rows.withColumn("_span", F.get("_spans", F.col("_at")))
+    staged = hold(outputs.withColumn("_items", F.col(items)), _spans=F.transform(items, own))
+    rows = explode_rows(staged, [*keep, "_spans"], "_items", "_at", "_i")
+    rows = hold(rows, _span=F.get("_spans", F.col("_at")))
     same = lambda upto: F.size(F.filter(upto, lambda s: s == F.col("_span")))
-    rows = rows.withColumn("_total", same(F.col("_spans"))).withColumn(
-        "_ord", same(F.slice("_spans", F.lit(1), F.col("_at") + 1)))
+    rows = hold(rows, _total=same(F.col("_spans")), _ord=same(F.slice("_spans", F.lit(1), F.col("_at") + 1)))
     final = F.when((F.col("_total") > 1) & (F.col("_span") != ""), T.item_span("_span", "_ord")).otherwise(F.col("_span"))
     text_of = lambda f: F.coalesce(T.trim_ws(F.col(f"_i.{f}")), F.lit(""))
     return rows.select(

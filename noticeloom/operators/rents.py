@@ -9,6 +9,7 @@ from noticeloom import fixed
 from noticeloom.functions import numbers as N
 from noticeloom.functions import text as T
 from noticeloom.functions.arrays import at
+from noticeloom.operators.staging import hold
 
 
 def text_lines(c) -> Column:
@@ -25,20 +26,19 @@ def rent_summary(df: DataFrame, text: str, keep: list[str], start_word: str = fi
     columns. Amounts come in groups of two, or of four when the header splits the
     deposit. A single value is given as text and number, a range as text only.
     """
-    lines = df.select(*keep, text_lines(text).alias("_l"))
+    lines = hold(df, _l=text_lines(text)).select(*keep, "_l")
 
     def window(i):
         return F.array_join(F.slice("_l", i + 1, F.lit(header_lines)), " ")
 
     marks = F.filter(F.transform("_l", lambda line, i: F.when(line.contains(start_word), i)), lambda i: i.isNotNull())
-    started = lines.withColumn("_s", at(F.filter(marks, lambda i: T.contains_all(window(i), header_needs)), 0)).where(
+    started = hold(lines, _s=at(F.filter(marks, lambda i: T.contains_all(window(i), header_needs)), 0)).where(
         F.col("_s").isNotNull())
-    started = started.withColumn("_g", F.when(T.contains_all(window(F.col("_s")), breakdown_needs), 4).otherwise(2))
-    rest = F.slice("_l", F.col("_s") + 2, F.lit(table_lines - 1))
-    started = started.withColumn("_r", rest)
+    started = hold(started, _g=F.when(T.contains_all(window(F.col("_s")), breakdown_needs), 4).otherwise(2),
+                   _r=F.slice("_l", F.col("_s") + 2, F.lit(table_lines - 1)))
     is_money = lambda line: line.rlike(fixed.RENT_LINE) & (N.plain_long(line) > 0)
     first_money = at(F.filter(F.transform("_r", lambda line, i: F.when(is_money(line), i)), lambda i: i.isNotNull()), 0)
-    started = started.withColumn("_f", first_money).where(F.col("_f").isNotNull())
+    started = hold(started, _f=first_money).where(F.col("_f").isNotNull())
 
     def stops(line, i):
         after = F.col("_s") + 1 + i
@@ -46,12 +46,13 @@ def rent_summary(df: DataFrame, text: str, keep: list[str], start_word: str = fi
         return F.when((i > F.col("_f")) & ((line == stop_line) | F.coalesce(page_break, F.lit(False))), i)
 
     stop = at(F.filter(F.transform("_r", stops), lambda i: i.isNotNull()), 0)
-    body = F.slice("_r", F.lit(1), F.coalesce(stop, F.size("_r")))
-    started = started.withColumn("_m", F.transform(F.filter(body, is_money), N.plain_long))
+    started = hold(started, _stop=stop)
+    body = F.slice("_r", F.lit(1), F.coalesce("_stop", F.size("_r")))
+    started = hold(started, _m=F.transform(F.filter(body, is_money), N.plain_long))
     groups = N.idiv(F.size("_m"), F.col("_g")).cast("int")
-    started = started.withColumn("_n", groups).where("_n > 0")
+    started = hold(started, _n=groups).where("_n > 0")
     pick = lambda offset: F.transform(F.sequence(F.lit(0), F.col("_n") - 1), lambda k: at(F.col("_m"), k * F.col("_g") + offset))
-    out = started.withColumn("_d", pick(F.lit(0))).withColumn("_p", pick(F.col("_g") - 1))
+    out = hold(started, _d=pick(F.lit(0)), _p=pick(F.col("_g") - 1))
 
     def summary(values, prefix):
         low, high = F.array_min(values), F.array_max(values)

@@ -11,6 +11,7 @@ from noticeloom.functions import text as T
 from noticeloom.functions.arrays import at, group, let, match_all
 from noticeloom.operators.dedupe import first_row
 from noticeloom.operators.predicates import has_schedule_text
+from noticeloom.operators.staging import explode_rows, hold
 
 PERIOD = ("struct<label:string,starts_at:timestamp,ends_at:timestamp,date_text:string,confidence:double>")
 
@@ -75,11 +76,11 @@ def procedure_period(text: Column, starts=fixed.PROCEDURE_STARTS, stop: str = fi
 def text_schedules(artifacts: DataFrame, keep: list[str], text: str = "raw_text", artifact_type: str = "artifact_type",
                    span: str = "source_span", **procedure) -> DataFrame:
     """Periods of each text artifact in text order, range sentences before the procedure table."""
-    staged = artifacts.where(has_schedule_text(artifact_type) & ~T.is_blank(text)).select(
-        *keep, span, T.collapse_ws(F.replace(F.col(text), F.lit("\x00"), F.lit(""))).alias("_t"))
+    staged = hold(artifacts.where(has_schedule_text(artifact_type)),
+                  _t=T.collapse_ws(F.replace(F.col(text), F.lit("\x00"), F.lit("")))).where(F.col("_t") != "")
     both = F.concat(range_periods(F.col("_t")).cast(f"array<{PERIOD}>"),
                     procedure_period(F.col("_t"), **procedure).cast(f"array<{PERIOD}>"))
-    rows = staged.select(*keep, span, F.posexplode(both).alias("position", "_p"))
+    rows = explode_rows(staged, [*keep, span], both, "position", "_p")
     return rows.select(*keep, "position", F.lit("application").alias("schedule_type"), "_p.*",
                        F.lit("source_text").alias("channel"), F.col("_p.date_text").alias("source_text"),
                        T.schedule_span(span).alias("source_span"))

@@ -9,13 +9,18 @@ from noticeloom import fixed
 from noticeloom.functions import numbers as N
 from noticeloom.functions import text as T
 from noticeloom.functions.payload import row_map
+from noticeloom.functions.arrays import let
 from noticeloom.operators.dedupe import fill_down
+from noticeloom.operators.staging import hold
 from noticeloom.sources.artifacts import clean_cells
 
 
 def header_role(cell: Column, roles=fixed.HEADER_ROLES) -> Column:
     """Role a header cell names, ``''`` for none; the first rule that fits wins."""
-    key = T.header_key(cell)
+    return let(T.header_key(cell), lambda key: _role_of(key, roles))
+
+
+def _role_of(key: Column, roles) -> Column:
     out = None
     for role, exact, words in roles:
         hit = T.contains_any(key, words)
@@ -29,11 +34,14 @@ def header_columns(rows: DataFrame, cells: str = "cells", roles=fixed.HEADER_ROL
                    describing=fixed.HEADER_DESCRIBING, blocked_words=fixed.APPLICANT_WORDS) -> DataFrame:
     """Add ``roles`` (per cell), ``is_applicant`` and ``is_header`` (a valid one)."""
     has = lambda names: F.arrays_overlap("roles", F.array(*[F.lit(n) for n in names]))
-    joined = T.header_key(F.array_join(cells, " "))
-    return (rows.withColumn("is_applicant", T.contains_any(joined, blocked_words))
-            .withColumn("roles", F.when(~F.col("is_applicant"), F.transform(cells, lambda c: header_role(c, roles)))
-                        .otherwise(F.array().cast("array<string>")))
-            .withColumn("is_header", ~F.col("is_applicant") & has(counting) & has(describing)))
+    none = F.array().cast("array<string>")
+    joined = hold(rows, _joined=T.header_key(F.array_join(cells, " ")))
+    # Cells that name no role cannot make a header: look at the words of the whole row first.
+    counts = T.contains_any("_joined", [w for role, exact, words in roles if role in counting for w in (*exact, *words)])
+    staged = hold(joined, is_applicant=T.contains_any("_joined", blocked_words), _maybe=counts).drop("_joined")
+    named = F.when(~F.col("is_applicant") & F.col("_maybe"), F.transform(cells, lambda c: header_role(c, roles))).otherwise(none)
+    staged = hold(staged, roles=named).drop("_maybe")
+    return hold(staged, is_header=~F.col("is_applicant") & has(counting) & has(describing))
 
 
 def with_headers(rows: DataFrame, sheet_keys: list[str], row_no: str = "row_no", cells: str = "cells",
@@ -49,21 +57,27 @@ def with_headers(rows: DataFrame, sheet_keys: list[str], row_no: str = "row_no",
     is_mark = F.col("is_header") | F.col("is_applicant")
     marked = marked.withColumn("_mark", F.when(is_mark, F.col(row_no)))
     headers = marked.where("is_header").select(
-        *sheet_keys, F.col(row_no).alias("header_row"), F.col(cells).alias("labels"), F.col("roles").alias("header_roles"))
+        *sheet_keys, F.col(row_no).alias("header_row"), F.col(cells).alias("labels"), _last_positions().alias("header_at"))
     placed = fill_down(marked.drop("roles", "is_header", "is_applicant"), sheet_keys, row_no, "_mark", "header_row")
     data = placed.where(F.col("_mark").isNull() & F.col("header_row").isNotNull()
                         & F.exists(cells, lambda c: ~T.is_blank(c))).drop("_mark")
     return data.join(headers, [*sheet_keys, "header_row"])
 
 
+def _last_positions() -> Column:
+    """Role → 0-based position of the last cell that names it."""
+    named = F.filter(F.transform("roles", lambda r, i: F.struct(r.alias("role"), i.alias("at"))), lambda x: x["role"] != "")
+    last = F.filter(named, lambda x: ~F.exists(named, lambda y: (y["role"] == x["role"]) & (y["at"] > x["at"])))
+    return F.map_from_entries(last)
+
+
 def cell(role: str, cells: str = "cells") -> Column:
     """Cell below the last header cell of that role, ``''`` when there is none."""
     return _cell_at(_position(role), cells)
 
 
 def _position(role: str) -> Column:
-    back = F.array_position(F.reverse("header_roles"), role).cast("int")
-    return F.when(back > 0, F.size("header_roles") - back)
+    return F.try_element_at("header_at", F.lit(role))
 
 
 def _cell_at(index: Column, array: str) -> Column:
@@ -79,11 +93,14 @@ def sheet_offerings(rows: DataFrame, sheet_keys: list[str], row_no: str = "row_n
     all_labels = F.array_join("labels", " ")
     rent = get("monthly_rent")
     merged = (rent == "") & T.header_key(label("deposit")).contains(fixed.MERGED_RENT_WORD)
-    staged = data.withColumn("_rent", F.when(merged, _cell_at(_position("deposit") + 1, cells)).otherwise(rent))
-    staged = staged.withColumn("_unit", get("unit_no")).withColumn("_area", N.first_float(get("exclusive_area_m2"))) \
-        .withColumn("_category", T.first_non_blank(get("application_category"), get("supply_category")))
     count = N.first_int(get("supply_count"))
-    out = staged.select(
+    staged = hold(
+        data, _rent=F.when(merged, _cell_at(_position("deposit") + 1, cells)).otherwise(rent), _unit=get("unit_no"),
+        _area=N.first_float(get("exclusive_area_m2")), _count=count,
+        _category=T.first_non_blank(get("application_category"), get("supply_category")))
+    staged = staged.where((F.col("_unit") != "") | F.col("_count").isNotNull())
+    count = F.col("_count")
+    return staged.select(
         *sheet_keys, F.col(row_no).alias("source_row"), F.col(span).alias("source_span"),
         T.first_non_blank(get("application_unit_label"), N.unit_label(
             get("housing_name"), F.col("_unit"), F.col("_area"), F.col("_category"), get("gender_requirement"))
@@ -110,4 +127,3 @@ def sheet_offerings(rows: DataFrame, sheet_keys: list[str], row_no: str = "row_n
         get("move_in_start_text").alias("move_in_start_text"), get("direction").alias("direction"),
         get("status").alias("status"), row_map(F.col("labels"), F.col(cells)).alias("raw_row"),
         F.lit(fixed.CONF_SHEET_ROW).alias("confidence"))
-    return out.where((F.col("unit_no") != "") | F.col("supply_count").isNotNull())

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from noticeloom import fixed
 from noticeloom.functions import numbers as N
 from noticeloom.functions import text as T
+from noticeloom.operators.staging import explode_rows, hold
 from noticeloom.functions.arrays import at, blocks_after, carry_forward, first, group, last, let, match_all, pairs_around
 
 ROW = "struct<raw_text:string,content:map<string,string>>"
@@ -43,14 +44,14 @@ def extract_rows(artifacts: DataFrame, rules: tuple[TableRule, ...], text: str =
                  span: str = "source_span") -> DataFrame:
     """All table rows of all artifacts, with their own span and row number."""
     keep = [c for c in artifacts.columns if c not in (text, span)]
-    staged = artifacts.select(*keep, span, compact_text(text).alias("_t"))
+    staged = hold(artifacts, _t=compact_text(text)).select(*keep, span, "_t")
     none = F.array().cast(f"array<{ROW}>")
     per_rule = F.array(*[
         F.struct(F.lit(r.table).alias("table"),
                  F.when(T.contains_all("_t", r.gates), F.coalesce(r.rows(F.col("_t")), none)).otherwise(none).alias("rows"))
         for r in rules])
-    tables = staged.select(*keep, span, F.explode(F.filter(per_rule, lambda x: F.size(x["rows"]) > 0)).alias("_x"))
-    rows = tables.select(*keep, span, F.col("_x.table").alias("table"), F.posexplode("_x.rows").alias("_at", "_row"))
+    tables = staged.select(*keep, span, F.inline_outer(per_rule)).where(F.size("rows") > 0)
+    rows = explode_rows(tables, [*keep, span, "table"], "rows", "_at", "_row")
     return rows.select(
         *keep, "table", (F.col("_at") + 1).alias("row_no"), "_row.raw_text", "_row.content",
         T.table_span(span, "table", F.col("_at") + 1).alias(span),

@@ -9,6 +9,7 @@ from noticeloom import fixed
 from noticeloom.functions import numbers as N
 from noticeloom.functions import text as T
 from noticeloom.functions.payload import json_payload
+from noticeloom.operators.staging import explode_rows, hold
 
 
 def parse_pages(pages: DataFrame, body: str = "body") -> DataFrame:
@@ -17,21 +18,17 @@ def parse_pages(pages: DataFrame, body: str = "body") -> DataFrame:
     ``item`` may be an array, one object or null; the total may be text or a number.
     """
     v = F.try_parse_json(F.col(body))
-    staged = pages.withColumn("_v", v)
+    staged = hold(pages, _v=v)
     item = F.try_variant_get("_v", "$.response.body.item", "variant")
     kind = F.coalesce(F.schema_of_variant(item), F.lit("VOID"))
     none = F.array().cast("array<variant>")
     items = (F.when(kind.startswith("ARRAY"), F.try_variant_get("_v", "$.response.body.item", "array<variant>"))
              .when(kind.startswith("OBJECT"), F.array(item)).otherwise(none))
     code = F.coalesce(F.try_variant_get("_v", "$.response.header.resultCode", "string"), F.lit(""))
-    return (staged
-            .withColumn("result_code", code)
-            .withColumn("result_message", F.try_variant_get("_v", "$.response.header.resultMsg", "string"))
-            .withColumn("total_count", F.coalesce(
-                N.plain_long(F.try_variant_get("_v", "$.response.body.totalCount", "string")), F.lit(0).cast("bigint")))
-            .withColumn("_items", F.coalesce(items, none))
-            .withColumn("is_bad", F.col("_v").isNull() | ~F.col("result_code").isin("", fixed.API_OK_CODE))
-            .drop("_v"))
+    return hold(
+        staged, result_code=code, result_message=F.try_variant_get("_v", "$.response.header.resultMsg", "string"),
+        total_count=F.coalesce(N.plain_long(F.try_variant_get("_v", "$.response.body.totalCount", "string")), F.lit(0).cast("bigint")),
+        _items=F.coalesce(items, none), is_bad=F.col("_v").isNull() | ~code.isin("", fixed.API_OK_CODE)).drop("_v")
 
 
 def bad_pages(parsed: DataFrame) -> DataFrame:
@@ -41,7 +38,7 @@ def bad_pages(parsed: DataFrame) -> DataFrame:
 
 def page_items(parsed: DataFrame, keep: list[str]) -> DataFrame:
     """One row per item of the good pages, with its position on the page."""
-    return parsed.where(~F.col("is_bad")).select(*keep, F.posexplode("_items").alias("position", "item"))
+    return explode_rows(parsed.where(~F.col("is_bad")), keep, "_items", "position", "item")
 
 
 def loose_text(item: Column, field: str) -> Column:

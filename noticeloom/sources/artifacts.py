@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from noticeloom import fixed
 from noticeloom.functions import text as T
+from noticeloom.operators.staging import explode_rows
 
 
 def text_artifacts(df: DataFrame, text: str, span, artifact_type, extractor, keep: list[str]) -> DataFrame:
@@ -32,7 +33,7 @@ def clean_cells(cells: Column) -> Column:
 
 def sheet_rows(sheets: DataFrame, object_key: str, sheet: str, rows: str) -> DataFrame:
     """Landed sheets (array of cell arrays) → one artifact per row, numbered from 1."""
-    exploded = sheets.select(object_key, sheet, F.posexplode(rows).alias("_at", "_cells"))
+    exploded = explode_rows(sheets, [object_key, sheet], rows, "_at", "_cells")
     return exploded.select(
         object_key, sheet, (F.col("_at") + 1).alias("row_no"), clean_cells(F.col("_cells")).alias("cells"),
         T.sheet_span(object_key, sheet, F.col("_at") + 1).alias("source_span"))

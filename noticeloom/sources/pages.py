@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from noticeloom import fixed
 from noticeloom.functions import text as T
 from noticeloom.operators.dedupe import first_row
+from noticeloom.operators.staging import explode_rows, hold
 
 
 def elements(c, tag: str) -> Column:
@@ -51,23 +52,22 @@ def list_rows(pages: DataFrame, html: str = "html", table_id: str | None = fixed
     """
     keep = [c for c in pages.columns if c != html]
     area = element_by(html, "table", "id", table_id) if table_id else F.col(html)
-    rows = pages.select(*keep, F.posexplode(elements(area, row_tag)).alias("position", "_row"))
-    cells = rows.withColumn("_cells", elements("_row", cell_tag)).where(F.size("_cells") >= min_cells)
+    rows = explode_rows(pages, keep, elements(area, row_tag), "position", "_row")
+    cells = hold(rows, _cells=elements("_row", cell_tag)).where(F.size("_cells") >= min_cells)
     link_cell = F.element_at("_cells", 2)
-    link_head = F.regexp_extract(link_cell, r"(?is)<a\b([^>]*)>", 1)
-    link_body = first_of(elements(link_cell, "a"))
-    seq = T.first_non_empty(F.regexp_extract(attribute(link_head, "onclick"), seq_pattern, 1),
-                            F.regexp_extract(attribute(link_head, "href"), seq_pattern, 1))
+    cells = hold(cells, _head=F.regexp_extract(link_cell, r"(?is)<a\b([^>]*)>", 1), _body=first_of(elements(link_cell, "a")))
+    link_body = F.col("_body")
+    seq = T.first_non_empty(F.regexp_extract(attribute("_head", "onclick"), seq_pattern, 1),
+                            F.regexp_extract(attribute("_head", "href"), seq_pattern, 1))
     return (
-        cells.select(
-            *keep, "position", seq.alias("seq"),
+        hold(cells, seq=seq).where(F.col("seq") != "").select(
+            *keep, "position", "seq",
             T.strip_marker(T.inner_text(link_body)).alias("title"),
             T.inner_text(F.element_at("_cells", 3)).alias("department"),
             F.to_date(F.try_to_timestamp(T.inner_text(F.element_at("_cells", 4)), F.lit("yyyy-MM-dd"))).alias("posted_at"),
             F.coalesce(F.replace(T.inner_text(F.element_at("_cells", 5)), F.lit(","), F.lit("")).try_cast("int"),
                        F.lit(0)).alias("view_count"),
-            (link_body.contains("icoNew") | T.inner_text(link_body).contains("NEW")).alias("is_new"))
-        .where(F.col("seq") != ""))
+            (link_body.contains("icoNew") | T.inner_text(link_body).contains("NEW")).alias("is_new")))
 
 
 def labelled_value(html, label: str) -> Column:
@@ -96,7 +96,7 @@ def detail_fields(pages: DataFrame, html: str = "html", title_label: str = fixed
                   body_class: str = fixed.BODY_CLASS) -> DataFrame:
     """Title by five-step fallback, body, views and posted date of a detail page."""
     keep = [c for c in pages.columns if c != html]
-    page = pages.select(*keep, T.normalize_breaks(html).alias("_h"))
+    page = hold(pages.select(*keep, html), _h=T.normalize_breaks(html)).select(*keep, "_h")
     detail_table = element_by("_h", "table", "class", fixed.DETAIL_TABLE_CLASS)
     heads = lambda c: first_of(elements(first_of(elements(c, "thead")), "th"))
     title = T.first_non_empty(
@@ -118,7 +118,7 @@ def embedded_rows(pages: DataFrame, html: str = "html", pattern: str = fixed.PAG
     """Rows of a JSON array that a page script assigns; malformed arrays give none."""
     keep = [c for c in pages.columns if c != html]
     array = F.from_json(F.regexp_extract(T._col(html), pattern, 1), schema)
-    return pages.select(*keep, F.posexplode(array).alias("position", "_item")).select(*keep, "position", "_item.*")
+    return explode_rows(pages, keep, array, "position", "_item").select(*keep, "position", "_item.*")
 
 
 def preview_links(html) -> Column:
@@ -151,12 +151,13 @@ def application_rows(pages: DataFrame, html: str = "html", page_key: tuple[str,
                      supply_type: str | None = None) -> DataFrame:
     """Application-status rows; the first row per (code, status) on a page is kept."""
     keep = [c for c in pages.columns if c != html]
-    rows = pages.select(*keep, F.posexplode(elements(html, "tr")).alias("position", "_row"))
-    rows = rows.withColumn("_cells", elements("_row", "td")).where(F.size("_cells") >= 5)
+    rows = explode_rows(pages, keep, elements(html, "tr"), "position", "_row")
+    rows = hold(rows, _cells=elements("_row", "td")).where(F.size("_cells") >= 5)
     link = F.element_at("_cells", 2)
-    onclick = attribute(F.regexp_extract(link, r"(?is)<a\b([^>]*\bonclick\b[^>]*)>", 1), "onclick")
-    rows = rows.withColumn("_args", call_arguments(onclick)).where(F.size("_args") >= 7)
-    status_text = T.inner_text(F.element_at("_cells", 5))
+    rows = hold(rows, _call=attribute(F.regexp_extract(link, r"(?is)<a\b([^>]*\bonclick\b[^>]*)>", 1), "onclick"),
+                _status=T.inner_text(F.element_at("_cells", 5)))
+    rows = hold(rows, _args=call_arguments("_call")).where(F.size("_args") >= 7)
+    status_text = F.col("_status")
     arg = lambda i: T.trim_ws(F.element_at("_args", i))
     out = rows.select(
         *keep, "position", arg(1).alias("recruit_code"),
@@ -189,7 +190,7 @@ def label_value_columns(pages: DataFrame, html: str = "html",
             F.regexp_extract(T.unescape(a), fixed.NOTICE_FILE_CALL, 2).alias("file_sn"),
             T.inner_text(a).alias("filename"))),
         lambda f: f["file_id"] != "")
-    staged = pages.select(*keep, pairs.alias("_pairs"), links.alias("notice_files"))
+    staged = hold(pages, _pairs=pairs, notice_files=links).select(*keep, "_pairs", "notice_files")
     value = lambda label: F.coalesce(F.get(F.reverse(F.filter("_pairs", lambda p: p["label"] == label)), F.lit(0))["value"],
                                      F.lit(""))
     return staged.select(*keep, *[value(label).alias(name) for name, label in labels], "notice_files")
@@ -198,5 +199,5 @@ def label_value_columns(pages: DataFrame, html: str = "html",
 def visible_text_artifacts(pages: DataFrame, html: str = "html") -> DataFrame:
     """Visible text of each page and its length in characters."""
     keep = [c for c in pages.columns if c != html]
-    return (pages.select(*keep, T.visible_text(html).alias("raw_text"))
+    return (hold(pages, raw_text=T.visible_text(html)).select(*keep, "raw_text")
             .withColumn("chars", F.length("raw_text").cast("bigint")))
