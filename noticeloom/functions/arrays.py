@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_CELL, _HEAD = "\x01", "\x02"
+_CELL, _HEAD, _TAIL = "\x01", "\x02", "\x03"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -48,13 +48,33 @@ def last(array: Column, default: str = "") -> Column:
     return F.coalesce(at(F.reverse(array), 0), F.lit(default))
 
 
-def pairs_around(text: Column, pattern: str) -> Column:
-    """Matches with the text in front of each: array of (gap, match)."""
-    return let(F.split(text, pattern, -1), lambda gaps: F.transform(
-        match_all(text, pattern), lambda m, i: F.struct(at(gaps, i).alias("gap"), m.alias("match"))))
+def scan(text: Column, pattern: str, groups: int) -> Column:
+    """Every match with its groups, the text in front of it and the text up to the next one.
 
+    Array of (gap, match, tail, g). The text is marked up in one regex pass and then
+    taken apart at the marks, so a match costs one evaluation however many groups it
+    has. The text must not hold the mark characters; ``printable`` drops them.
+    """
+    fields = "".join(f"${i}{_CELL}" for i in range(1, groups + 1))
+    marked = F.regexp_replace(text, pattern, f"{_HEAD}{fields}$0{_TAIL}")
 
-def blocks_after(text: Column, pattern: str) -> Column:
-    """Matches with the text up to the next match: array of (head, body)."""
-    return let(F.split(text, pattern, -1), lambda gaps: F.transform(
-        match_all(text, pattern), lambda m, i: F.struct(m.alias("head"), at(gaps, i + 1).alias("body"))))
+    def parts(pieces):
+        def one(piece, i):
+            head = F.split(F.substring_index(piece, _TAIL, 1), _CELL)
+            before = at(pieces, i)
+            return F.struct(
+                F.when(i == 0, before).otherwise(F.substring_index(before, _TAIL, -1)).alias("gap"),
+                at(head, groups).alias("match"), F.substring_index(piece, _TAIL, -1).alias("tail"), head.alias("g"))
+        return F.transform(F.slice(pieces, F.lit(2), F.size(pieces) - 1), one)
+
+    return let(F.split(marked, _HEAD), parts)
+
+
+def g(found: Column, index: int) -> Column:
+    """Group of a scanned match, ``''`` when it took no part."""
+    return at(found["g"], index - 1)
+
+
+def printable(text: Column) -> Column:
+    """Drop NUL and the mark characters."""
+    return F.translate(text, "\x00" + _CELL + _HEAD + _TAIL, "")

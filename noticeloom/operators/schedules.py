@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from noticeloom import fixed
 from noticeloom.functions import dates as D
 from noticeloom.functions import text as T
-from noticeloom.functions.arrays import at, group, let, match_all
+from noticeloom.functions.arrays import at, g, let, printable, scan
 from noticeloom.operators.dedupe import first_row
 from noticeloom.operators.predicates import has_schedule_text
 from noticeloom.operators.staging import explode_rows, hold
@@ -16,18 +16,14 @@ from noticeloom.operators.staging import explode_rows, hold
 PERIOD = ("struct<label:string,starts_at:timestamp,ends_at:timestamp,date_text:string,confidence:double>")
 
 
-def _bounds(m: Column, pattern: str, start: tuple[int, ...], end: tuple[int, ...]) -> tuple[Column, Column]:
-    g = lambda i: group(m, pattern, i)
-    return (D.parts_to_timestamp(*[g(i) for i in start]), D.parts_to_timestamp(*[g(i) for i in end], end_of_day=True))
-
-
 def range_periods(text: Column, pattern: str = fixed.SCHEDULE_RANGE, confidence: float = fixed.CONF_TEXT_SCHEDULE) -> Column:
     """``label: date ~ date`` sentences → periods; both ends must be real dates."""
     def one(m):
-        starts, ends = _bounds(m, pattern, (2, 3, 4, 5, 6), (7, 8, 9, 10, 11))
-        return F.struct(F.trim(group(m, pattern, 1)).alias("label"), starts.alias("starts_at"), ends.alias("ends_at"),
-                        F.trim(m).alias("date_text"), F.lit(confidence).alias("confidence"))
-    found = F.transform(match_all(text, pattern), one)
+        starts = D.parts_to_timestamp(*[g(m, i) for i in range(2, 7)])
+        ends = D.parts_to_timestamp(*[g(m, i) for i in range(7, 12)], end_of_day=True)
+        return F.struct(F.trim(g(m, 1)).alias("label"), starts.alias("starts_at"), ends.alias("ends_at"),
+                        F.trim(m["match"]).alias("date_text"), F.lit(confidence).alias("confidence"))
+    found = F.transform(scan(text, pattern, 11), one)
     return F.filter(found, lambda p: p["starts_at"].isNotNull() & p["ends_at"].isNotNull())
 
 
@@ -49,25 +45,25 @@ def procedure_period(text: Column, starts=fixed.PROCEDURE_STARTS, stop: str = fi
         for marker in starts:
             head = F.trim(F.regexp_replace(head, f"^{marker}", ""))
         labels = F.filter(F.transform(F.split(head, separators), lambda x: F.trim(x)), lambda x: x != "")
-        days = match_all(F.substring(s, dated, F.length(s)), pattern)
+        days = scan(F.substring(s, dated, F.length(s)), pattern, 10)
 
-        def pair(found):
+        def pair(found, dates):
             hits = F.filter(F.transform(found, lambda label, i: F.struct(label.alias("label"), i.alias("i"))),
-                            lambda x: x["label"].contains(wanted) & (x["i"] < F.size(days)))
+                            lambda x: x["label"].contains(wanted) & (x["i"] < F.size(dates)))
 
             def period(hit):
-                def dates(m):
-                    g = lambda i: group(m, pattern, i)
-                    begin = D.parts_to_timestamp(g(1), g(2), g(3), g(4), g(5))
-                    one_day = (g(7) == "") | (g(8) == "")
-                    last_of_day = D.parts_to_timestamp(g(1), g(2), g(3), F.lit(""), F.lit(""), end_of_day=True)
-                    end = D.parts_to_timestamp(T.first_non_empty(g(6), g(1)), g(7), g(8), g(9), g(10), end_of_day=True)
-                    return F.struct(hit["label"].alias("label"), begin.alias("starts_at"),
+                def bounds(m):
+                    day = [g(m, 1), g(m, 2), g(m, 3)]
+                    one_day = (g(m, 7) == "") | (g(m, 8) == "")
+                    last_of_day = D.parts_to_timestamp(*day, F.lit(""), F.lit(""), end_of_day=True)
+                    end_year = F.when(g(m, 6) == "", g(m, 1)).otherwise(g(m, 6))
+                    end = D.parts_to_timestamp(end_year, *[g(m, i) for i in range(7, 11)], end_of_day=True)
+                    return F.struct(hit["label"].alias("label"), D.parts_to_timestamp(*day, g(m, 4), g(m, 5)).alias("starts_at"),
                                     F.when(one_day, last_of_day).otherwise(end).alias("ends_at"),
-                                    F.trim(m).alias("date_text"), F.lit(confidence).alias("confidence"))
-                return let(at(days, hit["i"]), dates)
+                                    F.trim(m["match"]).alias("date_text"), F.lit(confidence).alias("confidence"))
+                return let(at(dates, hit["i"]), bounds)
             return F.transform(F.slice(hits, 1, 1), period)
-        return F.when(dated > 0, let(labels, pair))
+        return F.when(dated > 0, let(labels, lambda found: let(days, lambda dates: pair(found, dates))))
 
     found = F.coalesce(let(section, from_section), F.array().cast(f"array<{PERIOD}>"))
     return F.filter(found, lambda p: p["starts_at"].isNotNull() & p["ends_at"].isNotNull())
@@ -77,7 +73,7 @@ def text_schedules(artifacts: DataFrame, keep: list[str], text: str = "raw_text"
                    span: str = "source_span", **procedure) -> DataFrame:
     """Periods of each text artifact in text order, range sentences before the procedure table."""
     staged = hold(artifacts.where(has_schedule_text(artifact_type)),
-                  _t=T.collapse_ws(F.replace(F.col(text), F.lit("\x00"), F.lit("")))).where(F.col("_t") != "")
+                  _t=T.collapse_ws(printable(F.col(text)))).where(F.col("_t") != "")
     both = F.concat(range_periods(F.col("_t")).cast(f"array<{PERIOD}>"),
                     procedure_period(F.col("_t"), **procedure).cast(f"array<{PERIOD}>"))
     rows = explode_rows(staged, [*keep, span], both, "position", "_p")

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from noticeloom import fixed
 from noticeloom.functions import numbers as N
 from noticeloom.functions import text as T
+from noticeloom.functions.arrays import at, carry_forward, g, last, let, match_all, printable, scan
 from noticeloom.operators.staging import explode_rows, hold
-from noticeloom.functions.arrays import at, blocks_after, carry_forward, first, group, last, let, match_all, pairs_around
 
 ROW = "struct<raw_text:string,content:map<string,string>>"
 
@@ -37,7 +37,7 @@ def row(raw: Column, **content) -> Column:
 
 
 def compact_text(c) -> Column:
-    return T.collapse_ws(F.translate(T._col(c), "\x00\x01\x02", ""))
+    return T.collapse_ws(printable(T._col(c)))
 
 
 def extract_rows(artifacts: DataFrame, rules: tuple[TableRule, ...], text: str = "raw_text",
@@ -77,7 +77,7 @@ def pattern_rows(section: tuple[str, str], pattern: str, fields: dict[str, int],
         def build(raws, heads, found):
             def one(raw, i):
                 content = {"source": F.lit(source)}
-                content.update({name: group(raw, pattern, g) for name, g in fields.items()})
+                content.update({name: g(raw, n) for name, n in fields.items()})
                 if carried:
                     content[carried[0]] = at(heads, i)
                 if lookup:
@@ -85,13 +85,14 @@ def pattern_rows(section: tuple[str, str], pattern: str, fields: dict[str, int],
                     hit = F.filter(found, lambda e: e["key"] == key)
                     content[lookup[0]] = F.coalesce(at(F.transform(hit, lambda e: e["value"]), 0), F.lit(""))
                 content.update(extra)
-                return row(raw, **content)
+                return row(raw["match"], **content)
 
             built = F.transform(raws, one)
             return F.filter(built, lambda r: r["content"][carried[0]] != "") if carried else built
 
-        return let(match_all(body, pattern), lambda raws: let(look, lambda found: let(
-            carry_forward(F.transform(raws, lambda r: group(r, pattern, carried[1]))) if carried else F.array(F.lit("")),
+        last_group = max([*fields.values(), carried[1] if carried else 0])
+        return let(scan(body, pattern, last_group), lambda raws: let(look, lambda found: let(
+            carry_forward(F.transform(raws, lambda r: g(r, carried[1]))) if carried else F.array(F.lit("")),
             lambda heads: build(raws, heads, found))))
 
     return rows
@@ -99,9 +100,8 @@ def pattern_rows(section: tuple[str, str], pattern: str, fields: dict[str, int],
 
 def _district_addresses(text: Column) -> Column:
     p = fixed.UNIT_ADDRESS
-    return F.transform(match_all(text, p), lambda m: F.struct(
-        group(m, p, 1).alias("key"),
-        F.concat_ws(" ", F.lit("서울특별시"), group(m, p, 1), group(m, p, 2), group(m, p, 3)).alias("value")))
+    return F.transform(scan(text, p, 3), lambda m: F.struct(
+        g(m, 1).alias("key"), F.concat_ws(" ", F.lit("서울특별시"), g(m, 1), g(m, 2), g(m, 3)).alias("value")))
 
 
 UNIT_CONDITIONS = TableRule("unit_conditions", (fixed.UNIT_SECTION[0],), pattern_rows(
@@ -114,10 +114,10 @@ UNIT_CONDITIONS = TableRule("unit_conditions", (fixed.UNIT_SECTION[0],), pattern
 def _vacancy(text: Column) -> Column:
     p = fixed.VACANCY_ROW
     address = T.join_branch_roads(F.regexp_extract(text, fixed.VACANCY_ADDRESS, 0), loose=True)
-    return let(address, lambda where: F.transform(match_all(T.section_between(text, *fixed.VACANCY_SECTION), p), lambda m: row(
-        m, source="pdf_table_vacancy", housing_name=group(m, p, 1), address=where,
-        unit_no=F.concat(group(m, p, 2), F.lit(fixed.UNIT_SUFFIX)), exclusive_area_m2=group(m, p, 3),
-        deposit_text=group(m, p, 4), monthly_rent_text=group(m, p, 5))))
+    return let(address, lambda where: F.transform(scan(T.section_between(text, *fixed.VACANCY_SECTION), p, 5), lambda m: row(
+        m["match"], source="pdf_table_vacancy", housing_name=g(m, 1), address=where,
+        unit_no=F.concat(g(m, 2), F.lit(fixed.UNIT_SUFFIX)), exclusive_area_m2=g(m, 3),
+        deposit_text=g(m, 4), monthly_rent_text=g(m, 5))))
 
 
 VACANCY = TableRule("vacancy", (fixed.VACANCY_SECTION[0],), _vacancy)
@@ -129,9 +129,9 @@ def shared_price_rows(section: tuple[str, str], unit_pattern: str, deposit_at: i
     def rows(text: Column) -> Column:
         def from_section(body):
             def with_money(money):
-                return F.when(F.size(money) > max(deposit_at, rent_at), F.transform(match_all(body, unit_pattern), lambda m: row(
-                    m, source=source, housing_name=name, address=address, unit_no=group(m, unit_pattern, 1),
-                    exclusive_area_m2=group(m, unit_pattern, 2),
+                return F.when(F.size(money) > max(deposit_at, rent_at), F.transform(scan(body, unit_pattern, 2), lambda m: row(
+                    m["match"], source=source, housing_name=name, address=address, unit_no=g(m, 1),
+                    exclusive_area_m2=g(m, 2),
                     deposit_text=F.concat(at(money, deposit_at), F.lit(suffix)),
                     monthly_rent_text=F.concat(at(money, rent_at), F.lit(suffix)))))
             return let(match_all(body, fixed.MONEY), with_money)
@@ -168,17 +168,17 @@ def group_rows(spec: GroupTable) -> Callable[[Column], Column]:
 
     def blocks(body):
         def tidy(b):
-            cut = F.trim(b["body"])
+            cut = F.trim(b["tail"])
             for end in spec.ends:
                 cut = F.trim(F.substring_index(cut, end, 1))
-            return F.struct(group(b["head"], spec.head, 1).alias("key"),
-                            F.concat(F.lit(spec.address_prefix), group(b["head"], spec.head, 2)).alias("address"),
-                            cut.alias("body"), F.concat_ws(" ", b["head"], cut).alias("raw"))
-        return F.transform(blocks_after(body, spec.head), tidy)
+            return let(cut, lambda c: F.struct(
+                g(b, 1).alias("key"), F.concat(F.lit(spec.address_prefix), g(b, 2)).alias("address"),
+                c.alias("body"), F.concat_ws(" ", b["match"], c).alias("raw")))
+        return F.transform(scan(body, spec.head, 2), tidy)
 
     def supply(text):
         return F.transform(blocks(section(text, spec.supply_sections)), lambda b: F.struct(
-            b["key"].alias("key"), b["address"].alias("address"), group(b["body"], spec.count, 1).alias("count"),
+            b["key"].alias("key"), b["address"].alias("address"), F.regexp_extract(b["body"], spec.count, 1).alias("count"),
             T.first_keyword(F.regexp_replace(b["body"], spec.count, ""), [(g, g) for g in fixed.GENDERS]).alias("gender")))
 
     def auto_gender(text, key):
@@ -189,10 +189,9 @@ def group_rows(spec: GroupTable) -> Callable[[Column], Column]:
 
     def units(body):
         p = spec.rent_row
-        found = F.transform(match_all(body, p), lambda m: F.struct(
-            group(m, p, 1).alias("unit_no"), group(m, p, 2).alias("exclusive_area_m2"),
-            group(m, p, 3).alias("deposit_text"), group(m, p, 4).alias("monthly_rent_text"),
-            N.plain_long(group(m, p, 3)).alias("deposit"), N.plain_long(group(m, p, 4)).alias("rent")))
+        found = F.transform(scan(body, p, 4), lambda m: F.struct(
+            g(m, 1).alias("unit_no"), g(m, 2).alias("exclusive_area_m2"), g(m, 3).alias("deposit_text"),
+            g(m, 4).alias("monthly_rent_text"), N.plain_long(g(m, 3)).alias("deposit"), N.plain_long(g(m, 4)).alias("rent")))
         return F.filter(found, lambda u: u["deposit"].isNotNull() & u["rent"].isNotNull())
 
     def rows(text: Column) -> Column:
@@ -250,15 +249,14 @@ def type_rows(name: str, section_start: str, section_end: str, head: str, unit:
 
     def units_of(block):
         def priced(found):
-            price = carry_forward(F.transform(found, lambda m: F.concat_ws(" ", F.nullif(group(m, unit_row, 4), F.lit("")),
-                                                                          F.nullif(group(m, unit_row, 5), F.lit("")))))
+            price = carry_forward(F.transform(found, lambda m: F.trim(F.concat_ws(" ", g(m, 4), g(m, 5)))))
             return let(price, lambda p: F.transform(found, lambda m, i: F.struct(
-                block["head"].alias("type"), group(m, unit_row, 1).alias("unit"), group(m, unit_row, 2).alias("category"),
-                group(m, unit_row, 3).try_cast("int").alias("count"),
+                block["match"].alias("type"), g(m, 1).alias("unit"), g(m, 2).alias("category"),
+                g(m, 3).try_cast("int").alias("count"),
                 (N.plain_long(F.split_part(at(p, i), F.lit(" "), F.lit(1))) * 1000).alias("deposit"),
                 N.plain_long(F.split_part(at(p, i), F.lit(" "), F.lit(2))).alias("rent"),
-                group(m, unit_row, 6).alias("area"))))
-        found = let(match_all(block["body"], unit_row), priced)
+                g(m, 6).alias("area"))))
+        found = let(scan(block["tail"], unit_row, 6), priced)
         return F.filter(found, lambda u: (u["deposit"] > 0) & (u["rent"] > 0) & u["count"].isNotNull())
 
     def won(v):
@@ -283,7 +281,7 @@ def type_rows(name: str, section_start: str, section_end: str, head: str, unit:
 
     def rows(text: Column) -> Column:
         body = clean_stream(T.section_between(text, section_start, section_end))
-        units = F.flatten(F.transform(blocks_after(body, head_token), units_of))
+        units = F.flatten(F.transform(scan(body, head_token, 0), units_of))
         return F.filter(let(units, lambda us: F.transform(
             F.array_distinct(F.transform(us, lambda u: u["type"])), lambda kind: summary(kind, us))), lambda r: r.isNotNull())
 
@@ -298,31 +296,31 @@ TYPES = TableRule("magok_challenge_house_supply", fixed.TYPE_GATES, type_rows(
 def _hope(text: Column) -> Column:
     """Supply rows opened up per gender, with price and address looked up by canonical name (last wins)."""
     canonical = lambda c: T.canonical_name(c, fixed.HOPE_NAMES)
-    addresses = F.transform(match_all(text, fixed.HOPE_ADDRESS), lambda m: F.struct(
-        canonical(group(m, fixed.HOPE_ADDRESS, 1)).alias("key"), F.trim(group(m, fixed.HOPE_ADDRESS, 2)).alias("value")))
-    prices = F.transform(match_all(text, fixed.HOPE_RENT), lambda m: F.struct(
-        canonical(group(m, fixed.HOPE_RENT, 1)).alias("key"),
-        *[F.when(group(m, fixed.HOPE_RENT, i) != "-", group(m, fixed.HOPE_RENT, i)).otherwise("").alias(n)
+    addresses = F.transform(scan(text, fixed.HOPE_ADDRESS, 2), lambda m: F.struct(
+        canonical(g(m, 1)).alias("key"), F.trim(g(m, 2)).alias("value")))
+    prices = F.transform(scan(text, fixed.HOPE_RENT, 4), lambda m: F.struct(
+        canonical(g(m, 1)).alias("key"),
+        *[F.when(g(m, i) != "-", g(m, i)).otherwise("").alias(n)
           for i, n in ((2, "deposit"), (3, "rent"), (4, "fee"))]))
 
     def expand(m, where, price):
-        name, area = canonical(group(m, fixed.HOPE_ROW, 1)), group(m, fixed.HOPE_ROW, 3)
-        kind = T.collapse_ws(group(m, fixed.HOPE_ROW, 2))
+        name, area = canonical(g(m, 1)), g(m, 3)
+        kind = T.collapse_ws(g(m, 2))
 
-        def one(g, who):
+        def one(x, who):
             mine = at(F.reverse(F.filter(price, lambda p: p["key"] == who)), 0)
             text_of = lambda f: F.coalesce(mine[f], F.lit(""))
-            gender = group(g, fixed.HOPE_GENDER, 1)
-            return row(m, source="pdf_table_hope_housing_supply", housing_name=who,
+            gender = g(x, 1)
+            return row(m["match"], source="pdf_table_hope_housing_supply", housing_name=who,
                        address=F.coalesce(at(F.reverse(F.filter(where, lambda a: a["key"] == who)), 0)["value"], F.lit("")),
                        exclusive_area_m2=area, occupancy_type=kind, gender_requirement=gender,
-                       supply_count=group(g, fixed.HOPE_GENDER, 2),
+                       supply_count=g(x, 2),
                        application_unit_label=T.join_non_blank(who, area, gender), deposit_text=text_of("deposit"),
                        monthly_rent_text=text_of("rent"), dormitory_fee_text=text_of("fee"))
-        return let(name, lambda who: F.transform(match_all(group(m, fixed.HOPE_ROW, 4), fixed.HOPE_GENDER), lambda g: one(g, who)))
+        return let(name, lambda who: F.transform(scan(g(m, 4), fixed.HOPE_GENDER, 2), lambda x: one(x, who)))
 
     return let(addresses, lambda where: let(prices, lambda price: F.flatten(
-        F.transform(match_all(text, fixed.HOPE_ROW), lambda m: expand(m, where, price)))))
+        F.transform(scan(text, fixed.HOPE_ROW, 4), lambda m: expand(m, where, price)))))
 
 
 HOPE = TableRule("hope_housing_supply", fixed.HOPE_GATES, _hope)
@@ -381,16 +379,14 @@ def price_table_rows(districts: tuple[str, ...], categories: tuple[str, ...], he
 
         def build(found, names, areas):
             def one(p, i):
-                m = p["match"]
-                between = F.filter(F.split(group(m, pattern, 5), " "), lambda t: t != "")
+                between = F.filter(F.split(g(p, 5), " "), lambda t: t != "")
                 spare = last(between)
-                mark = T.first_non_empty(group(m, pattern, 2), group(m, pattern, 3))
+                mark = F.concat(g(p, 2), g(p, 3))
                 return row(
-                    m, source=source, district=p["district"], housing_name=at(names, i), exclusive_area_m2=at(areas, i),
-                    application_category=mark, supply_count=group(m, pattern, 4),
-                    jeonse_deposit_text=group(m, pattern, 6), contract_deposit_text=group(m, pattern, 7),
-                    balance_payment_text=group(m, pattern, 8), money_unit=money_unit,
-                    heating_method=F.replace(group(m, pattern, 9), F.lit(" "), F.lit("")),
+                    p["match"], source=source, district=p["district"], housing_name=at(names, i), exclusive_area_m2=at(areas, i),
+                    application_category=mark, supply_count=g(p, 4),
+                    jeonse_deposit_text=g(p, 6), contract_deposit_text=g(p, 7), balance_payment_text=g(p, 8),
+                    money_unit=money_unit, heating_method=F.replace(g(p, 9), F.lit(" "), F.lit("")),
                     reserved_count=F.when((F.size(between) >= 2) & spare.rlike("^([0-9]+|-)$"), spare).otherwise(""),
                     application_unit_label=T.join_non_blank(at(names, i), at(areas, i), mark))
             built = F.transform(found, one)
@@ -399,12 +395,12 @@ def price_table_rows(districts: tuple[str, ...], categories: tuple[str, ...], he
         def with_district(found):
             districts_at = carry_forward(F.transform(found, district_in))
             placed = let(districts_at, lambda d: F.transform(found, lambda p, i: F.struct(
-                p["gap"], p["match"], at(d, i).alias("district"))))
+                p["gap"], p["match"], p["g"], at(d, i).alias("district"))))
             return F.filter(placed, lambda p: p["district"] != "")
 
-        found = let(pairs_around(clean_stream(text), pattern), with_district)
+        found = let(scan(clean_stream(text), pattern, 9), with_district)
         return let(found, lambda f: let(carry_forward(F.transform(f, name_in)), lambda names: let(
-            carry_forward(F.transform(f, lambda p: group(p["match"], pattern, 1))), lambda areas: build(f, names, areas))))
+            carry_forward(F.transform(f, lambda p: g(p, 1))), lambda areas: build(f, names, areas))))
 
     return rows
 

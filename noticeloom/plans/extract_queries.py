@@ -23,7 +23,7 @@ def won(c):
 
 
 def _docs(t, body):
-    return t.orders.select(KEY, T.object_span(F.col(KEY).cast("string")).alias("source_span"), body.alias("raw_text"))
+    return t.wide("orders").select(KEY, T.object_span(F.col(KEY).cast("string")).alias("source_span"), body.alias("raw_text"))
 
 
 def _rows(t, body, *names):
@@ -63,7 +63,7 @@ def _(t):
     pattern = "(?:([A-Z][a-z]+) )?([a-z]+ed) ([a-z]+)"
     whole = lambda text_col: tables.pattern_rows(("", ""), pattern, {"word": 2}, "prose", carried=("head", 1))(text_col)
     rule = tables.TableRule("prose", (), whole)
-    docs = t.documents.select("doc_id", F.col("text").alias("raw_text"), F.col("source").alias("source_span"))
+    docs = t.wide("documents").select("doc_id", F.col("text").alias("raw_text"), F.col("source").alias("source_span"))
     return tables.extract_rows(docs, (rule,)).select("doc_id", "row_no", F.col("content")["head"].alias("head"), F.col("content")["word"].alias("word"))
 
 
@@ -160,7 +160,7 @@ def _sheet_rows(t):
     applicant = F.array(L("접수번호"), L("성명"), L("호수"), L("전용면적"))
     data = F.array(F.when(K() % 7 == 0, "").otherwise(text(K())), text("단지 ", C()), F.when(K() % 3 == 0, " ").otherwise(text(" ", K() % 900, "  호")), text(C(), ".50"), won(C() + 1000), won(K() + 1), won(C()), L("5"))
     cells = (F.when(K() % 211 == 5, valid).when(K() % 211 == 77, other).when(K() % 211 == 150, applicant).when(K() % 17 == 0, F.array(L(" "), L(""))).otherwise(data))
-    return t.orders.select((C() % 20).alias("sheet"), K().alias("row_no"), cells.alias("cells"), T.sheet_span(L("k"), (C() % 20).cast("string"), K()).alias("source_span"))
+    return t.wide("orders").select((C() % 20).alias("sheet"), K().alias("row_no"), cells.alias("cells"), T.sheet_span(L("k"), (C() % 20).cast("string"), K()).alias("source_span"))
 
 
 _SHEET = """WITH r AS (SELECT o_custkey % 20 AS sheet, o_orderkey AS row_no, o_custkey AS c, CASE WHEN o_orderkey % 211 IN (5, 77, 150) THEN o_orderkey END AS mark, o_orderkey % 17 = 0 AS blank FROM orders),
@@ -215,7 +215,7 @@ def _(t):
 
 
 def _items(t):
-    return t.orders.select(
+    return t.wide("orders").select(
         KEY, text(K()).alias("notice_id"), (C() % 3).cast("int").alias("house_sn"), text("단지 ", C()).alias("complex_name"), L("국민임대").alias("supply_type"),
         F.when(C() % 2 == 0, "아파트").otherwise("").alias("house_type"), F.when(C() % 4 > 0, (C() % 4).cast("int")).alias("supply_count"), L(" 서울 ").alias("province"), L("").alias("city"),
         L("a").alias("address"), L("d").alias("legal_dong"), L("u").alias("detail_url"), L("s").alias("source_url"), L("h").alias("heating_method"), C().alias("deposit_krw"),
@@ -252,7 +252,7 @@ def _(t):
         label.alias("application_unit_label"), L("h").alias("housing_name"), L(None).cast("string").alias("unit_no"), L(1.5).alias("exclusive_area_m2"), L(1).alias("supply_count"), C().alias("deposit_krw"),
         C().alias("monthly_rent_krw"), L(None).cast("bigint").alias("jeonse_deposit_krw"), L(None).cast("bigint").alias("dormitory_fee_krw"), L("").alias("gender_requirement"), L(None).cast("int").alias("source_page"),
         span.alias("source_span"), L(0.5).alias("confidence"), L("e").alias("raw_evidence"))
-    outputs = t.orders.select(KEY, T.object_span(K().cast("string")).alias("source_span"), F.array(
+    outputs = t.wide("orders").select(KEY, T.object_span(K().cast("string")).alias("source_span"), F.array(
         item(L(" A "), L("")), item(L("B"), L("x#p=1")), item(L(" "), L(" ")), item(text("C", C()), L(None).cast("string"))).alias("offerings"))
     return O.repair_offerings(outputs, [KEY]).select(KEY, "position", "application_unit_label", "source_span", "deposit_krw")
 
@@ -281,7 +281,7 @@ def _(t):
     head = F.when(K() % 5 == 0, L("임대조건 안내\n")).otherwise(text("임대조건\n구분\n보증금\n월 임대료\n", F.when(K() % 2 == 0, "계약금 잔금\n").otherwise("")))
     stop = F.when(K() % 3 == 0, "■").when(K() % 3 == 1, "-\n12\n-").otherwise("")
     body = text(head, _m(), four, "7,000\n 비고 \n1,001", four, "7,000\n9,999\n", stop, F.when(K() % 3 == 2, "").otherwise("\n8,888\n8,888\n8,888"))
-    return rents.rent_summary(t.orders.select(KEY, body.alias("text")), "text", [KEY])
+    return rents.rent_summary(t.wide("orders").select(KEY, body.alias("text")), "text", [KEY])
 
 
 def _schedule_docs(t):
@@ -289,7 +289,7 @@ def _schedule_docs(t):
     range_text = text("안내 신청접수 : ", day, ".(월) 09:30 ~ ", day, " (화) 끝. 접수기간 2024년 13월 1일 ~ 2024.1.2. ")
     table = text("공급절차 및 일정 모집공고 ▶ 신청접수 ▶ 당첨자 발표 ▶ 신청접수(2차) ‘", F.date_format("o_orderdate", "yy. M. d"), " ‘24.3.", K() % 9 + 1, "(월)~3.", K() % 9 + 11, " 18:00 '24.5.1 ※ 24.9.9 ")
     kind = F.when(K() % 4 == 0, "pdf_text").when(K() % 4 == 1, "html_preview").when(K() % 4 == 2, "hwpx_text").otherwise("hwp_text")
-    return t.orders.select(KEY, kind.alias("artifact_type"), T.object_span(K().cast("string")).alias("source_span"), F.when(K() % 3 == 0, range_text).when(K() % 3 == 1, table).otherwise(F.concat(range_text, table)).alias("raw_text"))
+    return t.wide("orders").select(KEY, kind.alias("artifact_type"), T.object_span(K().cast("string")).alias("source_span"), F.when(K() % 3 == 0, range_text).when(K() % 3 == 1, table).otherwise(F.concat(range_text, table)).alias("raw_text"))
 
 
 _SCHEDULES = """

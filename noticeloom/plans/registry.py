@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from noticeloom.operators.staging import spread
 from noticeloom.plans.projections import render
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +22,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def wide(self, name: str) -> DataFrame:
+        """A table for costly per-row work, with at least one split per core."""
+        return spread(getattr(self, name))
+
     def project(self, name: str) -> DataFrame:
         sources, sql = render(name, "spark")
         return self.spark.sql(sql.format(**{s: f"{{{s}}}" for s in sources}), **{s: getattr(self, s) for s in sources})

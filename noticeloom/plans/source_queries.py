@@ -52,7 +52,7 @@ def _envelopes(t):
     body = (F.when(e % 3 == 0, envelope(F.struct(e.alias("totalCount"), numbers.alias("item"))))
             .when(e % 3 == 1, envelope(F.struct(F.format_number(e, 0).alias("totalCount"), F.array(texts, texts).alias("item"))))
             .otherwise(envelope(F.struct(L("").alias("totalCount")))))
-    return t.events.select("event_id", F.when(e % 50 == 5, L("{not json")).otherwise(body).alias("body"))
+    return t.wide("events").select("event_id", F.when(e % 50 == 5, L("{not json")).otherwise(body).alias("body"))
 
 
 @query("s01_api_pages", """
@@ -106,7 +106,7 @@ def _list_pages(t):
                   '</a></TD><TD></TD><TD>soon</TD><TD>-</TD></TR>')
     html = text('<table id="other"><tr><td>x</td></tr></table><table class="w" id="listTb"><tbody>', listed,
                 '<tr><td>n</td><td><a>no number</a></td><td></td><td></td><td></td></tr><tr><td>short</td></tr>', second, '</tbody></table>')
-    return t.orders.select("o_orderkey", html.alias("html"))
+    return t.wide("orders").select("o_orderkey", html.alias("html"))
 
 
 @query("s04_list_rows", """
@@ -137,7 +137,7 @@ def _detail_pages(t):
     inline = F.when(kind % 2 == 1, text("<ul><li>담당 : x</li><li>등록일 : ", D(), "</li><li>조회수: ", F.format_number(C(), 0), "</li></ul>")).otherwise("")
     body = F.when(C() % 2 == 0, text('<div class="view cont">Body<br/>of <b>', K(), "</b></div>")).otherwise(text("<table><tr><td>Last<BR>", K(), "</td></tr></table>"))
     html = text('<table class="detailTable x">', caption, head, titled, stats, "</table>", other, inline, body)
-    return t.orders.select("o_orderkey", html.alias("html"))
+    return t.wide("orders").select("o_orderkey", html.alias("html"))
 
 
 @query("s05_s11_detail_fields", """
@@ -153,7 +153,7 @@ def _attachment_pages(t):
     array = F.when(K() % 4 == 0, L("[{broken")).otherwise(text("[", item(1), ",", item(2), "]"))
     html = text("<script>var a=1; initParam.downList = ", array, ";</script>",
                 '<a href="/x/htmlConverter.do?brd_id=b', C(), "&amp;seq=", K(), '&amp;file_seq=2">view</a><a href="/other?brd_id=1">no</a>')
-    return t.orders.select("o_orderkey", html.alias("html"))
+    return t.wide("orders").select("o_orderkey", html.alias("html"))
 
 
 @query("s06_s07_attachments", """
@@ -173,7 +173,7 @@ def _application_pages(t):
         "fallback ", C(), "</a></td><td>", F.format_number(C() * 3, 0), "</td><td>", D(), "</td><td> ", status, " </td></tr>")
     html = text("<table>", row(text("A", K()), text("공고, ", C()), "청약중"), row(text("A", K()), L("again"), "[청약중]"), row(text("A", K()), L(""), "접수예정"),
                 row(text("B", K()), L("closed"), "마감"), row(L(" "), L("x"), "청약중"), "</table>")
-    return t.orders.select("o_orderkey", html.alias("html"))
+    return t.wide("orders").select("o_orderkey", html.alias("html"))
 
 
 @query("s08_application_rows", """
@@ -188,7 +188,7 @@ def _(t):
 def _label_pages(t):
     html = text("<table><tr><th> 공급호수</th><td>총 ", F.format_number(C() + 1, 0), " 호</td></tr><tr><th>임대조건</th><td>- 임대보증금 :&nbsp;", C(), "만원 - 월임대료 : ", K(), "원</td></tr>",
                 "<tr><th>임대기간</th><td></td></tr><tr><th>임대기간</th><td>", C() % 30, "년</td></tr></table><a href=\"javascript:fnDownFile('F", K(), "', '2')\">공고 ", C(), ".pdf</a>")
-    return t.orders.select("o_orderkey", html.alias("html"), F.lit("http://d").alias("detail_url"))
+    return t.wide("orders").select("o_orderkey", html.alias("html"), F.lit("http://d").alias("detail_url"))
 
 
 @query("s09_label_values", """
@@ -215,7 +215,7 @@ _VISIBLE = f"trim(regexp_replace({_unescape(f'regexp_replace({_VISIBLE}, ' + chr
 
 @query("s10_visible_text", f"SELECT page_id, md5({_VISIBLE}) AS digest, length({_VISIBLE}) AS chars FROM pages")
 def _(t):
-    return pages.visible_text_artifacts(t.pages.select("page_id", "html")).select("page_id", F.md5("raw_text").alias("digest"), "chars")
+    return pages.visible_text_artifacts(t.wide("pages").select("page_id", "html")).select("page_id", F.md5("raw_text").alias("digest"), "chars")
 
 
 @query("s11_break_tags", "SELECT page_id, md5(regexp_replace(html, '<(?:br|BR) ?/?>', ' ', 'g')) AS digest FROM pages")

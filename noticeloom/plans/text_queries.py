@@ -39,7 +39,7 @@ def strict_key(x: str) -> str:
        f"SELECT doc_id, md5({clean('text')}) AS digest, length({clean('text')}) AS chars FROM documents")
 def _(t):
     c = T.collapse_ws("text")
-    return t.documents.select("doc_id", F.md5(c).alias("digest"), F.length(c).cast("bigint").alias("chars"))
+    return t.wide("documents").select("doc_id", F.md5(c).alias("digest"), F.length(c).cast("bigint").alias("chars"))
 
 
 @query("t03_strip_title_marker",
@@ -69,7 +69,7 @@ def _(t):
        f"SELECT doc_id, md5({plain_key('text')}) AS plain_key, md5({strict_key('text')}) AS strict_key, "
        f"sha256({plain_key('text')}) AS title_hash FROM documents")
 def _(t):
-    return t.documents.select("doc_id", F.md5(T.title_key_plain("text")).alias("plain_key"),
+    return t.wide("documents").select("doc_id", F.md5(T.title_key_plain("text")).alias("plain_key"),
                               F.md5(T.title_key_strict("text")).alias("strict_key"), T.title_hash("text").alias("title_hash"))
 
 
@@ -105,7 +105,7 @@ def _(t):
                          ELSE regexp_replace(printf('%.2f', l_quantity / 4), '\\.?0+$', '') END || '㎡' AS area FROM lineitem)""")
 def _(t):
     area = F.col("l_quantity") / 4
-    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", N.unit_label(
+    return t.wide("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", N.unit_label(
         F.lit(" "), F.concat(F.lit("L"), "l_linenumber"), area, "l_returnflag", F.lit("")).alias("label"), N.area_text(area).alias("area_text"))
 
 
@@ -132,7 +132,7 @@ _SECTION = ("CASE WHEN strpos(text, '{a}') = 0 THEN '' WHEN strpos(substr(text,
 @query("t14_section_between",
        f"SELECT doc_id, md5({_SECTION.format(a='the ', b=' of ')}) AS section, length({_SECTION.format(a='und ', b='qqqq')}) AS open_end FROM documents")
 def _(t):
-    return t.documents.select("doc_id", F.md5(T.section_between("text", "the ", " of ")).alias("section"),
+    return t.wide("documents").select("doc_id", F.md5(T.section_between("text", "the ", " of ")).alias("section"),
                               F.length(T.section_between("text", "und ", "qqqq")).cast("bigint").alias("open_end"))
 
 
@@ -145,7 +145,7 @@ _TOKENS = (f"list_filter(list_transform(string_split({clean('text')}, ' '), lamb
                list_transform(range(1, list_position(k, 'of')), lambda i: CASE WHEN k[i] = 'and' THEN i END), lambda i: i IS NOT NULL)), 0) END AS and_before_of
     FROM (SELECT doc_id, {_TOKENS} AS k FROM documents)""")
 def _(t):
-    d = t.documents.select("doc_id", T.tokens("text").alias("k"))
+    d = t.wide("documents").select("doc_id", T.tokens("text").alias("k"))
     k = F.col("k")
     return d.select("doc_id", F.size("k").cast("bigint").alias("tokens"), T.token_index(k, "the").cast("bigint").alias("first_the"),
                     F.md5(F.array_join("k", " ")).alias("digest"),
@@ -162,7 +162,7 @@ def _(t):
 def _(t):
     key = F.concat_ws("/", "source", "doc_id")
     span = T.object_span(key)
-    return t.documents.select(
+    return t.wide("documents").select(
         "doc_id", span.alias("object_span"), T.sheet_span(key, F.concat("lang", F.lit("&x")), "n_chars").alias("sheet_span"),
         T.item_span(T.table_span(span, F.lit("t"), F.lit(1)), F.lit(2)).alias("item_span"),
         T.item_span("source", F.lit(3)).alias("plain_item_span"),
@@ -199,14 +199,14 @@ def _(t):
     FROM (SELECT doc_id, list_filter(list_transform(string_split(text, ','), lambda x: %s), lambda x: x <> '') AS p FROM documents)""" % trim("x"))
 def _(t):
     p = T.split_csv("text")
-    return t.documents.select("doc_id", F.size(p).cast("bigint").alias("parts"), F.md5(F.array_join(p, "|")).alias("digest"))
+    return t.wide("documents").select("doc_id", F.size(p).cast("bigint").alias("parts"), F.md5(F.array_join(p, "|")).alias("digest"))
 
 
 @query("t22_first_keyword", """
     SELECT doc_id, CASE WHEN contains(text, 'tion') THEN 'tion' WHEN contains(text, 'und') THEN 'und' WHEN contains(text, 'les') THEN 'les' ELSE '' END AS word
     FROM documents""")
 def _(t):
-    return t.documents.select("doc_id", T.first_keyword("text", [(w, w) for w in ("tion", "und", "les")]).alias("word"))
+    return t.wide("documents").select("doc_id", T.first_keyword("text", [(w, w) for w in ("tion", "und", "les")]).alias("word"))
 
 
 @query("t23_canonical_names", """
@@ -236,7 +236,7 @@ def _(t):
     FROM lineitem""")
 def _(t):
     text = F.concat(F.lit("약 "), F.format_number("l_extendedprice", 2), F.lit(" 원 (77)"))
-    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", N.first_int(text).alias("whole"),
+    return t.wide("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", N.first_int(text).alias("whole"),
                              N.first_float(text).alias("number"), N.first_krw(text).alias("krw"),
                              N.money_with_unit(text, F.lit("전세금액(천원)")).alias("scaled"), N.first_int("l_returnflag").alias("nothing"))
 
@@ -245,7 +245,7 @@ def _(t):
     SELECT doc_id, TRY_CAST(string_split(n, '.')[1] AS INT) AS first_int, TRY_CAST(n AS DOUBLE) AS first_float
     FROM (SELECT doc_id, replace(regexp_extract(text, '{fixed.NUMBER}'), ',', '') AS n FROM documents)""")
 def _(t):
-    return t.documents.select("doc_id", N.first_int("text").alias("first_int"), N.first_float("text").alias("first_float"))
+    return t.wide("documents").select("doc_id", N.first_int("text").alias("first_int"), N.first_float("text").alias("first_float"))
 
 
 @query("n05_n10_n11_korean_amounts", """
@@ -271,7 +271,7 @@ def _(t):
 def _(t):
     lo = (F.col("l_extendedprice") * 10).cast("bigint") - 20000
     hi = lo + F.col("l_linenumber") % 3
-    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", N.group_thousands(lo).alias("low_text"),
+    return t.wide("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", N.group_thousands(lo).alias("low_text"),
                              N.krw_range_text(lo, hi).alias("range_text"))
 
 
@@ -352,5 +352,5 @@ def _(t):
 @query("h01_h02_hashes", """
     SELECT doc_id, sha256(text) AS input_hash, md5(coalesce(CASE WHEN lang = 'en' THEN NULL ELSE text END, '')) AS identity FROM documents""")
 def _(t):
-    return t.documents.select("doc_id", P.provenance_hash("text").alias("input_hash"),
+    return t.wide("documents").select("doc_id", P.provenance_hash("text").alias("input_hash"),
                               P.identity_key(F.when(F.col("lang") != "en", F.col("text"))).alias("identity"))
