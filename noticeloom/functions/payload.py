@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from noticeloom.functions.arrays import let
 from noticeloom.functions.text import _col, trim_ws
 
 
@@ -30,8 +31,12 @@ def row_map(labels: Column, cells: Column) -> Column:
     pairs = F.transform(cells, lambda cell, i: F.struct(
         F.coalesce(F.nullif(trim_ws(F.get(labels, i)), F.lit("")),
                    F.concat(F.lit("col_"), (i + 1).cast("string"))).alias("key"), cell.alias("value"), i.alias("at")))
-    last = F.filter(pairs, lambda p: ~F.exists(pairs, lambda q: (q["key"] == p["key"]) & (q["at"] > p["at"])))
-    return F.map_from_entries(F.transform(last, lambda p: F.struct(p["key"], p["value"])))
+
+    def last_of_each(rows):
+        repeated = lambda p: F.exists(rows, lambda q: (q["key"] == p["key"]) & (q["at"] > p["at"]))
+        return F.transform(F.filter(rows, lambda p: ~repeated(p)), lambda p: F.struct(p["key"], p["value"]))
+
+    return F.map_from_entries(let(pairs, last_of_each))
 
 
 def response_text(payload) -> Column:

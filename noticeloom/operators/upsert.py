@@ -143,7 +143,7 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[st
     try:
         current = spark.read.parquet(path)
     except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         result = batch
     else:

@@ -26,9 +26,9 @@ def _docs(t, body):
     return t.wide("orders").select(KEY, T.object_span(F.col(KEY).cast("string")).alias("source_span"), body.alias("raw_text"))
 
 
-def _rows(t, body, *names):
-    """Rows of the dispatcher over one document per order, with the named content."""
-    out = tables.extract_rows(_docs(t, body), tables.DEFAULT_RULES)
+def _rows(t, body, rules, *names):
+    """Table rows of one document per order, with the named content."""
+    out = tables.extract_rows(_docs(t, body), rules)
     return out.select(KEY, "table", "row_no", "source_span", *[F.col("content")[n].alias(n) for n in names])
 
 
@@ -49,7 +49,7 @@ def _(t):
     row = lambda n, unit, rent: text(f" {n} {unit} ", C(), ".5 40.0 ", _m(), f" {rent} 2,000 3,000")
     body = text("목록 서울특별시 중구 다동 ", C(), "-2 3 호, 서울특별시 중구 무교동 9 3 호\n호실별 규모 및 임대조건 구분", row(7, 999, "1"), "\n중구", row(1, 301, "8,000"), row(2, 302, "8,000"),
                 " 은평구", row(1, 303, "9,000"), " 기타사항 강남구", row(1, 304, "1"))
-    return _rows(t, body, "district", "address", "list_no", "unit_no", "exclusive_area_m2", "deposit_text", "monthly_rent_text")
+    return _rows(t, body, tables.DEFAULT_RULES, "district", "address", "list_no", "unit_no", "exclusive_area_m2", "deposit_text", "monthly_rent_text")
 
 
 @query("g01_carried_rows_in_prose", """
@@ -73,7 +73,7 @@ def _(t):
 def _(t):
     row = lambda unit: text(" 들꽃", C(), f" {unit} 호 ", C(), ".5 ㎡ 50 ㎡ 1.5 룸 ", _m(), " 7,000 협의")
     body = text("( 서울시 중구 남대문로 ", C(), " 길 3 ) 공실 정보 주택", row(101), row(102), " 임대 기간", row(103))
-    return _rows(t, body, "housing_name", "address", "unit_no", "exclusive_area_m2", "deposit_text", "monthly_rent_text")
+    return _rows(t, body, (tables.VACANCY,), "housing_name", "address", "unit_no", "exclusive_area_m2", "deposit_text", "monthly_rent_text")
 
 
 @query("g03_shared_prices", f"""
@@ -82,7 +82,7 @@ def _(t):
 def _(t):
     last = F.when(K() % 4 == 0, "").otherwise(" 4,000 원")
     body = text("휘경마을 두레주택 임대보증금 및 월임대료 ", _m(), " 원 2,000 원 3,000 원", last, " x201 1.0 호 201 ", C(), ".25 202 ", C(), ".25 임대기간 203 ", C())
-    return _rows(t, body, "unit_no", "exclusive_area_m2", "deposit_text", "monthly_rent_text")
+    return _rows(t, body, (tables.SHARED_PRICE,), "unit_no", "exclusive_area_m2", "deposit_text", "monthly_rent_text")
 
 
 @query("g04_group_blocks", f"""
@@ -94,7 +94,7 @@ def _(t):
     body = text("충신동 연극인 두레주택 금회 공급대상 4 호점 종로구 충신동 1-", C(), " ", C(), " 호 101 10.5 공급 남성 5 호점 종로구 충신동 1-", C(), " 공급 나 . 임대보증금 ",
                 "여성은 자동으로 5 호점 (호점 내 호실은 선택 불가) 임대보증금 및 월임대료 4 호점 종로구 충신동 1-", C(), " 101 10.5 ", _m(), " ", won(C() + 500), " 102 10.7 ", _m(), " 3,000",
                 " 5 호점 종로구 충신동 1-", C(), " 101 7.5 ", _m(), " 9,000 남성은 102 7.5 1,000 1 ○ 임대보증금")
-    return _rows(t, body, "address", "gender_requirement", "supply_count", "deposit_text", "monthly_rent_text")
+    return _rows(t, body, (tables.GROUPS,), "address", "gender_requirement", "supply_count", "deposit_text", "monthly_rent_text")
 
 
 @query("g05_type_groups", f"""
@@ -105,7 +105,7 @@ def _(t):
 def _(t):
     body = text("마곡 도전숙 공급현황 공급유형별 면적 및 임대료 공급유형 주택유형 21㎡형 A형 ", C(), " ", _m(), " 1,500 21.42 17.5 A1형 7 21.46 (24㎡형) C형 (주거약자용) ", C(), " 8,000 2,500 24.3 22㎡형 D형 3 22.1",
                 " 21㎡형 B형 ", C(), " 9,000 9,999 21.1 세대 내 옵션 23㎡형 E형 4 1,000 2,000 23.5")
-    return _rows(t, body, "application_unit_label", "supply_count", "deposit_text", "monthly_rent_text")
+    return _rows(t, body, (tables.TYPES,), "application_unit_label", "supply_count", "deposit_text", "monthly_rent_text")
 
 
 @query("g06_gender_expansion", f"""
@@ -115,7 +115,7 @@ def _(t):
 def _(t):
     body = text("희망하우징 공급대상 내발산공공기숙사 원룸형 1인실(일반) 22.3㎡ 여성", C(), " 정릉 희망하우징 원룸형 1인실 15.2㎡ 남성3 여성", C(),
                 " 내발산 공공기숙사 · 주소 : 서울특별시 강서구 수명로 ", C(), " 주택명 내발산 공공기숙사 - - 12,000원 정릉 희망하우징 1원 2원 3원 정릉희망하우징 ", _m(), "원 5,000원 - 끝")
-    return _rows(t, body, "housing_name", "gender_requirement", "supply_count", "deposit_text", "dormitory_fee_text", "address")
+    return _rows(t, body, (tables.HOPE,), "housing_name", "gender_requirement", "supply_count", "deposit_text", "dormitory_fee_text", "address")
 
 
 @query("g07_program_summary", f"""
@@ -126,7 +126,7 @@ def _(t):
     FROM (SELECT *, CASE WHEN e * 100000000 + o_custkey * 10000 > 0 THEN e * 100000000 + o_custkey * 10000 ELSE 200000000 END AS s, 1 AS row_no FROM (SELECT *, CAST(o_orderkey % 20 AS BIGINT) AS e FROM {_O}))""")
 def _(t):
     body = text("전세임대형 든든주택 서울특별시 전 지역 공급호수 : ", won(C()), "호 지원금액 ", K() % 20, "억 ", won(C()), "만원, 2�원 한도 99억원 월 임대료 29억원")
-    return _rows(t, body, "supply_count", "jeonse_deposit_text", "contract_deposit_text", "balance_payment_text")
+    return _rows(t, body, (tables.SUPPORT,), "supply_count", "jeonse_deposit_text", "contract_deposit_text", "balance_payment_text")
 
 
 @query("g08_price_table", f"""
@@ -138,7 +138,7 @@ def _(t):
     row = lambda head, extra, heat: text(f" {head} ", C(), f" {extra}", _m(), " 1,000 9,000 59.9 25.1 ", heat)
     body = text("자치구 단지명 모집 호수 전세금액", row("49", "", "개별난방"), " 송파구 푸른, 단지", C(), row("59 일반", "(x) 4 ", "개별난방"), row("주거약자", "", "지역 난방"), row("84.5", "", "개별난방"),
                 " 중구 숲속", row("74", "", "개별난방"))
-    return _rows(t, body, "district", "housing_name", "exclusive_area_m2", "application_category", "supply_count", "reserved_count", "jeonse_deposit_text", "heating_method")
+    return _rows(t, body, (tables.PRICE_TABLE,), "district", "housing_name", "exclusive_area_m2", "application_category", "supply_count", "reserved_count", "jeonse_deposit_text", "heating_method")
 
 
 @query("g13_table_row_offerings", f"""
@@ -146,7 +146,7 @@ def _(t):
            CAST(o_custkey AS INT) AS supply_count, CAST(o_custkey + 1000 AS BIGINT) * 1000 AS jeonse_deposit_krw, 9000000 AS balance_payment_krw, 0.78 AS confidence FROM {_O}, (VALUES (1), (2)) AS v(row_no)""")
 def _(t):
     row = lambda head: text(f" {head} ", C(), " ", _m(), " 1,000 9,000 개별난방")
-    rows = tables.extract_rows(_docs(t, text("모집 호수 전세금액 송파구 푸른 단지", C(), row("59 일반"), row("주거약자"))), tables.DEFAULT_RULES)
+    rows = tables.extract_rows(_docs(t, text("모집 호수 전세금액 송파구 푸른 단지", C(), row("59 일반"), row("주거약자"))), (tables.PRICE_TABLE,))
     return O.table_row_offerings(rows, [KEY, "row_no"]).select(KEY, "row_no", "application_unit_label", "district", "exclusive_area_m2", "supply_count",
                                                               "jeonse_deposit_krw", "balance_payment_krw", "confidence")
 
@@ -266,7 +266,7 @@ def _(t):
         "kind", F.when(F.col("o_custkey") % 4 == 0, "notice_pdf").when(F.col("o_custkey") % 4 == 1, "notice_hwp").when(F.col("o_custkey") % 4 == 2, "form").otherwise("unsupported"))
     with_table = docs.withColumn("raw_text", F.concat("raw_text", L(" 공실 정보"), vacancy(101), vacancy(102)))
     unit = lambda a: O.unit_text_offerings(a, [KEY]).select(KEY, "unit_no")
-    table = lambda a: O.table_row_offerings(tables.extract_rows(a.select(KEY, "source_span", "raw_text"), tables.DEFAULT_RULES), [KEY]).select(KEY, "unit_no")
+    table = lambda a: O.table_row_offerings(tables.extract_rows(a.select(KEY, "source_span", "raw_text"), (tables.VACANCY,)), [KEY]).select(KEY, "unit_no")
     return O.route_by_kind(with_table, "kind", {unit: ("notice_pdf", "form"), table: ("notice_pdf", "notice_hwp")})
 
 
@@ -310,3 +310,16 @@ def _(t):
 def _(t):
     found = schedules.text_schedules(_schedule_docs(t), [KEY]).where("confidence > 0.85")
     return schedules.dedupe_schedules(found, [], [F.col(KEY), F.col("position")]).select(F.date_format("starts_at", "yyyy-MM-dd").alias("day"), KEY)
+
+
+@query("g00_dispatcher", """
+    SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'vacancy' ELSE 'jeonse_lease_support' END AS "table", count(*) AS rows
+    FROM orders, (VALUES (1), (2)) AS v(n) WHERE o_orderkey % 3 = 0 OR (o_orderkey % 3 = 1 AND n = 1) GROUP BY 1, 2
+    UNION ALL SELECT o_orderkey, 'jeonse_lease_support', 1 FROM orders WHERE o_orderkey % 9 = 0""")
+def _(t):
+    """Every rule over every document; a document may hold several tables or none."""
+    vacancy = text("공실 정보 들꽃 101 호 30 ㎡ 50 ㎡ 1 룸 5,000 7,000 들꽃 102 호 30 ㎡ 50 ㎡ 1 룸 5,000 ", won(C()))
+    support = text("전세임대형 든든주택 공급호수 : ", C(), "호 지원금액 2억원")
+    body = F.when(K() % 9 == 0, F.concat(support, L(" "), vacancy)).when(K() % 3 == 0, vacancy).when(K() % 3 == 1, support).otherwise(F.concat(L("공고 "), C().cast("string")))
+    rows = tables.extract_rows(_docs(t, body), tables.DEFAULT_RULES)
+    return rows.groupBy(KEY, "table").agg(F.count(L(1)).alias("rows"))

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from noticeloom.operators.staging import spread
 from noticeloom.plans.projections import render
 
+# Tables that are the large side of their projections.
+LARGE = ("lineitem", "events")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -28,7 +31,7 @@ class Tables:
 
     def project(self, name: str) -> DataFrame:
         sources, sql = render(name, "spark")
-        return self.spark.sql(sql.format(**{s: f"{{{s}}}" for s in sources}), **{s: getattr(self, s) for s in sources})
+        return self.spark.sql(sql.format(**{s: f"{{{s}}}" for s in sources}), **{s: self.wide(s) if s in LARGE else getattr(self, s) for s in sources})
 
 
 def with_projections(sql: str, *names: str) -> str:

@@ -178,7 +178,7 @@ def _(t):
         fresh = discovery.skip_known(batch, live, ["user_id"]).withColumn("batch_id", L(batch_id))
         fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out)
     incremental.run_available(_stream(t), marks, each)
-    return t.spark.read.parquet(out).select("event_id")
+    return t.spark.read.schema("event_id bigint, batch_id bigint").parquet(out).select("event_id")
 
 
 @query("r03_stream_dedupe", "SELECT DISTINCT user_id, event_type, strftime(ts, '%Y-%m-%d') AS day FROM events")
