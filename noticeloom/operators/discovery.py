@@ -11,7 +11,7 @@ from noticeloom.functions import text as T
 from noticeloom.operators.classify import NOTICE_RULES, notice_category
 from noticeloom.operators.dedupe import first_row, key_set
 
-ANCHORS = (1, 2, 4, 8, 16)
+ANCHORS = (1, 3, 8)
 
 
 def skip_known(rows: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
