@@ -87,12 +87,17 @@ def match_targets(rows: DataFrame, targets: DataFrame, row_key: Column, target_k
 
 
 def first_match_only(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """A target is used up by its first row; later rows of that target are ordinary rows."""
+    """A target is used up by its first row; later rows of that target are ordinary rows.
+
+    Rows without a target, usually most of them, get join keys of their own, so
+    that they spread over all tasks instead of meeting in the one for null.
+    """
     hits = rows.where(F.col("target").isNotNull())
     at = F.struct(*order)
-    first = hits.groupBy(*keys, "target").agg(F.min(at).alias("_first"))
-    joined = rows.join(first, [*keys, "target"], "left")
-    return joined.withColumn("is_target", F.coalesce(at == F.col("_first"), F.lit(False))).drop("_first")
+    first = hits.groupBy(*keys, "target").agg(F.min(at).alias("_first")).withColumnRenamed("target", "_key")
+    own = F.concat(F.lit("\x00"), F.xxhash64(*keys, *order).cast("string"))
+    joined = rows.withColumn("_key", F.coalesce("target", own)).join(first, [*keys, "_key"], "left")
+    return joined.withColumn("is_target", F.coalesce(at == F.col("_first"), F.lit(False))).drop("_first", "_key")
 
 
 def outcome(is_old, is_target, is_known, is_seen) -> Column:

@@ -130,13 +130,15 @@ PRUNE_LIMIT = 1000
 
 
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[str], partition_by: list[str],
-                 rules: dict[str, Rule] | None = None, position: Column | None = None, version: str | None = None) -> None:
+                 rules: dict[str, Rule] | None = None, position: Column | None = None, version: str | None = None,
+                 files_per_partition: int | None = None) -> None:
     """Upsert into a partitioned Parquet table, rewriting only the partitions the batch touches.
 
     The partition columns must be determined by the key. Up to ``PRUNE_LIMIT``
     touched partitions are named in the scan's partition filter; beyond that a semi
     join finds them. Dynamic partition overwrite stages the new files and swaps them
     in at commit, so a job that dies leaves the table as it was and can run again.
+    ``files_per_partition`` spreads each partition over that many tasks and files.
     """
     if position is not None:
         batch = last_row(batch, list(keys), position)
@@ -157,6 +159,8 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[st
         else:
             current = current.join(touched, partition_by, "left_semi").select(*current.columns)
         result = upsert(current, batch, keys, rules, version=version)
+    if files_per_partition:
+        result = result.repartition(*partition_by, F.pmod(F.xxhash64(*keys), F.lit(files_per_partition)))
     result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
