@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BLOCK = 4096
+BLOCK = 65536
 
 
 def first_row(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -51,11 +51,11 @@ def _carry(df: DataFrame, keys: list[str], position: str, value: str, out: str,
     return joined.select(*plain, F.coalesce("_local", "_in").alias(out))
 
 
-def fill_down(df: DataFrame, keys: list[str], position: str, value: str, out: str, levels: int = 2) -> DataFrame:
+def fill_down(df: DataFrame, keys: list[str], position: str, value: str, out: str, levels: int = 1) -> DataFrame:
     """Last non-null ``value`` at or above each row, per key, by an integer position.
 
-    Positions are unique within a key. Two levels cover 16 million rows per
-    top-level block.
+    Positions are unique within a key. One level leaves one summary row per 65,536
+    positions and key to a single window; a second level reads the input once more.
     """
     carried = _carry(df, keys, position, value, "_before", levels)
     return carried.withColumn(out, F.coalesce(F.col(value), F.col("_before"))).drop("_before")

@@ -36,9 +36,10 @@ def header_columns(rows: DataFrame, cells: str = "cells", roles=fixed.HEADER_ROL
     has = lambda names: F.arrays_overlap("roles", F.array(*[F.lit(n) for n in names]))
     none = F.array().cast("array<string>")
     joined = hold(rows, _joined=T.header_key(F.array_join(cells, " ")))
-    # Cells that name no role cannot make a header: look at the words of the whole row first.
-    counts = T.contains_any("_joined", [w for role, exact, words in roles if role in counting for w in (*exact, *words)])
-    staged = hold(joined, is_applicant=T.contains_any("_joined", blocked_words), _maybe=counts).drop("_joined")
+    # A row without a counting and a describing word is no header: look at the whole row before its cells.
+    words_of = lambda names: [w for role, exact, words in roles if role in names for w in (*exact, *words)]
+    maybe = T.contains_any("_joined", words_of(counting)) & T.contains_any("_joined", words_of(describing))
+    staged = hold(joined, is_applicant=T.contains_any("_joined", blocked_words), _maybe=maybe).drop("_joined")
     named = F.when(~F.col("is_applicant") & F.col("_maybe"), F.transform(cells, lambda c: header_role(c, roles))).otherwise(none)
     staged = hold(staged, roles=named).drop("_maybe")
     return hold(staged, is_header=~F.col("is_applicant") & has(counting) & has(describing))

@@ -39,6 +39,7 @@ def test_fill_down_and_ordinals_cross_blocks(spark, monkeypatch):
     rows = [("a" if i % 3 else "b", i, i if i % 11 == 5 else None) for i in range(200)]
     df = spark.createDataFrame(rows, "k string, p int, v int")
     got = {(r.k, r.p): r.c for r in dedupe.fill_down(df, ["k"], "p", "v", "c").collect()}
+    assert got == {(r.k, r.p): r.c for r in dedupe.fill_down(df, ["k"], "p", "v", "c", levels=2).collect()}
     ords = {(r.k, r.p): (r.ordinal, r.total) for r in dedupe.ordinals(df, ["k"], "p", total="total").collect()}
     last, seen = {}, {}
     totals = {k: sum(1 for r in rows if r[0] == k) for k in "ab"}
