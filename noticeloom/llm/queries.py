@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticeloom.llm import decontam, licenses
+from noticeloom.llm import decontam, licenses, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -53,3 +53,21 @@ def op3_license_scan(spark, folder):
 
 
 SQL["op3_license_scan"] = licenses.scan_sql()
+
+
+@query
+def op7_warc(spark, folder):
+    root = warc.new_archive(spark)
+    warc.write(read(spark, folder, "pages"), root)
+    return warc.read(spark, root).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SQL["op7_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest FROM p),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN top END AS refers_to
+FROM m
+"""
