@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticeloom.llm import decontam, licenses, warc
+from noticeloom.llm import decontam, licenses, mixing, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -71,3 +71,11 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN top END AS refers_to
 FROM m
 """
+
+
+@query
+def op8_source_mix(spark, folder):
+    return mixing.report(read(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+SQL["op8_source_mix"] = mixing.report_sql()
