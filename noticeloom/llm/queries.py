@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticeloom.llm import decontam, licenses, mixing, warc
+from noticeloom.llm import decontam, langid, licenses, mixing, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -79,3 +79,8 @@ def op8_source_mix(spark, folder):
 
 
 SQL["op8_source_mix"] = mixing.report_sql()
+
+
+@query
+def op10_language_id(spark, folder):
+    return langid.predict(read(spark, folder, "documents"))
