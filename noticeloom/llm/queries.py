@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticeloom.llm import decontam, langid, licenses, mixing, warc
+from noticeloom.llm import decontam, langid, licenses, mixing, quality, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -84,3 +84,8 @@ SQL["op8_source_mix"] = mixing.report_sql()
 @query
 def op10_language_id(spark, folder):
     return langid.predict(read(spark, folder, "documents"))
+
+
+@query
+def op9_quality(spark, folder):
+    return quality.predict(read(spark, folder, "documents"), read(spark, folder, "labels"))
