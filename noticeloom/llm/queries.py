@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticeloom.llm import decontam, langid, licenses, mixing, quality, warc
+from noticeloom.llm import decontam, langid, licenses, mixing, quality, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -89,3 +89,8 @@ def op10_language_id(spark, folder):
 @query
 def op9_quality(spark, folder):
     return quality.predict(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+@query
+def op2_toxicity(spark, folder):
+    return toxicity.predict(read(spark, folder, "documents"), read(spark, folder, "labels"))
