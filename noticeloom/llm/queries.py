@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticeloom.llm import capfilters, decontam, langid, licenses, minhash, mixing, quality, toxicity, warc
+from noticeloom.llm import capfilters, decontam, langid, licenses, minhash, mixing, quality, suffixes, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -132,3 +132,8 @@ n AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
 SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
 FROM embeddings LEFT JOIN n USING (vec_id) LEFT JOIN c USING (vec_id)
 """
+
+
+@query
+def op5_repeated_passages(spark, folder):
+    return suffixes.passages(read(spark, folder, "documents")).drop("copy")
