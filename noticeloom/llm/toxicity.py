@@ -29,11 +29,13 @@ from noticeloom.llm.quality import held_out
 from noticeloom.llm.text import ALNUM, Words, blobs_of, chunks
 
 WINDOW, STRIDE = 48, 32
-POSITIVE, NEGATIVE, WINDOWS = 1000, 1800, 24
+POSITIVE, NEGATIVE, WINDOWS = 1000, 1800, 20
 WORD, CHAR, HIDDEN, ATTEND = 12, 12, 12, 8
 PLACES, PAIRS = 7, 4096
 VOCABULARY, LEAST_DOCS = 20_000, 3
-EPOCHS, BATCH, RATE = 4, 64, 0.01
+EPOCHS, LEAST_STEPS, BATCH, RATE = 4, 80, 64, 0.01
+#: Share of words that training shows by their characters only.
+UNNAMED = 0.25
 _BLOCK = 1024
 
 
@@ -213,25 +215,48 @@ class Network:
         return np.where(np.isfinite(best), sigmoid(np.clip(a * best + b, -60, 60)), 0.0)
 
 
-def train(ids, pairs, mask, owner, labels, vocabulary) -> Network:
-    """``ids`` [windows, time]; ``owner`` gives the document (sorted) of each window, ``labels`` its label."""
-    net, rng = Network(vocabulary), np.random.default_rng(11)
-    first = np.searchsorted(owner, np.arange(len(labels) + 1))
+class Sample:
+    """Training windows as numbers of distinct words, with the rows of these words in both tables."""
+
+    def __init__(self, windows: list[bytes], owner: np.ndarray, labels: np.ndarray):
+        seen = Words(windows, ALNUM)
+        self.owner, self.labels = owner, labels
+        self.first = np.searchsorted(owner, np.arange(len(labels) + 1))
+        sizes = np.diff(seen.bounds)
+        hashes, place, inverse = np.unique(seen.hashes, return_index=True, return_inverse=True)
+        pair = np.unique(inverse * len(labels) + np.repeat(owner, sizes))
+        spread = np.bincount(pair // len(labels), minlength=len(hashes))  # documents of each word
+        common = np.flatnonzero(spread >= LEAST_DOCS)
+        if len(common) > VOCABULARY:
+            common = np.sort(common[np.lexsort((hashes[common], -spread[common]))[:VOCABULARY]])
+        self.vocabulary = hashes[common]
+        self.pairs = pairs_of(seen, place).astype(np.int32)
+        self.mask = np.arange(WINDOW) < sizes[:, None]
+        self.words = inverse.astype(np.int32)[np.minimum(np.arange(WINDOW), sizes[:, None] - 1) + seen.bounds[:-1, None]]
+        self.hashes = hashes
+
+    def highest(self, net: Network, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The highest window of each document, and its logit."""
+        which = np.concatenate([np.arange(self.first[d], self.first[d + 1]) for d in docs])
+        own, inverse = np.unique(self.words[which], return_inverse=True)
+        logit = net.logits(net.gates(net.inputs(self.ids[own], self.pairs[own])), inverse.reshape(len(which), WINDOW), self.mask[which])
+        spots = np.concatenate(([0], np.cumsum(self.first[docs + 1] - self.first[docs])))
+        best = np.array([a + logit[a:b].argmax() for a, b in zip(spots, spots[1:])])
+        return which[best], logit[best]
+
+
+def train(sample: Sample) -> Network:
+    net, rng, labels = Network(sample.vocabulary), np.random.default_rng(11), sample.labels
+    sample.ids = net.ids(sample.hashes)
     balance = np.where(labels > 0, 0.5 * len(labels) / max(1, labels.sum()), 0.5 * len(labels) / max(1, (1 - labels).sum())).astype(np.float32)
-
-    def highest(docs):
-        which = np.concatenate([np.arange(first[d], first[d + 1]) for d in docs])
-        gates = net.gates(net.inputs(ids[which].ravel(), pairs[which].reshape(-1, PLACES)))
-        logit = net.logits(gates, np.arange(len(which) * WINDOW).reshape(len(which), WINDOW), mask[which])
-        spots = np.concatenate(([0], np.cumsum(first[docs + 1] - first[docs])))
-        return np.array([which[a + logit[a:b].argmax()] for a, b in zip(spots, spots[1:])]), np.array([logit[a:b].max() for a, b in zip(spots, spots[1:])])
-
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-LEAST_STEPS * BATCH // len(labels)))):
         order = rng.permutation(len(labels))
         for k in range(0, len(order), BATCH):
             docs = order[k:k + BATCH]
-            top, _ = highest(docs)
-            net.train_step(ids[top], pairs[top], mask[top], labels[docs], balance[docs])
+            top, _ = sample.highest(net, docs)
+            words = sample.words[top]
+            ids = np.where(rng.random(words.shape) < UNNAMED, 0, sample.ids[words])
+            net.train_step(ids, sample.pairs[words], sample.mask[top], labels[docs], balance[docs])
     return net
 
 
@@ -286,25 +311,9 @@ def fit(docs, labels, training, id_col, text_col, label_col, positive, negative)
     label[owner] = np.array(got["label"].to_pylist(), bool)[order]
     if label.min() == label.max():
         return None
-    seen = Words(windows, ALNUM)
-    sizes = np.diff(seen.bounds)
-    word_owner = np.repeat(owner, sizes)
-    pair = np.unique(np.stack((seen.hashes, word_owner.astype(np.uint64)), 1), axis=0)
-    hashes, spread = np.unique(pair[:, 0], return_counts=True)
-    common = np.flatnonzero(spread >= LEAST_DOCS)
-    if len(common) > VOCABULARY:
-        common = common[np.lexsort((hashes[common], -spread[common]))[:VOCABULARY]]
-    vocabulary = np.sort(hashes[common])
-    net = Network(vocabulary)
-    at = np.minimum(np.arange(WINDOW), sizes[:, None] - 1) + seen.bounds[:-1, None]
-    mask = np.arange(WINDOW) < sizes[:, None]
-    ids = net.ids(seen.hashes)[at].astype(np.int32)
-    pairs = pairs_of(seen, np.arange(len(seen.hashes))).astype(np.int32)[at]
-    net = train(ids, pairs, mask, owner, label, vocabulary)
-    first = np.searchsorted(owner, np.arange(len(label) + 1))
-    gates = net.gates(net.inputs(net.ids(seen.hashes), pairs_of(seen, np.arange(len(seen.hashes)))))
-    logit = net.logits(gates, at, mask)
-    top = np.array([logit[a:b].max() for a, b in zip(first, first[1:])])
+    sample = Sample(windows, owner, label)
+    net = train(sample)
+    top = np.concatenate([sample.highest(net, np.arange(k, min(k + BATCH, len(label))))[1] for k in range(0, len(label), BATCH)])
     net.scale = calibrate(top, label, np.where(label > 0, 1 / share[True], 1 / share[False]))
     net.moments = {}
     return net
