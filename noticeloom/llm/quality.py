@@ -92,7 +92,7 @@ def _features(blobs: list[bytes]) -> np.ndarray:
 
 
 def edges_of(column: np.ndarray, bins: int) -> np.ndarray:
-    return np.unique(np.quantile(column, np.linspace(0, 1, bins + 1)[1:-1]))
+    return np.unique(np.quantile(column, np.linspace(0, 1, bins + 1)[1:-1])) if len(column) else column
 
 
 def tree(gain: np.ndarray, weight: np.ndarray, leaves: int) -> np.ndarray:
