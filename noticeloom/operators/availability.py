@@ -10,8 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticeloom import fixed
-from noticeloom.functions.dates import iso_timestamp
-from noticeloom.functions.text import trim_ws
 from noticeloom.operators.predicates import availability_matches
 
 OPEN, PENDING, CLOSED, UNKNOWN = "open", "pending", "closed", "unknown"
@@ -23,7 +21,8 @@ def schedule_state(schedules: DataFrame, keys: list[str], now: Column, start: st
     """Schedule status and representative interval per key.
 
     Open beats pending beats closed. The interval shown is the earliest open one,
-    the next one to come, or the one that closed last. With ``known_only`` a key
+    the next one to come, or the one that closed last (of those, the one that began
+    first). With ``known_only`` a key
     whose intervals all lack a bound has no schedule; without, it is closed.
     """
     s, e = F.col(start), F.col(end)
@@ -33,7 +32,7 @@ def schedule_state(schedules: DataFrame, keys: list[str], now: Column, start: st
     source = schedules.where(known) if known_only else schedules
     reduced = source.groupBy(*keys).agg(
         F.min(F.when(is_open, pair)).alias("_open"), F.min(F.when(is_future, pair)).alias("_next"),
-        F.max(F.when(is_past, F.struct(e.alias("e"), s.alias("s")))).alias("_last"))
+        F.max(F.when(is_past, F.struct(e.alias("e"), (e - s).alias("d"), s.alias("s")))).alias("_last"))
     status = (F.when(F.col("_open").isNotNull(), OPEN).when(F.col("_next").isNotNull(), PENDING).otherwise(CLOSED))
     return reduced.select(*keys, status.alias("schedule_status"),
                           F.coalesce("_open.s", "_next.s", "_last.s").alias("starts_at"),
@@ -42,8 +41,8 @@ def schedule_state(schedules: DataFrame, keys: list[str], now: Column, start: st
 
 def application_state(applications: DataFrame, keys: list[str], status: str = "status", open_value: str = fixed.APP_OPEN,
                       pending_value: str = fixed.APP_PENDING) -> DataFrame:
-    """Any open application → open, else any pending one → pending."""
-    value = trim_ws(status)
+    """Any open application → open, else any pending one → pending; statuses are compared as they are."""
+    value = F.col(status)
     rank = F.when(value == open_value, 2).when(value == pending_value, 1)
     return (applications.where(rank.isNotNull()).groupBy(*keys).agg(F.max(rank).alias("_rank"))
             .select(*keys, F.when(F.col("_rank") == 2, OPEN).otherwise(PENDING).alias("application_status")))
@@ -85,7 +84,3 @@ def ranked(df: DataFrame, limit: int | None = None) -> DataFrame:
     """Open first, then pending, closed, unknown; earlier starts first, unknown starts last."""
     ordered = df.orderBy(status_rank(), F.col("starts_at").asc_nulls_last(), "agency", "seq", "board_kind")
     return ordered.limit(limit) if limit else ordered
-
-
-def presented(df: DataFrame) -> DataFrame:
-    return df.withColumn("starts_at", iso_timestamp("starts_at")).withColumn("ends_at", iso_timestamp("ends_at"))

@@ -106,15 +106,22 @@ def outcome(is_old, is_target, is_known, is_seen) -> Column:
             .when(is_seen & ~is_target, "skipped_seen").otherwise("detail"))
 
 
-def early_stop(rows: DataFrame, board: list[str], page: str, pending: DataFrame | None = None) -> DataFrame:
+def early_stop(rows: DataFrame, board: list[str], page: str, pending: DataFrame | None = None, everywhere: DataFrame | None = None) -> DataFrame:
     """Drop the pages a reader would not have asked for.
 
     Reading stops after the first page with an old row, once every pending target
-    of the board has been met. ``pending`` lists (board, target); without it there
-    are no targets. Works on per-page aggregates, so a big board is not gathered.
+    of the board has been met. ``pending`` lists (board, target), ``everywhere`` the
+    targets of all boards instead; without both there are no targets. Works on
+    per-page aggregates, so a big board is not gathered.
     """
     pages = rows.groupBy(*board, page).agg(F.max(F.col("outcome") == "skipped_old").alias("_old"))
-    if pending is None:
+    if everywhere is not None:
+        wanted = everywhere.select("target").distinct().count()  # one number: a board has met all when it has met so many
+        met = rows.where("is_target").groupBy(*board, "target").agg(F.min(page).alias("_met"))
+        met = met.groupBy(*board).agg(F.count("_met").alias("_n"), F.max("_met").alias("_at"))
+        ready = pages.select(*board).distinct().join(met, board, "left").withColumn(
+            "_ready", F.when(F.coalesce("_n", F.lit(0)) == wanted, F.coalesce("_at", F.lit(0)))).drop("_n", "_at")
+    elif pending is None:
         ready = pages.select(*board).distinct().withColumn("_ready", F.lit(0))
     else:
         met = (rows.where("is_target").groupBy(*board, "target").agg(F.min(page).alias("_met")))

@@ -33,17 +33,25 @@ def active_targets(applications: DataFrame, title: str = "title", status: str =
     return (applications.where(keep).select(T.title_key_strict(title).alias("target")).where("target <> ''").distinct())
 
 
-def application_links(linked: DataFrame, notices: DataFrame, applications: DataFrame) -> DataFrame:
-    """(application_id, notice_id) of the links whose both ends are stored."""
-    return (linked.select("recruit_code", "board_seq")
-            .join(notices.select(F.col("seq").alias("board_seq"), F.col("id").alias("notice_id")), "board_seq")
-            .join(applications.select("recruit_code", F.col("id").alias("application_id")), "recruit_code")
-            .select("application_id", "notice_id"))
+def application_links(linked: DataFrame, notices: DataFrame, applications: DataFrame, board: list[str], source: list[str]) -> DataFrame:
+    """(application_id, notice_id) of the links whose both ends are stored.
+
+    A seq counts within its ``board`` columns (agency, board kind), a code within its
+    ``source`` columns. Both sides are reduced to one row per key, so nothing fans out.
+    """
+    ends = notices.groupBy(*board, F.col("seq").alias("board_seq")).agg(F.max("id").alias("notice_id"))
+    own = applications.groupBy(*source, "recruit_code").agg(F.max("id").alias("application_id"))
+    return (linked.select("recruit_code", "board_seq", *board, *source).join(ends, [*board, "board_seq"])
+            .join(own, [*source, "recruit_code"]).select("application_id", "notice_id"))
 
 
 def attach_artifacts(derived: DataFrame, artifacts: DataFrame, span: str = "source_span", how: str = "left",
-                     base: bool = False) -> DataFrame:
-    """Artifact id of derived rows by span; ``base`` looks below a schedule suffix and drops unmatched rows."""
+                     base: bool = False, owner: tuple[str, ...] = ()) -> DataFrame:
+    """Artifact id of derived rows by span, within the ``owner`` columns (attachment).
+
+    Of several artifacts on one span the last counts. ``base`` looks below a schedule
+    suffix and drops unmatched rows.
+    """
     look = T.base_span(span) if base else F.col(span)
-    ids = artifacts.select(F.col("source_span").alias("_span"), F.col("id").alias("source_artifact_id"))
-    return derived.withColumn("_span", look).join(ids, "_span", "inner" if base else how).drop("_span")
+    ids = artifacts.groupBy(*owner, F.col("source_span").alias("_span")).agg(F.max("id").alias("source_artifact_id"))
+    return derived.withColumn("_span", look).join(ids, [*owner, "_span"], "inner" if base else how).drop("_span")

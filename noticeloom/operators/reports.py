@@ -15,12 +15,12 @@ def group_counts(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def discovery_counts(decided: DataFrame, outcome: str = "outcome", category: str = "category") -> DataFrame:
-    """Counters of a discovery run."""
+def discovery_counts(decided: DataFrame, page: list[str], outcome: str = "outcome", category: str = "category") -> DataFrame:
+    """Counters of a discovery run; ``page`` names a page read: its board and number."""
     hit = lambda v: F.count_if(F.col(outcome) == v)
     read = F.col(outcome) == "detail"
     return decided.agg(
-        F.count_distinct("page").alias("pages"), F.count(F.lit(1)).alias("list_rows"), hit("detail").alias("details"),
+        F.count_distinct(*page).alias("pages"), F.count(F.lit(1)).alias("list_rows"), hit("detail").alias("details"),
         F.count_if(read & (F.col(category) == "recruitment")).alias("candidates"),
         F.count_if(read & (F.col(category) != "recruitment")).alias("rejected"),
         hit("skipped_old").alias("skipped_old"), hit("skipped_known").alias("skipped_known"),

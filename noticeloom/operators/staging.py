@@ -23,11 +23,14 @@ def explode_rows(df: DataFrame, keep: list[str], array: Column | str, position:
     return df.select(*keep, F.posexplode_outer(array).alias(position, value)).where(F.col(position).isNotNull())
 
 
+SPREAD = "spark.noticeloom.spread"
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Give costly per-row work at least one task per core.
+    """Give costly per-row work as many tasks as the session setting ``SPREAD`` says.
 
-    Only an input with fewer splits than cores (a few small or unsplittable files)
-    is redistributed; a large scan already has more splits than that and is left alone.
+    It is for inputs of a few unsplittable files. Unset, as on a cluster, the scan's own
+    splits are used and nothing is redistributed.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    tasks = df.sparkSession.conf.get(SPREAD, None)
+    return df.repartition(int(tasks)) if tasks else df

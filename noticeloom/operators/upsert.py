@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from functools import reduce
-from operator import and_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +11,7 @@ from pyspark.sql import functions as F
 
 from noticeloom import fixed
 from noticeloom.operators.dedupe import last_row
+from noticeloom.session import cut_lineage
 
 Rule = Callable[[Column, Column], Column]
 
@@ -116,32 +115,26 @@ def duplicates(df: DataFrame, keys: list[str], where: Column | None = None) -> D
     return part.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
 
 
-def assert_unique(df: DataFrame, keys: list[str], where: Column | None = None) -> None:
-    if duplicates(df, keys, where).limit(1).count():
-        raise ValueError(f"rows are not unique by {', '.join(keys)}")
-
-
 def with_bucket(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
     """Partition column derived from the key, so that one key's rows always share a partition."""
     return df.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
 
 
-PRUNE_LIMIT = 1000
-
-
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[str], partition_by: list[str],
                  rules: dict[str, Rule] | None = None, position: Column | None = None, version: str | None = None,
                  files_per_partition: int | None = None) -> None:
     """Upsert into a partitioned Parquet table, rewriting only the partitions the batch touches.
 
-    The partition columns must be determined by the key. Up to ``PRUNE_LIMIT``
-    touched partitions are named in the scan's partition filter; beyond that a semi
-    join finds them. Dynamic partition overwrite stages the new files and swaps them
-    in at commit, so a job that dies leaves the table as it was and can run again.
+    The partition columns must be determined by the key. The batch is computed once. The
+    touched partitions are broadcast to a semi join, which prunes the scan at run time; they are
+    fewer than the table's partitions, which the driver lists anyway. Dynamic overwrite
+    replaces partitions one by one at commit: a job that dies in between can run again,
+    because rows carry a version, but readers may meanwhile see some new partitions.
     ``files_per_partition`` spreads each partition over that many tasks and files.
     """
     if position is not None:
         batch = last_row(batch, list(keys), position)
+    batch = cut_lineage(batch, "upsert-batch")
     try:
         current = spark.read.parquet(path)
     except AnalysisException as missing:
@@ -150,14 +143,7 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[st
         result = batch
     else:
         touched = batch.select(*partition_by).distinct()
-        named = touched.limit(PRUNE_LIMIT + 1).collect()
-        if len(named) <= PRUNE_LIMIT:
-            hit = F.lit(False)
-            for part in named:
-                hit = hit | reduce(and_, [F.col(c).eqNullSafe(F.lit(part[c])) for c in partition_by])
-            current = current.where(hit)
-        else:
-            current = current.join(touched, partition_by, "left_semi").select(*current.columns)
+        current = current.join(F.broadcast(touched), partition_by, "left_semi").select(*current.columns)
         result = upsert(current, batch, keys, rules, version=version)
     if files_per_partition:
         result = result.repartition(*partition_by, F.pmod(F.xxhash64(*keys), F.lit(files_per_partition)))

@@ -16,7 +16,6 @@ from noticeloom.sources import api, pages
 
 BOARD = ["agency", "board_kind"]
 NOTICE = [*BOARD, "seq"]
-MAX_BOARDS = 1000
 
 
 @dataclass(frozen=True)
@@ -42,8 +41,7 @@ def board_run(list_pages: DataFrame, detail_pages: DataFrame, known: DataFrame,
     flagged = flagged.join(key_set(known, *NOTICE).withColumn("is_known", F.lit(True)), NOTICE, "left").fillna(False, ["is_known"])
     decided = flagged.withColumn("outcome", discovery.outcome(
         older_than("posted_at", cutoff), F.col("is_target"), F.col("is_known"), discovery.can_skip_seen("title", "posted_at", now)))
-    boards = rows.select(*BOARD).distinct()
-    decided = discovery.early_stop(decided, BOARD, "page", _pending(boards, targets))
+    decided = discovery.early_stop(decided, BOARD, "page", everywhere=targets)
     wanted = decided.where(F.col("outcome") == "detail")
     details = pages.detail_fields(detail_pages.join(key_set(wanted, *NOTICE), NOTICE, "left_semi")).select(
         *NOTICE, F.col("title").alias("detail_title"), "body_text")
@@ -53,16 +51,6 @@ def board_run(list_pages: DataFrame, detail_pages: DataFrame, known: DataFrame,
     return BoardRun(decided, accepted, refused, judged.where(F.col("category") != fixed.CATEGORY_RECRUITMENT))
 
 
-def _pending(boards: DataFrame, targets: DataFrame) -> DataFrame:
-    """Every board looks for every active title. Boards come from the registry, a fixed
-    dimension of a few rows, which the driver may hold."""
-    names = boards.limit(MAX_BOARDS + 1).collect()
-    if len(names) > MAX_BOARDS:
-        raise ValueError("too many boards for one run; run them in groups")
-    every = F.array(*[F.struct(*[F.lit(b[c]).alias(c) for c in BOARD]) for b in names])
-    return targets.select("target", F.inline(every))
-
-
 @dataclass(frozen=True)
 class Extracted:
     table_rows: DataFrame
@@ -101,20 +89,24 @@ _DETAIL_TEXTS = ["supply_count_text", "target_house_info_text", "support_limit_t
 def api_run(responses: DataFrame, detail_pages: DataFrame, file_texts: DataFrame, endpoint: str, agency: str = "") -> ApiRun:
     """API responses (page, body), detail pages (item_seq, html) and file texts (item_seq, raw_text).
 
-    Only items that lack something are enriched; API items count as recruitment.
+    Only items that lack something are enriched; a file is read only when the detail
+    page names one and a condition text is still blank. API items count as recruitment.
     """
     parsed = api.parse_pages(responses)
     items = api.project_items(api.page_items(parsed, ["page"]), ["page"]).where(predicates.agency_is("agency", agency))
     absent = [c for c in _DETAIL_TEXTS if c not in items.columns]
     items = items.select("*", *[F.lit("").alias(c) for c in absent])
-    details = api.detail_columns(pages.label_value_columns(detail_pages))
+    told = pages.label_value_columns(detail_pages)
+    details = api.detail_columns(told)
+    files = told.select("item_seq", F.size("notice_files").alias("_files"))
     summaries = rents.rent_summary(file_texts, "raw_text", ["item_seq"]).withColumnsRenamed(
         {"deposit_text": "deposit_condition_text", "monthly_rent_text": "monthly_rent_condition_text"})
 
     def enriched(part):
         with_details = enrich.fill_missing(part, details, ["item_seq"], _DETAIL_TEXTS, counts=["supply_count"])
-        return enrich.fill_missing(with_details, summaries, ["item_seq"], ["deposit_condition_text", "monthly_rent_condition_text"],
-                                   ["deposit_krw", "monthly_rent_krw"])
+        named = with_details.join(files, "item_seq", "left")
+        return enrich.enrich_where(named, predicates.needs_file("_files"), lambda rows: enrich.fill_missing(
+            rows, summaries, ["item_seq"], ["deposit_condition_text", "monthly_rent_condition_text"], ["deposit_krw", "monthly_rent_krw"])).drop("_files")
 
     full = enrich.enrich_where(items, predicates.needs_detail(), enriched)
     span = T.api_span(F.lit(endpoint), "item_seq")

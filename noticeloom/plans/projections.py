@@ -61,7 +61,7 @@ PROJECTIONS: dict[str, tuple[tuple[str, ...], str]] = {
         FROM {events} WHERE event_type IN ('view', 'signup') AND user_id % 9 <> 0"""),
     "visited_applications": (("events",), """
         SELECT event_id AS id, user_id AS notice_id,
-               CASE WHEN event_type = 'click' THEN '청약중' WHEN event_type = 'purchase' THEN ' 접수예정 ' ELSE '마감' END AS status
+               CASE WHEN event_type = 'click' THEN '청약중' WHEN event_type = 'purchase' THEN CASE WHEN event_id % 3 = 0 THEN ' 접수예정 ' ELSE '접수예정' END ELSE '마감' END AS status
         FROM {events} WHERE event_type IN ('click', 'purchase', 'signup') AND value > 120"""),
     "list_rows": (("events",), """
         SELECT event_id % 5 AS board, event_id AS seq, CAST(floor(event_id / 100) AS BIGINT) AS page, event_id AS position,

@@ -26,7 +26,7 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def wide(self, name: str) -> DataFrame:
-        """A table for costly per-row work, with at least one split per core."""
+        """A table for costly per-row work, spread over tasks where the session asks for it."""
         return spread(getattr(self, name))
 
     def project(self, name: str) -> DataFrame:

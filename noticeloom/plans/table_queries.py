@@ -115,10 +115,10 @@ _AVAILABILITY = f"""
                  min(CASE WHEN starts_at > TIMESTAMP '{_NOW}' THEN starts_at END) AS n_s,
                  arg_min(ends_at, starts_at) FILTER (starts_at > TIMESTAMP '{_NOW}') AS n_e,
                  max(CASE WHEN ends_at < TIMESTAMP '{_NOW}' THEN ends_at END) AS l_e,
-                 arg_max(starts_at, ends_at) FILTER (ends_at < TIMESTAMP '{_NOW}') AS l_s
+                 arg_max(starts_at, CAST(epoch_us(ends_at) AS HUGEINT) * 100000000000000000 - epoch_us(starts_at)) FILTER (ends_at < TIMESTAMP '{_NOW}') AS l_s
           FROM visited_schedules WHERE schedule_type = 'application' AND starts_at IS NOT NULL AND ends_at IS NOT NULL GROUP BY notice_id),
-    a AS (SELECT notice_id, max(CASE trim(status) WHEN '청약중' THEN 2 ELSE 1 END) AS r FROM visited_applications
-          WHERE trim(status) IN ('청약중', '접수예정') GROUP BY notice_id),
+    a AS (SELECT notice_id, max(CASE status WHEN '청약중' THEN 2 ELSE 1 END) AS r FROM visited_applications
+          WHERE status IN ('청약중', '접수예정') GROUP BY notice_id),
     j AS (SELECT n.id AS notice_id, n.agency, n.seq, approved_offerings,
                  CASE WHEN s.notice_id IS NULL THEN 'unknown' WHEN any_open = 1 THEN 'open' WHEN any_next = 1 THEN 'pending' ELSE 'closed' END AS schedule_status,
                  CASE WHEN a.notice_id IS NULL THEN 'unknown' WHEN r = 2 THEN 'open' ELSE 'pending' END AS application_status,
@@ -419,6 +419,7 @@ def _(t):
     SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, o_orderkey AS source_artifact_id FROM lineitem JOIN orders ON o_orderkey = l_orderkey AND o_orderstatus <> 'F'""")
 def _(t):
     artifacts = t.orders.where("o_orderstatus <> 'F'").select(F.concat(F.lit("object://"), "o_orderkey").alias("source_span"), F.col("o_orderkey").alias("id"))
+    artifacts = artifacts.unionByName(artifacts.withColumn("id", -F.col("id")))  # an earlier artifact of the same span
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                               T.schedule_span(F.concat(F.lit("object://"), "l_orderkey")).alias("source_span"))
     return reconcile.attach_artifacts(lines, artifacts, base=True).drop("source_span")
@@ -427,10 +428,14 @@ def _(t):
 @query("j09_application_links", """
     SELECT o_orderkey AS application_id, c_custkey AS notice_id FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_mktsegment <> 'BUILDING' AND o_orderstatus <> 'P'""")
 def _(t):
-    linked = t.orders.select(F.concat(F.lit("r"), "o_orderkey").alias("recruit_code"), F.concat(F.lit("s"), "o_custkey").alias("board_seq"))
-    notices = t.customer.where("c_mktsegment <> 'BUILDING'").select(F.concat(F.lit("s"), "c_custkey").alias("seq"), F.col("c_custkey").alias("id"))
-    apps = t.orders.where("o_orderstatus <> 'P'").select(F.concat(F.lit("r"), "o_orderkey").alias("recruit_code"), F.col("o_orderkey").alias("id"))
-    return reconcile.application_links(linked, notices, apps)
+    """Every seq stands on two boards and every code in two sources; links belong to one of each."""
+    board, source = (F.col("o_custkey") % 2).alias("board_kind"), (F.col("o_orderkey") % 2).alias("source")
+    linked = t.orders.select(F.concat(F.lit("r"), "o_orderkey").alias("recruit_code"), F.concat(F.lit("s"), "o_custkey").alias("board_seq"), board, source)
+    notices = t.customer.where("c_mktsegment <> 'BUILDING'").select(F.concat(F.lit("s"), "c_custkey").alias("seq"), F.explode(F.array(F.lit(0), F.lit(1))).alias("n"), "c_custkey").select(
+        "seq", F.col("n").cast("bigint").alias("board_kind"), F.when(F.col("c_custkey") % 2 == F.col("n"), F.col("c_custkey")).otherwise(-F.col("c_custkey")).alias("id"))
+    apps = t.orders.where("o_orderstatus <> 'P'").select(F.concat(F.lit("r"), "o_orderkey").alias("recruit_code"), F.explode(F.array(F.lit(0), F.lit(1))).alias("n"), "o_orderkey").select(
+        "recruit_code", F.col("n").cast("bigint").alias("source"), F.when(F.col("o_orderkey") % 2 == F.col("n"), F.col("o_orderkey")).otherwise(-F.col("o_orderkey")).alias("id"))
+    return reconcile.application_links(linked, notices, apps, ["board_kind"], ["source"])
 
 
 def _repair_tables(t):
@@ -507,14 +512,14 @@ def _(t):
 
 
 @query("q08_a03_discovery_report", _DECIDED + """
-    SELECT count(DISTINCT page) AS pages, count(*) AS list_rows, count(*) FILTER (outcome = 'detail') AS details,
+    SELECT count(DISTINCT (board, page)) AS pages, count(*) AS list_rows, count(*) FILTER (outcome = 'detail') AS details,
            count(*) FILTER (outcome = 'detail' AND title LIKE 'view%') AS candidates, count(*) FILTER (outcome = 'detail' AND title NOT LIKE 'view%') AS rejected,
            count(*) FILTER (outcome = 'skipped_old') AS skipped_old, count(*) FILTER (outcome = 'skipped_known') AS skipped_known,
            count(*) FILTER (outcome = 'skipped_seen') AS skipped_seen FROM decided""", ("list_rows",))
 def _(t):
     rules = (classify.Rule("recruitment", "title", ("view",)),)
     judged = discovery.judge_details(_decided(t).withColumn("detail_title", F.lit("")).withColumn("body_text", F.lit("")), rules=rules)
-    return reports.discovery_counts(judged)
+    return reports.discovery_counts(judged, ["board", "page"])
 
 
 @query("a03_run_statistics", "SELECT event_type, count(*) AS items, count(*) FILTER (value > 50) AS large, CAST(sum(CASE WHEN value > 50 THEN event_id ELSE 0 END) AS BIGINT) AS weight FROM events GROUP BY event_type")

@@ -34,12 +34,14 @@ def upsert_available(stream: DataFrame, table: str, checkpoint: str, keys: list[
                      buckets: int = 16) -> None:
     """Upsert a stream into a bucketed Parquet table.
 
-    Rows carry the batch number that wrote them, so a repeated batch changes nothing.
+    ``position`` is where a row stands in its source (collected-at, then its id). It is
+    stored as the row's version: a row replaces one that stood before it, whatever batch,
+    checkpoint or stream brought it, and a repeated batch changes nothing.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
-        rows = (prepare(batch) if prepare else batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        upsert_table(batch.sparkSession, table, with_bucket(rows, keys, buckets), keys, ["bucket"], rules, position,
-                     version="batch_id")
+        rows = (prepare(batch) if prepare else batch).withColumn("row_version", position)
+        upsert_table(batch.sparkSession, table, with_bucket(rows, keys, buckets), keys, ["bucket"], rules, F.col("row_version"),
+                     version="row_version")
 
     run_available(stream, checkpoint, each)
 

@@ -16,11 +16,11 @@ def at(hours):
 
 
 def test_schedule_state_bounds_are_inclusive(spark):
-    rows = [(1, at(-2), at(0)), (2, at(0), at(2)), (3, at(1), at(2)), (3, at(5), at(6)), (4, at(-9), at(-8)), (4, at(-5), at(-4)), (5, None, at(1)),
+    rows = [(1, at(-2), at(0)), (2, at(0), at(2)), (3, at(1), at(2)), (3, at(5), at(6)), (4, at(-9), at(-8)), (4, at(-5), at(-4)), (4, at(-7), at(-4)), (5, None, at(1)),
             (6, at(-9), at(-8)), (6, at(3), at(4))]
     df = spark.createDataFrame(rows, "n int, starts_at timestamp, ends_at timestamp")
     got = {r.n: (r.schedule_status, r.starts_at) for r in A.schedule_state(df, ["n"], F.lit(NOW)).collect()}
-    assert got == {1: ("open", at(-2)), 2: ("open", at(0)), 3: ("pending", at(1)), 4: ("closed", at(-5)), 6: ("pending", at(3))}
+    assert got == {1: ("open", at(-2)), 2: ("open", at(0)), 3: ("pending", at(1)), 4: ("closed", at(-7)), 6: ("pending", at(3))}
 
 
 def test_application_beats_schedule_and_conflict(spark):
@@ -28,7 +28,7 @@ def test_application_beats_schedule_and_conflict(spark):
     offers = spark.createDataFrame([(1,), (1,), (2,), (3,)], "notice_id int")
     times = spark.createDataFrame([(1, "application", at(1), at(2)), (2, "application", at(-3), at(-2)), (2, "contract", at(-1), at(1))],
                                   "notice_id int, schedule_type string, starts_at timestamp, ends_at timestamp")
-    apps = spark.createDataFrame([(1, "접수예정"), (1, " 청약중 "), (3, "마감")], "notice_id int, status string")
+    apps = spark.createDataFrame([(1, "접수예정"), (1, "청약중"), (2, " 청약중 "), (3, "마감")], "notice_id int, status string")
     rows = A.ranked(A.availability(notices, offers, times, apps, F.lit(NOW))).collect()
     assert [(r.notice_id, r.status, r.status_source, r.conflict, r.approved_offerings) for r in rows] == [
         (1, "open", "application_notice", True, 2), (2, "closed", "schedule", False, 1), (3, "unknown", "none", False, 1)]

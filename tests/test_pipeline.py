@@ -51,8 +51,9 @@ def test_api_run(spark):
     item = '{"pblancId":"P%d","houseSn":1,"suplyInsttNm":"%s","hsmpNm":"단지","suplyTyNm":"매입임대","pcUrl":"http://d","sumSuplyCo":%d}'
     body = '{"response":{"header":{"resultCode":"00"},"body":{"totalCount":3,"item":[' + ",".join([item % (1, "LH", 0), item % (2, "lh ", 5), item % (3, "X", 5)]) + "]}}}"
     responses = spark.createDataFrame([(1, body), (2, "oops")], "page int, body string")
-    details = spark.createDataFrame([("P1:1", "<table><tr><th>공급호수</th><td>총 7호</td></tr><tr><th>임대조건</th><td>- 임대보증금 : 5만원 - 월임대료 : 1만원</td></tr></table>")], "item_seq string, html string")
-    files = spark.createDataFrame([("P2:1", "임대조건\n보증금\n월 임대료\n5,000\n70,000\n5,000\n70,000")], "item_seq string, raw_text string")
+    details = spark.createDataFrame([("P1:1", "<table><tr><th>공급호수</th><td>총 7호</td></tr><tr><th>임대조건</th><td>- 임대보증금 : 5만원 - 월임대료 : 1만원</td></tr></table>"),
+                                     ("P2:1", "<a href=\"javascript:fnDownFile('77','1')\">공고문.pdf</a>")], "item_seq string, html string")
+    files = spark.createDataFrame([("P1:1", "임대조건\n보증금\n월 임대료\n5,000\n70,000\n5,000\n70,000"), ("P2:1", "임대조건\n보증금\n월 임대료\n5,000\n70,000\n5,000\n70,000")], "item_seq string, raw_text string")
     run = pipeline.api_run(responses, details, files, "rsdt", "LH")
     got = {r.item_seq: (r.supply_count, r.deposit_text, r.monthly_rent_text, r.deposit_krw) for r in run.offerings.collect()}
     assert got == {"P1:1": (7, "임대보증금 : 5만원", "월임대료 : 1만원", None), "P2:1": (5, "5,000원", "70,000원", 5000)}
