@@ -9,14 +9,15 @@ the probability of the Jaccard similarity, also for tiny sets. Bands of ``ROWS``
 give candidate buckets. All samples are folded into a parity bitmap, the odd sketch: the
 population count of the XOR of two bitmaps estimates how many samples differ.
 
-Candidates of a bucket are not paired with each other. First every member meets the
-bucket's smallest id; the best such pair of a document by its sketch is confirmed on the
-full sets, and the confirmed pairs give components. Then only members of one bucket that
-are still in different components are compared, by their sketches in blocks inside a
-task; of the pairs above the estimate's error margin, each document's best is
-confirmed, then all that still lie in two components. So no link between different
-components is left out, except by the misses of banding (about 1e-7 for a pair at the
-threshold) and of the sketch margin (five standard errors).
+Candidates of a bucket are not listed as pairs. First every member meets the bucket's
+smallest id; the best such pair of a document by its sketch is confirmed on the full
+sets, and the confirmed pairs give components. Then only members of one bucket that are
+still in different components are compared, by their sketches in blocks inside a task:
+each document's best partner above the estimate's error margin is confirmed, and at the
+end the full sets of those that still have one are brought to their blocks and all open
+pairs above the margin are compared there. So no link between different components
+is left out, except by the misses of banding (about 1e-7 for a pair at the threshold)
+and of the sketch margin (five standard errors).
 
 Hot groups: equal sets are collapsed with map-side combine; a bucket's smallest member is
 a combined minimum; a bucket's members are split into blocks.
@@ -45,7 +46,7 @@ BINS, ROWS, BANDS = 512, 5, 40
 SKETCH_BITS = 1024
 #: Estimated similarity from which a pair is confirmed: five standard errors below the threshold.
 MARGIN = 0.12
-BLOCK = 256
+BLOCK = 512
 
 
 def _orders():
@@ -138,24 +139,41 @@ def with_estimate(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     return pairs.select("a", "b", (1 + F.lit(SKETCH_BITS / (4.0 * BINS)) * F.log(1 - z)).alias("estimate"))
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets meet the threshold.
-
-    Sets are counted again from the texts of the named documents. A set travels once for
-    every pair that names it as ``b`` and once for ``a``; rows are sorted by ``a``, so a task
-    holds one set at a time.
-    """
-    named = cut_lineage(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "minhash-named")
+def set_table(named: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """(id, items): the full sets of the named documents, counted again from their texts; five bytes a shingle."""
 
     def sets(batches):
         for batch in batches:
             packed = [(s >> np.uint64(24)).view(np.uint8).reshape(-1, 8)[:, :5].tobytes() for s in shingle_sets(blobs_of(batch.column(1)), width)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["id", "items"])
 
-    def unpack(items: bytes) -> np.ndarray:
-        wide = np.zeros((len(items) // 5, 8), np.uint8)
-        wide[:, :5] = np.frombuffer(items, np.uint8).reshape(-1, 5)
-        return wide.view(np.uint64)[:, 0]
+    named = cut_lineage(named.distinct(), "minhash-named")
+    return cut_lineage(docs.join(bounded(named), "doc_id", "left_semi").select("doc_id", "text")
+                       .mapInArrow(sets, "id long, items binary").dropDuplicates(["id"]), "minhash-sets")
+
+
+def unpack(items: bytes) -> np.ndarray:
+    wide = np.zeros((len(items) // 5, 8), np.uint8)
+    wide[:, :5] = np.frombuffer(items, np.uint8).reshape(-1, 5)
+    return wide.view(np.uint64)[:, 0]
+
+
+def alike(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
+    """Whether sorted sets meet the threshold."""
+    small, large = (one, two) if len(one) < len(two) else (two, one)
+    if 100 * len(small) < percent * len(large):
+        return False
+    spot = np.searchsorted(large, small)
+    same = int((large[np.minimum(spot, len(large) - 1)] == small).sum())
+    return 100 * same >= percent * (len(one) + len(two) - same)
+
+
+def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets meet the threshold.
+
+    A set travels once for every pair that names it as ``b`` and once for ``a``; rows are
+    sorted by ``a``, so a task holds one set at a time.
+    """
 
     def compare(batches):
         owner, own = None, None
@@ -164,69 +182,138 @@ def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
             for a, b, items in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 if b is None:
                     owner, own = a, unpack(items)
-                elif owner == a:
-                    other = unpack(items)
-                    small, large = (own, other) if len(own) < len(other) else (other, own)
-                    spot = np.searchsorted(large, small)
-                    same = int((large[np.minimum(spot, len(large) - 1)] == small).sum())
-                    if 100 * same >= percent * (len(own) + len(other) - same):
-                        found.append((a, b))
+                elif owner == a and alike(own, unpack(items), percent):
+                    found.append((a, b))
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], names=["a", "b"])
 
-    table = cut_lineage(docs.join(bounded(named), "doc_id", "left_semi").select("doc_id", "text")
-                        .mapInArrow(sets, "id long, items binary").dropDuplicates(["id"]), "minhash-sets")
+    table = set_table(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")), docs, width)
     sent = pairs.join(table.withColumnRenamed("id", "b"), "b").select("a", "b", "items")
     own = table.join(pairs.select(F.col("a").alias("id")).distinct(), "id", "left_semi").select(F.col("id").alias("a"), F.lit(None).cast("long").alias("b"), "items")
     return sent.unionByName(own).repartition("a").sortWithinPartitions("a", F.col("b").asc_nulls_first()).mapInArrow(compare, "a long, b long")
 
 
-def open_pairs(members: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b, estimate) of one bucket's members in different components.
+def in_blocks(members: DataFrame, columns: list[str], work, layout: pa.Schema) -> DataFrame:
+    """Run ``work(bucket, first, second, rows)`` where members of one bucket, but of different components, meet.
 
-    ``members``: bucket, doc_id, label. Buckets with one component drop out. The others are
-    cut into blocks of about ``BLOCK`` members; each two blocks meet in one place.
+    ``members``: bucket, doc_id, label and ``columns``. Buckets with one component drop out. The
+    others are cut into blocks of about ``BLOCK`` members; each two blocks meet in one
+    place, where ``first`` and ``second`` are the row numbers to compare.
     """
     mixed = members.groupBy("bucket").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"), F.count("*").alias("_n")).where("_lo < _hi").select("bucket", "_n")
-    rows = members.join(mixed, "bucket").join(sketches.select("doc_id", "sketch"), "doc_id")
     blocks = F.ceil(F.col("_n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("doc_id"), blocks).cast("int")
-    met = rows.withColumn("_own", own).withColumn("_with", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    met = met.select("bucket", F.least("_own", "_with").alias("i"), F.greatest("_own", "_with").alias("j"), (F.col("_own") > F.col("_with")).alias("second"), "doc_id", "label", "sketch")
-
-    def meet(batches):
-        def close(keys, ids, labels, second, sketches):
-            lone = keys[1] == keys[2]
-            ids, labels, second, s = np.array(ids), np.array(labels), np.array(second), np.array(sketches, np.int64).view(np.uint64)
-            one = np.arange(len(ids)) if lone else np.flatnonzero(~second)
-            two = one if lone else np.flatnonzero(second)
-            for k in range(0, len(one), 128):
-                x = one[k:k + 128]
-                bits = np.bitwise_count(s[x][:, None, :] ^ s[two][None, :, :]).sum(2, dtype=np.int64)
-                got = estimate(bits)
-                p, q = np.nonzero((got >= least) & (labels[x][:, None] != labels[two][None, :]))
-                a, b = ids[x[p]], ids[two[q]]
-                yield np.minimum(a, b), np.maximum(a, b), got[p, q]
+    rows = members.join(mixed, "bucket").withColumn("_own", F.pmod(F.xxhash64("doc_id"), blocks).cast("int")).withColumn("_with", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    met = rows.select("bucket", F.least("_own", "_with").alias("i"), F.greatest("_own", "_with").alias("j"), (F.col("_own") > F.col("_with")).alias("_second"), "doc_id", "label", *columns)
+
+    def run(batches):
+        def close(key, held):
+            if key is None or len(held) < 2 or len({r[2] for r in held}) < 2:
+                return
+            second = np.array([r[0] for r in held])
+            first = np.arange(len(held)) if key[1] == key[2] else np.flatnonzero(~second)
+            yield from work(key[0], first, first if key[1] == key[2] else np.flatnonzero(second), held)
 
         def batch_of(found):
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[k] for f in found]) if found else [], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.float64()))], names=["a", "b", "estimate"])
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], f.type) for k, f in enumerate(layout)], schema=layout)
 
-        keys, held = None, ([], [], [], [])
+        key, held = None, []
         for batch in batches:
             found = []
-            for bucket, i, j, *row in zip(*(batch.column(k).to_pylist() for k in range(7))):
-                if (bucket, i, j) != keys:
-                    if keys and len(held[0]) > 1:
-                        found += close(keys, held[0], held[1], held[2], held[3])
-                    keys, held = (bucket, i, j), ([], [], [], [])
-                second, doc_id, label, sketch = row
-                for into, x in zip(held, (doc_id, label, second, sketch)):
-                    into.append(x)
+            for bucket, i, j, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if (bucket, i, j) != key:
+                    found += close(key, held)
+                    key, held = (bucket, i, j), []
+                held.append(row)
             yield batch_of(found)
-        if keys and len(held[0]) > 1:
-            yield batch_of(list(close(keys, *held)))
+        yield batch_of(list(close(key, held)))
 
     ordered = met.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return ordered.mapInArrow(meet, "a long, b long, estimate double").groupBy("a", "b").agg(F.max("estimate").alias("estimate"))
+    types = {pa.int64(): "long", pa.float64(): "double"}
+    return ordered.mapInArrow(run, ", ".join(f"{f.name} {types[f.type]}" for f in layout))
+
+
+def open_estimates(held: list, x: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Estimated similarities of rows of different components, -1 within one."""
+    s = np.array([r[3] for r in held], np.int64).view(np.uint64)
+    labels = np.array([r[2] for r in held])
+    got = estimate(np.bitwise_count(s[x][:, None, :] ^ s[other][None, :, :]).sum(2, dtype=np.int64))
+    got[labels[x][:, None] == labels[other][None, :]] = -1
+    return got
+
+
+def first_shared(held: list, bucket: int, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Whether this bucket is the first that the rows of a pair share; in later ones the pair is passed over."""
+    bands = np.array([r[4] for r in held], np.int64)
+    band = int((bands[0] == bucket).argmax())
+    return ~(bands[p, :band] == bands[q, :band]).any(1)
+
+
+def best_elsewhere(members: DataFrame, least: float) -> DataFrame:
+    """(a, b, estimate): for members (a) of a block the most similar partner in another component, if it reaches ``least``."""
+
+    def work(bucket, first, second, held):
+        for left, right in ((first, second), (second, first))[:1 if first is second else 2]:
+            for k in range(0, len(left), 128):
+                x = left[k:k + 128]
+                got = open_estimates(held, x, right)
+                q = got.argmax(1)
+                r = np.flatnonzero(got[np.arange(len(x)), q] >= least)
+                for i in r[first_shared(held, bucket, x[r], right[q[r]])]:
+                    yield held[x[i]][1], held[right[q[i]]][1], float(got[i, q[i]])
+
+    return in_blocks(members, ["sketch", "bands"], work, pa.schema([("a", pa.int64()), ("b", pa.int64()), ("estimate", pa.float64())]))
+
+
+def still_open(members: DataFrame, least: float) -> DataFrame:
+    """(bucket, doc_id): members that have a partner in another component above ``least`` and share this bucket first with it."""
+
+    def work(bucket, first, second, held):
+        found = np.zeros(len(held), bool)
+        for k in range(0, len(first), 128):
+            x = first[k:k + 128]
+            p, q = np.nonzero(open_estimates(held, x, second) >= least)
+            p, q = x[p], second[q]
+            new = first_shared(held, bucket, p, q)
+            found[p[new]] = found[q[new]] = True
+        for i in np.flatnonzero(found):
+            yield bucket, held[i][1]
+
+    return in_blocks(members, ["sketch", "bands"], work, pa.schema([("bucket", pa.int64()), ("doc_id", pa.int64())]))
+
+
+def links_within(members: DataFrame, least: float, percent: int) -> DataFrame:
+    """(a, b): links between components, confirmed on the full sets that the members bring along.
+
+    A pair that shares several buckets is compared in the first only; of a block's links
+    those that join two of its parts come out, so that there are fewer than members.
+    """
+
+    def work(bucket, first, second, held):
+        parent: dict[int, int] = {}
+
+        def root(v):
+            while parent.get(v, v) != v:
+                parent[v] = v = parent.get(parent[v], parent[v])
+            return v
+
+        sets = {}
+        for k in range(0, len(first), 128):
+            x = first[k:k + 128]
+            p, q = np.nonzero(open_estimates(held, x, second) >= least)
+            p, q = x[p], second[q]
+            if first is second:
+                p, q = p[p < q], q[p < q]
+            new = first_shared(held, bucket, p, q)
+            for i, j in zip(p[new].tolist(), q[new].tolist()):
+                one, two = root(held[i][2]), root(held[j][2])
+                if one != two:
+                    for r in (i, j):
+                        if r not in sets:
+                            sets[r] = unpack(held[r][5])
+                    if alike(sets[i], sets[j], percent):
+                        parent[max(one, two)] = min(one, two)
+                        yield held[i][1], held[j][1]
+
+    return in_blocks(members, ["sketch", "bands", "items"], work, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
 
 def best_of(pairs: DataFrame, column: str) -> DataFrame:
@@ -252,16 +339,20 @@ def link(feats: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFra
     links = cut_lineage(confirm(tried, docs, width, percent), "minhash-links")
     labels = components(links)
 
-    members = relabel(shared.select("bucket", "doc_id", F.col("doc_id").alias("label")), "label", labels)
-    still = cut_lineage(open_pairs(members, sketches, least).join(tried.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"), "minhash-open")
-    for choose in (lambda p: best_of(p, "b"), lambda p: p):
-        named = still.withColumn("_a", F.col("a")).withColumn("_b", F.col("b"))
-        apart = relabel(relabel(named, "_a", labels), "_b", labels).where("_a <> _b").select("a", "b", "estimate")
-        tested = cut_lineage(choose(apart).select("a", "b"), "minhash-tried")
-        more = cut_lineage(confirm(tested, docs, width, percent), "minhash-links")
-        if more.limit(1).count():
-            links = links.unionByName(more)
-            labels = components(links)
+    def members(rows: DataFrame) -> DataFrame:
+        return relabel(rows.select("bucket", "doc_id", F.col("doc_id").alias("label")), "label", labels)
+
+    # every document offers its most similar partner elsewhere: most groups become one component here
+    offers = best_elsewhere(members(shared).join(reps, "doc_id"), least)
+    tried = cut_lineage(best_of(offers, "a").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "minhash-best")
+    links = links.unionByName(cut_lineage(confirm(tried, docs, width, percent), "minhash-links"))
+    labels = components(links)
+
+    # what is still open and above the margin is compared on full sets, inside the blocks
+    live = cut_lineage(still_open(members(shared).join(reps, "doc_id"), least).distinct(), "minhash-open")
+    table = set_table(live.select("doc_id"), docs, width)
+    whole = members(live).join(reps, "doc_id").join(table.withColumnRenamed("id", "doc_id"), "doc_id")
+    labels = components(links.unionByName(cut_lineage(links_within(whole, least, percent), "minhash-links")))
     return labels
 
 
