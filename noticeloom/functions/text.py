@@ -298,13 +298,3 @@ def inner_text(c) -> Column:
 
 def normalize_breaks(c) -> Column:
     return F.regexp_replace(_col(c), r"<(?:br|BR) ?/?>", " ")
-
-
-def visible_text(c) -> Column:
-    """Page text without comments and without script, style and noscript blocks."""
-    c = F.regexp_replace(_col(c), r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<noscript\b.*?</noscript\s*>", "")
-    return inner_text(F.regexp_replace(c, r"(?s)<!--.*?-->", ""))
-
-
-def html_table_cells(row, tag: str = "td") -> Column:
-    return F.regexp_extract_all(_col(row), F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>"), F.lit(1))

@@ -1,8 +1,7 @@
 """Landed HTML pages to rows: list rows, detail fields, embedded JSON, links, status lists.
 
-One page is one row, so all of this is per-row expression work: no shuffle and
-no Python. Element matching is by tag, which suits the flat tables these pages
-use; an element nested in one of the same tag ends at the inner closing tag.
+One page is one row, so all of this is per-row work without a shuffle. ``markup`` parses
+pages to nested columns in Arrow batches; the rules are expressions over these.
 """
 
 from __future__ import annotations
@@ -14,6 +13,7 @@ from noticeloom import fixed
 from noticeloom.functions import text as T
 from noticeloom.operators.dedupe import first_row
 from noticeloom.operators.staging import explode_rows, hold
+from noticeloom.sources import markup
 
 
 def elements(c, tag: str) -> Column:
@@ -21,12 +21,6 @@ def elements(c, tag: str) -> Column:
     return F.regexp_extract_all(T._col(c), F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>"), F.lit(1))
 
 
-def element_by(c, tag: str, attribute: str, value: str) -> Column:
-    """Inner markup of the first such element whose attribute holds the word."""
-    return F.regexp_extract(
-        T._col(c), rf"(?is)<{tag}\b[^>]*\b{attribute}\s*=\s*[\"'](?:[^\"']*\s)?{value}(?:\s[^\"']*)?[\"'][^>]*>(.*?)</{tag}>", 1)
-
-
 def attribute(c, name: str) -> Column:
     """Value of an attribute in the first tag of a fragment that has it."""
     double = F.regexp_extract(T._col(c), rf'(?is)\b{name}\s*=\s*"([^"]*)"', 1)
@@ -38,48 +32,46 @@ def first_of(array: Column) -> Column:
     return F.coalesce(F.get(array, F.lit(0)), F.lit(""))
 
 
-def last_of(array: Column) -> Column:
-    return first_of(F.reverse(array))
+def with_page(pages: DataFrame, html: str, body_class: str = fixed.BODY_CLASS) -> DataFrame:
+    """The page columns without the markup, and the parsed page as ``_p``."""
+    keep = [c for c in pages.columns if c != html]
+    return hold(pages, _p=markup.parsed(T._col(html), body_class, fixed.DETAIL_TABLE_CLASS)).select(*keep, "_p")
 
 
-def list_rows(pages: DataFrame, html: str = "html", table_id: str | None = fixed.LIST_TABLE_ID,
-              row_tag: str = "tr", cell_tag: str = "td", min_cells: int = 5,
+def list_rows(pages: DataFrame, html: str = "html", table_id: str | None = fixed.LIST_TABLE_ID, min_cells: int = 5,
               seq_pattern: str = fixed.SEQ_LINK) -> DataFrame:
     """One row per listed notice, with its position on the page.
 
-    Rows with too few cells or without a sequence number are dropped. All other
-    page columns are kept.
+    Rows of the body of the table with that id count, also of tables inside it. Rows with
+    too few cells or without a sequence number are dropped. All other page columns are kept.
     """
     keep = [c for c in pages.columns if c != html]
-    area = element_by(html, "table", "id", table_id) if table_id else F.col(html)
-    rows = explode_rows(pages, keep, elements(area, row_tag), "position", "_row")
-    cells = hold(rows, _cells=elements("_row", cell_tag)).where(F.size("_cells") >= min_cells)
-    link_cell = F.element_at("_cells", 2)
-    cells = hold(cells, _head=F.regexp_extract(link_cell, r"(?is)<a\b([^>]*)>", 1), _body=first_of(elements(link_cell, "a")))
-    link_body = F.col("_body")
-    seq = T.first_non_empty(F.regexp_extract(attribute("_head", "onclick"), seq_pattern, 1),
-                            F.regexp_extract(attribute("_head", "href"), seq_pattern, 1))
+    inside = F.filter("_p.rows", lambda r: r["in_body"] & F.array_contains(r["tables"], table_id)) if table_id else F.col("_p.rows")
+    rows = explode_rows(with_page(pages, html), keep, inside, "position", "_row").where(F.size("_row.cells") >= min_cells)
+    cell = lambda i: F.coalesce(T.collapse_ws(F.col("_row.cells")[i]["text"]), F.lit(""))
+    cells = rows.withColumn("_link", F.get(F.col("_row.cells")[1]["links"], F.lit(0)))
+    link_text = F.coalesce("_link.text", F.lit(""))
+    seq = F.coalesce(T.first_non_empty(F.regexp_extract("_link.onclick", seq_pattern, 1), F.regexp_extract("_link.href", seq_pattern, 1)), F.lit(""))
     return (
         hold(cells, seq=seq).where(F.col("seq") != "").select(
             *keep, "position", "seq",
-            T.strip_marker(T.inner_text(link_body)).alias("title"),
-            T.inner_text(F.element_at("_cells", 3)).alias("department"),
-            F.to_date(F.try_to_timestamp(T.inner_text(F.element_at("_cells", 4)), F.lit("yyyy-MM-dd"))).alias("posted_at"),
-            F.coalesce(F.replace(T.inner_text(F.element_at("_cells", 5)), F.lit(","), F.lit("")).try_cast("int"),
-                       F.lit(0)).alias("view_count"),
-            (link_body.contains("icoNew") | T.inner_text(link_body).contains("NEW")).alias("is_new")))
+            T.strip_marker(T.collapse_ws(link_text)).alias("title"),
+            cell(2).alias("department"),
+            F.to_date(F.try_to_timestamp(cell(3), F.lit("yyyy-MM-dd"))).alias("posted_at"),
+            F.coalesce(F.replace(cell(4), F.lit(","), F.lit("")).try_cast("int"), F.lit(0)).alias("view_count"),
+            (F.col("_link.marked") | link_text.contains("NEW")).alias("is_new")))
 
 
-def labelled_value(html, label: str) -> Column:
+def labelled_value(label: str) -> Column:
     """Text of the first cell in the first table row headed by the label."""
-    rows = F.filter(elements(html, "tr"), lambda r: F.exists(elements(r, "th"), lambda h: T.inner_text(h) == label))
-    return T.inner_text(first_of(elements(first_of(rows), "td")))
+    rows = F.filter("_p.rows", lambda r: F.exists(r["heads"], lambda h: T.collapse_ws(h) == label))
+    return F.coalesce(T.collapse_ws(F.get(F.get(rows, F.lit(0))["cells"], F.lit(0))["text"]), F.lit(""))
 
 
-def inline_value(html, label: str) -> Column:
+def inline_value(label: str) -> Column:
     """Value of the first list item written as ``label: value``."""
     marks = tuple(label + colon for colon in (" :", ":", "："))
-    items = F.transform(elements(html, "li"), T.inner_text)
+    items = F.transform("_p.items", T.collapse_ws)
 
     def starts(item):
         hit = F.lit(False)
@@ -92,21 +84,16 @@ def inline_value(html, label: str) -> Column:
 
 def detail_fields(pages: DataFrame, html: str = "html", title_label: str = fixed.LABEL_TITLE,
                   views_label: str = fixed.LABEL_VIEWS, posted_label: str = fixed.LABEL_POSTED,
-                  posted_inline: str = fixed.LABEL_POSTED_INLINE, body_tag: str = "div",
-                  body_class: str = fixed.BODY_CLASS) -> DataFrame:
+                  posted_inline: str = fixed.LABEL_POSTED_INLINE, body_class: str = fixed.BODY_CLASS) -> DataFrame:
     """Title by five-step fallback, body, views and posted date of a detail page."""
     keep = [c for c in pages.columns if c != html]
-    page = hold(pages.select(*keep, html), _h=T.normalize_breaks(html)).select(*keep, "_h")
-    detail_table = element_by("_h", "table", "class", fixed.DETAIL_TABLE_CLASS)
-    heads = lambda c: first_of(elements(first_of(elements(c, "thead")), "th"))
-    title = T.first_non_empty(
-        labelled_value("_h", title_label), T.inner_text(first_of(elements(detail_table, "caption"))),
-        T.inner_text(heads(detail_table)), T.inner_text(first_of(elements("_h", "caption"))),
-        T.inner_text(heads(F.col("_h"))))
-    body = T.first_non_empty(T.inner_text(element_by("_h", body_tag, "class", body_class)),
-                             T.inner_text(last_of(elements("_h", "td"))))
-    views = T.first_non_empty(labelled_value("_h", views_label), inline_value("_h", views_label))
-    posted = T.first_non_empty(labelled_value("_h", posted_label), inline_value("_h", posted_inline))
+    broken = pages.select(*keep, T.normalize_breaks(html).alias(html))
+    page = with_page(broken, html, body_class)
+    clean = lambda c: F.coalesce(T.collapse_ws(c), F.lit(""))
+    title = T.first_non_empty(labelled_value(title_label), clean("_p.table_caption"), clean("_p.table_head"), clean("_p.caption"), clean("_p.head"))
+    body = T.first_non_empty(clean("_p.body"), clean("_p.last_cell"))
+    views = T.first_non_empty(labelled_value(views_label), inline_value(views_label))
+    posted = T.first_non_empty(labelled_value(posted_label), inline_value(posted_inline))
     return page.select(
         *keep, title.alias("title"), body.alias("body_text"),
         F.coalesce(F.replace(views, F.lit(","), F.lit("")).try_cast("int"), F.lit(0)).alias("view_count"),
@@ -151,21 +138,20 @@ def application_rows(pages: DataFrame, html: str = "html", page_key: tuple[str,
                      supply_type: str | None = None) -> DataFrame:
     """Application-status rows; the first row per (code, status) on a page is kept."""
     keep = [c for c in pages.columns if c != html]
-    rows = explode_rows(pages, keep, elements(html, "tr"), "position", "_row")
-    rows = hold(rows, _cells=elements("_row", "td")).where(F.size("_cells") >= 5)
-    link = F.element_at("_cells", 2)
-    rows = hold(rows, _call=attribute(F.regexp_extract(link, r"(?is)<a\b([^>]*\bonclick\b[^>]*)>", 1), "onclick"),
-                _status=T.inner_text(F.element_at("_cells", 5)))
-    rows = hold(rows, _args=call_arguments("_call")).where(F.size("_args") >= 7)
+    rows = explode_rows(with_page(pages, html), keep, F.col("_p.rows"), "position", "_row").where(F.size("_row.cells") >= 5)
+    cell = lambda i: F.coalesce(T.collapse_ws(F.col("_row.cells")[i]["text"]), F.lit(""))
+    calls = F.filter(F.col("_row.cells")[1]["links"], lambda k: k["onclick"].contains(fixed.APPLICATION_CALL.split("\\")[0]))
+    rows = rows.withColumn("_link", F.get(calls, F.lit(0))).withColumn("_status", cell(4))
+    rows = hold(rows, _args=call_arguments("_link.onclick")).where(F.size("_args") >= 7)
     status_text = F.col("_status")
     arg = lambda i: T.trim_ws(F.element_at("_args", i))
     out = rows.select(
         *keep, "position", arg(1).alias("recruit_code"),
         T.first_non_blank(arg(3), F.col(supply_type) if supply_type else F.lit("")).alias("supply_type"),
         arg(4).alias("recruit_type"), arg(5).alias("no_house_flag"), arg(6).alias("region_priority"),
-        T.first_non_blank(arg(7), T.inner_text(first_of(elements(link, "a")))).alias("title"),
-        F.replace(T.inner_text(F.element_at("_cells", 3)), F.lit(","), F.lit("")).try_cast("int").alias("supply_count"),
-        F.to_date(F.try_to_timestamp(T.inner_text(F.element_at("_cells", 4)), F.lit("yyyy-MM-dd"))).alias("posted_at"),
+        T.first_non_blank(arg(7), T.collapse_ws("_link.text")).alias("title"),
+        F.replace(cell(2), F.lit(","), F.lit("")).try_cast("int").alias("supply_count"),
+        F.to_date(F.try_to_timestamp(cell(3), F.lit("yyyy-MM-dd"))).alias("posted_at"),
         F.when(status_text.contains(fixed.APP_OPEN), fixed.APP_OPEN)
         .when(status_text.contains(fixed.APP_PENDING), fixed.APP_PENDING).alias("status"),
     ).where(F.col("status").isNotNull() & (F.col("recruit_code") != ""))
@@ -179,18 +165,13 @@ def label_value_columns(pages: DataFrame, html: str = "html",
     Also returns the file references found in links.
     """
     keep = [c for c in pages.columns if c != html]
-    pairs = F.filter(
-        F.transform(elements(html, "tr"), lambda r: F.struct(
-            T.inner_text(first_of(elements(r, "th"))).alias("label"),
-            T.inner_text(first_of(elements(r, "td"))).alias("value"))),
-        lambda p: (p["label"] != "") & (p["value"] != ""))
-    links = F.filter(
-        F.transform(F.regexp_extract_all(T._col(html), F.lit(r"(?is)(<a\b[^>]*>.*?</a>)"), F.lit(1)), lambda a: F.struct(
-            F.regexp_extract(T.unescape(a), fixed.NOTICE_FILE_CALL, 1).alias("file_id"),
-            F.regexp_extract(T.unescape(a), fixed.NOTICE_FILE_CALL, 2).alias("file_sn"),
-            T.inner_text(a).alias("filename"))),
-        lambda f: f["file_id"] != "")
-    staged = hold(pages, _pairs=pairs, notice_files=links).select(*keep, "_pairs", "notice_files")
+    clean = lambda c: F.coalesce(T.collapse_ws(c), F.lit(""))
+    pairs = F.filter(F.transform("_p.rows", lambda r: F.struct(clean(F.get(r["heads"], F.lit(0))).alias("label"), clean(F.get(r["cells"], F.lit(0))["text"]).alias("value"))),
+                     lambda p: (p["label"] != "") & (p["value"] != ""))
+    links = F.filter(F.transform("_p.links", lambda a: F.struct(
+        F.regexp_extract(a["href"], fixed.NOTICE_FILE_CALL, 1).alias("file_id"), F.regexp_extract(a["href"], fixed.NOTICE_FILE_CALL, 2).alias("file_sn"),
+        clean(a["text"]).alias("filename"))), lambda f: f["file_id"] != "")
+    staged = hold(with_page(pages, html), _pairs=pairs, notice_files=links).select(*keep, "_pairs", "notice_files")
     value = lambda label: F.coalesce(F.get(F.reverse(F.filter("_pairs", lambda p: p["label"] == label)), F.lit(0))["value"],
                                      F.lit(""))
     return staged.select(*keep, *[value(label).alias(name) for name, label in labels], "notice_files")
@@ -199,5 +180,5 @@ def label_value_columns(pages: DataFrame, html: str = "html",
 def visible_text_artifacts(pages: DataFrame, html: str = "html") -> DataFrame:
     """Visible text of each page and its length in characters."""
     keep = [c for c in pages.columns if c != html]
-    return (hold(pages, raw_text=T.visible_text(html)).select(*keep, "raw_text")
+    return (hold(with_page(pages, html), raw_text=F.coalesce(T.collapse_ws("_p.visible"), F.lit(""))).select(*keep, "raw_text")
             .withColumn("chars", F.length("raw_text").cast("bigint")))

@@ -53,3 +53,24 @@ def test_page_expectations(spark):
     f = lambda *a: spark.range(1).select(F.lit(api.expected_pages(*a))).first()[0]
     L = lambda n: F.lit(n).cast("bigint")
     assert [f(L(401), L(200), True, 1), f(L(0), L(200), True, 4), f(L(401), L(200), False, 0)] == [3, 4, 1]
+
+
+def test_nested_open_and_commented_markup(spark):
+    html = """<!-- <table id='listTb'><tr><td>no</td></tr></table> --><table id=listTb><thead><tr><td>1<td>2<td>3<td>4<td>5</thead>
+      <tr><td>2<td><a onclick="getDetailView('5')">a&middot;&#44032;<table><tr><td>in</td></tr></table></a><td>t<td>2026-05-01<td>7
+      <tr><td>1</td><td><div><a href="x">first</a><a onclick=getDetailView(9)>second</a></div></td><td></td><td></td><td></td></tr></table>"""
+    got = [tuple(r) for r in pages.list_rows(frame(spark, html)).select("seq", "title", "department", "view_count").collect()]
+    assert got == [("5", "a·가in", "in", 0)]  # cells of a table inside a cell count as cells of the outer row too
+    detail = """<!--<div class=cont>x</div>--><section class="view cont">one<div>two<div>three</div></div> four &copy; &#x41;</section><div class=cont>other</div>
+      <ul><li>조회수 : 3<li>등록일 : 2026-05-02</ul><div class="detailTable"><table><caption>Cap<tr><th>작성자<td>x</table></div>"""
+    r = pages.detail_fields(frame(spark, detail)).first()
+    assert (r.title, r.body_text, r.view_count, r.posted_at) == ("Cap", "onetwothree four © A", 3, dt.date(2026, 5, 2))
+
+
+def test_application_link_and_file_links(spark):
+    row = "<tr><td>1<td><a onclick='other()'>x</a><a onclick=\"userSsnCheck('C','N','01','R','Y','','')\">&lt;Title&gt;</a><td>1,200<td>2026-05-01<td>청약중"
+    r = pages.application_rows(frame(spark, f"<table>{row}</table>")).first()
+    assert (r.recruit_code, r.title, r.supply_count, r.posted_at) == ("C", "<Title>", 1200, dt.date(2026, 5, 1))
+    html = """<a onclick="fnDownFile('A','1')">no</a><a href="javascript:fnDownFile('B', '2')">b.pdf</a><table><tr><th>임대기간<td>3년<tr><th>임대기간<td><div>4<div>년</div></div></table>"""
+    got = pages.label_value_columns(frame(spark, html)).first()
+    assert [(f.file_id, f.file_sn, f.filename) for f in got.notice_files] == [("B", "2", "b.pdf")] and got.lease_period_text == "4년"
