@@ -10,6 +10,7 @@ from noticeloom.functions import dates as D
 from noticeloom.functions import text as T
 from noticeloom.operators.classify import NOTICE_RULES, notice_category
 from noticeloom.operators.dedupe import first_row, key_set
+from noticeloom.session import cut_lineage
 
 ANCHORS = (1, 3, 8)
 
@@ -69,6 +70,17 @@ def _contained(needles: DataFrame, hay: DataFrame) -> DataFrame:
     return hay_grams.join(anchors, "gram").where(F.contains("hay", "needle")).select("needle", "hay")
 
 
+def _pairs(keys: DataFrame, targets: DataFrame, target_key: str) -> DataFrame:
+    """Pairs (_row_key, t) of a title key and a target that equals, holds or is held by it."""
+    keys = keys.where("_row_key <> ''").distinct()
+    wanted = targets.select(F.col(target_key).alias("t")).where("t <> ''").distinct()
+    forward = _contained(wanted.select(F.col("t").alias("needle")), keys.select(F.col("_row_key").alias("hay"))).select(
+        F.col("hay").alias("_row_key"), F.col("needle").alias("t"))
+    backward = _contained(keys.select(F.col("_row_key").alias("needle")), wanted.select(F.col("t").alias("hay"))).select(
+        F.col("needle").alias("_row_key"), F.col("hay").alias("t"))
+    return forward.union(backward)
+
+
 def match_targets(rows: DataFrame, targets: DataFrame, row_key: Column, target_key: str) -> DataFrame:
     """Add ``target``: the least target title that equals, holds or is held by the row's title key.
 
@@ -76,28 +88,32 @@ def match_targets(rows: DataFrame, targets: DataFrame, row_key: Column, target_k
     of one title cost one comparison.
     """
     rows = rows.withColumn("_row_key", row_key)
-    keys = rows.select(F.col("_row_key").alias("k")).where("k <> ''").distinct()
-    wanted = targets.select(F.col(target_key).alias("t")).where("t <> ''").distinct()
-    forward = _contained(wanted.select(F.col("t").alias("needle")), keys.select(F.col("k").alias("hay"))).select(
-        F.col("hay").alias("_row_key"), F.col("needle").alias("t"))
-    backward = _contained(keys.select(F.col("k").alias("needle")), wanted.select(F.col("t").alias("hay"))).select(
-        F.col("needle").alias("_row_key"), F.col("hay").alias("t"))
-    best = forward.unionByName(backward).groupBy("_row_key").agg(F.min("t").alias("target"))
+    best = _pairs(rows.select("_row_key"), targets, target_key).groupBy("_row_key").agg(F.min("t").alias("target"))
     return rows.join(best, "_row_key", "left").drop("_row_key")
 
 
-def first_match_only(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """A target is used up by its first row; later rows of that target are ordinary rows.
+def use_up_targets(rows: DataFrame, targets: DataFrame, row_key: Column, target_key: str, keys: list[str], order: list[str]) -> DataFrame:
+    """Add ``target`` and ``is_target`` as a reader in ``order`` would, who uses up one target a row.
 
-    Rows without a target, usually most of them, get join keys of their own, so
-    that they spread over all tasks instead of meeting in the one for null.
+    A row takes the least of its targets that is still free. Rounds find the same without
+    reading in order: every row asks for its least target left, a target goes to the
+    earliest row that asks, and nobody later may ask for it again; this is repeated until no row is
+    refused. Only matched rows take part. Other rows show the least target they match, if any.
     """
-    hits = rows.where(F.col("target").isNotNull())
+    rows = rows.withColumn("_row_key", row_key)
+    pairs = cut_lineage(_pairs(rows.select("_row_key"), targets, target_key).distinct(), "target-pairs")
     at = F.struct(*order)
-    first = hits.groupBy(*keys, "target").agg(F.min(at).alias("_first")).withColumnRenamed("target", "_key")
-    own = F.concat(F.lit("\x00"), F.xxhash64(*keys, *order).cast("string"))
-    joined = rows.withColumn("_key", F.coalesce("target", own)).join(first, [*keys, "_key"], "left")
-    return joined.withColumn("is_target", F.coalesce(at == F.col("_first"), F.lit(False))).drop("_first", "_key")
+    left = cut_lineage(rows.select(*keys, at.alias("_at"), "_row_key").join(pairs, "_row_key").select(*keys, "_at", "t"), "target-rows")
+    while True:
+        asked = left.groupBy(*keys, "_at").agg(F.min("t").alias("t"))
+        held = cut_lineage(asked.groupBy(*keys, "t").agg(F.min("_at").alias("_held"), F.count(F.lit(1)).alias("_asked")), "targets-held")
+        if not held.where("_asked > 1").limit(1).count():
+            break
+        left = cut_lineage(left.join(held, [*keys, "t"], "left").where("_held IS NULL OR _at <= _held").select(*keys, "_at", "t"), "target-rows")
+    taken = held.select(*keys, F.col("_held").alias("_at"), F.col("t").alias("_taken"))
+    least = pairs.groupBy("_row_key").agg(F.min("t").alias("_least"))
+    joined = rows.withColumn("_at", at).join(least, "_row_key", "left").join(taken, [*keys, "_at"], "left")
+    return joined.withColumn("target", F.coalesce("_taken", "_least")).withColumn("is_target", F.col("_taken").isNotNull()).drop("_row_key", "_at", "_taken", "_least")
 
 
 def outcome(is_old, is_target, is_known, is_seen) -> Column:

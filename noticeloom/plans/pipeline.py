@@ -36,8 +36,8 @@ def board_run(list_pages: DataFrame, detail_pages: DataFrame, known: DataFrame,
     """
     rows = pages.list_rows(list_pages)
     targets = reconcile.active_targets(applications)
-    hits = discovery.match_targets(rows, targets, T.title_key_plain("title"), "target")
-    flagged = discovery.with_seen(discovery.first_match_only(hits, BOARD, ["page", "position"]), cache, NOTICE)
+    hits = discovery.use_up_targets(rows, targets, T.title_key_plain("title"), "target", BOARD, ["page", "position"])
+    flagged = discovery.with_seen(hits, cache, NOTICE)
     flagged = flagged.join(key_set(known, *NOTICE).withColumn("is_known", F.lit(True)), NOTICE, "left").fillna(False, ["is_known"])
     decided = flagged.withColumn("outcome", discovery.outcome(
         older_than("posted_at", cutoff), F.col("is_target"), F.col("is_known"), discovery.can_skip_seen("title", "posted_at", now)))

@@ -40,7 +40,7 @@ def with_projections(sql: str, *names: str) -> str:
     for name in names:
         sources, body = render(name, "ansi")
         parts.append(f"{name} AS ({body.format(**{s: s for s in sources})})")
-    return "WITH " + ", ".join(parts) + " " + sql
+    return "WITH RECURSIVE " + ", ".join(parts) + " " + sql
 
 
 def query(name: str, sql: str | None = None, uses: tuple[str, ...] = ()):

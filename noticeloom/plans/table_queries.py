@@ -359,21 +359,26 @@ def _(t):
 
 _DECIDED = _CACHE + """,
     targets AS (SELECT DISTINCT board, 'clicknotice' || CAST(user_id AS STRING) AS target FROM (SELECT event_id % 5 AS board, user_id FROM events WHERE value > 150)),
-    hits AS (SELECT r.*, (SELECT min(target) FROM (SELECT DISTINCT target FROM targets) x WHERE contains(lower(translate(r.title, ' .()', '')), x.target)) AS target FROM list_rows r),
-    firsts AS (SELECT board, target, min(seq) AS first_seq FROM hits WHERE target IS NOT NULL GROUP BY board, target),
-    flags AS (SELECT h.*, coalesce(f.first_seq = h.seq, false) AS is_target, coalesce(h.posted_at < DATE '2024-01-06', false) AS is_old, h.seq % 13 = 0 AS is_known,
+    keyed AS (SELECT DISTINCT lower(translate(title, ' .()', '')) AS k FROM list_rows),
+    found AS (SELECT k, list(x.target ORDER BY x.target) AS ts FROM keyed JOIN (SELECT DISTINCT target FROM targets) x ON contains(k, x.target) OR contains(x.target, k) GROUP BY k),
+    matched AS (SELECT r.board, r.seq, f.ts, row_number() OVER (PARTITION BY r.board ORDER BY r.seq) AS n FROM list_rows r JOIN found f ON f.k = lower(translate(r.title, ' .()', ''))),
+    walk AS (SELECT board, CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS seq, CAST([] AS VARCHAR[]) AS used, CAST(NULL AS VARCHAR) AS took FROM (SELECT DISTINCT board FROM matched)
+             UNION ALL SELECT m.board, m.n, m.seq, CASE WHEN m.free IS NULL THEN m.used ELSE list_append(m.used, m.free) END, m.free
+                       FROM (SELECT x.board, x.n, x.seq, w.used, list_filter(x.ts, lambda t: NOT list_contains(w.used, t))[1] AS free FROM walk w JOIN matched x ON x.board = w.board AND x.n = w.n + 1) m),
+    hits AS (SELECT r.*, coalesce(w.took, f.ts[1]) AS target, w.took IS NOT NULL AS is_target FROM list_rows r LEFT JOIN found f ON f.k = lower(translate(r.title, ' .()', ''))
+             LEFT JOIN walk w ON w.board = r.board AND w.seq = r.seq),
+    flags AS (SELECT h.*, coalesce(h.posted_at < DATE '2024-01-06', false) AS is_old, h.seq % 13 = 0 AS is_known,
                      coalesce(e.status IN ('rejected', 'rejected_unknown') AND (e.expires_at IS NULL OR e.expires_at > DATE '2024-01-14')
                        AND (e.posted_at IS NULL OR h.posted_at IS NULL OR e.posted_at = h.posted_at), false) AS is_seen
-              FROM hits h LEFT JOIN firsts f ON f.board = h.board AND f.target = h.target LEFT JOIN entries e ON e.board = h.board AND e.title = h.title),
+              FROM hits h LEFT JOIN entries e ON e.board = h.board AND e.title = h.title),
     decided AS (SELECT *, CASE WHEN is_old AND NOT is_target THEN 'skipped_old' WHEN is_known THEN 'skipped_known' WHEN is_seen AND NOT is_target THEN 'skipped_seen' ELSE 'detail' END AS outcome FROM flags)"""
 
 
 def _decided(t):
     rows = t.project("list_rows")
     targets = t.events.where("value > 150").select(F.concat(F.lit("clicknotice"), "user_id").alias("target"))
-    hits = discovery.match_targets(rows, targets, T.title_key_plain("title"), "target")
-    flagged = discovery.first_match_only(hits, ["board"], ["seq"])
-    flagged = discovery.with_seen(flagged, _cache(t, rows), ["board", "title"])
+    hits = discovery.use_up_targets(rows, targets, T.title_key_plain("title"), "target", ["board"], ["seq"])
+    flagged = discovery.with_seen(hits, _cache(t, rows), ["board", "title"])
     seen = discovery.can_skip_seen("title", "posted_at", F.lit("2024-01-14").cast("date"))
     old = older_than("posted_at", F.lit("2024-01-06").cast("date"))
     return flagged.withColumn("outcome", discovery.outcome(old, F.col("is_target"), F.col("seq") % 13 == 0, seen))

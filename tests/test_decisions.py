@@ -83,8 +83,7 @@ def test_discovery_equals_a_sequential_reader(spark):
             stopped = old_here and not pending
         df = spark.createDataFrame([("b", *r) for r in rows], "board string, page int, pos int, title string, is_old boolean, is_known boolean, is_seen boolean")
         wanted = spark.createDataFrame([("b", t) for t in targets], "board string, target string")
-        hits = discovery.match_targets(df, wanted, F.col("title"), "target")
-        flagged = discovery.first_match_only(hits, ["board"], ["page", "pos"])
+        flagged = discovery.use_up_targets(df, wanted, F.col("title"), "target", ["board"], ["page", "pos"])
         decided = flagged.withColumn("outcome", discovery.outcome(F.col("is_old"), F.col("is_target"), F.col("is_known"), F.col("is_seen")))
         got = {(r.page, r.pos): r.outcome for r in discovery.early_stop(decided, ["board"], "page", wanted).collect()}
         assert got == want
@@ -104,3 +103,20 @@ def test_enrichment_fills_only_what_is_missing(spark):
     right = spark.createDataFrame([(1, "r", 7, 8), (2, "r", 7, 8)], "k int, t string, n int, c int")
     got = enrich.fill_missing(left, right, ["k"], ["t"], ["n"], ["c"]).orderBy("k").collect()
     assert [tuple(r) for r in got] == [(1, "r", 7, 8), (2, "own", 5, 3)]
+
+
+def test_overlapping_targets_are_used_up_in_order(spark):
+    random.seed(11)
+    word = lambda: "".join(random.choice("ab") for _ in range(random.randint(1, 5)))
+    rows = [("x" if i % 2 else "y", i, word()) for i in range(80)] + [("z", 0, "xab"), ("z", 1, "yab")]
+    targets = sorted({word() for _ in range(15)} | {"a", "ab"})
+    want = {}
+    for board in "xyz":
+        free = list(targets)
+        for _, i, title in [r for r in rows if r[0] == board]:
+            hit = next((t for t in free if t in title or title in t), None)
+            want[(board, i)] = hit
+            free = [t for t in free if t != hit]
+    df = spark.createDataFrame(rows, "board string, pos int, title string")
+    got = discovery.use_up_targets(df, spark.createDataFrame([(t,) for t in targets], "t string"), F.col("title"), "t", ["board"], ["pos"]).collect()
+    assert {(r.board, r.pos): r.target if r.is_target else None for r in got} == want and len(got) == len(rows)
