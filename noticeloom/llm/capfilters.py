@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from noticeloom.llm.graph import components, relabel
+from noticeloom.llm.text import slices
 from noticeloom.session import cut_lineage
 
 THRESHOLD = 0.9
@@ -86,7 +87,7 @@ def classes(rows: DataFrame) -> DataFrame:
     """vec_id, digest (null where the vector links with nothing)."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             found = [None if x is None else blake2b(x.tobytes(), digest_size=16).digest() for x in clean(batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["vec_id", "digest"])
 
@@ -98,7 +99,7 @@ def spread(reps: DataFrame) -> DataFrame:
     layout = pa.schema([("dim", pa.int32()), ("filter", pa.int32()), ("vec_id", pa.int64()), ("size", pa.int64()), ("vector", pa.binary()), ("passed", pa.binary())])
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             ids, sizes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             vectors = clean(batch.column(2).to_pylist())
             for dim in sorted({len(x) for x in vectors}):
@@ -185,7 +186,7 @@ def meet(spreaded: DataFrame, threshold: float) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in range(3)], names=["vec_id", "label", "n"])
 
         key, held = None, ([], [], [], [], [])
-        for batch in batches:
+        for batch in slices(batches):
             found = []
             for dim, which, i, j, second, vec_id, size, vector, passed in zip(*(c.to_pylist() for c in batch.columns)):
                 if (dim, which, i, j) != key:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticeloom.llm.text import ALNUM, Words, blobs_of, combine, each_words
+from noticeloom.llm.text import ALNUM, blobs_of, combine, each_words, slices, Words
 
 WIDTH = 10
 BLOCK_BYTES = 32 << 20
@@ -35,7 +35,7 @@ def item_windows(benchmark: DataFrame, item_col: str, text_col: str, width: int)
     """Distinct windows: ``item`` (as text), ``n`` words, ``window`` (words joined by blanks)."""
 
     def cut(batches):
-        for batch in batches:
+        for batch in slices(batches):
             items, blobs = batch.column(0).to_pylist(), blobs_of(batch.column(1))
             out = []
             for a, _, words in each_words(blobs, ALNUM):
@@ -110,7 +110,7 @@ def scan(keyed: DataFrame, blocks: list) -> DataFrame:
 
     def make(block, last):
         def run(batches):
-            for batch in batches:
+            for batch in slices(batches):
                 blobs = blobs_of(batch.column(1))
                 old_spans, old_items = batch.column(2).to_pylist(), batch.column(3).to_pylist()
                 sizes, spans, items = [0] * len(blobs), list(old_spans), list(old_items)
@@ -168,7 +168,7 @@ def remove(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_c
     at = docs.columns.index(text_col)
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             blobs = blobs_of(batch.column(at))
             texts, keep = batch.column(at).to_pylist(), [True] * len(blobs)
             for a, _, words in each_words(blobs, ALNUM):

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from noticeloom.llm.text import _VALUE, ALNUM, Words, blobs_of, chunks, mix
+from noticeloom.llm.text import ALNUM, blobs_of, chunks, mix, slices, _VALUE, Words
 from noticeloom.session import cut_lineage
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -174,7 +174,7 @@ def counted_words(docs: DataFrame, lang_col: str, docs_per_lang: int, words_per_
     chosen = labelled.where(F.pmod(F.xxhash64("key", F.lit("langid")), F.lit(1 << 30)) < share[F.col("lang")] * float(1 << 30))
 
     def words(batches):
-        for batch in batches:
+        for batch in slices(batches):
             langs, blobs = batch.column(1).to_pylist(), blobs_of(batch.column(2))
             for a, b in chunks(blobs):
                 seen = Words(blobs[a:b], ALNUM)
@@ -265,10 +265,10 @@ def predict(docs: DataFrame, train: DataFrame | None = None, id_col: str = "doc_
     scorer = docs.sparkSession.sparkContext.broadcast(Scorer(pieces, langs, p, prior))
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             blobs = blobs_of(batch.column(2))
             langs, scores = [], []
-            for a, b in chunks(blobs, 4 << 20):
+            for a, b in chunks(blobs, 2 << 20):
                 names, found = scorer.value.texts(blobs[a:b])
                 langs += names
                 scores.append(found)

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from noticeloom.llm.graph import bounded, components, relabel
-from noticeloom.llm.text import SPACED, blobs_of, combine, each_words, mix
+from noticeloom.llm.text import blobs_of, combine, each_words, mix, slices, SPACED
 from noticeloom.session import cut_lineage
 
 PERCENT = 80
@@ -116,7 +116,7 @@ def features(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, n, digest of the set, bands, sketch (the last three null for empty sets)."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             n, digests, bands, sketches = [], [], [], []
             for s in shingle_sets(blobs_of(batch.column(1)), width):
                 n.append(len(s))
@@ -143,7 +143,7 @@ def set_table(named: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     """(id, items): the full sets of the named documents, counted again from their texts; five bytes a shingle."""
 
     def sets(batches):
-        for batch in batches:
+        for batch in slices(batches):
             packed = [(s >> np.uint64(24)).view(np.uint8).reshape(-1, 8)[:, :5].tobytes() for s in shingle_sets(blobs_of(batch.column(1)), width)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["id", "items"])
 
@@ -177,7 +177,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
 
     def compare(batches):
         owner, own = None, None
-        for batch in batches:
+        for batch in slices(batches):
             found = []
             for a, b, items in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 if b is None:
@@ -216,7 +216,7 @@ def in_blocks(members: DataFrame, columns: list[str], work, layout: pa.Schema) -
             return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], f.type) for k, f in enumerate(layout)], schema=layout)
 
         key, held = None, []
-        for batch in batches:
+        for batch in slices(batches):
             found = []
             for bucket, i, j, *row in zip(*(c.to_pylist() for c in batch.columns)):
                 if (bucket, i, j) != key:

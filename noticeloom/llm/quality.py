@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from noticeloom.llm.text import SPACED, Words, blobs_of, chunks
+from noticeloom.llm.text import blobs_of, chunks, slices, SPACED, Words
 
 SAMPLE, THRESHOLD = 20_000, 0.7
 BINS, GRID, ROUNDS, PAIR_ROUNDS, PAIRS, RATE = 64, 12, 120, 40, 6, 0.15
@@ -220,7 +220,7 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, id_col: str, text_
     rows = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "key")
 
     def count(batches):
-        for batch in batches:
+        for batch in slices(batches):
             found = features(blobs_of(batch.column(1)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.tolist(), pa.list_(pa.float64())), batch.column(2)], names=["key", "x", "y"])
 
@@ -235,7 +235,7 @@ def predict(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, ~held_out(id_col, folds, fold), id_col, text_col, label_col, sample))
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(model.value.score(features(blobs_of(batch.column(2)))), pa.float64())],
                                              names=["doc_id", "held_out", "score"])
 
@@ -251,7 +251,7 @@ def keep(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: s
     at = docs.columns.index(text_col)
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             yield batch.filter(pa.array(model.value.score(features(blobs_of(batch.column(at)))) >= threshold))
 
     return docs.mapInArrow(run, docs.schema)

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticeloom.llm.text import ALNUM, Words, blobs_of, combine, each_words, mix
+from noticeloom.llm.text import ALNUM, blobs_of, combine, each_words, mix, slices, Words
 from noticeloom.session import cut_lineage
 
 LENGTH, GRAM = 50, 8
@@ -74,7 +74,7 @@ def suffixes(rows: DataFrame, length: int, gram: int) -> DataFrame:
     layout = pa.schema([("gram", pa.int64()), ("block", pa.int64()), ("doc_id", pa.int64()), ("copy", pa.int64()), ("place", pa.int32()), ("lo", pa.int32()), ("hi", pa.int32())])
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             ids, copies = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for a, _, words in each_words(blobs_of(batch.column(2)), ALNUM):
                 ranges, parts = RangeHashes(words), []
@@ -101,7 +101,7 @@ def compare_neighbours(ordered: DataFrame) -> DataFrame:
         def tell(row, kind, source=None):
             told.append((row[2], row[3], row[5], row[6], kind, source[2] if source else None, source[5] if source else None, task, row[0], row[1], row[4]))
 
-        for batch in batches:
+        for batch in slices(batches):
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if last is None:
                     tell(row, "first")
@@ -159,7 +159,7 @@ def windows_of(edges: DataFrame, rows: DataFrame, length: int) -> DataFrame:
     layout = pa.schema([("hash", pa.int64()), ("doc_id", pa.int64()), ("copy", pa.int64()), ("place", pa.int32())])
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             ids, copies, blocks = (batch.column(k).to_pylist() for k in (0, 1, 3))
             for a, _, words in each_words(blobs_of(batch.column(2)), ALNUM):
                 ranges, parts = RangeHashes(words), []
@@ -180,7 +180,7 @@ def joined(pieces: DataFrame) -> DataFrame:
 
     def run(batches):
         key, start, end, done = None, 0, 0, []
-        for batch in batches:
+        for batch in slices(batches):
             for doc_id, copy, source, shift, lo, hi in zip(*(c.to_pylist() for c in batch.columns)):
                 if (doc_id, copy, source, shift) != key or lo > end:
                     if key:
@@ -241,7 +241,7 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
     at, last = docs.columns.index(text_col), len(docs.columns)
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts, spans, keep = batch.column(at).to_pylist(), batch.column(last).to_pylist(), []
             for i, cut in enumerate(spans):
                 if not cut:

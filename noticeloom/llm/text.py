@@ -15,7 +15,7 @@ import pyarrow as pa
 
 SPACED, ALNUM = "spaced", "alnum"
 #: Bytes handled at once; a longer text forms a chunk of its own.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 _STEP = 1 << 16
 
 
@@ -86,6 +86,13 @@ def blobs_of(column: pa.Array) -> list[bytes]:
     return [b or b"" for b in column.cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary()).to_pylist()]
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, so that Python objects and results of a few rows exist at a time."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
 def chunks(blobs: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of texts of at most ``limit`` bytes together; a longer text stands alone."""
     begin = size = 0

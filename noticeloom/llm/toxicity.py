@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticeloom.llm.quality import held_out
-from noticeloom.llm.text import ALNUM, Words, blobs_of, chunks
+from noticeloom.llm.text import ALNUM, blobs_of, chunks, slices, Words
 
 WINDOW, STRIDE = 48, 32
 POSITIVE, NEGATIVE, WINDOWS = 1000, 1800, 20
@@ -280,7 +280,7 @@ def sample_windows(docs: DataFrame, labels: DataFrame, training: Column, id_col:
     chosen = known.where(F.pmod(F.xxhash64("key", F.lit("toxic")), F.lit(1 << 30)) < F.when(F.col("label"), share[True]).otherwise(share[False]) * float(1 << 30))
 
     def cut(batches):
-        for batch in batches:
+        for batch in slices(batches):
             keys, flags, blobs = batch.column(0).to_pylist(), batch.column(1).to_pylist(), blobs_of(batch.column(2))
             for a, b in chunks(blobs):
                 seen, out = Words(blobs[a:b], ALNUM), []
@@ -325,7 +325,7 @@ def predict(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     net = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, ~held_out(id_col, folds, fold), id_col, text_col, label_col, positive, negative))
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             blobs = blobs_of(batch.column(2))
             scores = [net.value.texts(blobs[a:b]) if net.value else np.zeros(b - a) for a, b in chunks(blobs, 2 << 20)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(scores) if scores else [], pa.float64())], names=["doc_id", "held_out", "score"])
