@@ -44,11 +44,9 @@ KIND_UNSUPPORTED = "unsupported"
 # --- artifact types, states, versions
 ART_PDF_TEXT = "pdf_text"
 ART_TABLE_ROW = "pdf_table_row"
-ART_SHEET_ROW = "xlsx_row"
 ART_HWP_TEXT = "hwp_text"
 ART_HWP_UNSUPPORTED = "hwp_unsupported"
 ART_API_ITEM = "myhome_api_item"
-ART_API_DETAIL = "myhome_detail_html"
 ART_PREVIEW = "html_preview"
 ART_HWPX_TEXT = "hwpx_text"
 STATUS_EXTRACTED = "extracted"
@@ -236,7 +234,6 @@ MERGED_RENT_WORD = "임대료"
 
 # --- tables found in document text
 UNIT_SECTION = ("호실별 규모 및 임대조건", "기타사항")
-UNIT_DISTRICT = r"(서울시|[가-힣]+구)"
 UNIT_ROW = (r"(?:(서울시|[가-힣]+구)\s+)?([0-9]+)\s+([0-9]{3,4})\s+([0-9]+(?:\.[0-9]+)?)\s+([0-9]+(?:\.[0-9]+)?)"
             r"\s+([0-9,]+)\s+([0-9,]+)\s+([0-9,]+)\s+([0-9,]+)")
 UNIT_ADDRESS = r"서울특별시\s+([가-힣]+구)\s+([가-힣0-9]+동)\s+([0-9]+(?:-[0-9]+)?)\s+[0-9]+\s+호"

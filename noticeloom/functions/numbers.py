@@ -77,7 +77,7 @@ def area_text(area) -> Column:
     area = _col(area)
     whole = F.concat(area.try_cast("bigint").cast("string"), F.lit("㎡"))
     part = F.concat(F.regexp_replace(F.format_string("%.2f", area), r"\.?0+$", ""), F.lit("㎡"))
-    return F.when(area == F.floor(area), whole).otherwise(part)
+    return F.when(area == F.floor(area), whole).when(area.isNotNull(), part)
 
 
 def sum_known(*cols) -> Column:

@@ -144,10 +144,6 @@ def section_between(text, start: str, end: str = "") -> Column:
     return F.when(at > 0, section).otherwise(F.lit(""))
 
 
-def before_marker(text, marker: str) -> Column:
-    return F.trim(F.substring_index(_col(text), marker, 1))
-
-
 def tokens(text, trim_chars: str = fixed.TOKEN_TRIM) -> Column:
     """White-space tokens with bracket and colon characters trimmed, empties dropped."""
     raw = F.split(collapse_ws(text), " ")
@@ -210,8 +206,6 @@ def base_span(span, marker: str = "#schedule=") -> Column:
 
 
 # --- names, secrets, parameters
-def base_name(path) -> Column:
-    return F.substring_index(trim_ws(path), "/", -1)
 
 
 def sanitize_filename(name, fallback: str = "attachment.bin") -> Column:

@@ -183,14 +183,16 @@ def _(t):
 
 
 @query("g11_sheet_offerings", _SHEET + """
-    SELECT sheet, row_no AS source_row, CASE WHEN row_no % 3 = 0 THEN '' ELSE CAST(row_no % 900 AS STRING) || ' 호' END AS unit_no, CAST(c AS DOUBLE) + 0.5 AS exclusive_area_m2, c + 1000 AS deposit_krw,
-           format('{:,}', row_no + 1) AS monthly_rent_text, row_no + 1 AS monthly_rent_krw, c * 1000 AS jeonse_deposit_krw, 5000 AS balance_payment_krw, 1 AS supply_count, '단지 ' || CAST(c AS STRING) AS raw_name
-    FROM f WHERE mark IS NULL AND NOT blank AND header_row % 211 = 5 AND row_no % 3 <> 0""")
+    SELECT sheet, row_no AS source_row, CAST(row_no % 900 AS STRING) || ' 호' AS unit_no, CAST(c AS DOUBLE) + 0.5 AS exclusive_area_m2, c + 1000 AS deposit_krw,
+           format('{:,}', row_no + 1) AS monthly_rent_text, row_no + 1 AS monthly_rent_krw, c * 1000 AS jeonse_deposit_krw, 5000 AS balance_payment_krw, 1 AS supply_count, '단지 ' || CAST(c AS STRING) AS raw_name, CAST(row_no % 900 AS STRING) || ' 호 ' || CAST(c AS STRING) || '.5㎡' AS label_end
+    FROM f WHERE mark IS NULL AND NOT blank AND header_row % 211 = 5 AND row_no % 3 <> 0
+    UNION ALL SELECT sheet, row_no, CASE WHEN row_no % 7 = 0 THEN '' ELSE CAST(row_no AS STRING) END, NULL, CASE WHEN row_no % 3 > 0 AND row_no % 900 > 0 THEN row_no % 900 END, CAST(c AS STRING) || '.50', c, NULL, NULL, c + 1000, NULL, CASE WHEN row_no % 7 = 0 THEN '' ELSE CAST(row_no AS STRING) END
+    FROM f WHERE mark IS NULL AND NOT blank AND header_row % 211 = 77""")
 def _(t):
     rows = sheets.sheet_offerings(_sheet_rows(t), ["sheet"])
-    return rows.where(F.col("jeonse_deposit_text") != "").select(
+    return rows.select(
         "sheet", "source_row", "unit_no", "exclusive_area_m2", "deposit_krw", "monthly_rent_text", "monthly_rent_krw", "jeonse_deposit_krw", "balance_payment_krw", "supply_count",
-        F.col("raw_row")["주택명"].alias("raw_name"))
+        F.col("raw_row")["주택명"].alias("raw_name"), F.regexp_replace("application_unit_label", "^(?:단지 [0-9]+|[0-9,]+) ?", "").alias("label_end"))
 
 
 # --- single-unit texts, API items, repair output -----------------------------------------------------------------
@@ -303,11 +305,11 @@ def _(t):
     return schedules.text_schedules(_schedule_docs(t), [KEY]).select(KEY, show("starts_at").alias("starts"), show("ends_at").alias("ends"), "label", "confidence", "source_span")
 
 
-@query("g19_schedule_dedupe", """
-    SELECT day, min(o_orderkey) AS o_orderkey FROM (SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders WHERE o_orderkey % 4 < 3 AND o_orderkey % 3 <> 1) GROUP BY day""")
+@query("g19_schedule_dedupe", _SCHEDULES + """
+    SELECT substr(starts, 1, 10) AS day, confidence, min(o_orderkey) AS o_orderkey FROM s GROUP BY how, starts, confidence""")
 def _(t):
-    found = schedules.text_schedules(_schedule_docs(t), [KEY]).where("confidence > 0.85")
-    return schedules.dedupe_schedules(found, [], [F.col(KEY), F.col("position")]).select(F.date_format("starts_at", "yyyy-MM-dd").alias("day"), KEY)
+    found = schedules.text_schedules(_schedule_docs(t), [KEY])
+    return schedules.dedupe_schedules(found, [], [F.col(KEY), F.col("position")]).select(F.date_format("starts_at", "yyyy-MM-dd").alias("day"), "confidence", KEY)
 
 
 @query("g00_dispatcher", """
