@@ -46,7 +46,7 @@ BINS, ROWS, BANDS = 512, 5, 40
 SKETCH_BITS = 1024
 #: Estimated similarity from which a pair is confirmed: five standard errors below the threshold.
 MARGIN = 0.12
-BLOCK = 512
+BLOCK = 1024
 
 
 def _orders():
@@ -247,37 +247,31 @@ def first_shared(held: list, bucket: int, p: np.ndarray, q: np.ndarray) -> np.nd
     return ~(bands[p, :band] == bands[q, :band]).any(1)
 
 
-def best_elsewhere(members: DataFrame, least: float) -> DataFrame:
-    """(a, b, estimate): for members (a) of a block the most similar partner in another component, if it reaches ``least``."""
+def meet_elsewhere(members: DataFrame, least: float) -> DataFrame:
+    """What the sketches say of members of one bucket in different components, in one pass over the blocks.
+
+    Rows (null, a, b, estimate): the most similar partner (b) of a member (a), if it reaches
+    ``least``. Rows (bucket, a, null, null): members that have any such partner. Either
+    counts in the first bucket that the two share.
+    """
 
     def work(bucket, first, second, held):
+        found = np.zeros(len(held), bool)
         for left, right in ((first, second), (second, first))[:1 if first is second else 2]:
             for k in range(0, len(left), 128):
                 x = left[k:k + 128]
                 got = open_estimates(held, x, right)
-                q = got.argmax(1)
-                r = np.flatnonzero(got[np.arange(len(x)), q] >= least)
-                for i in r[first_shared(held, bucket, x[r], right[q[r]])]:
-                    yield held[x[i]][1], held[right[q[i]]][1], float(got[i, q[i]])
-
-    return in_blocks(members, ["sketch", "bands"], work, pa.schema([("a", pa.int64()), ("b", pa.int64()), ("estimate", pa.float64())]))
-
-
-def still_open(members: DataFrame, least: float) -> DataFrame:
-    """(bucket, doc_id): members that have a partner in another component above ``least`` and share this bucket first with it."""
-
-    def work(bucket, first, second, held):
-        found = np.zeros(len(held), bool)
-        for k in range(0, len(first), 128):
-            x = first[k:k + 128]
-            p, q = np.nonzero(open_estimates(held, x, second) >= least)
-            p, q = x[p], second[q]
-            new = first_shared(held, bucket, p, q)
-            found[p[new]] = found[q[new]] = True
+                p, q = np.nonzero(got >= least)
+                found[x[p[first_shared(held, bucket, x[p], right[q])]]] = True
+                best = got.argmax(1)
+                r = np.flatnonzero(got[np.arange(len(x)), best] >= least)
+                for i in r[first_shared(held, bucket, x[r], right[best[r]])]:
+                    yield None, held[x[i]][1], held[right[best[i]]][1], float(got[i, best[i]])
         for i in np.flatnonzero(found):
-            yield bucket, held[i][1]
+            yield bucket, held[i][1], None, None
 
-    return in_blocks(members, ["sketch", "bands"], work, pa.schema([("bucket", pa.int64()), ("doc_id", pa.int64())]))
+    layout = pa.schema([("bucket", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("estimate", pa.float64())])
+    return in_blocks(members, ["sketch", "bands"], work, layout)
 
 
 def links_within(members: DataFrame, least: float, percent: int) -> DataFrame:
@@ -343,15 +337,17 @@ def link(feats: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFra
         return relabel(rows.select("bucket", "doc_id", F.col("doc_id").alias("label")), "label", labels)
 
     # every document offers its most similar partner elsewhere: most groups become one component here
-    offers = best_elsewhere(members(shared).join(reps, "doc_id"), least)
-    tried = cut_lineage(best_of(offers, "a").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "minhash-best")
+    met = cut_lineage(meet_elsewhere(members(shared).join(reps, "doc_id"), least), "minhash-met")
+    tried = cut_lineage(best_of(met.where("b IS NOT NULL"), "a").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "minhash-best")
     links = links.unionByName(cut_lineage(confirm(tried, docs, width, percent), "minhash-links"))
     labels = components(links)
 
-    # what is still open and above the margin is compared on full sets, inside the blocks
-    live = cut_lineage(still_open(members(shared).join(reps, "doc_id"), least).distinct(), "minhash-open")
+    # components only grow, so what is still open was open before: it is compared on full sets, inside the blocks
+    live = members(met.where("b IS NULL").select("bucket", F.col("a").alias("doc_id")).distinct())
+    mixed = live.groupBy("bucket").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo < _hi").select("bucket")
+    live = cut_lineage(live.join(mixed, "bucket"), "minhash-open")
     table = set_table(live.select("doc_id"), docs, width)
-    whole = members(live).join(reps, "doc_id").join(table.withColumnRenamed("id", "doc_id"), "doc_id")
+    whole = live.join(reps, "doc_id").join(table.withColumnRenamed("id", "doc_id"), "doc_id")
     labels = components(links.unionByName(cut_lineage(links_within(whole, least, percent), "minhash-links")))
     return labels
 
