@@ -128,7 +128,7 @@ def write(pages: DataFrame, root: str, id_col: str = "page_id", url_col: str = "
     shards = max(1, -(-total // (shard_bytes or _split_bytes(spark))))
     key = F.pmod(F.xxhash64("page_id", "digest"), F.lit(1 << 40))
     rows = rows.withColumn("place", key).withColumn("shard", F.floor(F.col("place") * shards / (1 << 40)).cast("int"))
-    ordered = rows.repartitionByRange(shards, "shard").sortWithinPartitions("shard", "place", "page_id", "digest", "url")
+    ordered = rows.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "place", "page_id", "digest", "url")
 
     def pack(batches) -> Iterator[pa.RecordBatch]:
         out, last = _Rolling(root, f"{TaskContext.get().taskAttemptId()}-{uuid.uuid4().hex[:8]}", roll_bytes), None
