@@ -187,18 +187,19 @@ def counted_words(docs: DataFrame, lang_col: str, docs_per_lang: int, words_per_
 
     sums = cut_lineage(chosen.select("key", "lang", "text").mapInArrow(words, "lang string, word binary, n long")
                        .groupBy("lang", "word").agg(F.sum("n").alias("n")), "langid-words")
-    # the commonest words: those of at least the count that leaves few enough
-    limit, least = min(words_per_lang, WORDS_IN_ALL // len(sizes)), {}
-    taken: dict[str, int] = {}
+    # the commonest words: all above the count at which there are too many, and a share of those that have it
+    limit = min(words_per_lang, WORDS_IN_ALL // len(sizes))
+    taken, edge = dict.fromkeys(sizes, 0), {lang: (0, 1.0) for lang in sizes}
     for r in sums.groupBy("lang", "n").agg(F.count("*").alias("words")).orderBy("lang", F.desc("n")).collect():
-        taken[r["lang"]] = taken.get(r["lang"], 0) + r["words"]
-        if taken[r["lang"]] <= limit:
-            least[r["lang"]] = r["n"]
+        before = taken[r["lang"]]
+        taken[r["lang"]] += r["words"]
+        if before <= limit < taken[r["lang"]]:
+            edge[r["lang"]] = r["n"], (limit - before) / r["words"]
     counts: dict[str, dict[bytes, int]] = {}
-    if least:
-        floor = F.create_map(*[F.lit(x) for pair in least.items() for x in pair])
-        for r in sums.where(F.col("n") >= floor[F.col("lang")]).collect():
-            counts.setdefault(r["lang"], {})[bytes(r["word"])] = r["n"]
+    pairs = lambda k: F.create_map(*[F.lit(x) for lang in sizes for x in (lang, edge[lang][k])])[F.col("lang")]
+    drawn = F.pmod(F.xxhash64("word", F.lit("langid")), F.lit(1 << 30)) < pairs(1) * float(1 << 30)
+    for r in sums.where((F.col("n") > pairs(0)) | (F.col("n") == pairs(0)) & drawn).collect():
+        counts.setdefault(r["lang"], {})[bytes(r["word"])] = r["n"]
     return sizes, counts
 
 
