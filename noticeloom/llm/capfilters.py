@@ -1,11 +1,16 @@
 """Embedding near-dedup with spherical-cap filters from random product codes.
 
-A filter is a direction; a vector passes it when their cosine exceeds ``CAP / sqrt(dim)``.
-Directions come from product codes: a random rotation, the coordinates cut into two
+A filter is a direction; a vector passes it when their cosine exceeds ``least_cosine``, which
+is derived from the dimension and the threshold: two vectors at the threshold share ``SHARED``
+filters on average. Directions come from product codes: a random rotation, the coordinates cut into two
 blocks, a random codebook for each, all combinations of two codewords. List decoding
-finds all passed filters of a vector from its inner products with the codewords alone.
-``CODES`` independent codes make the chance to share no filter small (about 0.0015 for a
-cosine of exactly 0.9 and 0.0003 at 0.95, in 64 dimensions).
+finds all passed filters of a vector from its inner products with the codewords alone; a vector
+that passes fewer than ``FEWEST`` goes to its best ones too. ``CODES`` independent codes make the
+chance to share no filter small (about 0.0015 for a cosine of exactly 0.9 in 64 dimensions).
+
+Vectors of fewer than ``EXACT_BELOW`` dimensions miss no pair: their filters are the cells of a
+grid over at most ``AXES`` rotated coordinates. A vector goes to all cells within half the
+distance of two vectors at the threshold, so two linked ones meet in the cell of their midpoint.
 
 Equal vectors form a class; its smallest id is filtered, once. Rows meet per filter, with
 the members of a filter split into blocks, and cosines are computed in double precision.
@@ -34,10 +39,34 @@ from noticeloom.llm.text import slices
 from noticeloom.session import cut_lineage
 
 THRESHOLD = 0.9
-CODES, WORDS, CAP = 40, 64, 3.4
+CODES, WORDS = 40, 64
+#: Filters that two vectors at the threshold share on average; in 64 dimensions and at 0.9 a cap of 3.4 / sqrt(64).
+SHARED, FEWEST = 12.345, 8
+EXACT_BELOW, AXES, CELLS = 16, 6, 30
 BLOCK = 256
 
 
+def shared_caps(dim: int, least: float, cosine: float, n: int = 400) -> float:
+    """Share of all directions within ``least`` of both of two unit vectors with that cosine."""
+    half = np.arccos(cosine) / 2
+    along = np.linspace(least / np.cos(half), 1, n)[:, None]  # in the plane of the two: along their midpoint, and across
+    top = np.minimum((along * np.cos(half) - least) / np.sin(half), np.sqrt(np.maximum(0, 1 - along ** 2)))
+    across = top * np.linspace(0, 1, n)
+    density = np.maximum(0, 1 - along ** 2 - across ** 2) ** ((dim - 4) / 2)
+    return float((dim - 2) / np.pi * np.trapezoid(np.trapezoid(density, across, axis=1), along[:, 0]))
+
+
+@lru_cache(maxsize=64)
+def least_cosine(dim: int, threshold: float = THRESHOLD) -> float:
+    """The cosine at which two vectors at the threshold share ``SHARED`` filters on average."""
+    cosine = min(max(threshold, -0.99), 0.9999)
+    low, high = 0.0, float(np.cos(np.arccos(cosine) / 2))
+    for _ in range(40):
+        middle = (low + high) / 2
+        low, high = (middle, high) if CODES * WORDS * WORDS * shared_caps(dim, middle, cosine) > SHARED else (low, middle)
+    return low
+
+
 @lru_cache(maxsize=8)
 def codes(dim: int) -> tuple:
     """Rotated codebooks, ready to multiply: per code two [dim, WORDS] matrices."""
@@ -54,10 +83,40 @@ def codes(dim: int) -> tuple:
     return tuple(out)
 
 
-def decode(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+@lru_cache(maxsize=16)
+def axes(dim: int) -> np.ndarray:
+    turn = np.linalg.qr(np.random.default_rng([37, dim]).normal(size=(dim, dim)))[0]
+    return turn[:, :AXES]
+
+
+def cells(unit: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row, cell) of all grid cells that may hold the midpoint of a unit vector and one it links with."""
+    reach = np.sqrt(max(0.0, 2 - 2 * threshold)) / 2 + 1e-6
+    width = max(2 * reach, 2 / CELLS)
+    x = unit @ axes(unit.shape[1])
+    edge = 1 + reach + 1e-6  # no coordinate goes further
+    per_axis = int(2 * edge / width) + 1
+    row, cell, far = np.arange(len(x)), np.zeros(len(x), np.int64), np.zeros(len(x))
+    for k in range(x.shape[1]):
+        lowest = np.floor((x[row, k] - reach + edge) / width).astype(np.int64)
+        count = np.floor((x[row, k] + reach + edge) / width).astype(np.int64) - lowest + 1
+        at = np.repeat(np.arange(len(row)), count)
+        own = lowest[at] + np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
+        row, left = row[at], own * width - edge
+        away = far[at] + np.maximum(0, np.maximum(left - x[row, k], x[row, k] - left - width)) ** 2
+        near = away <= reach * reach
+        row, cell, far = row[near], cell[at][near] * per_axis + own[near], away[near]
+    return row, cell
+
+
+def decode(unit: np.ndarray, threshold: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
     """(row, filter) of all filters passed by unit vectors."""
-    rows, filters = [], []
-    least = CAP / np.sqrt(unit.shape[1])
+    if unit.shape[1] < EXACT_BELOW:
+        row, which = cells(unit, threshold)
+        order = np.lexsort((which, row))
+        return row[order], which[order].astype(np.int32)
+    rows, filters, best, top = [], [], [], []
+    least = least_cosine(unit.shape[1], threshold)
     for k, (one, two) in enumerate(codes(unit.shape[1])):
         a, b = unit @ one, unit @ two
         near = np.nonzero(a >= least - b.max(1, keepdims=True))  # a codeword that no partner can lift is left out
@@ -65,9 +124,16 @@ def decode(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         hit, j = np.nonzero(b[row] >= (least - a[row, i])[:, None])
         rows.append(row[hit])
         filters.append(k * WORDS * WORDS + i[hit] * WORDS + j)
+        best.append(k * WORDS * WORDS + a.argmax(1) * WORDS + b.argmax(1))
+        top.append(a.max(1) + b.max(1))
     row, which = np.concatenate(rows), np.concatenate(filters)
-    order = np.lexsort((which, row))
-    return row[order], which[order].astype(np.int32)
+    few = np.flatnonzero(np.bincount(row, minlength=len(unit)) < FEWEST)
+    if len(few):
+        order = np.argsort(-np.stack(top, 1)[few], axis=1, kind="stable")[:, :FEWEST]
+        row = np.concatenate((row, np.repeat(few, FEWEST)))
+        which = np.concatenate((which, np.take_along_axis(np.stack(best, 1)[few], order, 1).ravel()))
+    row, which = np.unique(np.stack((row, which)), axis=1)
+    return row, which.astype(np.int32)
 
 
 def clean(vectors: list) -> list:
@@ -94,7 +160,7 @@ def classes(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "vec_id long, digest binary")
 
 
-def spread(reps: DataFrame) -> DataFrame:
+def spread(reps: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per passed filter: dim, filter, vec_id, size, vector, all its filters."""
     layout = pa.schema([("dim", pa.int32()), ("filter", pa.int32()), ("vec_id", pa.int64()), ("size", pa.int64()), ("vector", pa.binary()), ("passed", pa.binary())])
 
@@ -108,7 +174,7 @@ def spread(reps: DataFrame) -> DataFrame:
                     part = own[k:k + 64]
                     x = np.stack([vectors[i] for i in part])
                     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-                    row, which = decode(unit)
+                    row, which = decode(unit, threshold)
                     cut = np.searchsorted(row, np.arange(len(part) + 1))
                     lists = [which[a:b].tobytes() for a, b in zip(cut, cut[1:])]
                     packed = [v.tobytes() for v in (x.astype(np.float32) if (x.astype(np.float32) == x).all() else x)]
@@ -208,7 +274,7 @@ def report(embeddings: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     known = cut_lineage(classes(rows), "cap-classes")
     groups = cut_lineage(known.where("digest is not null and vec_id is not null").groupBy("digest").agg(F.min("vec_id").alias("rep"), F.count("*").alias("size")), "cap-groups")
     reps = rows.join(groups.select(F.col("rep").alias("vec_id"), "size"), "vec_id").dropDuplicates(["vec_id"])
-    spreaded = cut_lineage(spread(reps), "cap-filters")
+    spreaded = cut_lineage(spread(reps, threshold), "cap-filters")
     met = cut_lineage(meet(spreaded, threshold), "cap-links")
     labels = components(met.select(F.col("vec_id").alias("a"), F.col("label").alias("b")))
     counts = met.groupBy(F.col("vec_id").alias("rep")).agg(F.sum("n").alias("_n"))

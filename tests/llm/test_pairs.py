@@ -158,3 +158,29 @@ def test_recall_of_the_filters_at_the_threshold():
     y = 0.9 * x + np.sqrt(1 - 0.81) * z / np.linalg.norm(z, axis=1, keepdims=True)
     one, two = ({*zip(*map(np.ndarray.tolist, capfilters.decode(v)))} for v in (x, y))
     assert len({r for r, _ in one & two}) >= 0.99 * len(x)
+
+
+@pytest.mark.parametrize("dim", [2, 3, 8, 11, 12, 15, 16, 24, 32, 64, 256])
+@pytest.mark.parametrize("threshold", [0.9, 0.97])
+def test_recall_of_the_filters_in_every_dimension(dim, threshold):
+    rng = np.random.default_rng(dim)
+    x = rng.normal(size=(400, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z = rng.normal(size=x.shape)
+    z -= (z * x).sum(1, keepdims=True) * x
+    y = threshold * x + np.sqrt(1 - threshold ** 2) * z / np.linalg.norm(z, axis=1, keepdims=True)
+    one, two = ({*zip(*map(np.ndarray.tolist, capfilters.decode(v, threshold)))} for v in (x, y))
+    assert len(one) < 150 * len(x) and len({r for r, _ in one & two}) >= (1 if dim < capfilters.EXACT_BELOW else 0.985) * len(x)
+
+
+@pytest.mark.parametrize("dim", [2, 8, 12])
+def test_short_vectors_equal_brute_force(spark, dim):
+    rng = np.random.default_rng(dim)
+    v = rng.normal(size=(80, dim))
+    v = np.concatenate((v, v[:40] + 0.12 * rng.normal(size=(40, dim))))
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in capfilters.report(df).collect()}
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    links = [(a, b) for a, b in itertools.combinations(range(len(v)), 2) if unit[a] @ unit[b] >= 0.9]
+    want = roots(range(len(v)), links)
+    assert len(links) > 10 and got == {i: (sum(i in p for p in links), want[i]) for i in range(len(v))}
