@@ -184,8 +184,11 @@ def _(t):
 
 @query("r03_stream_dedupe", "SELECT DISTINCT user_id, event_type, strftime(ts, '%Y-%m-%d') AS day FROM events")
 def _(t):
-    out, marks = scratch_dir(t.spark, "unique"), scratch_dir(t.spark, "marks")
-    rows = _stream(t).select("user_id", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"), F.col("ts").cast("timestamp").alias("ts"))
-    unique = incremental.dedupe_stream(rows, ["user_id", "event_type", "day"], "ts", "40 days")
-    unique.writeStream.format("parquet").option("checkpointLocation", marks).trigger(availableNow=True).start(out).awaitTermination()
-    return t.spark.read.parquet(out).select("user_id", "event_type", "day")
+    """Three landings on one checkpoint: the newer half, older days never seen, and all rows again 90 days later."""
+    landed, out, marks = (scratch_dir(t.spark, x) for x in ("landed", "unique", "marks"))
+    rows = t.events.select("event_id", "user_id", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"), "ts")
+    half = L("2024-01-16").cast("timestamp_ntz")
+    for part in (rows.where(F.col("ts") >= half), rows.where(F.col("ts") < half), rows.withColumn("ts", F.col("ts") + F.make_dt_interval(L(90)))):
+        upsert.append_rows(part, landed)
+        incremental.dedupe_available(incremental.landed_stream(t.spark, landed, rows.schema), out, marks, ["user_id", "event_type", "day"], [F.col("ts"), F.col("event_id")])
+    return t.spark.read.schema(rows.schema).parquet(out).select("user_id", "event_type", "day")

@@ -1,13 +1,16 @@
-"""Incremental runs: new landed rows only, idempotent upserts, dedupe with a watermark."""
+"""Incremental runs: new landed rows only, idempotent upserts, dedupe against the stored keys."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeloom.operators.upsert import Rule, upsert_table, with_bucket
+from noticeloom.operators.dedupe import first_row, key_set
+from noticeloom.operators.upsert import Rule, append_rows, upsert_table, with_bucket
 
 
 def landed_stream(spark: SparkSession, path: str, schema, glob: str = "*.parquet", files_per_batch: int | None = None) -> DataFrame:
@@ -46,6 +49,24 @@ def upsert_available(stream: DataFrame, table: str, checkpoint: str, keys: list[
     run_available(stream, checkpoint, each)
 
 
-def dedupe_stream(stream: DataFrame, keys: list[str], event_time: str, delay: str) -> DataFrame:
-    """Drop repeats of a key that arrive within the watermark delay."""
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
+def dedupe_available(stream: DataFrame, table: str, checkpoint: str, keys: list[str], order: list[Column]) -> None:
+    """Append the first row of every key that the table does not hold yet.
+
+    No watermark: a row counts however late it comes, and a repeat is dropped however long
+    after. Null keys are equal to each other. A batch that runs again, also after half of a
+    write or with a new checkpoint, finds its own rows in the table and appends the rest only.
+    """
+    def each(batch: DataFrame, batch_id: int) -> None:
+        fresh = first_row(batch, keys, order)
+        try:
+            known = batch.sparkSession.read.parquet(table)
+        except AnalysisException as missing:
+            if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+        else:
+            known = key_set(known, *[F.col(k).alias(f"_known_{k}") for k in keys])
+            same = [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys]
+            fresh = fresh.join(known, reduce(Column.__and__, same), "left_anti")
+        append_rows(fresh, table)
+
+    run_available(stream, checkpoint, each)
