@@ -9,10 +9,10 @@ Pieces are learned by expectation maximisation on word counts: the forward and b
 passes give each piece's expected count, and a part of the mass is spread over all
 pieces, so that every byte string has a probability.
 
-Fitting takes a bounded sample: of the labelled rows, up to about ``DOCS_PER_LANG``
-whole documents of a language, chosen by a hash of the id, and their
-``WORDS_PER_LANG`` commonest words (``WORDS_IN_ALL`` over all languages); at most
-``MAX_LANGS`` commonest languages. Every document is
+Fitting takes a bounded sample of rows: up to about ``DOCS_PER_LANG`` whole documents of
+every language, chosen by a hash of the id. All their words stay in a table of word counts;
+each round maps it to expected piece counts, and only their sums by language and piece come
+to the driver. Every document is
 scored whole, in batches of Arrow rows; each distinct word of a batch is computed once.
 
 Words of over ``LONGEST`` bytes are cut into parts of that length. Texts that are null or
@@ -32,12 +32,14 @@ from noticeloom.llm.text import ALNUM, blobs_of, chunks, mix, slices, _VALUE, Wo
 from noticeloom.session import cut_lineage
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
-DOCS_PER_LANG, WORDS_PER_LANG, WORDS_IN_ALL, MAX_LANGS = 1500, 15_000, 400_000, 200
+DOCS_PER_LANG = 1500
 ROUNDS, SPREAD = 4, 0.02
 LONGEST, PIECE = 32, 16
 UNKNOWN = "und"
 _MARK = "▁".encode()
 _BITS = 22
+#: Words of a task in a round; languages scored at once, and words times languages.
+_TASK_WORDS, _LANGS, _CELLS = 20_000, 64, 200_000
 
 
 class Vocabulary:
@@ -145,33 +147,69 @@ def parts(word: bytes) -> list[bytes]:
     return [marked[i:i + LONGEST] for i in range(0, len(marked), LONGEST)]
 
 
-def learn(vocabulary: Vocabulary, counts: dict[str, dict[bytes, int]], rounds: int = ROUNDS, spread: float = SPREAD) -> tuple[list[str], np.ndarray]:
-    """Piece probabilities per language, with a last row of zeros for what is no piece."""
-    langs, columns = sorted(counts), []
-    size = len(vocabulary.pieces)
-    for lang in langs:
-        split: dict[bytes, int] = {}
-        for word, n in counts[lang].items():
-            for part in parts(word):
-                split[part] = split.get(part, 0) + n
-        lattice = Lattice(vocabulary, *byte_rows(list(split)))
-        weight = np.array(list(split.values()), float)
-        p = np.append(np.full(size, 1 / size), 0)
-        for _ in range(rounds):
-            got = lattice.expected(p[:, None], weight)[:size]
-            p = np.append((1 - spread) * got / max(got.sum(), 1e-300) + spread / size, 0)
-        columns.append(p)
-    return langs, np.stack(columns, 1) if columns else np.zeros((size + 1, 0))
-
-
-def counted_words(docs: DataFrame, lang_col: str, docs_per_lang: int, words_per_lang: int) -> tuple[dict[str, int], dict[str, dict[bytes, int]]]:
-    """Documents per language, and word counts of a bounded sample; only these come to the driver."""
-    labelled = docs.where("text is not null and lang is not null")
-    sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()}
-    if not sizes:
-        return {}, {}
-    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, docs_per_lang / n))])
-    chosen = labelled.where(F.pmod(F.xxhash64("key", F.lit("langid")), F.lit(1 << 30)) < share[F.col("lang")] * float(1 << 30))
+def expected_pieces(vocabulary: Vocabulary, p: np.ndarray, words: list[bytes], own: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(language, piece, expected count) over words, each under its own language's row of ``p``."""
+    split, whose = [], []
+    for i, word in enumerate(words):
+        cut = parts(word)
+        split += cut
+        whose += [i] * len(cut)
+    lattice = Lattice(vocabulary, *byte_rows(split))
+    whose = np.array(whose)[lattice.order]
+    lang, weight = own[whose], counts[whose]
+    at = np.arange(len(split))
+    a = np.zeros((lattice.longest + 1, len(split)))
+    a[0] = 1
+    used = []
+    for end, size, piece in lattice.edges:
+        hit = np.flatnonzero(piece < len(vocabulary.pieces))
+        share = p[lang[hit], piece[hit]]
+        a[end, hit] += a[end - size, hit] * share
+        used.append((end, size, hit, lang[hit] * np.int64(len(vocabulary.pieces)) + piece[hit], share))
+    b = np.zeros_like(a)
+    b[lattice.sizes, at] = 1
+    scale = weight / a[lattice.sizes, at]
+    keys, found = [], []
+    for end, size, hit, key, share in reversed(used):
+        through = share * b[end, hit]
+        keys.append(key)
+        found.append(a[end - size, hit] * through * scale[hit])
+        b[end - size, hit] += through
+    key, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+    return key // len(vocabulary.pieces), key % len(vocabulary.pieces), np.bincount(inverse, np.concatenate(found), len(key))
+
+
+def learn(vocabulary: Vocabulary, sums: DataFrame, rounds: int = ROUNDS, spread: float = SPREAD) -> tuple[list[str], np.ndarray]:
+    """Piece probabilities per language of a table (lang, word, n), with a last row of zeros for what is no piece."""
+    langs = sorted(r["lang"] for r in sums.select("lang").distinct().collect())
+    size, context = len(vocabulary.pieces), sums.sparkSession.sparkContext
+    p = np.full((len(langs), size), 1 / size)
+    known = context.broadcast((vocabulary, {x: i for i, x in enumerate(langs)}))
+    for _ in range(rounds if langs else 0):
+        now = context.broadcast(p)
+
+        def run(batches):
+            pieces, number = known.value
+            for batch in slices(batches, _TASK_WORDS):
+                own = np.array([number[x] for x in batch.column(0).to_pylist()], np.int64)
+                lang, piece, n = expected_pieces(pieces, now.value, batch.column(1).to_pylist(), own, batch.column(2).to_numpy().astype(float))
+                yield pa.RecordBatch.from_arrays([pa.array(lang, pa.int64()), pa.array(piece, pa.int64()), pa.array(n, pa.float64())], names=["lang", "piece", "n"])
+
+        got = np.zeros_like(p)
+        table = sums.select("lang", "word", "n").mapInArrow(run, "lang long, piece long, n double").groupBy("lang", "piece").agg(F.sum("n").alias("n")).toArrow()
+        got[table["lang"].to_numpy(), table["piece"].to_numpy()] = table["n"].to_numpy()
+        p = (1 - spread) * got / np.maximum(got.sum(1, keepdims=True), 1e-300) + spread / size
+        now.unpersist()
+    return langs, np.concatenate((p.T, np.zeros((1, len(langs)))))
+
+
+def counted_words(docs: DataFrame, lang_col: str, docs_per_lang: int) -> tuple[dict[str, int], DataFrame]:
+    """Documents of every language, and a table (lang, word, n) of all words of a bounded sample of documents."""
+    labelled = docs.where("text is not null").select("key", F.col(lang_col).alias("lang"), "text").where("lang is not null")
+    found = cut_lineage(labelled.groupBy("lang").agg(F.count("*").alias("_docs")), "langid-languages")
+    sizes = {r["lang"]: r["_docs"] for r in found.collect()}
+    share = F.least(F.lit(1.0), F.lit(float(docs_per_lang)) / F.col("_docs"))
+    chosen = labelled.join(F.broadcast(found), "lang").where(F.pmod(F.xxhash64("key", F.lit("langid")), F.lit(1 << 30)) < share * float(1 << 30))
 
     def words(batches):
         for batch in slices(batches):
@@ -187,20 +225,7 @@ def counted_words(docs: DataFrame, lang_col: str, docs_per_lang: int, words_per_
 
     sums = cut_lineage(chosen.select("key", "lang", "text").mapInArrow(words, "lang string, word binary, n long")
                        .groupBy("lang", "word").agg(F.sum("n").alias("n")), "langid-words")
-    # the commonest words: all above the count at which there are too many, and a share of those that have it
-    limit = min(words_per_lang, WORDS_IN_ALL // len(sizes))
-    taken, edge = dict.fromkeys(sizes, 0), {lang: (0, 1.0) for lang in sizes}
-    for r in sums.groupBy("lang", "n").agg(F.count("*").alias("words")).orderBy("lang", F.desc("n")).collect():
-        before = taken[r["lang"]]
-        taken[r["lang"]] += r["words"]
-        if before <= limit < taken[r["lang"]]:
-            edge[r["lang"]] = r["n"], (limit - before) / r["words"]
-    counts: dict[str, dict[bytes, int]] = {}
-    pairs = lambda k: F.create_map(*[F.lit(x) for lang in sizes for x in (lang, edge[lang][k])])[F.col("lang")]
-    drawn = F.pmod(F.xxhash64("word", F.lit("langid")), F.lit(1 << 30)) < pairs(1) * float(1 << 30)
-    for r in sums.where((F.col("n") > pairs(0)) | (F.col("n") == pairs(0)) & drawn).collect():
-        counts.setdefault(r["lang"], {})[bytes(r["word"])] = r["n"]
-    return sizes, counts
+    return sizes, cut_lineage(sums.repartition(sums.count() // _TASK_WORDS + 1, "lang", "word"), "langid-dealt")
 
 
 def has_letter(blob: bytes) -> bool:
@@ -211,23 +236,24 @@ class Scorer:
     def __init__(self, vocabulary: Vocabulary, langs: list[str], p: np.ndarray, prior: np.ndarray):
         self.vocabulary, self.langs, self.p, self.prior = vocabulary, langs, p, prior
 
-    def words(self, seen: Words, which: np.ndarray) -> np.ndarray:
-        """Log probabilities of chosen words."""
+    def words(self, seen: Words, which: np.ndarray, p: np.ndarray) -> np.ndarray:
+        """Log probabilities of chosen words under the languages of ``p``."""
+        most = max(1, _CELLS // p.shape[1])
         sizes = seen.ends[which] - seen.starts[which] + len(_MARK)
-        out = np.zeros((len(which), len(self.langs)))
+        out = np.zeros((len(which), p.shape[1]))
         short = np.flatnonzero(sizes <= LONGEST)
         rows = np.zeros((len(short), LONGEST), np.uint8)
         rows[:, :len(_MARK)] = np.frombuffer(_MARK, np.uint8)
         at = seen.starts[which[short]][:, None] + np.arange(LONGEST - len(_MARK))
         rows[:, len(_MARK):] = seen.low[np.minimum(at, len(seen.low) - 1)]
-        for k in range(0, len(short), 20_000):
-            lattice = Lattice(self.vocabulary, rows[k:k + 20_000], sizes[short[k:k + 20_000]])
-            out[short[k:k + 20_000]] = lattice.of_words(lattice.forward(self.p))
+        for k in range(0, len(short), most):
+            lattice = Lattice(self.vocabulary, rows[k:k + most], sizes[short[k:k + most]])
+            out[short[k:k + most]] = lattice.of_words(lattice.forward(p))
         for i in np.flatnonzero(sizes > LONGEST):
             own = parts(seen.word(which[i]))
-            for k in range(0, len(own), 20_000):
-                lattice = Lattice(self.vocabulary, *byte_rows(own[k:k + 20_000]))
-                out[i] += lattice.of_words(lattice.forward(self.p)).sum(0)
+            for k in range(0, len(own), most):
+                lattice = Lattice(self.vocabulary, *byte_rows(own[k:k + most]))
+                out[i] += lattice.of_words(lattice.forward(p)).sum(0)
         return out
 
     def texts(self, blobs: list[bytes]) -> tuple[list[str], np.ndarray]:
@@ -238,10 +264,11 @@ class Scorer:
         total = np.zeros((len(blobs), len(self.langs))) + self.prior
         if len(seen.hashes):
             _, first, inverse = np.unique(seen.hashes, return_index=True, return_inverse=True)
-            own = self.words(seen, first)
             owner = np.repeat(np.arange(len(blobs)), np.diff(seen.bounds))
-            for k in range(len(self.langs)):
-                total[:, k] += np.bincount(owner, own[inverse, k], len(blobs))
+            for c in range(0, len(self.langs), _LANGS):
+                own = self.words(seen, first, self.p[:, c:c + _LANGS])
+                for k in range(own.shape[1]):
+                    total[:, c + k] += np.bincount(owner, own[inverse, k], len(blobs))
         best = total.argmax(1)
         score = 1 / np.exp(total - total.max(1, keepdims=True)).sum(1)
         return [self.langs[k] if ok else UNKNOWN for k, ok in zip(best, lettered)], np.where(lettered, score, 0.0)
@@ -252,16 +279,16 @@ def held_out(key: str) -> Column:
 
 
 def predict(docs: DataFrame, train: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-            vocabulary: str = VOCABULARY, docs_per_lang: int = DOCS_PER_LANG, words_per_lang: int = WORDS_PER_LANG) -> DataFrame:
+            vocabulary: str = VOCABULARY, docs_per_lang: int = DOCS_PER_LANG) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score.
 
     Learns from the rows of ``train`` (default: the documents) that are not held out.
     """
     train = docs if train is None else train
     rows = train.where(~held_out(id_col)).select(F.col(id_col).alias("key"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    sizes, counts = counted_words(rows.where("key is not null"), "lang", docs_per_lang, words_per_lang)
+    sizes, sums = counted_words(rows.where("key is not null"), "lang", docs_per_lang)
     pieces = Vocabulary(vocabulary)
-    langs, p = learn(pieces, counts)
+    langs, p = learn(pieces, sums)
     prior = np.log(np.array([sizes[x] for x in langs], float) / max(1, sum(sizes[x] for x in langs)))
     scorer = docs.sparkSession.sparkContext.broadcast(Scorer(pieces, langs, p, prior))
 

@@ -42,6 +42,30 @@ def test_forward_pass_sums_all_segmentations():
         assert lattice.expected(p, np.array([1.0, 0.0])).sum() >= 1  # at least one piece a word
 
 
+def test_every_language_is_learned(spark):
+    rows = [(i, " ".join(f"{'abcdefghij'[i % 260 % 10]}{chr(97 + i % 260 // 10)}{k}" * 2 for k in range(8)), f"l{i % 260:03d}", "a") for i in range(260 * 8)]
+    got = langid.predict(table(spark, rows)).collect()
+    assert len({r["lang_pred"] for r in got}) == 260
+    assert np.mean([r["lang_pred"] == f"l{r['doc_id'] % 260:03d}" for r in got]) > 0.99
+
+
+def test_all_words_of_the_sample_are_learned_from(spark):
+    texts = [" ".join(f"w{1000 * i + k}x" for k in range(1000)) for i in range(18)]
+    rows = spark.createDataFrame([(i, "aa", t) for i, t in enumerate(texts)] + [(90, "bb", "été " * 3 + "中" * 40), (91, "bb", "!")], "key long, lang string, text string")
+    sizes, sums = langid.counted_words(rows, "lang", 100)
+    assert sizes == {"aa": 18, "bb": 2} and sums.where("lang = 'aa'").count() == 18_000
+    vocabulary = langid.Vocabulary()
+    langs, p = langid.learn(vocabulary, sums, rounds=2)
+    for k, lang in enumerate(langs):  # the same rounds over all words in one lattice
+        split = [(part, r["n"]) for r in sums.where(sums.lang == lang).collect() for part in langid.parts(bytes(r["word"]))]
+        lattice, size = langid.Lattice(vocabulary, *langid.byte_rows([w for w, _ in split])), len(vocabulary.pieces)
+        want = np.append(np.full(size, 1 / size), 0)
+        for _ in range(2):
+            got = lattice.expected(want[:, None], np.array([float(n) for _, n in split]))[:size]
+            want = np.append((1 - langid.SPREAD) * got / got.sum() + langid.SPREAD / size, 0)
+        assert np.allclose(p[:, k], want, rtol=1e-9, atol=0)
+
+
 def labels(spark, rows):
     return spark.createDataFrame([(i, q, t, 1) for i, q, t in rows], "doc_id long, quality int, toxic int, score int")
 
