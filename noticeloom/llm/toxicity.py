@@ -1,8 +1,8 @@
 """Toxicity score: a bidirectional gated recurrent network over characters and words.
 
 A word's input is its embedding (words of the training sample, one row for all others)
-next to a character vector: the sum of embeddings of its character pairs by their place,
-under tanh, so that unseen words built like known ones are told apart too. A recurrent
+next to a character vector: the sum of embeddings of all its character (byte) pairs, by their place
+up to ``PLACES`` and in one table for all later places, under tanh, so that unseen words built like known ones are told apart too. A recurrent
 network reads a window of ``WINDOW`` words from both sides, attention pools its states,
 and a linear layer gives the window's logit. Windows overlap and cover the whole text; a
 text's score is that of its highest window, calibrated on the training sample.
@@ -56,6 +56,26 @@ def pairs_of(seen: Words, which: np.ndarray) -> np.ndarray:
     return number + np.arange(PLACES) * PAIRS
 
 
+def tails_of(seen: Words, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the character pairs of words after the first places, and where each word's begin."""
+    start, size = seen.starts[which], seen.ends[which] - seen.starts[which]
+    count = np.maximum(0, size + 1 - PLACES)
+    bounds = np.concatenate(([0], np.cumsum(count)))
+    owner = np.repeat(np.arange(len(which)), count)
+    at = PLACES + np.arange(bounds[-1]) - bounds[owner]
+    c = seen.low[start[owner] + at - 1].astype(np.int32)
+    after = np.where(at < size[owner], seen.low[np.minimum(start[owner] + at, len(seen.low) - 1)], 0).astype(np.int32)
+    return (c * 4099 + after * 73) % PAIRS, bounds
+
+
+def take_tails(tails: tuple[np.ndarray, np.ndarray], own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The tails of chosen words, in their order."""
+    number, bounds = tails
+    count = bounds[own + 1] - bounds[own]
+    new = np.concatenate(([0], np.cumsum(count)))
+    return number[np.repeat(bounds[own] - new[:-1], count) + np.arange(new[-1])], new
+
+
 def sigmoid(x):
     return 1 / (1 + np.exp(-x))
 
@@ -104,7 +124,8 @@ class Network:
         rng = np.random.default_rng(seed)
         init = lambda *shape: rng.normal(0, 1 / np.sqrt(shape[0]), shape).astype(np.float32)
         self.vocabulary = vocabulary  # sorted word hashes
-        self.p = {"word": rng.normal(0, 0.1, (len(vocabulary) + 1, WORD)).astype(np.float32), "pair": rng.normal(0, 0.1, (PLACES * PAIRS, CHAR)).astype(np.float32)}
+        self.p = {"word": rng.normal(0, 0.1, (len(vocabulary) + 1, WORD)).astype(np.float32), "pair": rng.normal(0, 0.1, (PLACES * PAIRS, CHAR)).astype(np.float32),
+                  "tail": np.zeros((PAIRS, CHAR), np.float32)}
         for d in "fb":
             self.p |= {f"w{d}": init(WORD + CHAR, 3 * HIDDEN), f"c{d}": np.zeros(3 * HIDDEN, np.float32), f"u{d}": init(HIDDEN, 3 * HIDDEN)}
         self.p |= {"aw": init(2 * HIDDEN, ATTEND), "ab": np.zeros(ATTEND, np.float32), "av": init(ATTEND, 1)[:, 0], "ow": init(2 * HIDDEN, 1)[:, 0], "ob": np.zeros(1, np.float32)}
@@ -118,10 +139,19 @@ class Network:
         at = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
         return np.where(self.vocabulary[at] == hashes, at + 1, 0)
 
-    def inputs(self, ids: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    def inputs(self, ids: np.ndarray, pairs: np.ndarray, tails: tuple | None = None) -> np.ndarray:
         char = np.zeros((len(ids), CHAR), np.float32)
         for k in range(PLACES):
             char += self.p["pair"][pairs[:, k]]
+        if tails is not None and len(tails[0]):
+            number, bounds = tails
+            long = np.flatnonzero(np.diff(bounds))
+            begin = 0
+            while begin < len(long):  # some 100,000 pairs at once; a longer word stands alone
+                end = max(begin + 1, int(np.searchsorted(bounds[long + 1], bounds[long[begin]] + 100_000, "right")))
+                a, b = bounds[long[begin]], bounds[long[end - 1] + 1]
+                char[long[begin:end]] += np.add.reduceat(self.p["tail"][number[a:b]], bounds[long[begin:end]] - a)
+                begin = end
         return np.concatenate((self.p["word"][ids], np.tanh(char)), 1)
 
     def gates(self, x):
@@ -147,10 +177,10 @@ class Network:
             out[k:k + _BLOCK] = self.pool(np.concatenate((f, b[:, ::-1]), 2), m)[3]
         return out
 
-    def train_step(self, ids, pairs, mask, labels, weights):
-        """One step on windows [rows, time] of ids and [rows, time, PLACES] of pairs."""
+    def train_step(self, ids, pairs, mask, labels, weights, tails=None):
+        """One step on windows [rows, time] of ids and [rows, time, PLACES] of pairs, with the tails of all their words."""
         rows, time = ids.shape
-        x = self.inputs(ids.ravel(), pairs.reshape(-1, PLACES))
+        x = self.inputs(ids.ravel(), pairs.reshape(-1, PLACES), tails)
         g = {d: (x @ self.p[f"w{d}"] + self.p[f"c{d}"]).reshape(rows, time, -1) for d in "fb"}
         back = np.ascontiguousarray(mask[:, ::-1])
         f, f_trace = Gru.forward(g["f"], self.p["uf"], mask, True)
@@ -181,6 +211,10 @@ class Network:
         flat = pairs.reshape(-1, PLACES)
         for k in range(PLACES):
             np.add.at(grad["pair"], flat[:, k], char)
+        if tails is not None:
+            number, bounds = tails
+            owner = np.repeat(np.arange(len(char)), np.diff(bounds))
+            grad["tail"] = np.stack([np.bincount(number, char[owner, k], PAIRS) for k in range(CHAR)], 1).astype(np.float32)
         self.steps += 1
         for k, v in grad.items():
             m, s = self.moments[k]
@@ -195,7 +229,7 @@ class Network:
         best = np.full(len(blobs), -np.inf)
         if len(seen.hashes):
             _, first, inverse = np.unique(seen.hashes, return_index=True, return_inverse=True)
-            gates = self.gates(self.inputs(self.ids(seen.hashes[first]), pairs_of(seen, first)))
+            gates = self.gates(self.inputs(self.ids(seen.hashes[first]), pairs_of(seen, first), tails_of(seen, first)))
             sizes = np.diff(seen.bounds)
             owner, start = [], []
             for d, n in enumerate(sizes.tolist()):
@@ -231,6 +265,7 @@ class Sample:
             common = np.sort(common[np.lexsort((hashes[common], -spread[common]))[:VOCABULARY]])
         self.vocabulary = hashes[common]
         self.pairs = pairs_of(seen, place).astype(np.int32)
+        self.tails = tails_of(seen, place)
         self.mask = np.arange(WINDOW) < sizes[:, None]
         self.words = inverse.astype(np.int32)[np.minimum(np.arange(WINDOW), sizes[:, None] - 1) + seen.bounds[:-1, None]]
         self.hashes = hashes
@@ -239,7 +274,7 @@ class Sample:
         """The highest window of each document, and its logit."""
         which = np.concatenate([np.arange(self.first[d], self.first[d + 1]) for d in docs])
         own, inverse = np.unique(self.words[which], return_inverse=True)
-        logit = net.logits(net.gates(net.inputs(self.ids[own], self.pairs[own])), inverse.reshape(len(which), WINDOW), self.mask[which])
+        logit = net.logits(net.gates(net.inputs(self.ids[own], self.pairs[own], take_tails(self.tails, own))), inverse.reshape(len(which), WINDOW), self.mask[which])
         spots = np.concatenate(([0], np.cumsum(self.first[docs + 1] - self.first[docs])))
         best = np.array([a + logit[a:b].argmax() for a, b in zip(spots, spots[1:])])
         return which[best], logit[best]
@@ -256,7 +291,7 @@ def train(sample: Sample) -> Network:
             top, _ = sample.highest(net, docs)
             words = sample.words[top]
             ids = np.where(rng.random(words.shape) < UNNAMED, 0, sample.ids[words])
-            net.train_step(ids, sample.pairs[words], sample.mask[top], labels[docs], balance[docs])
+            net.train_step(ids, sample.pairs[words], sample.mask[top], labels[docs], balance[docs], take_tails(sample.tails, words.ravel()))
     return net
 
 

@@ -141,6 +141,35 @@ def test_toxic_words_anywhere_in_a_text(spark):
     assert toxicity.predict(empty(spark), labels(spark, marks)).count() == 0
 
 
+def test_gradient_of_the_later_character_pairs():
+    seen = toxicity.Words(["слово дурачина дурачинб ab 中文字符中文".encode()], toxicity.ALNUM)
+    which = np.arange(5)
+    pairs, tails = toxicity.pairs_of(seen, which), toxicity.tails_of(seen, which)
+    assert (pairs[1] == pairs[2]).all() and np.diff(tails[1]).tolist() == [max(0, len(seen.word(i)) - 6) for i in which]
+    again = toxicity.take_tails(tails, np.array([4, 1]))
+    assert again[0].tolist() == tails[0][tails[1][4]:].tolist() + tails[0][tails[1][1]:tails[1][2]].tolist()
+    net = toxicity.Network(np.zeros(0, np.uint64))
+    net.p["tail"] = np.random.default_rng(3).normal(0, 0.1, net.p["tail"].shape).astype(np.float32)
+    ids, mask, y, w = np.zeros((1, 5), np.int64), np.ones((1, 5), bool), np.array([1], np.float32), np.ones(1, np.float32)
+
+    def loss():
+        z = net.logits(net.gates(net.inputs(ids.ravel(), pairs, tails)), which[None], mask).astype(np.float64)
+        return float(np.logaddexp(0, z)[0] - z[0])
+
+    x = net.inputs(ids.ravel(), pairs, tails)
+    assert (x[1] != x[2]).any()
+    before = {k: v.copy() for k, v in net.p.items()}
+    net.train_step(ids, pairs[None], mask, y, w, tails)
+    grad, net.p = net.moments["tail"][0] / 0.1, before
+    for k in np.argsort(-np.abs(grad).ravel())[:3]:
+        value, found = net.p["tail"].ravel()[k], []
+        for step in (1e-2, -1e-2):
+            net.p["tail"].reshape(-1)[k] = value + step
+            found.append(loss())
+        net.p["tail"].reshape(-1)[k] = value
+        assert (found[0] - found[1]) / 2e-2 == pytest.approx(grad.ravel()[k], rel=0.05, abs=2e-4)
+
+
 def test_windows_cover_every_word():
     for n in (0, 1, 47, 48, 49, 80, 81, 500):
         starts = toxicity.starts_of(n)
