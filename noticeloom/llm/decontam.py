@@ -10,7 +10,7 @@ block is the usual case; a larger benchmark is scanned block after block, each a
 over the documents, so nothing larger than a block is ever broadcast or collected.
 
 Edge cases: null and word-less texts have no words and no hits; null or word-less
-items match nothing; repeated documents give repeated rows; an item id that comes
+item texts match nothing; an item with a null id hits, but is not among the items; repeated documents give repeated rows; an item id that comes
 twice counts once; an empty benchmark hits nothing. Other columns are ignored by
 ``report`` and kept by ``remove``, whatever their names.
 """
@@ -50,7 +50,7 @@ def item_windows(benchmark: DataFrame, item_col: str, text_col: str, width: int)
                      pa.array([x[2] for x in part], pa.binary())], names=["item", "n", "window"])
 
     rows = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text"))
-    return rows.where("item is not null").mapInArrow(cut, "item string, n int, window binary").distinct()
+    return rows.mapInArrow(cut, "item string, n int, window binary").distinct()
 
 
 class WindowSet:
@@ -91,7 +91,7 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, width: int, bloc
     """Broadcast window sets; every block is bounded, and so is their number by the benchmark's size."""
     spark = benchmark.sparkSession
     windows = item_windows(benchmark, item_col, text_col, width)
-    total = windows.agg(F.sum(F.length("window") + F.length("item") + 200)).first()[0] or 0
+    total = windows.agg(F.sum(F.length("window") + F.coalesce(F.length("item"), F.lit(0)) + 200)).first()[0] or 0
     count = -(-total // block_bytes)
     return [spark.sparkContext.broadcast(WindowSet(
         windows.where(F.pmod(F.xxhash64("window"), F.lit(count)) == k).select("n", "window", "item").toLocalIterator()))
@@ -123,7 +123,7 @@ def scan(keyed: DataFrame, blocks: list) -> DataFrame:
                         if d in found:
                             base = int(words.bounds[d])
                             spans[a + d] = merged(spans[a + d], [(i - base, i - base + n) for i, n, _ in found[d]])
-                            items[a + d] = sorted({*items[a + d], *(x for *_, its in found[d] for x in its)})
+                            items[a + d] = sorted({*items[a + d], *(x for *_, its in found[d] for x in its if x is not None)})
                 out = [batch.column(0), pa.array(sizes, pa.int64()) if last else batch.column(1), pa.array(spans, ints), pa.array(items, strings)]
                 yield pa.RecordBatch.from_arrays(out, names=["key", "n_words" if last else "text", "spans", "items"])
         return run

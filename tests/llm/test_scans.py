@@ -152,3 +152,12 @@ def test_mix_meets_its_targets(spark):
     kept = mixing.mix(docs)
     assert {r["doc_id"]: r["taken"] for r in kept.collect()} == {r["doc_id"]: r["taken"] for r in got if r["copies"]}
     assert mixing.mix(empty(spark)).count() == 0 and mixing.report(empty(spark)).count() == 0
+
+
+def test_items_without_an_id_hit(spark):
+    docs = spark.createDataFrame([(1, "x one two three y"), (2, "four five six z"), (3, "none")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, "one two three"), ("b", "one two three"), (None, "four five six"), (None, None)], "item_id string, text string")
+    got = {r["doc_id"]: (r["n_hit"], r["items"], r["contaminated"]) for r in decontam.report(docs, bench, width=3).collect()}
+    assert got == {1: (3, ["b"], True), 2: (3, [], True), 3: (0, [], False)}
+    left = {r["doc_id"]: r["text"].split() for r in decontam.remove(docs, bench, width=3).collect()}
+    assert left == {1: ["x", "y"], 2: ["z"], 3: ["none"]}
