@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticeloom.llm import capfilters, decontam, langid, licenses, minhash, mixing, quality, suffixes, toxicity, warc
+from noticeloom.llm import capfilters, decontam, langid, licenses, minhash, mixing, quality, suffixes, toxicity, urlfilter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -137,3 +137,12 @@ FROM embeddings LEFT JOIN n USING (vec_id) LEFT JOIN c USING (vec_id)
 @query
 def op5_repeated_passages(spark, folder):
     return suffixes.passages(read(spark, folder, "documents")).drop("copy")
+
+
+@query
+def op11_url_filter(spark, folder):
+    pages = read(spark, folder, "pages")
+    return urlfilter.judge(pages, urlfilter.default_rules(spark), urlfilter.default_labelled(spark)).drop("score")
+
+
+SQL["op11_url_filter"] = urlfilter.sql()
