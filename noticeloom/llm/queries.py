@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticeloom.llm import capfilters, decontam, langid, licenses, minhash, mixing, quality, suffixes, toxicity, urlfilter, warc
+from noticeloom.llm import capfilters, decontam, langid, licenses, merkle, minhash, mixing, quality, resample, suffixes, toxicity, urlfilter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -146,3 +146,19 @@ def op11_url_filter(spark, folder):
 
 
 SQL["op11_url_filter"] = urlfilter.sql()
+
+
+@query
+def op12_merkle_manifest(spark, folder):
+    return merkle.report(read(spark, folder, "documents"))
+
+
+SQL["op12_merkle_manifest"] = merkle.sql()
+
+
+@query
+def op13_target_resampling(spark, folder):
+    return resample.report(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+SQL["op13_target_resampling"] = resample.sql()
