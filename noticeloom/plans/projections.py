@@ -68,6 +68,14 @@ PROJECTIONS: dict[str, tuple[tuple[str, ...], str]] = {
                event_type || ' Notice ' || CAST(user_id AS STRING) || ' (' || CAST(event_id % 7 AS STRING) || '.)' AS title,
                CASE WHEN event_id % 29 = 0 THEN NULL ELSE CAST(ts AS DATE) END AS posted_at
         FROM {events}"""),
+    "collected_rows": (("events",), """
+        SELECT event_id AS position, 'A' || CAST(user_id % 3 AS STRING) AS agency, 'events' AS board_kind, CAST(user_id AS STRING) AS seq,
+               'Notice ' || CAST(user_id AS STRING) || CASE WHEN user_id % 5 = 0 THEN ' 입주자 모집공고' WHEN user_id % 5 < 3 THEN ' 당첨자 발표' ELSE '' END
+                   || CASE WHEN value > 120 THEN ' v2' ELSE '' END AS title,
+               CASE WHEN event_id % 29 = 0 THEN NULL WHEN event_id % 31 = 0 THEN DATE '2024-03-01' ELSE DATE '2024-02-01' END AS posted_at,
+               TIMESTAMP '2024-01-01 00:00:00' + (ts - TIMESTAMP '2024-01-01 00:00:00') * 4 AS collected_at,
+               CASE WHEN ts < TIMESTAMP '2024-01-11 00:00:00' AND event_id % 17 > 0 THEN 1 WHEN ts < TIMESTAMP '2024-01-21 00:00:00' AND event_id % 17 > 0 THEN 2 ELSE 3 END AS landing
+        FROM {events}"""),
 }
 
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from noticeloom.operators import dedupe, discovery, upsert
+from noticeloom.operators import classify, dedupe, discovery, upsert
 from noticeloom.operators.repair import attempt_rows
 from noticeloom.plans.registry import query
 from noticeloom.session import scratch_dir
-from noticeloom.streaming import incremental
+from noticeloom.streaming import incremental, seen
 
 L = F.lit
 
@@ -166,20 +166,31 @@ def _(t):
 
 
 @query("r02_seen_cache_stream", """
-    SELECT e.event_id FROM events e WHERE NOT EXISTS (SELECT 1 FROM events c WHERE c.event_type = 'error' AND c.ts < TIMESTAMP '2024-01-11 00:00:00' AND c.user_id = e.user_id
-      AND c.ts + CASE WHEN c.value > 60 THEN INTERVAL '60' DAY ELSE INTERVAL '7' DAY END > TIMESTAMP '2024-01-12 00:00:00')""")
+    , clock AS (SELECT landing, date_trunc('milliseconds', max(collected_at)) AS top FROM collected_rows GROUP BY landing),
+    r AS (SELECT c.*, CASE CAST(seq AS BIGINT) % 5 WHEN 0 THEN NULL WHEN 1 THEN 60 WHEN 2 THEN 60 ELSE 7 END AS days,
+                 greatest(collected_at, coalesce((SELECT max(top) FROM clock k WHERE k.landing < c.landing), collected_at)) AS now,
+                 row_number() OVER (PARTITION BY agency, board_kind, seq ORDER BY landing, collected_at, position) AS n FROM collected_rows c),
+    walk AS (SELECT DISTINCT agency, board_kind, seq, CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS position, CAST(NULL AS VARCHAR) AS outcome, CAST(NULL AS VARCHAR) AS held,
+                    CAST(NULL AS DATE) AS day, CAST(NULL AS TIMESTAMP) AS ends, CAST(NULL AS BIGINT) AS times FROM r
+             UNION ALL
+             SELECT agency, board_kind, seq, n, position, CASE WHEN same THEN 'skipped_seen' ELSE 'detail' END, CASE WHEN same OR days IS NULL THEN held ELSE title END,
+                    CASE WHEN same OR days IS NULL THEN day ELSE posted_at END, CASE WHEN same OR days IS NULL THEN ends ELSE now + days * INTERVAL 1 DAY END,
+                    CASE WHEN same OR days IS NULL THEN times ELSE coalesce(times, 0) + 1 END
+             FROM (SELECT *, ends IS NOT NULL AND held = title AND (day IS NULL OR posted_at IS NULL OR day = posted_at) AS same
+                   FROM (SELECT r.*, CASE WHEN w.ends > now THEN held END AS held, CASE WHEN w.ends > now THEN day END AS day, CASE WHEN w.ends > now THEN ends END AS ends,
+                                CASE WHEN w.ends > now THEN times END AS times
+                         FROM walk w JOIN r ON w.agency = r.agency AND w.board_kind = r.board_kind AND w.seq = r.seq AND r.n = w.n + 1)))
+    SELECT agency, board_kind, seq, position, outcome, ends AS expires_at, times AS seen_count FROM walk WHERE n > 0""", ("collected_rows",))
 def _(t):
-    """Rows of a stream whose user has no live cache entry; the cache is joined per batch."""
-    out, marks = scratch_dir(t.spark, "fresh"), scratch_dir(t.spark, "marks")
-    cached = t.events.where((F.col("event_type") == "error") & (F.col("ts") < L("2024-01-11").cast("timestamp_ntz")))
-    entries = cached.select("user_id", (F.col("ts") + F.when(F.col("value") > 60, F.make_dt_interval(L(60))).otherwise(F.make_dt_interval(L(7)))).alias("expires_at"))
-    live = entries.where(F.col("expires_at") > L("2024-01-12").cast("timestamp_ntz"))
-
-    def each(batch, batch_id):
-        fresh = discovery.skip_known(batch, live, ["user_id"]).withColumn("batch_id", L(batch_id))
-        fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out)
-    incremental.run_available(_stream(t), marks, each)
-    return t.spark.read.schema("event_id bigint, batch_id bigint").parquet(out).select("event_id")
+    """Three landings on one checkpoint; rows of earlier periods land late, entries end between and inside the runs."""
+    landed, out, marks = (scratch_dir(t.spark, x) for x in ("landed", "judged", "marks"))
+    rows = t.project("collected_rows")
+    for n in (1, 2, 3):
+        upsert.append_rows(rows.where(F.col("landing") == n), landed)
+        stream = incremental.landed_stream(t.spark, landed, rows.schema)
+        seen.judge_available(stream, out, marks, ["agency", "board_kind", "seq"], "position", category=classify.notice_category("title", L("")))
+    judged = t.spark.read.parquet(out)
+    return judged.select("agency", "board_kind", "seq", "position", "outcome", F.col("expires_at").cast("timestamp_ntz").alias("expires_at"), "seen_count")
 
 
 @query("r03_stream_dedupe", "SELECT DISTINCT user_id, event_type, strftime(ts, '%Y-%m-%d') AS day FROM events")
