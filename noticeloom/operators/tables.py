@@ -2,22 +2,27 @@
 
 A rule turns one text into an array of (raw_text, content) rows with column
 expressions, behind a cheap gate of required phrases. ``extract_rows`` applies
-any set of rules in a single pass: no shuffle, no Python workers, and the row
-number of a table comes from the array position.
+any set of such rules in a single pass: no shuffle, no Python workers, and the row
+number of a table comes from the array position. Rules that scan from token to token
+(``scanners``) run in Arrow batches, on the texts that pass their gates alone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, StringType, StructType
 
 from noticeloom import fixed
 from noticeloom.functions import numbers as N
 from noticeloom.functions import text as T
 from noticeloom.functions.arrays import at, carry_forward, g, last, let, match_all, printable, scan
+from noticeloom.operators.scanners import PRICE_TABLE, TYPES, ScanRule
 from noticeloom.operators.staging import explode_rows, hold
 
 ROW = "struct<raw_text:string,content:map<string,string>>"
@@ -40,23 +45,52 @@ def compact_text(c) -> Column:
     return T.collapse_ws(printable(T._col(c)))
 
 
-def extract_rows(artifacts: DataFrame, rules: tuple[TableRule, ...], text: str = "raw_text",
+def extract_rows(artifacts: DataFrame, rules: tuple[TableRule | ScanRule, ...], text: str = "raw_text",
                  span: str = "source_span") -> DataFrame:
     """All table rows of all artifacts, with their own span and row number."""
     keep = [c for c in artifacts.columns if c not in (text, span)]
     staged = hold(artifacts, _t=compact_text(text)).select(*keep, span, "_t")
+    scans = tuple(r for r in rules if isinstance(r, ScanRule))
+    plain = tuple(r for r in rules if isinstance(r, TableRule))
+    parts = [_expression_rows(staged, plain, [*keep, span])] if plain or not scans else []
+    parts += [_scanned_rows(staged, scans, [*keep, span])] if scans else []
+    return reduce(DataFrame.unionByName, parts).select(
+        *keep, "table", "row_no", "raw_text", "content", T.table_span(span, "table", F.col("row_no")).alias(span),
+        F.lit(fixed.ART_TABLE_ROW).alias("artifact_type"), F.lit(fixed.STATUS_EXTRACTED).alias("status"),
+        F.lit(fixed.SCHEMA_VERSION).alias("schema_version"), F.lit(fixed.CONF_TABLE_ROW).alias("confidence"))
+
+
+def _expression_rows(staged: DataFrame, rules: tuple[TableRule, ...], keep: list[str]) -> DataFrame:
     none = F.array().cast(f"array<{ROW}>")
     per_rule = F.array(*[
         F.struct(F.lit(r.table).alias("table"),
                  F.when(T.contains_all("_t", r.gates), F.coalesce(r.rows(F.col("_t")), none)).otherwise(none).alias("rows"))
         for r in rules])
-    tables = staged.select(*keep, span, F.inline_outer(per_rule)).where(F.size("rows") > 0)
-    rows = explode_rows(tables, [*keep, span, "table"], "rows", "_at", "_row")
-    return rows.select(
-        *keep, "table", (F.col("_at") + 1).alias("row_no"), "_row.raw_text", "_row.content",
-        T.table_span(span, "table", F.col("_at") + 1).alias(span),
-        F.lit(fixed.ART_TABLE_ROW).alias("artifact_type"), F.lit(fixed.STATUS_EXTRACTED).alias("status"),
-        F.lit(fixed.SCHEMA_VERSION).alias("schema_version"), F.lit(fixed.CONF_TABLE_ROW).alias("confidence"))
+    tables = staged.select(*keep, F.inline_outer(per_rule)).where(F.size("rows") > 0)
+    rows = explode_rows(tables, [*keep, "table"], "rows", "_at", "_row")
+    return rows.select(*keep, "table", (F.col("_at") + 1).alias("row_no"), "_row.raw_text", "_row.content")
+
+
+def _scanned_rows(staged: DataFrame, rules: tuple[ScanRule, ...], keep: list[str]) -> DataFrame:
+    gates = [T.contains_all("_t", r.gates) for r in rules]
+    gated = staged.withColumn("_open", F.array(*gates)).where(reduce(Column.__or__, gates))
+
+    def run(batches):
+        for batch in batches:
+            for k in range(0, batch.num_rows, 256):
+                part = batch.slice(k, 256)
+                found = [(i, rule.table, n, raw, list(content.items()))
+                         for i, (text, opened) in enumerate(zip(part.column("_t").to_pylist(), part.column("_open").to_pylist()))
+                         for rule, is_open in zip(rules, opened) if is_open
+                         for n, (raw, content) in enumerate(rule.scan(text), 1)]
+                columns = list(zip(*found)) or [()] * 5
+                kept = part.take(pa.array(columns[0], pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [*(kept.column(c) for c in keep), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.string()),
+                     pa.array(columns[4], pa.map_(pa.string(), pa.string()))], names=[*keep, "table", "row_no", "raw_text", "content"])
+
+    shape = StructType([staged.schema[c] for c in keep]).add("table", "string").add("row_no", "integer").add("raw_text", "string").add("content", MapType(StringType(), StringType()))
+    return gated.select(*keep, "_t", "_open").mapInArrow(run, shape)
 
 
 # --- generic rule: section → pattern → rows → carried head → lookup
@@ -229,70 +263,6 @@ GROUPS = TableRule("chungshin_theater_dure_gender_supply", fixed.GROUP_GATES, gr
     "pdf_table_chungshin_theater_dure_gender_supply")))
 
 
-def clean_stream(text: Column) -> Column:
-    """Tokens with outer punctuation trimmed, joined by single spaces."""
-    return F.array_join(F.filter(F.transform(F.split(text, " "), T.clean_token), lambda t: t != ""), " ")
-
-
-AREA_TOKEN = r"(?:[0-9]+\.[0-9]+|" + "|".join(fixed.JEONSE_AREAS) + ")"
-_END = "(?= |$)"
-_BEGIN = "(?<![^ ])"
-
-
-def type_rows(name: str, section_start: str, section_end: str, head: str, unit: str, category: str,
-              suffix: str, supply_method: str, source: str) -> Callable[[Column], Column]:
-    """Unit rows summed per type. A price holds until the next one or the next type;
-    types keep first-seen order."""
-    money = fixed.MONEY
-    head_token = f"{_BEGIN}{head}{_END}"
-    unit_row = (f"{_BEGIN}({unit}) (?:\\S*({category})\\S* )?([0-9]+) (?:({money}) ({money}) )?({AREA_TOKEN}){_END}")
-
-    def units_of(block):
-        def priced(found):
-            price = carry_forward(F.transform(found, lambda m: F.trim(F.concat_ws(" ", g(m, 4), g(m, 5)))))
-            return let(price, lambda p: F.transform(found, lambda m, i: F.struct(
-                block["match"].alias("type"), g(m, 1).alias("unit"), g(m, 2).alias("category"),
-                g(m, 3).try_cast("int").alias("count"),
-                (N.plain_long(F.split_part(at(p, i), F.lit(" "), F.lit(1))) * 1000).alias("deposit"),
-                N.plain_long(F.split_part(at(p, i), F.lit(" "), F.lit(2))).alias("rent"),
-                g(m, 6).alias("area"))))
-        found = let(scan(block["tail"], unit_row, 6), priced)
-        return F.filter(found, lambda u: (u["deposit"] > 0) & (u["rent"] > 0) & u["count"].isNotNull())
-
-    def won(v):
-        return F.concat(N.group_thousands(v), F.lit("원"))
-
-    def summary(kind, units):
-        def build(mine):
-            head_unit = at(mine, 0)
-            mark = last(F.filter(F.transform(mine, lambda u: u["category"]), lambda c: c != ""))
-            count = F.aggregate(mine, F.lit(0), lambda acc, u: acc + u["count"])
-            shown = F.to_json(F.transform(mine, lambda u: F.struct(
-                u["unit"].alias("unit_type"), u["count"].cast("string").alias("supply_count"),
-                u["area"].alias("exclusive_area_m2"), won(u["deposit"]).alias("deposit_text"),
-                won(u["rent"]).alias("monthly_rent_text"))))
-            label = T.join_non_blank(F.lit(name), kind, mark)
-            return F.when(count > 0, row(
-                label, source=source, housing_name=name, supply_method=supply_method, supply_category=supply_method,
-                application_category=mark, application_unit_label=label, supply_count=count.cast("string"),
-                exclusive_area_m2=F.regexp_replace(kind, f"{suffix}$", ""), deposit_text=won(head_unit["deposit"]),
-                monthly_rent_text=won(head_unit["rent"]), unit_rows=shown))
-        return let(F.filter(units, lambda u: u["type"] == kind), build)
-
-    def rows(text: Column) -> Column:
-        body = clean_stream(T.section_between(text, section_start, section_end))
-        units = F.flatten(F.transform(scan(body, head_token, 0), units_of))
-        return F.filter(let(units, lambda us: F.transform(
-            F.array_distinct(F.transform(us, lambda u: u["type"])), lambda kind: summary(kind, us))), lambda r: r.isNotNull())
-
-    return rows
-
-
-TYPES = TableRule("magok_challenge_house_supply", fixed.TYPE_GATES, type_rows(
-    fixed.TYPE_NAME, fixed.TYPE_SECTION_START, fixed.TYPE_SECTION_END, fixed.TYPE_HEAD, fixed.TYPE_UNIT,
-    fixed.TYPE_CATEGORY, fixed.TYPE_SUFFIX, fixed.TYPE_SUPPLY_METHOD, "hwp_text_magok_challenge_house_supply"))
-
-
 def _hope(text: Column) -> Column:
     """Supply rows opened up per gender, with price and address looked up by canonical name (last wins)."""
     canonical = lambda c: T.canonical_name(c, fixed.HOPE_NAMES)
@@ -351,62 +321,4 @@ def _support(text: Column) -> Column:
 SUPPORT = TableRule("jeonse_lease_support", fixed.SUPPORT_GATES, _support)
 
 
-def price_table_rows(districts: tuple[str, ...], categories: tuple[str, ...], header_words: tuple[str, ...],
-                     area: str, source: str, money_unit: str) -> Callable[[Column], Column]:
-    """Long price table: each row is area, category, count and three amounts, closed by
-    the heating kind; district, name and area hold until they change."""
-    money = rf"\S*{fixed.MONEY}\S*"
-    category = "|".join(sorted(categories, key=len, reverse=True))
-    kinds = "|".join(fixed.HEATING_KINDS)
-    heating = f"(?:{kinds}) ?{fixed.HEATING_WORD}"
-    pattern = (f"{_BEGIN}(?:({area}) (?:({category}) )?|({category}) )([0-9]+|-) ((?:(?!{money})\\S+ ){{0,3}})"
-               f"({money}) ({money}) ({money}) (?:\\S+ ){{0,8}}?({heating}){_END}")
-    skip = (*header_words, *districts)
-
-    def rows(text: Column) -> Column:
-        def tokens_of(gap):
-            return F.filter(F.split(gap, " "), lambda t: t != "")
-
-        def district_in(p):
-            return last(F.filter(tokens_of(p["gap"]), lambda t: t.isin(*districts)))
-
-        def name_in(p):
-            def after_district(tokens):
-                back = F.array_position(F.transform(F.reverse(tokens), lambda t: t.isin(*districts)), True).cast("int")
-                tail = F.when(back > 0, F.slice(tokens, F.size(tokens) - back + 2, F.greatest(back - 1, F.lit(0)))).otherwise(tokens)
-                return F.array_join(F.filter(tail, lambda t: ~t.isin(*skip)), " ")
-            return let(tokens_of(p["gap"]), after_district)
-
-        def build(found, names, areas):
-            def one(p, i):
-                between = F.filter(F.split(g(p, 5), " "), lambda t: t != "")
-                spare = last(between)
-                mark = F.concat(g(p, 2), g(p, 3))
-                return row(
-                    p["match"], source=source, district=p["district"], housing_name=at(names, i), exclusive_area_m2=at(areas, i),
-                    application_category=mark, supply_count=g(p, 4),
-                    jeonse_deposit_text=g(p, 6), contract_deposit_text=g(p, 7), balance_payment_text=g(p, 8),
-                    money_unit=money_unit, heating_method=F.replace(g(p, 9), F.lit(" "), F.lit("")),
-                    reserved_count=F.when((F.size(between) >= 2) & spare.rlike("^([0-9]+|-)$"), spare).otherwise(""),
-                    application_unit_label=T.join_non_blank(at(names, i), at(areas, i), mark))
-            built = F.transform(found, one)
-            return F.filter(built, lambda r: (r["content"]["housing_name"] != "") & (r["content"]["exclusive_area_m2"] != ""))
-
-        def with_district(found):
-            districts_at = carry_forward(F.transform(found, district_in))
-            placed = let(districts_at, lambda d: F.transform(found, lambda p, i: F.struct(
-                p["gap"], p["match"], p["g"], at(d, i).alias("district"))))
-            return F.filter(placed, lambda p: p["district"] != "")
-
-        found = let(scan(clean_stream(text), pattern, 9), with_district)
-        return let(found, lambda f: let(carry_forward(F.transform(f, name_in)), lambda names: let(
-            carry_forward(F.transform(f, lambda p: g(p, 1))), lambda areas: build(f, names, areas))))
-
-    return rows
-
-
-PRICE_TABLE = TableRule("long_term_jeonse", fixed.JEONSE_GATES, price_table_rows(
-    fixed.JEONSE_DISTRICTS, fixed.JEONSE_CATEGORIES, fixed.JEONSE_HEADER_WORDS, AREA_TOKEN,
-    "pdf_table_long_term_jeonse", fixed.JEONSE_MONEY_UNIT))
-
 DEFAULT_RULES = (UNIT_CONDITIONS, VACANCY, SHARED_PRICE, GROUPS, HOPE, TYPES, SUPPORT, PRICE_TABLE)

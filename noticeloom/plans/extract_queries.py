@@ -29,7 +29,8 @@ def _docs(t, body):
 def _rows(t, body, rules, *names):
     """Table rows of one document per order, with the named content."""
     out = tables.extract_rows(_docs(t, body), rules)
-    return out.select(KEY, "table", "row_no", "source_span", *[F.col("content")[n].alias(n) for n in names])
+    scanned = ["raw_text"] if any(isinstance(r, tables.ScanRule) for r in rules) and len(rules) == 1 else []
+    return out.select(KEY, "table", "row_no", "source_span", *scanned, *[F.col("content")[n].alias(n) for n in names])
 
 
 _O = "(SELECT *, CAST(o_orderkey AS STRING) AS k, CAST(o_custkey AS STRING) AS c, format('{:,}', o_custkey + 1000) AS m FROM orders)"
@@ -99,13 +100,18 @@ def _(t):
 
 @query("g05_type_groups", f"""
     SELECT o_orderkey, 'magok_challenge_house_supply' AS "table", row_no, {_SPAN.format('magok_challenge_house_supply')},
-           CASE row_no WHEN 1 THEN '마곡 도전숙 21㎡형' ELSE '마곡 도전숙 24㎡형 주거약자' END AS application_unit_label,
+           CASE row_no WHEN 1 THEN '마곡 도전숙 21㎡형' ELSE '마곡 도전숙 24㎡형 주거약자' END AS application_unit_label, CASE row_no WHEN 1 THEN '마곡 도전숙 21㎡형' ELSE '마곡 도전숙 24㎡형 주거약자' END AS raw_text,
            CASE row_no WHEN 1 THEN CAST(o_custkey + o_custkey + 7 AS STRING) ELSE c END AS supply_count, CASE row_no WHEN 1 THEN m ELSE '8,000' END || ',000원' AS deposit_text,
-           CASE row_no WHEN 1 THEN '1,500원' ELSE '2,500원' END AS monthly_rent_text FROM {_O}, (VALUES (1), (2)) AS v(row_no) WHERE row_no = 1 OR o_custkey > 0""")
+           CASE row_no WHEN 1 THEN '1,500원' ELSE '2,500원' END AS monthly_rent_text,
+           CASE row_no WHEN 1 THEN '[{{"unit_type":"A형","supply_count":"' || c || '","exclusive_area_m2":"21.42","deposit_text":"' || m || ',000원","monthly_rent_text":"1,500원"}},'
+               || '{{"unit_type":"A1형","supply_count":"7","exclusive_area_m2":"21.46","deposit_text":"' || m || ',000원","monthly_rent_text":"1,500원"}},'
+               || '{{"unit_type":"B형","supply_count":"' || c || '","exclusive_area_m2":"21.1","deposit_text":"9,000,000원","monthly_rent_text":"9,999원"}}]'
+               ELSE '[{{"unit_type":"C형","supply_count":"' || c || '","exclusive_area_m2":"24.3","deposit_text":"8,000,000원","monthly_rent_text":"2,500원"}}]' END AS unit_rows
+    FROM {_O}, (VALUES (1), (2)) AS v(row_no) WHERE row_no = 1 OR o_custkey > 0""")
 def _(t):
     body = text("마곡 도전숙 공급현황 공급유형별 면적 및 임대료 공급유형 주택유형 21㎡형 A형 ", C(), " ", _m(), " 1,500 21.42 17.5 A1형 7 21.46 (24㎡형) C형 (주거약자용) ", C(), " 8,000 2,500 24.3 22㎡형 D형 3 22.1",
                 " 21㎡형 B형 ", C(), " 9,000 9,999 21.1 세대 내 옵션 23㎡형 E형 4 1,000 2,000 23.5")
-    return _rows(t, body, (tables.TYPES,), "application_unit_label", "supply_count", "deposit_text", "monthly_rent_text")
+    return _rows(t, body, (tables.TYPES,), "application_unit_label", "supply_count", "deposit_text", "monthly_rent_text", "unit_rows")
 
 
 @query("g06_gender_expansion", f"""
@@ -130,14 +136,19 @@ def _(t):
 
 
 @query("g08_price_table", f"""
-    SELECT o_orderkey, 'long_term_jeonse' AS "table", row_no, {_SPAN.format('long_term_jeonse')}, CASE row_no WHEN 4 THEN '중구' ELSE '송파구' END AS district,
-           CASE row_no WHEN 4 THEN '숲속' ELSE '푸른 단지' || c END AS housing_name, CASE row_no WHEN 3 THEN '84.5' WHEN 4 THEN '74' ELSE '59' END AS exclusive_area_m2,
-           CASE row_no WHEN 1 THEN '일반' WHEN 2 THEN '주거약자' ELSE '' END AS application_category, c AS supply_count, CASE row_no WHEN 1 THEN '4' ELSE '' END AS reserved_count,
-           m AS jeonse_deposit_text, CASE row_no WHEN 2 THEN '지역난방' ELSE '개별난방' END AS heating_method FROM {_O}, (VALUES (1), (2), (3), (4)) AS v(row_no)""")
+    SELECT o_orderkey, 'long_term_jeonse' AS "table", row_no, {_SPAN.format('long_term_jeonse')}, CASE WHEN row_no < 4 THEN '송파구' WHEN row_no < 6 THEN '중구' ELSE '노원구' END AS district,
+           CASE row_no WHEN 4 THEN '숲속' WHEN 5 THEN '45 ' || c || ' ' || m || ' 1,000' WHEN 6 THEN '45 ' || c || ' ' || m || ' 1,000' ELSE '푸른 단지' || c END AS housing_name,
+           CASE row_no WHEN 3 THEN '84.5' WHEN 4 THEN '74' WHEN 5 THEN '74' WHEN 6 THEN '74' ELSE '59' END AS exclusive_area_m2,
+           CASE row_no WHEN 1 THEN '일반' WHEN 2 THEN '주거약자' WHEN 5 THEN '우선' WHEN 6 THEN '일반' ELSE '' END AS application_category, c AS supply_count, CASE row_no WHEN 1 THEN '4' ELSE '' END AS reserved_count,
+           m AS jeonse_deposit_text, CASE WHEN row_no IN (2, 6) THEN '지역난방' ELSE '개별난방' END AS heating_method,
+           CASE row_no WHEN 1 THEN '59 일반 ' || c || ' (x) 4 ' WHEN 2 THEN '주거약자 ' || c || ' ' WHEN 3 THEN '84.5 ' || c || ' ' WHEN 4 THEN '74 ' || c || ' ' WHEN 5 THEN '우선 ' || c || ' ' ELSE '[일반] ' || c || ' ' END
+               || m || ' 1,000 9,000 59.9 25.1 ' || CASE row_no WHEN 2 THEN '지역 난방' WHEN 6 THEN '지역난방.' ELSE '개별난방' END AS raw_text
+    FROM {_O}, (VALUES (1), (2), (3), (4), (5), (6)) AS v(row_no)""")
 def _(t):
+    """Rows before a district and rows without three amounts are none: they hand no area on, and their tokens stay in reach of a name."""
     row = lambda head, extra, heat: text(f" {head} ", C(), f" {extra}", _m(), " 1,000 9,000 59.9 25.1 ", heat)
     body = text("자치구 단지명 모집 호수 전세금액", row("49", "", "개별난방"), " 송파구 푸른, 단지", C(), row("59 일반", "(x) 4 ", "개별난방"), row("주거약자", "", "지역 난방"), row("84.5", "", "개별난방"),
-                " 중구 숲속", row("74", "", "개별난방"))
+                " 중구 숲속", row("74", "", "개별난방"), " 45 ", C(), " ", _m(), " 1,000", row("우선", "", "개별난방"), " 노원구 계약금", row("[일반]", "", "지역난방."))
     return _rows(t, body, (tables.PRICE_TABLE,), "district", "housing_name", "exclusive_area_m2", "application_category", "supply_count", "reserved_count", "jeonse_deposit_text", "heating_method")
 
 
