@@ -9,7 +9,7 @@ from noticeloom.functions import numbers as N
 from noticeloom.functions import text as T
 from noticeloom.functions.dates import older_than
 from noticeloom.operators import availability as A
-from noticeloom.operators import classify, dedupe, discovery, enrich, predicates, quality, reconcile, rents, repair, reports, upsert
+from noticeloom.operators import classify, dedupe, discovery, enrich, intervals, predicates, quality, reconcile, rents, repair, reports, upsert
 from noticeloom.plans import serve
 from noticeloom.plans.registry import query
 
@@ -170,6 +170,23 @@ def _(t):
     return t.project("visited_schedules").where(_now().between(F.col("starts_at"), F.col("ends_at"))).select("id", "notice_id")
 
 
+_AS_OF = "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS notice_id, ts, ts + CAST(floor(value) AS INT) * 10 * INTERVAL '1' MINUTE AS until, event_type FROM {events}"
+
+
+@query("j16_as_of_join", f"""
+    WITH e AS ({_AS_OF.format(events='events')})
+    SELECT m.event_id, count(s.event_id) AS open_schedules, min(s.event_id) AS first_open, max(s.until) AS open_until
+    FROM e m LEFT JOIN e s ON s.notice_id = m.notice_id AND s.event_type IN ('view', 'signup') AND m.ts BETWEEN s.ts AND s.until GROUP BY m.event_id""")
+def _(t):
+    """Schedules open at each of all moments; one notice holds a third of both sides."""
+    events = t.spark.sql(_AS_OF, events=t.events)
+    schedules = events.where("event_type IN ('view', 'signup')").select(F.col("event_id").alias("id"), "notice_id", F.col("ts").alias("starts_at"), F.col("until").alias("ends_at"))
+    moments = events.select("event_id", "notice_id", "ts")
+    held = intervals.containing(moments, schedules, ["notice_id"], "ts").groupBy("event_id").agg(
+        F.count(F.lit(1)).alias("open_schedules"), F.min("id").alias("first_open"), F.max("ends_at").alias("open_until"))
+    return moments.select("event_id").join(held, "event_id", "left").fillna(0, ["open_schedules"])
+
+
 @query("o01_o06_newest_orders", "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey DESC LIMIT 1000")
 def _(t):
     return serve.newest(t.orders.select("o_orderkey", "o_custkey"), serve.api_limit("5000"), "o_orderkey")
