@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from noticeloom import fixed
 from noticeloom.functions import dates as D
 from noticeloom.functions import text as T
+from noticeloom.operators import phrases
 from noticeloom.operators.classify import NOTICE_RULES, notice_category
 from noticeloom.operators.dedupe import first_row, key_set
 from noticeloom.session import cut_lineage
 
-ANCHORS = (1, 3, 8)
-
 
 def skip_known(rows: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(key_set(known, *keys), keys, "left_anti")
@@ -36,86 +37,98 @@ def with_seen(rows: DataFrame, cache: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(entry, keys, "left")
 
 
-def _grams(key: Column, size: int) -> Column:
-    """Distinct substrings of that length."""
-    starts = F.sequence(F.lit(1), F.greatest(F.length(key) - size + 1, F.lit(1)))
-    return F.array_distinct(F.transform(starts, lambda i: F.substring(key, i, F.lit(size))))
-
+def match_targets(rows: DataFrame, targets: DataFrame, row_key: Column, target_key: str) -> DataFrame:
+    """Add ``target``: the least target title that equals, holds or is held by the row's title key.
 
-def _anchor_size(key: Column) -> Column:
-    size = F.lit(ANCHORS[0])
-    for n in ANCHORS[1:]:
-        size = F.when(F.length(key) >= n, n).otherwise(size)
-    return size
+    Empty keys match nothing. Rows are read where they stand, without a shuffle, as long as
+    the targets make up one block (``phrases``).
+    """
+    return phrases.with_least(rows.withColumn("_row_key", row_key), "_row_key", phrases.blocks(targets.select(target_key)), "target").drop("_row_key")
 
 
-def _contained(needles: DataFrame, hay: DataFrame) -> DataFrame:
-    """Pairs (needle, hay) where the needle is a substring, without comparing all pairs.
+def parts_of(lists: DataFrame) -> DataFrame:
+    """(``_text``, ``_part``): keys that share a target, directly or through others, share a part.
 
-    Every needle is looked up by one of its own grams: the one that occurs in the
-    fewest hay strings. A hay string that holds the needle holds all its grams, so
-    no pair is lost, and a needle with a gram nowhere in the hay drops out.
+    Every key takes the least label of its targets, every target the least of its keys, and
+    labels are replaced by their own labels, until nothing changes: as many rounds as the
+    logarithm of the longest chain of overlapping keys, whatever the numbers of keys and targets.
     """
-    sizes = [n for n in ANCHORS]
-    hay_grams = hay.select("hay", F.explode(F.flatten(F.array(*[
-        F.when(F.length("hay") >= n, _grams(F.col("hay"), n)).otherwise(F.array().cast("array<string>"))
-        for n in sizes]))).alias("gram"))
-    weight = hay_grams.groupBy("gram").agg(F.count(F.lit(1)).alias("_n"))
-    size = _anchor_size(F.col("needle"))
-    chosen = F.get(F.filter(F.array(*[F.when(size == n, _grams(F.col("needle"), n)) for n in sizes]),
-                            lambda a: a.isNotNull()), F.lit(0))
-    anchors = (needles.select("needle", F.explode(chosen).alias("gram")).join(weight, "gram", "left")
-               .groupBy("needle").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "gram")).alias("a"))
-               .where("a.n > 0").select("needle", F.col("a.gram").alias("gram")))
-    return hay_grams.join(anchors, "gram").where(F.contains("hay", "needle")).select("needle", "hay")
-
-
-def _pairs(keys: DataFrame, targets: DataFrame, target_key: str) -> DataFrame:
-    """Pairs (_row_key, t) of a title key and a target that equals, holds or is held by it."""
-    keys = keys.where("_row_key <> ''").distinct()
-    wanted = targets.select(F.col(target_key).alias("t")).where("t <> ''").distinct()
-    forward = _contained(wanted.select(F.col("t").alias("needle")), keys.select(F.col("_row_key").alias("hay"))).select(
-        F.col("hay").alias("_row_key"), F.col("needle").alias("t"))
-    backward = _contained(keys.select(F.col("_row_key").alias("needle")), wanted.select(F.col("t").alias("hay"))).select(
-        F.col("needle").alias("_row_key"), F.col("hay").alias("t"))
-    return forward.union(backward)
-
+    pairs = cut_lineage(lists.select("_text", F.explode("_found").alias("t")), "target-pairs")
+    labels = pairs.select("t", F.col("t").alias("_part")).distinct()
+    while True:
+        keys = pairs.join(labels, "t").groupBy("_text").agg(F.min("_part").alias("_part"))
+        new = pairs.join(keys, "_text").groupBy("t").agg(F.min("_part").alias("_part"))
+        up = new.select(F.col("t").alias("_part"), F.col("_part").alias("_up"))
+        old = labels.select("t", F.col("_part").alias("_old"))
+        moved = cut_lineage(new.join(up, "_part").join(old, "t").select("t", F.col("_up").alias("_part"), (F.col("_up") != F.col("_old")).alias("_moved")), "target-parts")
+        labels = moved.drop("_moved")
+        if not moved.where("_moved").limit(1).count():
+            return lists.select("_text", F.col("_found")[0].alias("t")).join(labels, "t").select("_text", "_part")
 
-def match_targets(rows: DataFrame, targets: DataFrame, row_key: Column, target_key: str) -> DataFrame:
-    """Add ``target``: the least target title that equals, holds or is held by the row's title key.
 
-    Empty keys match nothing. Titles are reduced to distinct keys first, so copies
-    of one title cost one comparison.
-    """
-    rows = rows.withColumn("_row_key", row_key)
-    best = _pairs(rows.select("_row_key"), targets, target_key).groupBy("_row_key").agg(F.min("t").alias("target"))
-    return rows.join(best, "_row_key", "left").drop("_row_key")
+#: Rows of one title on a board are ranked in so many groups, so that a hot title is not sorted in one task.
+RANK_GROUPS = 64
+#: Pairs of a title and a target that one pass over a board takes in; more are split in parts.
+PART_PAIRS = 200_000
 
 
 def use_up_targets(rows: DataFrame, targets: DataFrame, row_key: Column, target_key: str, keys: list[str], order: list[str]) -> DataFrame:
     """Add ``target`` and ``is_target`` as a reader in ``order`` would, who uses up one target a row.
 
-    A row takes the least of its targets that is still free. Rounds find the same without
-    reading in order: every row asks for its least target left, a target goes to the
-    earliest row that asks, and nobody later may ask for it again; this is repeated until no row is
-    refused. Only matched rows take part. Other rows show the least target they match, if any.
+    A row takes the least of its targets that is still free. Of the rows of one title on a
+    board, no more can take a target than the title has targets; most others are left out.
+    What remains falls into parts of titles that share targets (one part, where there are
+    few pairs). Each part of a board is read in order in one pass, which holds the part's
+    target lists and what is used up. Rows without a free target show the least target they
+    match, if any. Rows with a null key take none; rows at one place of a board take one
+    each and all show the least of these.
     """
-    rows = rows.withColumn("_row_key", row_key)
-    pairs = cut_lineage(_pairs(rows.select("_row_key"), targets, target_key).distinct(), "target-pairs")
+    wanted = phrases.blocks(targets.select(target_key))
+    marked = cut_lineage(phrases.with_least(rows.withColumn("_row_key", row_key), "_row_key", wanted, "_least"), "target-rows")
     at = F.struct(*order)
-    left = cut_lineage(rows.select(*keys, at.alias("_at"), "_row_key").join(pairs, "_row_key").select(*keys, "_at", "t"), "target-rows")
-    while True:
-        asked = left.groupBy(*keys, "_at").agg(F.min("t").alias("t"))
-        held = cut_lineage(asked.groupBy(*keys, "t").agg(F.min("_at").alias("_held"), F.count(F.lit(1)).alias("_asked")), "targets-held")
-        if not held.where("_asked > 1").limit(1).count():
-            break
-        left = cut_lineage(left.join(held, [*keys, "t"], "left").where("_held IS NULL OR _at <= _held").select(*keys, "_at", "t"), "target-rows")
-    taken = held.select(*keys, F.col("_held").alias("_at"), F.col("t").alias("_taken"))
-    least = pairs.groupBy("_row_key").agg(F.min("t").alias("_least"))
-    joined = rows.withColumn("_at", at).join(least, "_row_key", "left").join(taken, [*keys, "_at"], "left")
+    hits = marked.where("_least IS NOT NULL").select(*keys, at.alias("_at"), "_row_key")
+    lists = cut_lineage(phrases.all_matches(hits.select("_row_key"), wanted), "target-lists")
+    ranked = Window.partitionBy(*keys, "_row_key", F.pmod(F.xxhash64("_at"), F.lit(RANK_GROUPS))).orderBy("_at")
+    able = hits.join(lists.withColumnRenamed("_text", "_row_key"), "_row_key").withColumn("_n", F.row_number().over(ranked)).where(F.col("_n") <= F.size("_found"))
+    first = F.when(F.col("_n") == 1, F.col("_found")).alias("_found")
+    placed = able.select(*keys, "_at", "_row_key", first)
+    if (lists.agg(F.sum(F.size("_found")).alias("n")).first()["n"] or 0) <= PART_PAIRS:
+        placed = placed.withColumn("_part", F.lit(""))
+    else:
+        placed = placed.join(parts_of(lists).withColumnRenamed("_text", "_row_key"), "_row_key")
+    taken = _read_in_order(placed, keys).groupBy(*keys, "_at").agg(F.min("_taken").alias("_taken"))
+    joined = marked.withColumn("_at", at).join(taken, [*keys, "_at"], "left")
     return joined.withColumn("target", F.coalesce("_taken", "_least")).withColumn("is_target", F.col("_taken").isNotNull()).drop("_row_key", "_at", "_taken", "_least")
 
 
+def _read_in_order(placed: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, ``_at``, ``_taken``) of the rows that take a target, part by part in the order of ``_at``."""
+    group = [*keys, "_part"]
+
+    def run(batches):
+        now, lists, used, start = None, {}, set(), {}
+        for batch in batches:
+            where, taken = [], []
+            for i, (part, key, found) in enumerate(zip(zip(*(batch.column(c).to_pylist() for c in group)), batch.column("_row_key").to_pylist(), batch.column("_found").to_pylist())):
+                if part != now:
+                    now, lists, used, start = part, {}, set(), {}
+                mine = lists.setdefault(key, found)
+                k = start.get(key, 0)
+                while k < len(mine) and mine[k] in used:
+                    k += 1
+                if k < len(mine):
+                    used.add(mine[k])
+                    where.append(i)
+                    taken.append(mine[k])
+                start[key] = k
+            kept = batch.take(pa.array(where, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*(kept.column(c) for c in (*keys, "_at")), pa.array(taken, pa.string())], names=[*keys, "_at", "_taken"])
+
+    shape = StructType([placed.schema[c] for c in (*keys, "_at")]).add("_taken", "string")
+    ordered = placed.repartition(*group).sortWithinPartitions(*group, "_at")
+    return ordered.select(*group, "_at", "_row_key", "_found").mapInArrow(run, shape)
+
+
 def outcome(is_old, is_target, is_known, is_seen) -> Column:
     """Cutoff, then known, then seen; a target passes the cutoff and the cache."""
     return (F.when(is_old & ~is_target, "skipped_old").when(is_known, "skipped_known")

@@ -115,9 +115,10 @@ class PriceTable:
         t, i, opened = Tokens(text), 0, 0
         held = {"district": "", "name": "", "area": ""}
         while i < len(t):
-            if t.at(i) in self.districts:
-                held["district"], opened = t.at(i), i + 1
-            elif found := self.row(t, i, held, opened):
+            word = t.clean[i]
+            if word in self.districts:
+                held["district"], opened = word, i + 1
+            elif (word[:1].isdigit() or word in self.categories) and (found := self.row(t, i, held, opened)):
                 content, end = found
                 yield t.text(i, end), content
                 held.update(name=content["housing_name"], area=content["exclusive_area_m2"])

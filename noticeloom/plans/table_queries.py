@@ -374,6 +374,17 @@ def _(t):
     return discovery.match_targets(t.benchmark, targets, T.title_key_strict("text"), "k").select("item_id", "target")
 
 
+@query("j04_letter_targets", """
+    WITH k AS (SELECT DISTINCT unnest([substr(text, 1, 1), substr(text, 2, 2), substr(text, 1, 12)]) AS k FROM conversations WHERE text <> ''),
+    r AS (SELECT DISTINCT text FROM documents UNION SELECT text FROM conversations)
+    SELECT md5(text) AS title, min(k) AS target FROM r LEFT JOIN k ON k <> '' AND text <> '' AND (contains(text, k) OR contains(k, text)) GROUP BY text""")
+def _(t):
+    """Targets of one, two and twelve letters, looked for in all documents and turns."""
+    targets = t.conversations.where("text <> ''").select(F.explode(F.array(*[F.substring("text", a, n) for a, n in ((1, 1), (2, 2), (1, 12))])).alias("k"))
+    rows = t.documents.select("text").union(t.conversations.select("text")).distinct()
+    return discovery.match_targets(rows, targets, F.col("text"), "k").select(F.md5("text").alias("title"), "target")
+
+
 _DECIDED = _CACHE + """,
     targets AS (SELECT DISTINCT board, 'clicknotice' || CAST(user_id AS STRING) AS target FROM (SELECT event_id % 5 AS board, user_id FROM events WHERE value > 150)),
     keyed AS (SELECT DISTINCT lower(translate(title, ' .()', '')) AS k FROM list_rows),
