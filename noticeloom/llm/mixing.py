@@ -130,10 +130,10 @@ def report(docs: DataFrame, **options) -> DataFrame:
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The documents that the mix takes, with how often (``copies``) and their ``taken`` words."""
     _, found = plan(docs, id_col, text_col, source_col, **options)
-    own = ["mix_key", "size", "hash", "source_size", "target", "whole", "below", "at", "copies", "taken"]
-    kept = [c for c in docs.columns if c not in own]
-    rows = docs.select(*kept, key_of(source_col).alias("mix_key"), size_of(text_col).alias("size"), hash_of(id_col).alias("hash"))
-    return take(rows, found).where("copies > 0").select(*kept, "copies", "taken")
+    kept = [c for c in docs.columns if c not in ("copies", "taken")]
+    whole = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_document")
+    rows = docs.select(whole, key_of(source_col).alias("mix_key"), size_of(text_col).alias("size"), hash_of(id_col).alias("hash"))
+    return take(rows, found).where("copies > 0").select(*[F.col("_document")[c].alias(c) for c in kept], "copies", "taken")
 
 
 def report_sql() -> str:

@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from noticeloom.session import cut_lineage, scratch_dir
@@ -183,6 +183,13 @@ def records_in(stream) -> Iterator[tuple[dict[str, str], bytes]]:
         raise ValueError("the last record is cut off")
 
 
+def _spread(files: DataFrame) -> DataFrame:
+    """The manifest's file names, one to a task. AQE would put a column of a few bytes in one."""
+    many = files.count()
+    number = F.row_number().over(Window.orderBy("file")) - 1  # one row per file
+    return files.select("file", number.alias("number")).repartitionById(max(1, many), "number").select("file")
+
+
 def read(spark: SparkSession, root: str, with_payload: bool = False) -> DataFrame:
     """Records of the files that the manifest names, digests checked.
 
@@ -217,8 +224,7 @@ def read(spark: SparkSession, root: str, with_payload: bool = False) -> DataFram
                     if rows:
                         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), layout)], schema=layout)
 
-    files = spark.read.schema(_MANIFEST).parquet(f"{root}/_manifest").select("file")
-    return files.repartition("file").mapInArrow(unpack, schema + (", payload binary" if with_payload else ""))
+    return _spread(spark.read.schema(_MANIFEST).parquet(f"{root}/_manifest").select("file")).mapInArrow(unpack, schema + (", payload binary" if with_payload else ""))
 
 
 def new_archive(spark: SparkSession) -> str:

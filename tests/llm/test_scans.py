@@ -99,8 +99,10 @@ def test_archive_round_trip(spark, tmp_path):
         assert sorted(f for f in os.listdir(root) if f.endswith(".gz")) == sorted(names[-1]) and not os.listdir(f"{root}/_temporary")
     assert names[0] == names[1] and len(names[0]) > 3  # equal bytes, whatever the input's partitions
     assert b"WARC/1.1" in gzip.decompress(next(iter(names[0].values())))
-    got = {}
-    for r in warc.read(spark, root, with_payload=True).collect():
+    got, read = {}, warc.read(spark, root, with_payload=True)
+    read.write.parquet(f"{tmp_path}/read")
+    assert read.rdd.getNumPartitions() == len(names[1]) == len([f for f in os.listdir(f"{tmp_path}/read") if f.endswith(".parquet")])
+    for r in read.collect():
         got.setdefault(r["page_id"], []).append(r)
     for i, _, html in page_rows():
         body = (html or "").encode()
@@ -154,6 +156,16 @@ def test_mix_meets_its_targets(spark):
     assert mixing.mix(empty(spark)).count() == 0 and mixing.report(empty(spark)).count() == 0
 
 
+def test_mix_keeps_every_column(spark):
+    names = ["size", "hash", "source_size", "target", "whole", "below", "at", "mix_key", "prefix", "weight", "odd.name", "copies", "_document"]
+    rows = [(i, prose(i, 20), "ab"[i % 2], *[f"{n}-{i}" for n in names]) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"`{n}` string" for n in names))
+    got = mixing.mix(docs)
+    assert got.columns == [c for c in docs.columns if c != "copies"] + ["copies", "taken"]
+    kept = got.collect()
+    assert kept and all(tuple(r)[3:-2] == tuple(f"{n}-{r['doc_id']}" for n in names if n != "copies") and r["taken"] == 20 * r["copies"] for r in kept)
+
+
 def test_items_without_an_id_hit(spark):
     docs = spark.createDataFrame([(1, "x one two three y"), (2, "four five six z"), (3, "none")], "doc_id long, text string")
     bench = spark.createDataFrame([(None, "one two three"), ("b", "one two three"), (None, "four five six"), (None, None)], "item_id string, text string")
