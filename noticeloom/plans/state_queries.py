@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from noticeloom.operators import classify, dedupe, discovery, upsert
+from noticeloom.operators import classify, dedupe, discovery, snapshots, upsert
 from noticeloom.operators.repair import attempt_rows
 from noticeloom.plans.registry import query
 from noticeloom.session import scratch_dir
@@ -140,15 +140,15 @@ def _(t):
 @query("m01_m09_upsert_table", f"""
     SELECT o_orderkey, CASE WHEN new THEN o_custkey ELSE 0 END AS size, CASE WHEN old AND new THEN 2 ELSE 1 END AS seen_count {_SIDES}""")
 def _(t):
-    """Two writes into a bucketed table; the second is repeated and changes nothing."""
+    """Two upserts into a table of snapshots; the second comes in parts, and all of it again."""
     path = scratch_dir(t.spark, "table")
-    shape = lambda d, size, n: upsert.with_bucket(d.select(
-        "o_orderkey", size.cast("bigint").alias("size"), L(1).alias("seen_count"), L(n).alias("batch_id"), *(["position"] if "position" in d.columns else [])), ["o_orderkey"], 8)
-    rules = {"seen_count": upsert.add_up}
-    upsert.upsert_table(t.spark, path, shape(_target(t), L(0), 1), ["o_orderkey"], ["bucket"], rules)
-    for _again in range(2):
-        upsert.upsert_table(t.spark, path, shape(_batch(t), F.col("o_custkey"), 2), ["o_orderkey"], ["bucket"], rules, F.col("position"), version="batch_id")
-    return t.spark.read.parquet(path).select("o_orderkey", "size", "seen_count")
+    shape = lambda d, size, n: d.select(
+        "o_orderkey", size.cast("bigint").alias("size"), L(1).alias("seen_count"), L(n).alias("batch_id"), *(["position"] if "position" in d.columns else []))
+    rules, batch = {"seen_count": upsert.add_up}, shape(_batch(t), F.col("o_custkey"), 2)
+    snapshots.upsert_snapshot(t.spark, path, shape(_target(t), L(0), 1), ["o_orderkey"], rules)
+    for part in ("o_orderkey % 50 = 0", "o_orderkey % 50 <> 0", "true"):
+        snapshots.upsert_snapshot(t.spark, path, batch.where(part), ["o_orderkey"], rules, F.col("position"), version="batch_id")
+    return snapshots.read(t.spark, path, ["o_orderkey"]).select("o_orderkey", "size", "seen_count")
 
 
 # --- incremental -----------------------------------------------------------------------------------------------
@@ -161,8 +161,8 @@ def _(t):
     """Half of the rows, all of them with a checkpoint that begins anew, then the same checkpoint again."""
     table, marks = scratch_dir(t.spark, "state"), [scratch_dir(t.spark, "marks") for _ in range(2)]
     for only, mark in (("event_id % 2 = 0", marks[0]), ("true", marks[1]), ("true", marks[1])):
-        incremental.upsert_available(_stream(t).where(only).select("user_id", "event_type", "event_id", "value"), table, mark, ["user_id", "event_type"], F.col("event_id"), buckets=4)
-    return t.spark.read.parquet(table).select("user_id", "event_type", "event_id", "value")
+        incremental.upsert_available(_stream(t).where(only).select("user_id", "event_type", "event_id", "value"), table, mark, ["user_id", "event_type"], F.col("event_id"))
+    return snapshots.read(t.spark, table, ["user_id", "event_type"]).select("user_id", "event_type", "event_id", "value")
 
 
 @query("r02_seen_cache_stream", """

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticeloom.operators.dedupe import first_row, key_set
-from noticeloom.operators.upsert import Rule, append_rows, upsert_table, with_bucket
+from noticeloom.operators.snapshots import upsert_snapshot
+from noticeloom.operators.upsert import Rule, append_rows
 
 
 def landed_stream(spark: SparkSession, path: str, schema, glob: str = "*.parquet", files_per_batch: int | None = None) -> DataFrame:
@@ -33,9 +34,8 @@ def run_available(stream: DataFrame, checkpoint: str, each_batch: Callable[[Data
 
 
 def upsert_available(stream: DataFrame, table: str, checkpoint: str, keys: list[str], position: Column,
-                     rules: dict[str, Rule] | None = None, prepare: Callable[[DataFrame], DataFrame] | None = None,
-                     buckets: int = 16) -> None:
-    """Upsert a stream into a bucketed Parquet table.
+                     rules: dict[str, Rule] | None = None, prepare: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """Upsert a stream into a table of snapshots (``snapshots``), which ``snapshots.read`` reads.
 
     ``position`` is where a row stands in its source (collected-at, then its id). It is
     stored as the row's version: a row replaces one that stood before it, whatever batch,
@@ -43,8 +43,7 @@ def upsert_available(stream: DataFrame, table: str, checkpoint: str, keys: list[
     """
     def each(batch: DataFrame, batch_id: int) -> None:
         rows = (prepare(batch) if prepare else batch).withColumn("row_version", position)
-        upsert_table(batch.sparkSession, table, with_bucket(rows, keys, buckets), keys, ["bucket"], rules, F.col("row_version"),
-                     version="row_version")
+        upsert_snapshot(batch.sparkSession, table, rows, keys, rules, F.col("row_version"), version="row_version")
 
     run_available(stream, checkpoint, each)
 

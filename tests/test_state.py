@@ -1,5 +1,3 @@
-import os
-
 from pyspark.sql import functions as F
 
 from noticeloom.operators import dedupe, upsert
@@ -16,20 +14,6 @@ def test_upsert_rules_and_last_wins(spark):
     assert sorted(map(tuple, once.collect())) == want == sorted(map(tuple, twice.collect()))
 
 
-def test_upsert_table_touches_only_its_partitions(spark, tmp_path):
-    path = str(tmp_path / "t")
-    rows = spark.range(100).select("id", F.lit(1).alias("n"), F.lit(1).alias("batch_id"), (F.col("id") % 4).cast("int").alias("bucket"))
-    upsert.upsert_table(spark, path, rows, ["id"], ["bucket"])
-    before = {d: sorted(os.listdir(os.path.join(path, d))) for d in os.listdir(path) if d.startswith("bucket")}
-    batch = rows.where("bucket = 2").withColumn("batch_id", F.lit(2))
-    for _ in range(2):
-        upsert.upsert_table(spark, path, batch, ["id"], ["bucket"], {"n": upsert.add_up}, version="batch_id")
-    after = {d: sorted(os.listdir(os.path.join(path, d))) for d in os.listdir(path) if d.startswith("bucket")}
-    assert {d for d in before if before[d] != after[d]} == {"bucket=2"}
-    got = spark.read.parquet(path).groupBy("bucket").agg(F.sum("n"), F.count("*")).orderBy("bucket").collect()
-    assert [tuple(r) for r in got] == [(0, 25, 25), (1, 25, 25), (2, 50, 25), (3, 25, 25)]
-
-
 def test_uniqueness_report(spark):
     df = spark.createDataFrame([(1, "x"), (1, "x"), (2, "")], "a int, b string")
     assert [tuple(r) for r in upsert.duplicates(df, ["a", "b"]).collect()] == [(1, "x", 2)]
