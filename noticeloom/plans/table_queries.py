@@ -9,9 +9,10 @@ from noticeloom.functions import numbers as N
 from noticeloom.functions import text as T
 from noticeloom.functions.dates import older_than
 from noticeloom.operators import availability as A
-from noticeloom.operators import classify, dedupe, discovery, enrich, intervals, predicates, quality, reconcile, rents, repair, reports, upsert
+from noticeloom.operators import classify, dedupe, discovery, enrich, intervals, predicates, promotion, quality, reconcile, rents, repair, reports, upsert
 from noticeloom.plans import serve
 from noticeloom.plans.registry import query
+from noticeloom.session import scratch_dir
 
 # --- quality gate ------------------------------------------------------------------------------------------
 _NAME = "coalesce(nullif(housing_name, ''), complex_name, '')"
@@ -73,6 +74,30 @@ def _(t):
     return quality.decisions(_promoted(t))
 
 
+_FINAL = """, final AS (SELECT o.* REPLACE (CASE WHEN id % 3 <> 0 AND id % 2 <> 0 THEN application_unit_label || ' alt' ELSE application_unit_label END AS application_unit_label,
+                                         CASE WHEN id % 3 <> 0 AND id % 2 <> 0 THEN CAST(5 AS INT) ELSE supply_count END AS supply_count) FROM offerings o WHERE id % 10 <> 7), """
+_KEPT_STATUS = _FINAL + _PROMOTED.replace("FROM offerings o", "FROM final o")
+
+
+def _promoted_in_batches(t):
+    """Two thirds as first read, then every second one as it is now, then the rest; a tenth is deleted and notices change at last."""
+    path, offerings = scratch_dir(t.spark, "promoted"), t.project("offerings")
+    notices = t.project("notices")
+    first = offerings.where("id % 3 <> 0").withColumns({"application_unit_label": F.concat("application_unit_label", F.lit(" alt")), "supply_count": F.lit(5)})
+    open_notices = notices.withColumn("category", F.lit("recruitment"))
+    promotion.promote_batch(t.spark, path, first, open_notices)
+    promotion.promote_batch(t.spark, path, offerings.where("id % 2 = 0"), open_notices, deleted=offerings.where("id % 10 = 7 AND id % 3 <> 0"))
+    for _again in range(2):
+        promotion.promote_batch(t.spark, path, offerings.where("id % 2 <> 0 AND id % 3 = 0"), notices, deleted=offerings.where("id % 10 = 7"),
+                                changed_notices=notices.where("category <> 'recruitment'").select("id"))
+    return promotion.promoted(t.spark, path)
+
+
+@query("m14_promote_in_batches", _KEPT_STATUS + " SELECT id, qa_status, failed_clauses FROM promoted", _QA)
+def _(t):
+    return _promoted_in_batches(t).select("id", "qa_status", "failed_clauses")
+
+
 @query("q01_approved_offerings", _qa("""
     SELECT id, source, application_unit_label, unit_no, exclusive_area_m2, supply_count, deposit_krw, monthly_rent_krw, source_row, source_span, qa_status
     FROM promoted WHERE qa_status = 'approved' ORDER BY id DESC LIMIT 200"""), _QA)
