@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from noticeloom import fixed
+from noticeloom.operators import offerings, tables
+from noticeloom.session import cut_lineage
+
 
 def status_counts(df: DataFrame, column: str, values: list[str]) -> DataFrame:
     """Row count and one count per value, in one pass."""
@@ -38,3 +44,25 @@ def file_totals(artifacts: DataFrame, offerings: DataFrame, file: str) -> DataFr
     o = offerings.groupBy(file).agg(F.count(F.lit(1)).alias("_o"))
     per_file = a.join(o, file, "full_outer").select(file, F.coalesce("_a", F.lit(0)).alias("_a"), F.coalesce("_o", F.lit(0)).alias("_o"))
     return per_file.rollup(file).agg(F.count(F.lit(1)).alias("files"), F.sum("_a").alias("artifacts"), F.sum("_o").alias("offerings"))
+
+
+@dataclass(frozen=True)
+class ExtractionReport:
+    """``totals``: files, artifacts and offerings per file and overall; ``offerings``: what was found."""
+
+    totals: DataFrame
+    offerings: DataFrame
+
+
+def extraction_report(texts: DataFrame, file: str, rules=tables.DEFAULT_RULES, kind: str = "kind") -> ExtractionReport:
+    """What the row generators find in text artifacts (file, kind, source_span, raw_text).
+
+    A file's artifacts are its texts and the table rows in them. Notices in PDF form give
+    offerings from single-unit texts and from table rows, those in HWP form from table rows
+    only, other kinds none. Files without offerings are in the totals.
+    """
+    rows = cut_lineage(tables.extract_rows(texts.select(file, kind, "source_span", "raw_text"), rules), "report-rows")
+    units = offerings.route_by_kind(texts, kind, {lambda part: offerings.unit_text_offerings(part, [file]): (fixed.KIND_NOTICE_PDF,)})
+    listed = offerings.route_by_kind(rows, kind, {lambda part: offerings.table_row_offerings(part, [file]): (fixed.KIND_NOTICE_PDF, fixed.KIND_NOTICE_HWP)})
+    both = units.unionByName(listed, allowMissingColumns=True)
+    return ExtractionReport(file_totals(texts.select(file).unionByName(rows.select(file)), both, file), both)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from noticeloom import fixed
 from noticeloom.functions import text as T
 from noticeloom.operators import offerings as O
-from noticeloom.operators import rents, schedules, sheets, tables
+from noticeloom.operators import rents, reports, schedules, sheets, tables
 from noticeloom.plans.registry import query
 from noticeloom.plans.source_queries import C, K, L, text
 
@@ -281,6 +281,42 @@ def _(t):
     return O.route_by_kind(with_table, "kind", {unit: ("notice_pdf", "form"), table: ("notice_pdf", "notice_hwp")})
 
 
+# --- the extraction report: every document is a file, some with tables or a single unit below their text -----------
+def _files(t):
+    vacancy = lambda unit: text(f" 들꽃 {unit} 호 30.5 ㎡ 50 ㎡ 1 룸 5,000 7,000")
+    doc = F.col("doc_id")
+    unit = text("\n공급주택\n서울시\n중구\n가온\n로\n", doc, "\n길\n", doc % 900 + 1, "\n호\n[공급대상]\n청년\n임대료: ", doc % 900 + 1, "\n호\n전용\n공용\n20.25\n면적\n8,000\n9,000\n비고\n입주가능일")
+    body = F.concat("text", L("\n"), F.when(doc % 3 == 0, F.concat(L(" 공실 정보"), vacancy(101), vacancy(102), L(" 임대 기간"))).otherwise(""),
+                    F.when(doc % 5 == 0, text(" 전세금액 모집 호수 중구 숲속 59 ", doc % 9, " 100,000 10,000 90,000 개별난방")).otherwise(""), F.when(doc % 7 == 0, unit).otherwise(""))
+    kind = F.when(doc % 11 == 0, "form").when(doc % 4 == 3, "notice_hwp").otherwise("notice_pdf")
+    return t.wide("documents").select(F.concat(L("f"), doc.cast("string")).alias("file"), kind.alias("kind"), T.object_span(doc.cast("string")).alias("source_span"), body.alias("raw_text"))
+
+
+_FILES = """
+    WITH d AS (SELECT doc_id, 'f' || CAST(doc_id AS STRING) AS file, CASE WHEN doc_id % 11 = 0 THEN 'form' WHEN doc_id % 4 = 3 THEN 'notice_hwp' ELSE 'notice_pdf' END AS kind FROM documents),
+    r AS (SELECT file, kind, doc_id, 'vacancy' AS tab, n FROM d, (VALUES (1), (2)) AS v(n) WHERE doc_id % 3 = 0 UNION ALL SELECT file, kind, doc_id, 'long_term_jeonse', 1 FROM d WHERE doc_id % 5 = 0),
+    o AS (SELECT file, doc_id, tab, n FROM r WHERE kind <> 'form' UNION ALL SELECT file, doc_id, 'unit', 0 FROM d WHERE kind = 'notice_pdf' AND doc_id % 7 = 0)"""
+
+
+@query("q05_a04_u01_file_report", _FILES + """
+    SELECT file, count(*) AS files, CAST(sum(1 + a) AS BIGINT) AS artifacts, CAST(sum(f) AS BIGINT) AS offerings
+    FROM (SELECT d.file, (SELECT count(*) FROM r WHERE r.file = d.file) AS a, (SELECT count(*) FROM o WHERE o.file = d.file) AS f FROM d) GROUP BY ROLLUP (file)""")
+def _(t):
+    return reports.extraction_report(_files(t), "file").totals
+
+
+@query("q05_report_offerings", _FILES + """
+    SELECT file, CASE tab WHEN 'vacancy' THEN '들꽃 ' || CAST(100 + n AS STRING) || '호 30.5㎡' WHEN 'unit' THEN CAST(doc_id % 900 + 1 AS STRING) || '호 20.25㎡' ELSE '숲속 59' END AS application_unit_label,
+           CASE tab WHEN 'vacancy' THEN CAST(100 + n AS STRING) || '호' WHEN 'unit' THEN CAST(doc_id % 900 + 1 AS STRING) || '호' ELSE '' END AS unit_no,
+           CASE tab WHEN 'vacancy' THEN 30.5 WHEN 'unit' THEN 20.25 ELSE 59.0 END AS exclusive_area_m2, CASE tab WHEN 'long_term_jeonse' THEN doc_id % 9 ELSE 1 END AS supply_count,
+           CASE tab WHEN 'vacancy' THEN 5000 WHEN 'unit' THEN 8000 END AS deposit_krw, CASE tab WHEN 'vacancy' THEN 7000 WHEN 'unit' THEN 9000 END AS monthly_rent_krw,
+           CASE tab WHEN 'long_term_jeonse' THEN 100000000 END AS jeonse_deposit_krw,
+           'object://' || CAST(doc_id AS STRING) || CASE tab WHEN 'unit' THEN '' ELSE '#table=' || tab || '&row=' || CAST(n AS STRING) END AS source_span FROM o""")
+def _(t):
+    return reports.extraction_report(_files(t), "file").offerings.select(
+        "file", "application_unit_label", "unit_no", "exclusive_area_m2", "supply_count", "deposit_krw", "monthly_rent_krw", "jeonse_deposit_krw", "source_span")
+
+
 # --- rent summaries and schedules ----------------------------------------------------------------------------------
 
 

@@ -588,13 +588,6 @@ def _(t):
     return d.select("event_type", *[F.col("stats")[k].alias(k) for k in ("items", "large", "weight")])
 
 
-@query("q05_a04_u01_file_report", """
-    SELECT source, count(*) AS files, CAST(sum(artifacts) AS BIGINT) AS artifacts, CAST(sum(offerings) AS BIGINT) AS offerings
-    FROM (SELECT source, count(*) AS artifacts, count(*) FILTER (contains(text, 'tion')) AS offerings FROM documents GROUP BY source) GROUP BY ROLLUP (source)""")
-def _(t):
-    return reports.file_totals(t.documents.select("source"), t.documents.where(F.col("text").contains("tion")).select("source"), "source")
-
-
 @query("a05_amount_ranges", """
     SELECT l_orderkey, low, high, CASE WHEN low = high THEN format('{:,}', low) || '원' ELSE format('{:,}', low) || '~' || format('{:,}', high) || '원' END AS range_text
     FROM (SELECT l_orderkey, min(CAST(floor(l_extendedprice) AS BIGINT)) AS low, max(CAST(floor(l_extendedprice) AS BIGINT)) AS high FROM lineitem GROUP BY l_orderkey)""")
