@@ -1,14 +1,21 @@
 """Landed HTML to nested columns, by a real parser.
 
 Only the parsing is done here, in Arrow batches: rows with their cells and links, list
-items, captions and texts. Which of them mean what is decided by expressions in
-``pages``. Optional end tags are implied as browsers do, elements may nest, comments are
-no text, and all character references are decoded.
+items, captions and texts, as far as a caller asks for them. Which of them mean what is
+decided by expressions in ``pages``. Optional end tags are implied as browsers do, elements
+may nest, comments are no text, and all character references are decoded.
+
+The work is linear in the page and in what comes out: open elements are counted per
+border (table, cell, caption), so no tag searches the elements that stay open, and texts
+are ranges of one joined text. Cells of tables inside cells count for every row around
+them, so nested tables come out once per depth.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from html.parser import HTMLParser
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -16,36 +23,51 @@ from pyspark.sql import functions as F
 
 _LINK = "struct<href:string,onclick:string,text:string,marked:boolean>"
 _CELL = f"struct<text:string,links:array<{_LINK}>>"
-PAGE = (f"struct<rows:array<struct<tables:array<string>,in_body:boolean,heads:array<string>,cells:array<{_CELL}>>>,items:array<string>,links:array<{_LINK}>,"
-        "body:string,table_caption:string,table_head:string,caption:string,head:string,last_cell:string,visible:string>")
+FIELDS = {
+    "rows": f"array<struct<tables:array<string>,in_body:boolean,heads:array<string>,cells:array<{_CELL}>>>", "items": "array<string>", "links": f"array<{_LINK}>",
+    **dict.fromkeys(("body", "table_caption", "table_head", "caption", "head", "last_cell", "visible"), "string")}
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _CELLS = frozenset(("td", "th"))
 _SECTIONS = frozenset(("tbody", "thead", "tfoot"))
 _HIDDEN = frozenset(("script", "style", "noscript"))
-#: An end tag does not reach beyond these, unless it is one of them.
+#: An end tag does not reach beyond these, unless it belongs to a table's structure.
 _BORDERS = frozenset(("table", "td", "th", "caption"))
-#: Start tags that end open elements: those they end, and where the search stops.
-_ENDS = {**{c: (_CELLS | {"caption"}, {"tr", "table"}) for c in _CELLS}, "tr": (_CELLS | {"tr", "caption"}, {"table"}),
-         **{s: (_CELLS | _SECTIONS | {"tr", "caption", "colgroup"}, {"table"}) for s in _SECTIONS}, "li": (frozenset(("li",)), {"ul", "ol", "table", "td", "th"})}
+_STRUCTURE = _SECTIONS | {"tr", "table"}
+_ROW_PARTS = _SECTIONS | {"tr", "colgroup"}
+#: Items and the lists they belong to: an item ends the open item of its own list.
+_LISTS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "ul": (), "ol": (), "dl": (), "select": ()}
+#: Start tags before which an open paragraph ends.
+_BLOCKS = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 
 
 class _Open:
-    __slots__ = ("tag", "attributes", "classes", "number", "start", "record")
+    __slots__ = ("tag", "scope", "begin", "spans", "link", "cited")
+
+    def __init__(self, tag, scope, begin):
+        self.tag, self.scope, self.begin, self.spans, self.link, self.cited = tag, scope, begin, [], None, False
+
+
+class _Scope:
+    """What is open between a border and the next one inside it."""
+
+    __slots__ = ("at", "tag", "open", "lists", "anchor")
 
-    def __init__(self, tag, attributes, number, start, record=None):
-        self.tag, self.attributes, self.number, self.start, self.record = tag, attributes, number, start, record
-        self.classes = (attributes.get("class") or "").split()
+    def __init__(self, at, tag):
+        self.at, self.tag, self.open, self.lists, self.anchor = at, tag, defaultdict(int), [], None
 
 
 class PageParser(HTMLParser):
-    """Collects records at start tags and fills in their texts at the end tags, which is linear in the page."""
+    """Notes where records begin and end among the pieces of text; ``result`` cuts the texts."""
 
     def __init__(self, body_class: str, table_class: str, mark_class: str):
         super().__init__(convert_charrefs=True)
         self.body_class, self.table_class, self.mark_class = body_class, table_class, mark_class
-        self.pieces, self.visible, self.stack, self.hidden, self.opened = [], [], [], 0, 0
-        self.page = {"rows": [], "items": [], "links": [], "body": None, "table_caption": None, "table_head": None, "caption": None, "head": None, "last_cell": None}
+        self.pieces, self.visible, self.stack, self.hidden = [], [], [], 0
+        self.scopes = [_Scope(-1, "")]
+        self.rows_open, self.cells_open, self.anchors_open, self.tables_open, self.parts_open = [], [], [], [], []
+        self.heads_open = self.cited_open = 0
+        self.rows, self.items, self.links, self.single = [], [], [], {}
 
     def handle_data(self, data):
         self.pieces.append(data)
@@ -58,107 +80,179 @@ class PageParser(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_starttag(self, tag, attrs):
-        if tag in _ENDS:
-            ended, stop = _ENDS[tag]
+        self._imply(tag)
+        attributes = {k: v or "" for k, v in reversed(attrs)} if attrs else {}
+        classes = attributes["class"].split() if "class" in attributes else ()
+        if self.mark_class in classes:
+            for link in self.anchors_open:
+                link["marked"] = True
+        if tag in _VOID:
+            return
+        scope = self.scopes[-1]
+        o = _Open(tag, scope, len(self.pieces))
+        self._open_record(o, attributes, classes)
+        scope.open[tag] += 1
+        if tag in _LISTS:
+            scope.lists.append(tag)
+        self.stack.append(o)
+        if tag in _BORDERS:
+            self.scopes.append(_Scope(len(self.stack) - 1, tag))
+
+    def _imply(self, tag):
+        """Close what a start tag ends."""
+        if tag in _BLOCKS and self.scopes[-1].open["p"]:
+            self._close_to("p")
+        if tag in _CELLS:
+            while self.scopes[-1].tag in ("td", "th", "caption") and not self.scopes[-1].open["tr"]:
+                self._close_down_to(self.scopes[-1].at)
+        elif tag == "tr" or tag in _SECTIONS:
+            ended = ("tr",) if tag == "tr" else _ROW_PARTS
             while True:
-                for i in range(len(self.stack) - 1, -1, -1):
-                    if self.stack[i].tag in ended or self.stack[i].tag in stop:
-                        break
+                scope = self.scopes[-1]
+                if any(scope.open[t] for t in ended):
+                    self._close_to(*ended)
+                elif scope.tag in ("td", "th", "caption"):
+                    self._close_down_to(scope.at)
                 else:
                     break
-                if self.stack[i].tag not in ended:
-                    break
-                self._close_down_to(i)
-        attributes = {k: v or "" for k, v in reversed(attrs)}
-        if tag in _VOID:
-            self._mark(attributes)
-            return
-        self.hidden += tag in _HIDDEN
-        self.opened += 1
-        self.stack.append(_Open(tag, attributes, self.opened, len(self.pieces), self._record(tag, attributes)))
-        self._mark(attributes)
-
-    def _mark(self, attributes):
-        if self.mark_class in (attributes.get("class") or "").split():
-            for o in self.stack:
-                if o.tag == "a" and o.attributes is not attributes:
-                    o.record["marked"] = True
-
-    def _record(self, tag, attributes):
-        above = [o for o in self.stack if o.tag in ("tr", "td")]
+        elif tag in _LISTS and (lists := self.scopes[-1].lists) and lists[-1] in _LISTS[tag]:
+            self._close_to(lists[-1])
+
+    def _open_record(self, o, attributes, classes):
+        tag, span = o.tag, [o.begin, None]
+        if classes:
+            if self.body_class in classes and "body" not in self.single:
+                self.single["body"] = span
+                o.spans.append(span)
+            if self.table_class in classes:
+                o.cited = True
+                self.cited_open += 1
         if tag == "tr":
-            sections = [o.tag for o in self.stack if o.tag in _SECTIONS or o.tag == "table"]
-            record = {"tables": [o.attributes.get("id", "") for o in self.stack if o.tag == "table"], "in_body": not sections or sections[-1] in ("tbody", "table"), "heads": [], "cells": []}
-            self.page["rows"].append(record)
-            return record
-        if tag == "td":
-            record = {"text": "", "links": []}
-            for o in above:
-                if o.tag == "tr":
-                    o.record["cells"].append(record)
-            return record
-        if tag == "a":
-            record = {"href": attributes.get("href", ""), "onclick": attributes.get("onclick", ""), "text": "", "marked": False}
-            self.page["links"].append(record)
-            for o in above:
-                if o.tag == "td":
-                    o.record["links"].append(record)
-            return record
-        if tag == "li":
-            self.page["items"].append("")
-            return len(self.page["items"]) - 1
-        return None
+            row = {"tables": list(self.tables_open), "in_body": not self.parts_open or self.parts_open[-1] in ("tbody", "table"), "heads": [], "cells": []}
+            self.rows.append(row)
+            self.rows_open.append(row)
+        elif tag == "td":
+            cell = {"text": span, "links": []}
+            for row in self.rows_open:
+                row["cells"].append(cell)
+            self.cells_open.append(cell)
+            o.spans.append(span)
+        elif tag == "a":
+            self._end_anchor(o.scope)  # a link inside a link ends the outer one
+            o.link = {"href": attributes.get("href", ""), "onclick": attributes.get("onclick", ""), "text": span, "marked": False}
+            self.links.append(o.link)
+            for cell in self.cells_open:
+                cell["links"].append(o.link)
+            self.anchors_open.append(o.link)
+            o.scope.anchor = o.link
+        elif tag == "li":
+            self.items.append(span)
+            o.spans.append(span)
+        elif tag in _SECTIONS or tag == "table":
+            self.parts_open.append(tag)
+            self.heads_open += tag == "thead"
+            if tag == "table":
+                self.tables_open.append(attributes.get("id", ""))
+        elif tag in _HIDDEN:
+            self.hidden += 1
 
     def handle_endtag(self, tag):
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i].tag == tag:
-                self._close_down_to(i)
+        if tag not in _STRUCTURE:
+            if self.scopes[-1].open[tag]:
+                self._close_to(tag)
+            elif self.scopes[-1].tag == tag:
+                self._close_down_to(self.scopes[-1].at)
+            return
+        for scope in reversed(self.scopes):  # cells and captions end with their row, section or table
+            if scope.open[tag]:
+                self._close_to(tag)
                 return
-            if self.stack[i].tag in _BORDERS and not (tag in ("tr", "table") or tag in _SECTIONS) or self.stack[i].tag == "table":
+            if scope.tag == "table":
+                if tag == "table":
+                    self._close_down_to(scope.at)
                 return
 
+    def _close_to(self, *tags):
+        """Close down to the topmost element with one of the tags, which is known to be open."""
+        i = len(self.stack) - 1
+        while self.stack[i].tag not in tags:
+            i -= 1
+        self._close_down_to(i)
+
     def _close_down_to(self, i):
-        while len(self.stack) > i:
+        while len(self.stack) > max(i, 0):
             self._close(self.stack.pop())
 
+    def _end_anchor(self, scope):
+        if scope.anchor is not None:
+            scope.anchor["text"][1] = len(self.pieces)
+            self.anchors_open.remove(scope.anchor)
+            scope.anchor = None
+
     def _close(self, o):
-        page = self.page
-        text = lambda: "".join(self.pieces[o.start:])
-        self.hidden -= o.tag in _HIDDEN
-        if o.tag == "li":
-            page["items"][o.record] = text()
-        elif o.tag in ("td", "a"):
-            o.record["text"] = text()
-        elif o.tag == "th":
-            for above in self.stack:
-                if above.tag == "tr":
-                    above.record["heads"].append(text())
-        if o.tag in ("caption", "th"):
-            tags = [x.tag for x in self.stack]
-            if o.tag == "caption" or "thead" in tags:
-                name = "caption" if o.tag == "caption" else "head"
-                if page[name] is None:
-                    page[name] = text()
-                if page["table_" + name] is None and any(self.table_class in x.classes for x in self.stack):
-                    page["table_" + name] = text()
-        if self.body_class in o.classes and (page["body"] is None or o.number < page["body"][0]):
-            page["body"] = o.number, text()
-
-    def result(self) -> dict:
+        tag, end = o.tag, len(self.pieces)
+        if tag in _BORDERS:
+            self._end_anchor(self.scopes.pop())
+        o.scope.open[tag] -= 1
+        if tag in _LISTS:
+            o.scope.lists.pop()
+        self.cited_open -= o.cited
+        for span in o.spans:
+            span[1] = end
+        if tag == "tr":
+            self.rows_open.pop()
+        elif tag == "td":
+            self.cells_open.pop()
+        elif tag == "a":
+            if o.scope.anchor is o.link:
+                self._end_anchor(o.scope)
+        elif tag in _SECTIONS or tag == "table":
+            self.parts_open.pop()
+            self.heads_open -= tag == "thead"
+            if tag == "table":
+                self.tables_open.pop()
+        elif tag in _HIDDEN:
+            self.hidden -= 1
+        elif tag == "th":
+            for row in self.rows_open:
+                row["heads"].append([o.begin, end])
+        if tag == "caption" or tag == "th" and self.heads_open:
+            name = "caption" if tag == "caption" else "head"
+            self.single.setdefault(name, [o.begin, end])
+            if self.cited_open:
+                self.single.setdefault(f"table_{name}", [o.begin, end])
+
+    def result(self, fields) -> dict:
         self._close_down_to(0)
-        page = self.page
-        cells = [c for r in page["rows"] for c in r["cells"]]
-        return {**page, "body": page["body"][1] if page["body"] else None, "last_cell": cells[-1]["text"] if cells else None, "visible": "".join(self.visible)}
+        whole, at = "".join(self.pieces), [0, *accumulate(map(len, self.pieces))]
+        cut = lambda span: whole[at[span[0]]:at[span[1]]] if span else None
+        out = {name: cut(self.single.get(name)) for name in fields if FIELDS[name] == "string"}
+        if "links" in fields or "rows" in fields:
+            for link in self.links:
+                link["text"] = cut(link["text"])
+        if "links" in fields:
+            out["links"] = self.links
+        last = next((row["cells"][-1]["text"] for row in reversed(self.rows) if row["cells"]), None)
+        if "last_cell" in fields:
+            out["last_cell"] = cut(last)
+        if "rows" in fields:
+            out["rows"] = [{**row, "heads": [cut(h) for h in row["heads"]], "cells": [{"text": cut(c["text"]), "links": c["links"]} for c in row["cells"]]} for row in self.rows]
+        if "items" in fields:
+            out["items"] = [cut(i) for i in self.items]
+        if "visible" in fields:
+            out["visible"] = "".join(self.visible)
+        return out
 
 
-def parsed(html: Column, body_class: str, table_class: str, mark_class: str = "icoNew") -> Column:
-    """The page as one struct of type ``PAGE``; null for null."""
+def parsed(html: Column, body_class: str, table_class: str, fields: tuple[str, ...] = tuple(FIELDS), mark_class: str = "icoNew") -> Column:
+    """The page as one struct with the wanted ``FIELDS``; null for null."""
     from pyspark.sql.pandas.types import to_arrow_type
     from pyspark.sql.types import _parse_datatype_string
 
-    kind = to_arrow_type(_parse_datatype_string(PAGE))
+    shape = "struct<" + ",".join(f"{name}:{FIELDS[name]}" for name in fields) + ">"
+    kind = to_arrow_type(_parse_datatype_string(shape))
 
-    @F.arrow_udf(PAGE)
+    @F.arrow_udf(shape)
     def parse(pages: pa.Array) -> pa.Array:
         out = []
         for page in pages.to_pylist():
@@ -168,7 +262,7 @@ def parsed(html: Column, body_class: str, table_class: str, mark_class: str = "i
             parser = PageParser(body_class, table_class, mark_class)
             parser.feed(page)
             parser.close()
-            out.append(parser.result())
+            out.append(parser.result(fields))
         return pa.array(out, kind)
 
     return parse(html)

@@ -32,10 +32,10 @@ def first_of(array: Column) -> Column:
     return F.coalesce(F.get(array, F.lit(0)), F.lit(""))
 
 
-def with_page(pages: DataFrame, html: str, body_class: str = fixed.BODY_CLASS) -> DataFrame:
-    """The page columns without the markup, and the parsed page as ``_p``."""
+def with_page(pages: DataFrame, html: str, *fields: str, body_class: str = fixed.BODY_CLASS) -> DataFrame:
+    """The page columns without the markup, and the wanted fields of the parsed page as ``_p``."""
     keep = [c for c in pages.columns if c != html]
-    return hold(pages, _p=markup.parsed(T._col(html), body_class, fixed.DETAIL_TABLE_CLASS)).select(*keep, "_p")
+    return hold(pages, _p=markup.parsed(T._col(html), body_class, fixed.DETAIL_TABLE_CLASS, fields)).select(*keep, "_p")
 
 
 def list_rows(pages: DataFrame, html: str = "html", table_id: str | None = fixed.LIST_TABLE_ID, min_cells: int = 5,
@@ -47,7 +47,7 @@ def list_rows(pages: DataFrame, html: str = "html", table_id: str | None = fixed
     """
     keep = [c for c in pages.columns if c != html]
     inside = F.filter("_p.rows", lambda r: r["in_body"] & F.array_contains(r["tables"], table_id)) if table_id else F.col("_p.rows")
-    rows = explode_rows(with_page(pages, html), keep, inside, "position", "_row").where(F.size("_row.cells") >= min_cells)
+    rows = explode_rows(with_page(pages, html, "rows"), keep, inside, "position", "_row").where(F.size("_row.cells") >= min_cells)
     cell = lambda i: F.coalesce(T.collapse_ws(F.col("_row.cells")[i]["text"]), F.lit(""))
     cells = rows.withColumn("_link", F.get(F.col("_row.cells")[1]["links"], F.lit(0)))
     link_text = F.coalesce("_link.text", F.lit(""))
@@ -88,7 +88,7 @@ def detail_fields(pages: DataFrame, html: str = "html", title_label: str = fixed
     """Title by five-step fallback, body, views and posted date of a detail page."""
     keep = [c for c in pages.columns if c != html]
     broken = pages.select(*keep, T.normalize_breaks(html).alias(html))
-    page = with_page(broken, html, body_class)
+    page = with_page(broken, html, "rows", "items", "body", "table_caption", "table_head", "caption", "head", "last_cell", body_class=body_class)
     clean = lambda c: F.coalesce(T.collapse_ws(c), F.lit(""))
     title = T.first_non_empty(labelled_value(title_label), clean("_p.table_caption"), clean("_p.table_head"), clean("_p.caption"), clean("_p.head"))
     body = T.first_non_empty(clean("_p.body"), clean("_p.last_cell"))
@@ -108,11 +108,9 @@ def embedded_rows(pages: DataFrame, html: str = "html", pattern: str = fixed.PAG
     return explode_rows(pages, keep, array, "position", "_item").select(*keep, "position", "_item.*")
 
 
-def preview_links(html) -> Column:
-    """Preview links of a page: array of (brd_id, seq, file_seq, href)."""
-    hrefs = F.filter(F.transform(F.regexp_extract_all(T._col(html), F.lit(r"(?is)<a\b([^>]*)>"), F.lit(1)),
-                                 lambda a: attribute(a, "href")),
-                     lambda h: h.contains(fixed.PREVIEW_PATH) & h.rlike(fixed.PREVIEW_LINK))
+def preview_links(links: Column) -> Column:
+    """Preview links among the links of a parsed page: array of (brd_id, seq, file_seq, href)."""
+    hrefs = F.filter(F.transform(links, lambda a: a["href"]), lambda h: h.contains(fixed.PREVIEW_PATH) & h.rlike(fixed.PREVIEW_LINK))
     part = lambda h, i: F.regexp_extract(h, fixed.PREVIEW_LINK, i)
     return F.transform(hrefs, lambda h: F.struct(part(h, 1).alias("brd_id"), part(h, 2).alias("seq"),
                                                  part(h, 3).alias("file_seq"), h.alias("href")))
@@ -120,8 +118,8 @@ def preview_links(html) -> Column:
 
 def attachments_with_previews(pages: DataFrame, html: str = "html") -> DataFrame:
     """Attachment rows of a page with the preview link that carries their key."""
-    with_links = pages.withColumn("_links", preview_links(html))
-    rows = embedded_rows(with_links, html)
+    marked = with_page(pages.withColumn("_html", F.col(html)), html, "links").withColumn("_links", preview_links(F.col("_p.links"))).drop("_p")
+    rows = embedded_rows(marked, "_html")
     hit = F.filter("_links", lambda k: (k["brd_id"] == F.col("brdId")) & (k["seq"] == F.col("seq"))
                    & (k["file_seq"] == F.col("fileSeq")))
     return rows.withColumn("preview_path", F.coalesce(F.get(F.reverse(hit), F.lit(0))["href"], F.lit(""))).drop("_links")
@@ -138,7 +136,7 @@ def application_rows(pages: DataFrame, html: str = "html", page_key: tuple[str,
                      supply_type: str | None = None) -> DataFrame:
     """Application-status rows; the first row per (code, status) on a page is kept."""
     keep = [c for c in pages.columns if c != html]
-    rows = explode_rows(with_page(pages, html), keep, F.col("_p.rows"), "position", "_row").where(F.size("_row.cells") >= 5)
+    rows = explode_rows(with_page(pages, html, "rows"), keep, F.col("_p.rows"), "position", "_row").where(F.size("_row.cells") >= 5)
     cell = lambda i: F.coalesce(T.collapse_ws(F.col("_row.cells")[i]["text"]), F.lit(""))
     calls = F.filter(F.col("_row.cells")[1]["links"], lambda k: k["onclick"].contains(fixed.APPLICATION_CALL.split("\\")[0]))
     rows = rows.withColumn("_link", F.get(calls, F.lit(0))).withColumn("_status", cell(4))
@@ -171,7 +169,7 @@ def label_value_columns(pages: DataFrame, html: str = "html",
     links = F.filter(F.transform("_p.links", lambda a: F.struct(
         F.regexp_extract(a["href"], fixed.NOTICE_FILE_CALL, 1).alias("file_id"), F.regexp_extract(a["href"], fixed.NOTICE_FILE_CALL, 2).alias("file_sn"),
         clean(a["text"]).alias("filename"))), lambda f: f["file_id"] != "")
-    staged = hold(with_page(pages, html), _pairs=pairs, notice_files=links).select(*keep, "_pairs", "notice_files")
+    staged = hold(with_page(pages, html, "rows", "links"), _pairs=pairs, notice_files=links).select(*keep, "_pairs", "notice_files")
     value = lambda label: F.coalesce(F.get(F.reverse(F.filter("_pairs", lambda p: p["label"] == label)), F.lit(0))["value"],
                                      F.lit(""))
     return staged.select(*keep, *[value(label).alias(name) for name, label in labels], "notice_files")
@@ -180,5 +178,5 @@ def label_value_columns(pages: DataFrame, html: str = "html",
 def visible_text_artifacts(pages: DataFrame, html: str = "html") -> DataFrame:
     """Visible text of each page and its length in characters."""
     keep = [c for c in pages.columns if c != html]
-    return (hold(with_page(pages, html), raw_text=F.coalesce(T.collapse_ws("_p.visible"), F.lit(""))).select(*keep, "raw_text")
+    return (hold(with_page(pages, html, "visible"), raw_text=F.coalesce(T.collapse_ws("_p.visible"), F.lit(""))).select(*keep, "raw_text")
             .withColumn("chars", F.length("raw_text").cast("bigint")))

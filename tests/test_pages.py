@@ -74,3 +74,44 @@ def test_application_link_and_file_links(spark):
     html = """<a onclick="fnDownFile('A','1')">no</a><a href="javascript:fnDownFile('B', '2')">b.pdf</a><table><tr><th>임대기간<td>3년<tr><th>임대기간<td><div>4<div>년</div></div></table>"""
     got = pages.label_value_columns(frame(spark, html)).first()
     assert [(f.file_id, f.file_sn, f.filename) for f in got.notice_files] == [("B", "2", "b.pdf")] and got.lease_period_text == "4년"
+
+
+def parse(html, *fields):
+    from noticeloom.sources.markup import FIELDS, PageParser
+
+    parser = PageParser("cont", "detailTable", "icoNew")
+    parser.feed(html)
+    parser.close()
+    return parser.result(fields or tuple(FIELDS))
+
+
+def test_implied_ends_as_browsers_have_them():
+    assert parse("<p class=cont>a<p>b")["body"] == "a" and parse("<p class=cont>a<b>x</b><div>b</div>")["body"] == "ax"
+    assert [(k["href"], k["text"]) for k in parse("<a href=1>a<a href=2>b</a>c</a>")["links"]] == [("1", "a"), ("2", "b")]
+    assert parse("<dl><dt>a<dd class=cont>b<dt>c</dl>")["body"] == "b" and parse("<select><option class=cont>a<option>b</select>")["body"] == "a"
+    assert parse("<ul><li>a<ul><li>b</ul>c<li>d</ul>")["items"] == ["abc", "b", "d"]
+    page = parse("<table id=t><tr><td>1<p>x<td>2</div></span><tr><td><a href=k>3<table><tr><th>h<td>4</table>5</a></table>6</td>")
+    assert [[c["text"] for c in r["cells"]] for r in page["rows"]] == [["1x", "2"], ["3h45", "4"], ["4"]] and page["rows"][1]["heads"] == ["h"]
+    assert page["rows"][2]["tables"] == ["t", ""] and page["links"][0]["text"] == "3h45" and page["last_cell"] == "4"
+    assert parse("", "rows", "visible") == {"rows": [], "visible": ""}
+
+
+def test_open_elements_cost_no_search():
+    import time
+
+    pages = ["<p>x" * 20_000, "<a>x" * 20_000, "<div>x" * 20_000 + "</b></td></tr>" * 20_000, "<table><tr>" + "<td><span>x" * 20_000, "<li>x" * 20_000,
+             "<table><tr><td>" + "<span>" * 20_000 + "</div></section></li>" * 20_000]
+    for page in pages:
+        best = []
+        for _ in range(3):
+            start = time.process_time()
+            parse(page)
+            best.append(time.process_time() - start)
+        assert min(best) < 2  # a search through open elements takes minutes
+
+
+def test_preview_links_come_from_elements(spark):
+    html = """<!-- <a href="/htmlConverter.do?brd_id=b&seq=9&file_seq=1">no</a> --><script>initParam.downList = [{"brdId":"b","seq":"9","fileSeq":"1","filename":"a.pdf"},{"brdId":"b","seq":"9","fileSeq":"2","filename":"b.pdf"}];</script>
+      <a title='x>y' href='/htmlConverter.do?brd_id=b&amp;seq=9&#38;file_seq=2'>view</a>"""
+    files = pages.attachments_with_previews(frame(spark, html)).orderBy("position").collect()
+    assert [(f.fileSeq, f.preview_path) for f in files] == [("1", ""), ("2", "/htmlConverter.do?brd_id=b&seq=9&file_seq=2")]
