@@ -120,8 +120,9 @@ def with_least(rows: DataFrame, text: str, phrases: Blocks, name: str) -> DataFr
     """``rows`` with the least phrase that equals, holds or is held by the string ``text``; null where none does."""
     if phrases.many == 1:
         return _read(rows, text, phrases.only, name, StringType(), _least)
-    best = _block_by_block(rows.select(text), phrases, StringType(), _least).groupBy("_text").agg(F.min("_found").alias(name))
-    return rows.join(best, F.col(text) == F.col("_text"), "left").drop("_text")
+    _, found = _block_by_block(rows.select(text), phrases, StringType(), _least)
+    best = found.groupBy("_key").agg(F.min("_found").alias(name))
+    return rows.withColumn("_key", F.md5(text)).join(best, "_key", "left").drop("_key")
 
 
 def all_matches(texts: DataFrame, phrases: Blocks) -> DataFrame:
@@ -129,17 +130,21 @@ def all_matches(texts: DataFrame, phrases: Blocks) -> DataFrame:
     kind = ArrayType(StringType())
     if phrases.many == 1:
         return _read(_strings(texts), "_text", phrases.only, "_found", kind, _all).where("_found IS NOT NULL")
-    return _block_by_block(texts, phrases, kind, _all).groupBy("_text").agg(F.array_sort(F.flatten(F.collect_list("_found"))).alias("_found"))
+    strings, found = _block_by_block(texts, phrases, kind, _all)
+    lists = found.groupBy("_key").agg(F.array_sort(F.flatten(F.collect_list("_found"))).alias("_found"))
+    return strings.withColumn("_key", F.md5("_text")).join(lists, "_key").select("_text", "_found")
 
 
 def _strings(texts: DataFrame) -> DataFrame:
     return texts.toDF("_text").where("_text <> ''").distinct()
 
 
-def _block_by_block(texts: DataFrame, phrases: Blocks, kind: DataType, value) -> DataFrame:
+def _block_by_block(texts: DataFrame, phrases: Blocks, kind: DataType, value) -> tuple[DataFrame, DataFrame]:
+    """The distinct strings, written once, and what each block found, under a digest of the string."""
     table, strings = cut_lineage(phrases.table, "phrases"), cut_lineage(_strings(texts), "strings")
     found = []
     for n in range(phrases.many):
         block = [r["phrase"] for r in table.where(F.col("_block") == n).select("phrase").collect()]
-        found.append(cut_lineage(_read(strings, "_text", block, "_found", kind, value).where("_found IS NOT NULL"), "found"))
-    return reduce(DataFrame.unionByName, found)
+        hits = _read(strings, "_text", block, "_found", kind, value).where("_found IS NOT NULL")
+        found.append(cut_lineage(hits.select(F.md5("_text").alias("_key"), "_found"), "found"))
+    return strings, reduce(DataFrame.unionByName, found)

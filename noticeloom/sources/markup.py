@@ -13,8 +13,9 @@ them, so nested tables come out once per depth.
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
-from html.parser import HTMLParser
+from html import unescape
 from itertools import accumulate
 
 import pyarrow as pa
@@ -27,6 +28,14 @@ FIELDS = {
     "rows": f"array<struct<tables:array<string>,in_body:boolean,heads:array<string>,cells:array<{_CELL}>>>", "items": "array<string>", "links": f"array<{_LINK}>",
     **dict.fromkeys(("body", "table_caption", "table_head", "caption", "head", "last_cell", "visible"), "string")}
 
+_NAME, _REST = r"[a-zA-Z][^\s/>]*+", r"(?:[^\s/>=]++(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+))?+|[\s/=]++)*+"
+#: Comment or declaration; end tag; start tag with its attributes. What is not closed ends with the page.
+_TOKEN = re.compile(rf"<!--.*?(?:--!?>|\Z)|<[!?][^>]*+(?:>|\Z)|</({_NAME})[^>]*+(?:>|\Z)|<({_NAME})({_REST})(?:>|\Z)|</[^a-zA-Z][^>]*+(?:>|\Z)", re.S)
+_ATTRIBUTE = re.compile(r"([^\s/>=]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]*+)))?+")
+#: Elements whose content is text up to their end tag, and those of them in which references are decoded.
+_RAW = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I) for tag in ("script", "style", "textarea", "title")}
+_DECODED = frozenset(("textarea", "title"))
+
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _CELLS = frozenset(("td", "th"))
 _SECTIONS = frozenset(("tbody", "thead", "tfoot"))
@@ -39,6 +48,8 @@ _ROW_PARTS = _SECTIONS | {"tr", "colgroup"}
 _LISTS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "ul": (), "ol": (), "dl": (), "select": ()}
 #: Start tags before which an open paragraph ends.
 _BLOCKS = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
+#: Start tags that may end open elements.
+_ENDING = _BLOCKS | _CELLS | _SECTIONS | {"tr"} | _LISTS.keys()
 
 
 class _Open:
@@ -57,11 +68,10 @@ class _Scope:
         self.at, self.tag, self.open, self.lists, self.anchor = at, tag, defaultdict(int), [], None
 
 
-class PageParser(HTMLParser):
+class PageParser:
     """Notes where records begin and end among the pieces of text; ``result`` cuts the texts."""
 
     def __init__(self, body_class: str, table_class: str, mark_class: str):
-        super().__init__(convert_charrefs=True)
         self.body_class, self.table_class, self.mark_class = body_class, table_class, mark_class
         self.pieces, self.visible, self.stack, self.hidden = [], [], [], 0
         self.scopes = [_Scope(-1, "")]
@@ -69,19 +79,42 @@ class PageParser(HTMLParser):
         self.heads_open = self.cited_open = 0
         self.rows, self.items, self.links, self.single = [], [], [], {}
 
-    def handle_data(self, data):
-        self.pieces.append(data)
+    def feed(self, html: str) -> None:
+        """Read a whole page."""
+        at, search = 0, _TOKEN.search
+        while token := search(html, at):
+            if token.start() > at:
+                self._data(html[at:token.start()])
+            at = token.end()
+            if token[2]:
+                tag, rest = token[2].lower(), token[3]
+                attributes = {}
+                for name, *values in _ATTRIBUTE.findall(rest) if rest else ():
+                    value = "".join(values)
+                    attributes.setdefault(name.lower(), unescape(value) if "&" in value else value)
+                self._start(tag, attributes)
+                if rest.endswith("/") and tag not in _VOID:
+                    self._end(tag)
+                elif tag in _RAW:
+                    end = _RAW[tag].search(html, at)
+                    stop = end.start() if end else len(html)
+                    if stop > at:
+                        self._data(html[at:stop], tag in _DECODED)
+                    at = stop
+            elif token[1]:
+                self._end(token[1].lower())
+        if at < len(html):
+            self._data(html[at:])
+
+    def _data(self, text: str, decoded: bool = True) -> None:
+        text = unescape(text) if decoded and "&" in text else text
+        self.pieces.append(text)
         if not self.hidden:
-            self.visible.append(data)
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in _VOID:
-            self.handle_endtag(tag)
+            self.visible.append(text)
 
-    def handle_starttag(self, tag, attrs):
-        self._imply(tag)
-        attributes = {k: v or "" for k, v in reversed(attrs)} if attrs else {}
+    def _start(self, tag: str, attributes: dict[str, str]) -> None:
+        if tag in _ENDING:
+            self._imply(tag)
         classes = attributes["class"].split() if "class" in attributes else ()
         if self.mark_class in classes:
             for link in self.anchors_open:
@@ -156,7 +189,7 @@ class PageParser(HTMLParser):
         elif tag in _HIDDEN:
             self.hidden += 1
 
-    def handle_endtag(self, tag):
+    def _end(self, tag):
         if tag not in _STRUCTURE:
             if self.scopes[-1].open[tag]:
                 self._close_to(tag)
@@ -261,7 +294,6 @@ def parsed(html: Column, body_class: str, table_class: str, fields: tuple[str, .
                 continue
             parser = PageParser(body_class, table_class, mark_class)
             parser.feed(page)
-            parser.close()
             out.append(parser.result(fields))
         return pa.array(out, kind)
 

@@ -81,7 +81,6 @@ def parse(html, *fields):
 
     parser = PageParser("cont", "detailTable", "icoNew")
     parser.feed(html)
-    parser.close()
     return parser.result(fields or tuple(FIELDS))
 
 
@@ -115,3 +114,12 @@ def test_preview_links_come_from_elements(spark):
       <a title='x>y' href='/htmlConverter.do?brd_id=b&amp;seq=9&#38;file_seq=2'>view</a>"""
     files = pages.attachments_with_previews(frame(spark, html)).orderBy("position").collect()
     assert [(f.fileSeq, f.preview_path) for f in files] == [("1", ""), ("2", "/htmlConverter.do?brd_id=b&seq=9&file_seq=2")]
+
+
+def test_tokens_of_all_kinds():
+    page = parse("""<!DOCTYPE html><?x y><!-- <td> --><TITLE>a &lt; b <td></title><script>if (a</b>&amp;&&"</script >x<style>p > q</style>
+      <table ID=listTb class='x detailTable'><tr><td><a HREF="?a=1&amp;b=2" href=no onclick='f("x>y")' data-x=it's>l&eacute;k</a> 1 < 2 </ ><br/>3<div/>4<td nowrap>5</table><textarea>&amp;<b></textarea><a href=k""")
+    assert page["visible"].split() == ["a", "<", "b", "<td>x", "lék", "1", "<", "2", "345&<b>"]
+    assert page["rows"] == [{"tables": ["listTb"], "in_body": True, "heads": [], "cells": [
+        {"text": "lék 1 < 2 34", "links": [{"href": "?a=1&b=2", "onclick": 'f("x>y")', "text": "lék", "marked": False}]}, {"text": "5", "links": []}]}]
+    assert [k["href"] for k in page["links"]] == ["?a=1&b=2", "k"]
