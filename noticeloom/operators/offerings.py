@@ -19,9 +19,10 @@ def unit_text_offerings(artifacts: DataFrame, keep: list[str], text: str = "raw_
     """One offering per text that lists a single unit as one token per line.
 
     Two layouts: ordered markers around address and values, or an application
-    form. The values stand between the third and the fourth marker.
+    form. The values stand between the third and the fourth marker; texts that lack
+    one of these are not cut into tokens.
     """
-    df = hold(artifacts, _t=T.tokens(text)).select(*keep, span, "_t")
+    df = hold(artifacts.where(T.contains_all(text, (marks[2], marks[3]))), _t=T.tokens(text)).select(*keep, span, "_t")
     pos = lambda word: T.token_index(F.col("_t"), word)
     df = hold(df, _a=pos(marks[0]), _b=pos(marks[1]), _v=pos(marks[2]), _e=pos(marks[3]), _room=pos(form_marks[1]))
     df = df.where((F.col("_v") > 0) & (F.col("_e") - F.col("_v") > min_values))
