@@ -131,9 +131,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """The documents that the mix takes, with how often (``copies``) and their ``taken`` words."""
     _, found = plan(docs, id_col, text_col, source_col, **options)
     kept = [c for c in docs.columns if c not in ("copies", "taken")]
-    whole = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_document")
-    rows = docs.select(whole, key_of(source_col).alias("mix_key"), size_of(text_col).alias("size"), hash_of(id_col).alias("hash"))
-    return take(rows, found).where("copies > 0").select(*[F.col("_document")[c].alias(c) for c in kept], "copies", "taken")
+    aside = [F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(kept)]  # so that no name meets one of the plan's
+    rows = docs.select(*aside, key_of(source_col).alias("mix_key"), size_of(text_col).alias("size"), hash_of(id_col).alias("hash"))
+    return take(rows, found).where("copies > 0").select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(kept)], "copies", "taken")
 
 
 def report_sql() -> str:
