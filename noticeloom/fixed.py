@@ -175,17 +175,8 @@ RENT_HEADER_LINES = 40
 RENT_TABLE_LINES = 180
 RENT_STOP_LINE = "■"
 
-SCHEDULE_RANGE = (
-    r"(?s)(청약신청\s*접수기간|신청\s*기간|신청\s*접수|신청접수|접수기간)\s*[:：]?\s*"
-    r"([0-9]{4})\s*[.\-/년]\s*([0-9]{1,2})\s*[.\-/월]\s*([0-9]{1,2})\s*[.\-/일]?\s*(?:\([^)]*\))?\s*"
-    r"(?:(\d{1,2})\s*:\s*(\d{2}))?\s*(?:부터)?\s*[~∼\-" "�" r"]\s*"
-    r"([0-9]{4})\s*[.\-/년]\s*([0-9]{1,2})\s*[.\-/월]\s*([0-9]{1,2})\s*[.\-/일]?\s*(?:\([^)]*\))?\s*"
-    r"(?:(\d{1,2})\s*:\s*(\d{2}))?")
-PROCEDURE_DATE = (
-    r"[‘'`]?([0-9]{2,4})\s*[.]\s*([0-9]{1,2})\s*[.]\s*([0-9]{1,2})\s*[.]?\s*(?:\([^)]*\))?\s*"
-    r"(?:(\d{1,2})\s*:\s*(\d{2}))?\s*"
-    r"(?:[~∼\-" "�" r"]\s*[‘'`]?(?:([0-9]{2,4})\s*[.]\s*)?([0-9]{1,2})\s*[.]\s*([0-9]{1,2})\s*[.]?\s*"
-    r"(?:\([^)]*\))?\s*(?:(\d{1,2})\s*:\s*(\d{2}))?)?")
+SCHEDULE_RANGE = r"(?s)(청약신청\s*접수기간|신청\s*기간|신청\s*접수|신청접수|접수기간)\s*[:：]?\s*([0-9]{4})\s*[.\-/년]\s*([0-9]{1,2})\s*[.\-/월]\s*([0-9]{1,2})\s*[.\-/일]?\s*(?:\([^)]*\))?\s*(?:(\d{1,2})\s*:\s*(\d{2}))?\s*(?:부터)?\s*[~∼\-�]\s*([0-9]{4})\s*[.\-/년]\s*([0-9]{1,2})\s*[.\-/월]\s*([0-9]{1,2})\s*[.\-/일]?\s*(?:\([^)]*\))?\s*(?:(\d{1,2})\s*:\s*(\d{2}))?"
+PROCEDURE_DATE = r"[‘'`]?([0-9]{2,4})\s*[.]\s*([0-9]{1,2})\s*[.]\s*([0-9]{1,2})\s*[.]?\s*(?:\([^)]*\))?\s*(?:(\d{1,2})\s*:\s*(\d{2}))?\s*(?:[~∼\-�]\s*[‘'`]?(?:([0-9]{2,4})\s*[.]\s*)?([0-9]{1,2})\s*[.]\s*([0-9]{1,2})\s*[.]?\s*(?:\([^)]*\))?\s*(?:(\d{1,2})\s*:\s*(\d{2}))?)?"
 FIRST_DATE = r"[‘'`]?[0-9]{2,4}\s*[.]\s*[0-9]{1,2}\s*[.]\s*[0-9]{1,2}"
 PROCEDURE_STARTS = ("공급절차 및 일정", "■ 공급일정")
 PROCEDURE_STOP = "※"
