@@ -40,6 +40,41 @@ def _(t):
     return upsert.upsert(target, batch, ["o_orderkey"], position=F.col("position"))
 
 
+def _replaced(stored, batch, table, position):
+    """A table after a batch that brings every key twice; the later copy counts."""
+    spec = upsert.SPECS[table]
+    twice = batch.withColumn("position", L(1)).unionByName(batch.withColumns({position: F.concat(position, L("-late")), "position": L(2)}))
+    return upsert.upsert(stored, twice, list(spec.keys), spec.rules, F.col("position"))
+
+
+@query("m01_boards", """
+    SELECT CAST(n_regionkey AS STRING) AS agency, n_name AS board_kind, CASE WHEN n_nationkey % 2 = 0 THEN 'new-late' ELSE 'old' END AS name, CASE WHEN n_nationkey % 2 = 0 THEN 'https://n/' ELSE 'https://o/' END || CAST(n_nationkey AS STRING) AS url
+    FROM nation WHERE n_nationkey % 2 = 0 OR n_nationkey % 3 > 0""")
+def _(t):
+    shape = lambda name, url: t.nation.select(
+        "n_nationkey", F.col("n_regionkey").cast("string").alias("agency"), F.col("n_name").alias("board_kind"), L(name).alias("name"), F.concat(L(url), F.col("n_nationkey").cast("string")).alias("url"))
+    return _replaced(shape("old", "https://o/").where("n_nationkey % 3 > 0").drop("n_nationkey"), shape("new", "https://n/").where("n_nationkey % 2 = 0").drop("n_nationkey"), "source_boards", "name")
+
+
+@query("m04_objects", """
+    SELECT 'b' || CAST(c_nationkey AS STRING) AS bucket, 'k/' || CAST(c_custkey AS STRING) AS object_key, CASE WHEN c_custkey % 2 = 0 THEN sha256(c_name) || '-late' ELSE 'old' END AS sha256,
+           CASE WHEN c_custkey % 2 = 0 THEN c_custkey ELSE 0 END AS size_bytes FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 > 0""")
+def _(t):
+    shape = lambda digest, size: t.customer.select(
+        "c_custkey", F.concat(L("b"), F.col("c_nationkey").cast("string")).alias("bucket"), F.concat(L("k/"), F.col("c_custkey").cast("string")).alias("object_key"), digest.alias("sha256"), size.cast("bigint").alias("size_bytes"))
+    stored = shape(L("old"), L(0)).where("c_custkey % 3 > 0").drop("c_custkey")
+    return _replaced(stored, shape(F.sha2("c_name", 256), F.col("c_custkey")).where("c_custkey % 2 = 0").drop("c_custkey"), "stored_objects", "sha256")
+
+
+@query("m05_attachments", """
+    SELECT 'b' || CAST(l_linenumber % 2 AS STRING) AS brd_id, CAST(l_orderkey AS STRING) AS seq, CAST(min(l_linenumber) AS STRING) AS file_seq, CASE WHEN l_orderkey % 2 = 0 THEN 'new.pdf-late' ELSE 'old.pdf' END AS filename
+    FROM lineitem WHERE l_orderkey % 2 = 0 OR l_orderkey % 3 > 0 GROUP BY l_orderkey, l_linenumber % 2, l_linenumber""")
+def _(t):
+    shape = lambda rows, name: rows.select(F.concat(L("b"), (F.col("l_linenumber") % 2).cast("string")).alias("brd_id"), F.col("l_orderkey").cast("string").alias("seq"),
+                                           F.col("l_linenumber").cast("string").alias("file_seq"), L(name).alias("filename")).distinct()
+    return _replaced(shape(t.lineitem.where("l_orderkey % 3 > 0"), "old.pdf"), shape(t.lineitem.where("l_orderkey % 2 = 0"), "new.pdf"), "attachments", "filename")
+
+
 @query("m02_notices", f"""
     SELECT CAST(o_orderkey AS STRING) AS seq, CASE WHEN new THEN 't-new' ELSE 't-old' END AS title,
            CASE WHEN new AND o_orderkey % 4 = 0 THEN CAST(o_orderdate AS DATE) WHEN old THEN DATE '2020-01-01' END AS posted_at {_SIDES}""")
