@@ -237,6 +237,24 @@ def _(t):
     return objects.hash_mismatches(found, want).select("object_key")
 
 
+@query("s12_stored_files", """
+    SELECT source || '/' || CAST(block AS STRING) AS object_key, sha256(string_agg(text || chr(10), '' ORDER BY doc_id)) AS sha256, CAST(sum(strlen(text) + 1) AS BIGINT) AS size_bytes, block % 3 = 0 AS differs
+    FROM (SELECT *, doc_id // 50 AS block FROM documents) GROUP BY source, block""")
+def _(t):
+    """Documents written as files, read back as bytes, and held against digests of which a third is wrong."""
+    root = scratch_dir(t.spark, "objects")
+    docs = t.documents.select("source", F.expr("doc_id div 50").alias("block"), "doc_id", "text")
+    docs.repartition("source", "block").sortWithinPartitions("source", "block", "doc_id").select("text", "source", "block").write.partitionBy("source", "block").text(root)
+    files = objects.read_objects(t.spark, root, "*.txt")
+    key = F.concat_ws("/", F.regexp_extract("path", "source=([^/]*)/block=([0-9]+)/", 1), F.regexp_extract("path", "source=([^/]*)/block=([0-9]+)/", 2))
+    found = objects.manifest(files.withColumn("key", key), "key", "content", [])
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "text"))), lambda x: F.concat(x["text"], L("\n"))), "")
+    want = docs.groupBy("source", "block").agg(whole.alias("whole")).select(
+        F.concat_ws("/", "source", F.col("block").cast("string")).alias("object_key"), F.sha2(F.when(F.col("block") % 3 == 0, F.concat("whole", L("!"))).otherwise(F.col("whole")), 256).alias("sha256"))
+    wrong = objects.hash_mismatches(found, want).select("object_key", L(True).alias("differs"))
+    return found.join(wrong, "object_key", "left").select("object_key", "sha256", "size_bytes", F.coalesce("differs", L(False)).alias("differs"))
+
+
 @query("s13_object_keys", """
     SELECT doc_id, 'originals/' || CASE WHEN doc_id % 3 = 0 THEN 'unknown' ELSE lang END || '/' || CASE doc_id % 4 WHEN 0 THEN 'unknown' WHEN 1 THEN source ELSE CAST(doc_id AS STRING) END
            || '/0-a_b (' || source || ').pdf' AS key, 'previews/' || lang || '/' || CAST(doc_id AS STRING) || '/' || CAST(n_chars AS STRING) || '-preview.html' AS preview FROM documents""")
