@@ -53,3 +53,4 @@ def test_stream_dedupe_late_rows_and_late_repeats(spark, tmp_path):
     assert got() == want
     run("lost")  # a new checkpoint brings every batch again
     assert got() == want
+    assert {r.key_bucket for r in spark.read.parquet(table).select("key_bucket").distinct().collect()} <= set(range(incremental.KEY_BUCKETS))
