@@ -22,7 +22,7 @@ from noticeloom.session import cut_lineage
 
 BLOCK_CHARS = 1 << 20
 #: Characters and rows of strings that one automaton of strings is built from.
-SLICE_CHARS, SLICE_ROWS = 1 << 20, 10_000
+SLICE_CHARS, SLICE_ROWS = 1 << 19, 5_000
 
 
 def automaton(words: dict[str, object]):
@@ -58,14 +58,18 @@ class Block:
         self.longest = max(map(len, self.phrases), default=0)
         self.inside = automaton({p: i for i, p in enumerate(self.phrases)})
 
-    def matches(self, texts: list[str | None]) -> Iterator[tuple[int, int, list[set[int]]]]:
-        """Numbers of matching phrases, for ranges of strings; null and empty strings match nothing."""
+    def matches(self, texts: list[str | None], least: bool = False) -> Iterator[tuple[int, int, list[list[int]]]]:
+        """Numbers of matching phrases in order, or the least one alone, for ranges of strings; null and empty strings match nothing."""
         texts = [t or "" for t in texts]
         for a, b in slices(texts):
-            found: list[set[int]] = [set() for _ in range(a, b)]
+            found: list = [None] * (b - a) if least else [set() for _ in range(a, b)]
             if self.inside:
-                for hits, t in zip(found, texts[a:b]):
-                    hits.update(i for _, i in self.inside.iter(t))
+                for k, t in enumerate(texts[a:b]):
+                    hits = (i for _, i in self.inside.iter(t))
+                    if least:
+                        found[k] = min(hits, default=None)
+                    else:
+                        found[k].update(hits)
             places: dict[str, list[int]] = {}
             for k, t in enumerate(texts[a:b]):
                 if 0 < len(t) <= self.longest:
@@ -74,8 +78,11 @@ class Block:
                 for i, phrase in enumerate(self.phrases):
                     for _, at in around.iter(phrase):
                         for k in at:
-                            found[k].add(i)
-            yield a, b, found
+                            if not least:
+                                found[k].add(i)
+                            elif found[k] is None or i < found[k]:
+                                found[k] = i
+            yield a, b, [[] if f is None else [f] for f in found] if least else [sorted(f) for f in found]
 
 
 @dataclass(frozen=True)
@@ -94,26 +101,26 @@ def blocks(phrases: DataFrame) -> Blocks:
     return Blocks(many, [r["phrase"] for r in wanted.collect()] if many == 1 else [], wanted.withColumn("_block", F.pmod(F.xxhash64("phrase"), F.lit(many))))
 
 
-def _read(rows: DataFrame, text: str, block: list[str], name: str, kind: DataType, value: Callable[[Block, set[int]], object]) -> DataFrame:
+def _read(rows: DataFrame, text: str, block: list[str], name: str, kind: DataType, value: Callable[[Block, list[int]], object]) -> DataFrame:
     """``rows`` with a column made of the phrases of one block that each string matches."""
     names = rows.columns
 
     def run(batches):
         own = Block(block)
         for batch in batches:
-            for a, b, found in own.matches(batch.column(text).to_pylist()):
+            for a, b, found in own.matches(batch.column(text).to_pylist(), least=value is _least):
                 made = pa.array([value(own, hits) if hits else None for hits in found], pa.list_(pa.string()) if isinstance(kind, ArrayType) else pa.string())
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in names), made], names=[*names, name])
 
     return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField(name, kind)]))
 
 
-def _least(block: Block, hits: set[int]) -> str:
-    return block.phrases[min(hits)]
+def _least(block: Block, hits: list[int]) -> str:
+    return block.phrases[hits[0]]
 
 
-def _all(block: Block, hits: set[int]) -> list[str]:
-    return [block.phrases[i] for i in sorted(hits)]
+def _all(block: Block, hits: list[int]) -> list[str]:
+    return [block.phrases[i] for i in hits]
 
 
 def with_least(rows: DataFrame, text: str, phrases: Blocks, name: str) -> DataFrame:
