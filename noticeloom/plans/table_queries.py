@@ -75,13 +75,17 @@ def _(t):
 
 
 _FINAL = """, final AS (SELECT o.* REPLACE (CASE WHEN id % 3 <> 0 AND id % 2 <> 0 THEN application_unit_label || ' alt' ELSE application_unit_label END AS application_unit_label,
-                                         CASE WHEN id % 3 <> 0 AND id % 2 <> 0 THEN CAST(5 AS INT) ELSE supply_count END AS supply_count) FROM offerings o WHERE id % 10 <> 7), """
+                                         CASE WHEN id % 3 <> 0 AND id % 2 <> 0 THEN CAST(5 AS INT) ELSE supply_count END AS supply_count) FROM offerings o WHERE id % 10 <> 7 QUALIFY count(*) OVER (PARTITION BY id) = 1), """
 _KEPT_STATUS = _FINAL + _PROMOTED.replace("FROM offerings o", "FROM final o")
 
 
 def _promoted_in_batches(t):
-    """Two thirds as first read, then every second one as it is now, then the rest; a tenth is deleted and notices change at last."""
-    path, offerings = scratch_dir(t.spark, "promoted"), t.project("offerings")
+    """Two thirds as first read, then every second one as it is now, then the rest; a tenth is deleted and notices change at last.
+
+    Lines with one key share an id and are left out here, because the state is kept per id.
+    """
+    path, lines = scratch_dir(t.spark, "promoted"), t.project("offerings")
+    offerings = lines.join(lines.groupBy("id").count().where("count > 1"), "id", "left_anti")
     notices = t.project("notices")
     first = offerings.where("id % 3 <> 0").withColumns({"application_unit_label": F.concat("application_unit_label", F.lit(" alt")), "supply_count": F.lit(5)})
     open_notices = notices.withColumn("category", F.lit("recruitment"))
