@@ -9,6 +9,7 @@ from noticeloom.functions import dates as D
 from noticeloom.functions import numbers as N
 from noticeloom.functions import payload as P
 from noticeloom.functions import text as T
+from noticeloom.operators.staging import hold
 from noticeloom.plans.registry import query
 
 WS = fixed.WS
@@ -118,10 +119,9 @@ def _(t):
     gu = F.when(F.col("o_custkey") % 2 == 0, "중구").otherwise("가평군")
     a, b = F.col("o_custkey").cast("string"), (F.col("o_orderkey") % 90 + 1).cast("string")
     tokens = F.array(F.lit("서울시"), gu, F.lit("가온"), F.lit("로"), a, F.lit("길"), b)
-    address = T.assemble_address(tokens)
-    return t.orders.select("o_orderkey", address.alias("address"), T.district_of(address).alias("district"),
-                           T.join_branch_roads(F.concat_ws("  ", F.lit("서울시"), gu, F.lit("가온로"), a, F.lit("길"), b),
-                                               loose=True).alias("loose_address"))
+    loose = T.join_branch_roads(F.concat_ws("  ", F.lit("서울시"), gu, F.lit("가온로"), a, F.lit("길"), b), loose=True)
+    joined = hold(t.wide("orders").select("o_orderkey", tokens.alias("_tokens"), loose.alias("loose_address")), address=T.assemble_address(F.col("_tokens")))
+    return joined.select("o_orderkey", "address", T.district_of("address").alias("district"), "loose_address")
 
 
 _SECTION = ("CASE WHEN strpos(text, '{a}') = 0 THEN '' WHEN strpos(substr(text, strpos(text, '{a}')), '{b}') > 1 THEN "
