@@ -211,8 +211,8 @@ def _(t):
     events = t.spark.sql(_AS_OF, events=t.events)
     schedules = events.where("event_type IN ('view', 'signup')").select(F.col("event_id").alias("id"), "notice_id", F.col("ts").alias("starts_at"), F.col("until").alias("ends_at"))
     moments = events.select("event_id", "notice_id", "ts")
-    held = intervals.containing(moments, schedules, ["notice_id"], "ts").groupBy("event_id").agg(
-        F.count(F.lit(1)).alias("open_schedules"), F.min("id").alias("first_open"), F.max("ends_at").alias("open_until"))
+    held = intervals.summarised(moments, schedules, ["notice_id"], "ts", ["event_id"], {
+        "open_schedules": (F.sum, F.lit(1)), "first_open": (F.min, F.col("id")), "open_until": (F.max, F.col("ends_at"))})
     return moments.select("event_id").join(held, "event_id", "left").fillna(0, ["open_schedules"])
 
 

@@ -1,7 +1,16 @@
 """Work that has to grow no faster than its input: tasks, bytes written and bytes shuffled."""
 
+import datetime
+import random
+
+from pyspark.sql import functions as F
+
+from noticeloom.operators.intervals import summarised
 from noticeloom.plans.registry import Tables
 
+START = datetime.datetime(2024, 1, 1)
+SECOND = datetime.timedelta(seconds=1)
+
 
 def test_costly_rows_of_one_row_group_get_many_tasks(spark, tmp_path):
     spark.range(1000).toDF("o_orderkey").coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
@@ -10,3 +19,25 @@ def test_costly_rows_of_one_row_group_get_many_tasks(spark, tmp_path):
     wide = t.wide("orders")
     assert wide.rdd.getNumPartitions() >= 3 * spark.sparkContext.defaultParallelism
     assert sorted(r[0] for r in wide.collect()) == list(range(1000))
+
+
+def test_summaries_of_intervals_at_a_moment(spark):
+    """Equal to the pairs; a key that all rows share makes no more rows than it has moments and widths."""
+    rng = random.Random(5)
+    intervals = [(n, 0 if n % 3 else rng.randrange(5), a := START + rng.randrange(-90_000, 90_000) * SECOND, a + rng.choice([0, 1, 7, 60, 4096, 60_000, 10 ** 8]) * SECOND) for n in range(300)]
+    intervals += [(900, None, START, START), (901, 0, None, START), (902, 0, START, None), (903, 0, START + SECOND, START), (904, 0, datetime.datetime(1900, 1, 1), datetime.datetime(9999, 12, 31)),
+                  (905, 9, START, START), (None, 0, START, START + SECOND), (906, 0, START, START)]
+    moments = [(n, 0 if n % 3 else rng.randrange(5), START + rng.randrange(-95_000, 99_000) * SECOND) for n in range(200)]
+    moments += [(1000 + i, v[1], x) for i, v in enumerate(intervals) if i % 4 == 0 or i > 298 for x in (v[2], v[3], v[3] and v[3] + datetime.timedelta(microseconds=1) if v[0] != 904 else None)]
+    want = {}
+    for m, k, at in moments:
+        for i, key, a, b in intervals:
+            if None not in (k, at, a, b) and k == key and a <= at <= b:
+                n, least, most = want.get(m, (0, None, None))
+                want[m] = (n + 1, i if least is None else least if i is None else min(least, i), b if most is None else max(most, b))
+    left = spark.createDataFrame(moments, "m long, k long, at timestamp_ntz")
+    right = spark.createDataFrame(intervals, "i long, k long, starts_at timestamp_ntz, ends_at timestamp_ntz")
+    measures = {"n": (F.sum, F.lit(1)), "least": (F.min, F.col("i")), "most": (F.max, F.col("ends_at"))}
+    df = summarised(left, right, ["k"], "at", ["m"], measures)
+    assert {r["m"]: (r["n"], r["least"], r["most"]) for r in df.collect()} == want
+    assert summarised(left, right.limit(0), ["k"], "at", ["m"], measures).collect() == []
