@@ -2,11 +2,15 @@
 
 import datetime
 import random
+import uuid
 
 from pyspark.sql import functions as F
 
+from noticeloom import session
+from noticeloom.operators import promotion, snapshots
 from noticeloom.operators.intervals import summarised
 from noticeloom.plans.registry import Tables
+from tests.test_promotion import frame
 
 START = datetime.datetime(2024, 1, 1)
 SECOND = datetime.timedelta(seconds=1)
@@ -41,3 +45,16 @@ def test_summaries_of_intervals_at_a_moment(spark):
     df = summarised(left, right, ["k"], "at", ["m"], measures)
     assert {r["m"]: (r["n"], r["least"], r["most"]) for r in df.collect()} == want
     assert summarised(left, right.limit(0), ["k"], "at", ["m"], measures).collect() == []
+
+
+def test_promotion_leaves_only_its_state(spark, tmp_path, monkeypatch):
+    """Rows that replace stored ones are written once, and what a batch set aside is gone when the state stands."""
+    monkeypatch.setattr(session, "scratch_dir", lambda _, purpose: str(tmp_path / "aside" / f"{purpose}-{uuid.uuid4().hex}"))
+    path, notices = str(tmp_path / "s"), spark.createDataFrame([(1, "recruitment")], "id long, category string")
+    promotion.promote_batch(spark, path, frame(spark, [{"id": i, "unit_no": str(i)} for i in range(40)]), notices)
+    promotion.promote_batch(spark, path, frame(spark, [{"id": 3, "unit_no": "x"}]), notices)
+    promotion.promote_batch(spark, path, frame(spark, [{"id": i, "unit_no": "y"} for i in range(30)]), notices)
+    assert promotion.promoted(spark, path).where("qa_status = 'approved'").count() == 11
+    assert not any(p.is_dir() for p in (tmp_path / "aside").iterdir())
+    named = snapshots.current(spark, path)
+    assert len(named.folders) == 1 and named.base_rows == 40
