@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from noticeloom import session
-from noticeloom.operators import promotion, snapshots
+from noticeloom.operators import promotion, quality, snapshots
 from noticeloom.operators.intervals import summarised
 from noticeloom.plans.registry import Tables
 from tests.test_promotion import frame
@@ -58,3 +58,16 @@ def test_promotion_leaves_only_its_state(spark, tmp_path, monkeypatch):
     assert not any(p.is_dir() for p in (tmp_path / "aside").iterdir())
     named = snapshots.current(spark, path)
     assert len(named.folders) == 1 and named.base_rows == 40
+
+
+def test_gate_moves_its_outcome_and_not_the_columns_it_reads(spark):
+    """What is shuffled for the notices is the names of failed clauses, not the columns behind them."""
+    rows = frame(spark, [{"id": 1}, {"id": 2, "unit_no": "", "notice_id": 5, "deposit_krw": 0}, {"id": 3, "notice_id": None}])
+    notices = spark.createDataFrame([(1, "recruitment"), (5, "rejected")], "id long, category string").hint("merge")
+    df = quality.evaluate(rows, notices).select("id", "failed_clauses", "passes")
+    plain = quality.evaluate(rows, notices, quality.gate_clauses()).select("id", "failed_clauses", "passes")
+    assert sorted(df.collect()) == sorted(plain.collect())
+    side = df._jdf.queryExecution().optimizedPlan().toString().split("AS _failed")[0].splitlines()[-1]
+    assert "Project" in side and "housing_name" not in side.split("array_join")[0] and "deposit_krw" not in side.split("array_join")[0]
+    first = [r for r in quality.promote(frame(spark, [{"id": 1}, {"id": 2}]), notices).select("id", "qa_status").collect()]
+    assert sorted(map(tuple, first)) == [(1, "approved"), (2, "rejected")]
