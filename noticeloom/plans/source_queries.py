@@ -13,7 +13,7 @@ from noticeloom import fixed
 from noticeloom.functions import text as T
 from noticeloom.functions.payload import json_payload
 from noticeloom.plans.registry import query
-from noticeloom.session import scratch_dir
+from noticeloom.session import cut_lineage, scratch_dir
 from noticeloom.sources import api, artifacts, objects, pages
 
 L = F.lit
@@ -247,7 +247,7 @@ def _(t):
     docs.repartition("source", "block").sortWithinPartitions("source", "block", "doc_id").select("text", "source", "block").write.partitionBy("source", "block").text(root)
     files = objects.read_objects(t.spark, root, "*.txt")
     key = F.concat_ws("/", F.regexp_extract("path", "source=([^/]*)/block=([0-9]+)/", 1), F.regexp_extract("path", "source=([^/]*)/block=([0-9]+)/", 2))
-    found = objects.manifest(files.withColumn("key", key), "key", "content", [])
+    found = cut_lineage(objects.manifest(files.withColumn("key", key), "key", "content", []), "digests")  # the bytes are read once
     whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "text"))), lambda x: F.concat(x["text"], L("\n"))), "")
     want = docs.groupBy("source", "block").agg(whole.alias("whole")).select(
         F.concat_ws("/", "source", F.col("block").cast("string")).alias("object_key"), F.sha2(F.when(F.col("block") % 3 == 0, F.concat("whole", L("!"))).otherwise(F.col("whole")), 256).alias("sha256"))
