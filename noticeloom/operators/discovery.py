@@ -37,13 +37,13 @@ def with_seen(rows: DataFrame, cache: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(entry, keys, "left")
 
 
-def match_targets(rows: DataFrame, targets: DataFrame, row_key: Column, target_key: str) -> DataFrame:
+def match_targets(rows: DataFrame, targets: DataFrame, row_key: Column, target_key: str, tasks: int = 0) -> DataFrame:
     """Add ``target``: the least target title that equals, holds or is held by the row's title key.
 
     Empty keys match nothing. Rows are read where they stand, without a shuffle, as long as
-    the targets make up one block (``phrases``).
+    the targets make up one block (``phrases``) and no number of ``tasks`` is given.
     """
-    return phrases.with_least(rows.withColumn("_row_key", row_key), "_row_key", phrases.blocks(targets.select(target_key)), "target").drop("_row_key")
+    return phrases.with_least(rows.withColumn("_row_key", row_key), "_row_key", phrases.blocks(targets.select(target_key)), "target", tasks).drop("_row_key")
 
 
 def parts_of(lists: DataFrame) -> DataFrame:
@@ -84,7 +84,10 @@ def use_up_targets(rows: DataFrame, targets: DataFrame, row_key: Column, target_
     each and all show the least of these.
     """
     wanted = phrases.blocks(targets.select(target_key))
-    marked = cut_lineage(phrases.with_least(rows.withColumn("_row_key", row_key), "_row_key", wanted, "_least"), "target-rows")
+    keyed = rows.withColumn("_row_key", row_key)
+    if wanted.many > 1:  # read several times then, and a key costs more than reading it
+        keyed = cut_lineage(keyed, "keyed-rows")
+    marked = cut_lineage(phrases.with_least(keyed, "_row_key", wanted, "_least"), "target-rows")
     at = F.struct(*order)
     hits = marked.where("_least IS NOT NULL").select(*keys, at.alias("_at"), "_row_key")
     lists = cut_lineage(phrases.all_matches(hits.select("_row_key"), wanted), "target-lists")

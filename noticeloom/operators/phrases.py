@@ -1,23 +1,24 @@
-"""Which strings of a table hold which phrases, or are held by them, with automata.
-
-Phrases come in blocks of at most about ``BLOCK_CHARS`` characters. An automaton of a block
-reads a string once and finds all phrases inside it. For the other direction, an automaton
-of a few strings at a time reads the phrases. A task holds one block; the driver holds one
-block at a time. With one block, the usual case, strings are read where they stand; with
-more, distinct strings are read block after block and the findings are written in between.
+"""Which strings of a table hold which phrases, or are held by them.
+
+Phrases of at most about ``BLOCK_CHARS`` characters make up one block, the usual case: an
+automaton of the block reads a string once and finds all phrases inside it, and for the other
+direction an automaton of a few strings at a time reads the phrases. Strings are read
+where they stand; a task and the driver hold the block. More phrases stay a table: windows
+of the strings that may be phrases (``windows``) are joined with it, and windows of the
+phrases with the strings, so that the work grows with the two tables and not their product.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
 
+from noticeloom.operators import windows
 from noticeloom.session import cut_lineage
 
 BLOCK_CHARS = 1 << 20
@@ -87,7 +88,7 @@ class Block:
 
 @dataclass(frozen=True)
 class Blocks:
-    """Distinct phrases: all of them where they make up one block, else a table with block numbers."""
+    """Distinct phrases: all of them where they make up one block, else a table of them; ``many`` is how many blocks they would fill."""
 
     many: int
     only: list[str]
@@ -97,8 +98,8 @@ class Blocks:
 def blocks(phrases: DataFrame) -> Blocks:
     wanted = phrases.toDF("phrase").where("phrase <> ''").distinct()
     chars = wanted.agg(F.sum(F.length("phrase") + 1).alias("n")).first()["n"] or 0
-    many = 1 if chars <= BLOCK_CHARS else -(-2 * chars // BLOCK_CHARS)
-    return Blocks(many, [r["phrase"] for r in wanted.collect()] if many == 1 else [], wanted.withColumn("_block", F.pmod(F.xxhash64("phrase"), F.lit(many))))
+    many = max(1, -(-chars // BLOCK_CHARS))
+    return Blocks(many, [r["phrase"] for r in wanted.collect()] if many == 1 else [], wanted if many == 1 else cut_lineage(wanted, "phrases"))
 
 
 def _read(rows: DataFrame, text: str, block: list[str], name: str, kind: DataType, value: Callable[[Block, list[int]], object]) -> DataFrame:
@@ -123,35 +124,57 @@ def _all(block: Block, hits: list[int]) -> list[str]:
     return [block.phrases[i] for i in hits]
 
 
-def with_least(rows: DataFrame, text: str, phrases: Blocks, name: str) -> DataFrame:
-    """``rows`` with the least phrase that equals, holds or is held by the string ``text``; null where none does."""
+def with_least(rows: DataFrame, text: str, phrases: Blocks, name: str, tasks: int = 0) -> DataFrame:
+    """``rows`` with the least phrase that equals, holds or is held by the string ``text``; null where none does.
+
+    With ``tasks``, strings are spread over so many to be read.
+    """
+    spread = lambda df: df.repartition(tasks) if tasks else df
     if phrases.many == 1:
-        return _read(rows, text, phrases.only, name, StringType(), _least)
-    _, found = _block_by_block(rows.select(text), phrases, StringType(), _least)
+        return _read(spread(rows), text, phrases.only, name, StringType(), _least)
+    texts = rows.select(F.md5(text).alias("_key"), F.col(text).alias("_text")).where("_text <> ''")
+    found = _least_inside(spread(texts), phrases.table).unionByName(_around(texts, phrases.table))
     best = found.groupBy("_key").agg(F.min("_found").alias(name))
     return rows.withColumn("_key", F.md5(text)).join(best, "_key", "left").drop("_key")
 
 
 def all_matches(texts: DataFrame, phrases: Blocks) -> DataFrame:
     """(``_text``, ``_found``): every distinct matching string with all its phrases in order."""
-    kind = ArrayType(StringType())
     if phrases.many == 1:
-        return _read(_strings(texts), "_text", phrases.only, "_found", kind, _all).where("_found IS NOT NULL")
-    strings, found = _block_by_block(texts, phrases, kind, _all)
-    lists = found.groupBy("_key").agg(F.array_sort(F.flatten(F.collect_list("_found"))).alias("_found"))
-    return strings.withColumn("_key", F.md5("_text")).join(lists, "_key").select("_text", "_found")
+        return _read(_strings(texts), "_text", phrases.only, "_found", ArrayType(StringType()), _all).where("_found IS NOT NULL")
+    strings = cut_lineage(_strings(texts).withColumn("_key", F.md5("_text")), "strings")
+    inside = _phrases_only(windows.candidates(strings, windows.needles(phrases.table)), phrases.table)
+    found = inside.unionByName(_around(strings, phrases.table))
+    lists = found.groupBy("_key").agg(F.array_sort(F.collect_set("_found")).alias("_found"))
+    return strings.join(lists, "_key").select("_text", "_found")
 
 
 def _strings(texts: DataFrame) -> DataFrame:
     return texts.toDF("_text").where("_text <> ''").distinct()
 
 
-def _block_by_block(texts: DataFrame, phrases: Blocks, kind: DataType, value) -> tuple[DataFrame, DataFrame]:
-    """The distinct strings, written once, and what each block found, under a digest of the string."""
-    table, strings = cut_lineage(phrases.table, "phrases"), cut_lineage(_strings(texts), "strings")
-    found = []
-    for n in range(phrases.many):
-        block = [r["phrase"] for r in table.where(F.col("_block") == n).select("phrase").collect()]
-        hits = _read(strings, "_text", block, "_found", kind, value).where("_found IS NOT NULL")
-        found.append(cut_lineage(hits.select(F.md5("_text").alias("_key"), "_found"), "found"))
-    return strings, reduce(DataFrame.unionByName, found)
+def _phrases_only(found: DataFrame, table: DataFrame) -> DataFrame:
+    return found.join(table.toDF("_found"), "_found", "left_semi").select("_key", "_found")
+
+
+def _least_inside(texts: DataFrame, table: DataFrame) -> DataFrame:
+    """(``_key``, ``_found``) of texts (``_key``, ``_text``) that hold phrases: the least, or more with it.
+
+    The least window that may be a phrase nearly always is one. Texts where it is not are
+    read once more, with all their windows.
+    """
+    wanted = windows.needles(table)
+    first = cut_lineage(windows.candidates(texts, wanted, least=True).groupBy("_key").agg(F.min("_found").alias("_found")), "windows")
+    real = _phrases_only(first, table)
+    missed = cut_lineage(first.join(table.toDF("_found"), "_found", "left_anti").select("_key"), "missed")
+    if missed.isEmpty():
+        return real
+    return real.unionByName(_phrases_only(windows.candidates(texts.join(missed, "_key", "left_semi"), wanted), table))
+
+
+def _around(texts: DataFrame, table: DataFrame) -> DataFrame:
+    """(``_key``, ``_found``) of texts (``_key``, ``_text``) inside phrases, with each of these."""
+    longest = table.agg(F.max(F.octet_length("phrase")).alias("n")).first()["n"]
+    short = cut_lineage(texts.where(F.octet_length("_text") < longest).select("_text").distinct(), "short-strings")
+    held = windows.candidates(table.select(F.col("phrase").alias("_key"), F.col("phrase").alias("_text")), windows.needles(short))
+    return held.join(short.toDF("_found"), "_found", "left_semi").select(F.md5("_found").alias("_key"), F.col("_key").alias("_found"))

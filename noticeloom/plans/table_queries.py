@@ -411,8 +411,8 @@ def _(t):
 def _(t):
     """Targets of one, two and twelve letters, looked for in all documents and turns."""
     targets = t.conversations.where("text <> ''").select(F.explode(F.array(*[F.substring("text", a, n) for a, n in ((1, 1), (2, 2), (1, 12))])).alias("k"))
-    rows = t.documents.select("text").union(t.conversations.select("text")).distinct()
-    return discovery.match_targets(rows, targets, F.col("text"), "k").select(F.md5("text").alias("title"), "target")
+    rows = t.documents.select("text").union(t.conversations.select("text")).select("text", F.md5("text").alias("title"))
+    return discovery.match_targets(rows, targets, F.col("text"), "k", 3 * t.spark.sparkContext.defaultParallelism).select("title", "target").distinct()
 
 
 _DECIDED = _CACHE + """,

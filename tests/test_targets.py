@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from noticeloom.operators import discovery, phrases
+from noticeloom.operators import discovery, phrases, windows
 
 
 def brute(titles, targets):
@@ -83,3 +83,33 @@ def test_number_of_jobs_does_not_grow_with_equal_titles(spark, monkeypatch):
         used.append(len(tracker.getJobIdsForGroup(f"equal-{many}")))
         assert sorted((r.pos, r.target) for r in got if r.is_target) == [(i, f"same title {i:04}") for i in range(many)]
     assert used[1] <= used[0] + 2
+
+
+def test_many_phrases_are_joined_and_not_read_block_by_block(spark, monkeypatch):
+    """No phrase is collected and the jobs do not grow with the blocks, also where the bitmap lets most windows through."""
+    monkeypatch.setattr(phrases, "BLOCK_CHARS", 100)
+    monkeypatch.setattr(windows, "MOST_BITS", 1 << 16)
+    monkeypatch.setattr(windows, "BITS_PER_NEEDLE", 1)
+    monkeypatch.setattr(windows, "SLICE_BYTES", 300)
+    tracker, used = spark.sparkContext.statusTracker(), []
+    for many in (40, 4000):
+        targets = [f"중{i}é{'x' * (i % 23)}" for i in range(many)]
+        titles = [f"a중{i * 7}é{'x' * (i % 50)}" for i in range(90)] + ["é", "x" * 22, "x" * 23, "5é", *targets[:9], "q" * 2000 + targets[5] + "z"]
+        rows = spark.createDataFrame([(t,) for t in titles], "t string")
+        spark.sparkContext.setJobGroup(f"many-{many}", "many phrases")
+        wanted = phrases.blocks(spark.createDataFrame([(t,) for t in targets], "x string"))
+        got = {r["t"]: r["least"] for r in phrases.with_least(rows, "t", wanted, "least").collect()}
+        lists = {r["_text"]: r["_found"] for r in phrases.all_matches(rows, wanted).collect()}
+        used.append(len(tracker.getJobIdsForGroup(f"many-{many}")))
+        want = brute(titles, targets)
+        assert wanted.only == [] and lists == {t: m for t, m in want.items() if m}
+        assert got == {t: next(iter(m), None) for t, m in want.items()}
+    assert used[1] <= used[0] + 8
+
+
+def test_windows_that_only_look_like_needles_are_not_matches(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "BLOCK_CHARS", 10)
+    monkeypatch.setattr(windows, "_known", lambda bitmap, hashes: hashes == hashes)  # every window passes
+    rows = spark.createDataFrame([("abéd",), ("zzé",), ("b",), ("中x",)], "t string")
+    wanted = phrases.blocks(spark.createDataFrame([("éd",), ("bé",), ("long phrase b",), ("x",)], "x string"))
+    assert {r["t"]: r["l"] for r in phrases.with_least(rows, "t", wanted, "l").collect()} == {"abéd": "bé", "zzé": None, "b": "bé", "中x": "x"}
