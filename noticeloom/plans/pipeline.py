@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +13,8 @@ from noticeloom.functions import text as T
 from noticeloom.functions.dates import older_than
 from noticeloom.operators import classify, discovery, enrich, offerings, predicates, reconcile, rents, schedules, sheets, tables
 from noticeloom.operators.dedupe import key_set
+from noticeloom.operators.staging import several_per_core, spread
+from noticeloom.session import cut_lineage
 from noticeloom.sources import api, pages
 
 BOARD = ["agency", "board_kind"]
@@ -29,23 +32,26 @@ class BoardRun:
 
 
 def board_run(list_pages: DataFrame, detail_pages: DataFrame, known: DataFrame, cache: DataFrame,
-              applications: DataFrame, now: Column, cutoff: Column) -> BoardRun:
+              applications: DataFrame, now: Column, cutoff: Column, stage: Callable[[DataFrame, str], DataFrame] = cut_lineage) -> BoardRun:
     """List pages (agency, board_kind, page, html) → decisions, and what the detail pages say.
 
-    Known, seen and old rows are dropped before any detail page is parsed.
+    Known, seen and old rows are dropped before any detail page is parsed. Decisions and judged
+    rows are kept by ``stage``, so that each page is parsed once for all outputs; pages are
+    spread over tasks, because the small files and shuffles before them would leave them in a few.
     """
-    rows = pages.list_rows(list_pages)
+    tasks = several_per_core(list_pages.sparkSession)
+    rows = cut_lineage(pages.list_rows(spread(list_pages, tasks)), "list-rows")
     targets = reconcile.active_targets(applications)
     hits = discovery.use_up_targets(rows, targets, T.title_key_plain("title"), "target", BOARD, ["page", "position"])
     flagged = discovery.with_seen(hits, cache, NOTICE)
     flagged = flagged.join(key_set(known, *NOTICE).withColumn("is_known", F.lit(True)), NOTICE, "left").fillna(False, ["is_known"])
     decided = flagged.withColumn("outcome", discovery.outcome(
         older_than("posted_at", cutoff), F.col("is_target"), F.col("is_known"), discovery.can_skip_seen("title", "posted_at", now)))
-    decided = discovery.early_stop(decided, BOARD, "page", everywhere=targets)
+    decided = stage(discovery.early_stop(cut_lineage(decided, "outcomes"), BOARD, "page", everywhere=targets), "decided")
     wanted = decided.where(F.col("outcome") == "detail")
-    details = pages.detail_fields(detail_pages.join(key_set(wanted, *NOTICE), NOTICE, "left_semi")).select(
+    details = pages.detail_fields(spread(detail_pages.join(key_set(wanted, *NOTICE), NOTICE, "left_semi"), tasks)).select(
         *NOTICE, F.col("title").alias("detail_title"), "body_text")
-    judged = discovery.judge_details(wanted.join(details, NOTICE, "left").fillna("", ["detail_title", "body_text"]))
+    judged = stage(discovery.judge_details(wanted.join(details, NOTICE, "left").fillna("", ["detail_title", "body_text"])), "judged")
     recruiting = judged.where(F.col("category") == fixed.CATEGORY_RECRUITMENT)
     accepted, refused = classify.split_persistable(recruiting, "final_title")
     return BoardRun(decided, accepted, refused, judged.where(F.col("category") != fixed.CATEGORY_RECRUITMENT))
@@ -62,7 +68,7 @@ def extract_attachments(texts: DataFrame, sheet_rows: DataFrame, rules=tables.DE
     """Text artifacts (notice_id, attachment_id, kind, artifact_type, source_span, raw_text) and sheet
     rows (notice_id, attachment_id, sheet, row_no, cells, source_span) → table rows, offerings, schedules."""
     keep = ["notice_id", "attachment_id"]
-    rows = tables.extract_rows(texts.select(*keep, "kind", "source_span", "raw_text"), rules)
+    rows = cut_lineage(tables.extract_rows(texts.select(*keep, "kind", "source_span", "raw_text"), rules), "table-rows")
     routed = offerings.route_by_kind(texts, "kind", {
         lambda a: offerings.unit_text_offerings(a.where(F.col("artifact_type") == fixed.ART_PDF_TEXT), keep): (fixed.KIND_NOTICE_PDF,)})
     listed = offerings.table_row_offerings(rows.where(F.col("kind").isin(fixed.KIND_NOTICE_PDF, fixed.KIND_NOTICE_HWP)), keep)

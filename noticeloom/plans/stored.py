@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from noticeloom import fixed
 from noticeloom.operators import discovery, promotion, quality, reconcile, runs, snapshots, upsert
 from noticeloom.operators.dedupe import first_row, last_row
+from noticeloom.operators.staging import several_per_core, spread
 from noticeloom.plans.pipeline import BOARD, NOTICE, board_run, extract_attachments
 from noticeloom.session import cut_lineage
 from noticeloom.sources import artifacts as A
@@ -56,11 +57,12 @@ def store_board_run(spark: SparkSession, root: str, run_id: str, list_pages: Dat
 def _board(spark, root, run, list_pages, detail_pages, texts, applications, now, cutoff) -> None:
     applications = cut_lineage(applications, "applications")
     before, cache = stored(spark, root, "source_notices"), stored(spark, root, "discovery_seen_cache")
-    found = board_run(list_pages, detail_pages, before, cache.where(F.col("expires_at") > now), applications, now, cutoff)
     hit = lambda outcome: F.count_if(F.col("outcome") == outcome)
-    decided = run.staged(found.decided, "decided", list_rows=F.count(F.lit(1)), details=hit("detail"), skipped_old=hit("skipped_old"),
-                         skipped_known=hit("skipped_known"), skipped_seen=hit("skipped_seen"))
-    read = decided.groupBy(*BOARD).agg(F.max("page").alias("last"), F.max(F.col("outcome") == "skipped_old").alias("old"))
+    counters = {"decided": dict(list_rows=F.count(F.lit(1)), details=hit("detail"), skipped_old=hit("skipped_old"),
+                                skipped_known=hit("skipped_known"), skipped_seen=hit("skipped_seen"))}
+    found = board_run(list_pages, detail_pages, before, cache.where(F.col("expires_at") > now), applications, now, cutoff,
+                      lambda df, purpose: run.staged(df, purpose, **counters[purpose]) if purpose in counters else cut_lineage(df, purpose))
+    read = found.decided.groupBy(*BOARD).agg(F.max("page").alias("last"), F.max(F.col("outcome") == "skipped_old").alias("old"))
     landed = list_pages.groupBy(*BOARD).agg(F.max("page").alias("landed"))
     stops = landed.join(read, BOARD, "left").withColumn("stopped", F.coalesce(F.col("old") & (F.col("last") < F.col("landed")), F.lit(False)))
     within = list_pages.select(*BOARD, "page").distinct().join(stops, BOARD).where(~F.col("stopped") | (F.col("page") <= F.col("last")))
@@ -78,7 +80,7 @@ def _board(spark, root, run, list_pages, detail_pages, texts, applications, now,
 
     owned = texts.join(candidates.select(*NOTICE, F.col("id").alias("notice_id")).distinct(), NOTICE)
     owned = owned.withColumn("attachment_id", F.xxhash64(*NOTICE, "file_seq")).withColumn("source_span", F.concat(F.lit(fixed.OBJECT_SCHEME), "object_key"))
-    owned = run.staged(owned, "texts", downloaded=F.count(F.lit(1)), stored_objects=F.count("object_key"))
+    owned = run.staged(spread(owned, several_per_core(spark)), "texts", downloaded=F.count(F.lit(1)), stored_objects=F.count("object_key"))
     keep = ["notice_id", "attachment_id"]
     extracted = extract_attachments(owned.select(*keep, "kind", "artifact_type", "source_span", "raw_text"), spark.createDataFrame([], _SHEETS))
     shown = ["artifact_type", "status", "schema_version", "source_span", "raw_text", "confidence"]

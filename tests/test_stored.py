@@ -1,12 +1,14 @@
 """The stored board run: repeated, with links across runs, and failing."""
 
 import datetime as dt
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
+from noticeloom import session
 from noticeloom.operators import promotion, runs, snapshots, upsert
-from noticeloom.plans import stored
+from noticeloom.plans import pipeline, stored
 from tests.test_pipeline import BOARD, list_page
 
 NOW, CUTOFF = dt.datetime(2026, 5, 22, 12), dt.date(2026, 4, 22)
@@ -71,3 +73,18 @@ def test_a_failing_run_leaves_its_error(spark, tmp_path):
     assert rows["failed"].stats == {"rows": 7, "above": 2, "other": 0} and rows["failed"].labels == {"kind": "rental", "pages": "3"}
     assert rows["failed"].error_text == "ValueError: broken page"
     assert upsert.latest_runs(spark.read.parquet(path)).first().status == "failed"
+
+
+def test_a_run_parses_pages_once_and_in_many_tasks(spark, tmp_path, monkeypatch):
+    """Outputs of a run are read from what was kept, and landed texts are left in as many files as costly rows get tasks."""
+    monkeypatch.setattr(session, "scratch_dir", lambda _, purpose: str(tmp_path / "aside" / f"{purpose}-{uuid.uuid4().hex}"))
+    lists, details, texts, applications = landed(spark, *[(1 + i // 20, str(i), f"{i} 모집공고", "2026-05-20") for i in range(60)])
+    before, cache = (spark.createDataFrame([], stored._SHAPES[name]) for name in ("source_notices", "discovery_seen_cache"))
+    found = pipeline.board_run(lists.coalesce(1), details.coalesce(1), before, cache, applications, F.lit(NOW).cast("timestamp"), F.lit(CUTOFF))
+    for df in (found.decided, found.candidates, found.refused, found.rejected):
+        assert df.inputFiles() and all("/decided-" in f or "/judged-" in f for f in df.inputFiles())
+    assert found.candidates.count() == 60
+    stored.store_board_run(spark, str(tmp_path / "board"), "a", lists.coalesce(1), details.coalesce(1), texts.coalesce(1), applications, F.lit(NOW).cast("timestamp"), F.lit(CUTOFF))
+    for kept, least in (("texts", 4), ("list-rows", 3)):
+        folder = next(p for p in (tmp_path / "aside").iterdir() if p.name.startswith(f"{kept}-"))
+        assert len(list(folder.glob("part-*"))) >= least, kept
