@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from noticeloom import fixed
 from noticeloom.functions import text as T
 from noticeloom.functions.payload import json_payload
+from noticeloom.operators import snapshots
 from noticeloom.plans.registry import query
 from noticeloom.session import cut_lineage, scratch_dir
 from noticeloom.sources import api, artifacts, objects, pages
@@ -244,10 +245,11 @@ def _(t):
     """Documents written as files, read back as bytes, and held against digests of which a third is wrong."""
     root = scratch_dir(t.spark, "objects")
     docs = t.documents.select("source", F.expr("doc_id div 50").alias("block"), "doc_id", "text")
-    docs.repartition("source", "block").sortWithinPartitions("source", "block", "doc_id").select("text", "source", "block").write.partitionBy("source", "block").text(root)
+    objects.write_objects(docs.repartition("source", "block").sortWithinPartitions("source", "block", "doc_id"), root, ["source", "block"], "text")
     files = objects.read_objects(t.spark, root, "*.txt")
-    key = F.concat_ws("/", F.regexp_extract("path", "source=([^/]*)/block=([0-9]+)/", 1), F.regexp_extract("path", "source=([^/]*)/block=([0-9]+)/", 2))
+    key = F.concat_ws("/", *[F.regexp_extract("path", r"source=([^/]*)/block=([0-9]+)\.", n) for n in (1, 2)])
     found = cut_lineage(objects.manifest(files.withColumn("key", key), "key", "content", []), "digests")  # the bytes are read once
+    snapshots.remove(t.spark, root)
     whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "text"))), lambda x: F.concat(x["text"], L("\n"))), "")
     want = docs.groupBy("source", "block").agg(whole.alias("whole")).select(
         F.concat_ws("/", "source", F.col("block").cast("string")).alias("object_key"), F.sha2(F.when(F.col("block") % 3 == 0, F.concat("whole", L("!"))).otherwise(F.col("whole")), 256).alias("sha256"))

@@ -2,17 +2,82 @@
 
 from __future__ import annotations
 
+import uuid
+
+import pyarrow as pa
+from pyarrow import fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticeloom import fixed
 from noticeloom.functions import text as T
+from noticeloom.operators.staging import several_per_core
+
+
+#: What Spark's own writers escape in the names of folders, and their name for a missing or empty value.
+_ESCAPED = str.maketrans({c: f"%{ord(c):02X}" for c in [*map(chr, range(1, 32)), *"\"#%'*/:=?\\\x7f{[]^"]})
+_MISSING = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _store(path: str) -> tuple[pafs.FileSystem, str]:
+    return pafs.FileSystem.from_uri(path) if ":" in path.split("/", 1)[0] else (pafs.LocalFileSystem(), path)
+
+
+def write_objects(rows: DataFrame, root: str, parts: list[str], line: str, suffix: str = ".txt") -> int:
+    """Write rows as lines of one file per object below ``root``, a new shared folder; returns the number of objects.
+
+    ``parts`` name the object; rows of one object must follow each other in one task. All parts but the last are
+    folders, the last is in the name of the file, so that there are not as many folders to make and to list as
+    objects. A file takes its name when it is whole; an attempt that is lost leaves hidden files only.
+    """
+    system, folder = _store(root)
+    system.create_dir(folder, recursive=True)
+    label = lambda c, v: f"{c}={str(v).translate(_ESCAPED) if v not in (None, '') else _MISSING}"
+
+    def store(batches):
+        system, folder = _store(root)
+        task, attempt, made = TaskContext.get().partitionId(), uuid.uuid4().hex, set()
+        last, out, objects, hidden, name = None, None, 0, "", ""
+
+        def finish():
+            out.close()
+            if system.get_file_info(name).type == pafs.FileType.NotFound:
+                system.move(hidden, name)
+            else:  # another attempt of this task was first
+                system.delete_file(hidden)
+
+        for batch in batches:
+            for *key, text in zip(*(column.to_pylist() for column in batch.columns)):
+                if key != last:
+                    if out:
+                        finish()
+                    *above, below = map(label, parts, key)
+                    at = "/".join([folder, *above])
+                    if at not in made:
+                        system.create_dir(at, recursive=True)
+                        made.add(at)
+                    hidden, name = f"{at}/.{attempt}-{objects}", f"{at}/{below}.part-{task:05d}-{objects:06d}{suffix}"
+                    last, out, objects = key, system.open_output_stream(hidden, compression=None), objects + 1
+                out.write((text or b"") + b"\n")
+        if out:
+            finish()
+        yield pa.RecordBatch.from_arrays([pa.array([objects], pa.int64())], names=["objects"])
+
+    return rows.select(*parts, F.col(line).cast("binary")).mapInArrow(store, "objects long").agg(F.sum("objects")).first()[0] or 0
 
 
 def read_objects(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Landed files as rows (path, modificationTime, length, content)."""
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", glob).load(path))
+    """Landed files as rows (path, modificationTime, length, content).
+
+    Spark counts the opening of a file like megabytes, which gives thousands of tasks with a few small files each.
+    They are put together, so that a task reads about the bytes of a split; no more of them than cores need.
+    """
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", glob).load(path))
+    size = int(str(files._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    return files.coalesce(max(several_per_core(spark), -(-size // split)))
 
 
 def manifest(objects: DataFrame, key: str, content: str, keep: list[str]) -> DataFrame:

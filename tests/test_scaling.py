@@ -1,6 +1,7 @@
 """Work that has to grow no faster than its input: tasks, bytes written and bytes shuffled."""
 
 import datetime
+import hashlib
 import random
 import uuid
 
@@ -9,7 +10,9 @@ from pyspark.sql import functions as F
 from noticeloom import session
 from noticeloom.operators import promotion, quality, snapshots
 from noticeloom.operators.intervals import summarised
+from noticeloom.plans import registry, source_queries
 from noticeloom.plans.registry import Tables
+from noticeloom.sources import objects
 from tests.test_promotion import frame
 
 START = datetime.datetime(2024, 1, 1)
@@ -71,3 +74,31 @@ def test_gate_moves_its_outcome_and_not_the_columns_it_reads(spark):
     assert "Project" in side and "housing_name" not in side.split("array_join")[0] and "deposit_krw" not in side.split("array_join")[0]
     first = [r for r in quality.promote(frame(spark, [{"id": 1}, {"id": 2}]), notices).select("id", "qa_status").collect()]
     assert sorted(map(tuple, first)) == [(1, "approved"), (2, "rejected")]
+
+
+def test_stored_files_need_no_folder_and_no_task_each(spark, tmp_path, monkeypatch):
+    """One file an object as before, but no folder, checksum file or task for each; names and lines as Spark's writers have them."""
+    monkeypatch.setattr(source_queries, "scratch_dir", lambda _, purpose: str(tmp_path / purpose))
+    texts = [(n, f"s{n % 3}", f"line {n}\né") for n in range(500)]
+    docs = spark.createDataFrame(texts, "doc_id long, source string, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["object_key"]: (r["sha256"], r["size_bytes"], r["differs"]) for r in registry.QUERIES["s12_stored_files"](spark, str(tmp_path)).collect()}
+    want = {}
+    for n, source, text in texts:
+        want[f"{source}/{n // 50}"] = want.get(f"{source}/{n // 50}", b"") + text.encode() + b"\n"
+    assert got == {k: (hashlib.sha256(v).hexdigest(), len(v), int(k.split("/")[1]) % 3 == 0) for k, v in want.items()}
+    assert not (tmp_path / "objects").exists()  # nothing reads them again
+
+    assert objects.write_objects(docs.repartition("source", "doc_id").sortWithinPartitions("source", "doc_id"), str(tmp_path / "many"), ["source", "doc_id"], "text") == 500
+    stored = [*(tmp_path / "many").rglob("*")]
+    assert sum(p.is_dir() for p in stored) == 3 and sum(p.is_file() for p in stored) == 500
+    read = objects.read_objects(spark, str(tmp_path / "many"), "*.txt")
+    assert read.count() == 500 and read.rdd.getNumPartitions() <= 3 * spark.sparkContext.defaultParallelism  # a task takes 32 files otherwise
+
+    odd = spark.createDataFrame([("a/b=%", 1, "x"), (None, 1, "y"), ("", 1, None), ("c", None, "z"), ("c", None, "é")], "source string, block int, text string")
+    assert objects.write_objects(odd.coalesce(1), str(tmp_path / "odd"), ["source", "block"], "text") == 4
+    assert objects.write_objects(odd.limit(0), str(tmp_path / "none"), ["source", "block"], "text") == 0
+    found = {(r["path"].split("odd/")[1].split(".part-")[0], bytes(r["content"]).decode()) for r in objects.read_objects(spark, str(tmp_path / "odd"), "*.txt").collect()}
+    none = "__HIVE_DEFAULT_PARTITION__"
+    assert found == {("source=a%2Fb%3D%25/block=1", "x\n"), (f"source={none}/block=1", "y\n"), (f"source={none}/block=1", "\n"), (f"source=c/block={none}", "z\né\n")}
+    assert objects.read_objects(spark, str(tmp_path / "none"), "*.txt").count() == 0
