@@ -3,6 +3,7 @@
 import datetime
 import hashlib
 import random
+import time
 import uuid
 
 from pyspark.sql import functions as F
@@ -63,6 +64,32 @@ def test_promotion_leaves_only_its_state(spark, tmp_path, monkeypatch):
     assert len(named.folders) == 1 and named.base_rows == 40
 
 
+def test_promotion_keeps_two_states_and_no_shuffles(spark, tmp_path):
+    """Older versions and shuffle files do not add up from batch to batch; a state with identities as text goes on as it is."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {name for f in files.getAllFiles().mkString("\n").split("\n") if (name := f.rsplit("/", 1)[-1]).startswith("shuffle")}
+    path, old, notices = str(tmp_path / "s"), str(tmp_path / "old"), spark.createDataFrame([(1, "recruitment")], "id long, category string")
+    there = shuffles()
+    batches = [[{"id": i, "unit_no": str(i // 2)} for i in range(40)], *[[{"id": i, "unit_no": f"{n} {i // 3}"} for i in range(n, 40)] for n in (0, 5)]]
+    for n, batch in enumerate(batches):
+        promotion.promote_batch(spark, path, frame(spark, batch), notices)
+        if n == 0:
+            state = snapshots.read(spark, path, ["id"])
+            assert state.schema["identity"].dataType.typeName() == "binary"
+            snapshots.upsert_snapshot(spark, old, state.withColumn("identity", F.lower(F.hex("identity"))), ["id"])
+        elif n == 1:
+            promotion.promote_batch(spark, old, frame(spark, batch), notices)
+            status = lambda at: sorted(map(tuple, promotion.promoted(spark, at).select("id", "qa_status").collect()))
+            assert status(path) == status(old)
+        assert len(snapshots.versions(spark, path)) <= 2 and len([*(tmp_path / "s" / "data").iterdir()]) <= 2
+    until = time.time() + 20
+    while left := {n for n in shuffles() - there if n.endswith(".data")}:  # they are deleted in the background
+        assert time.time() < until, left
+        time.sleep(0.2)
+    assert snapshots.read(spark, old, ["id"]).schema["identity"].dataType.typeName() == "string"
+    assert spark.conf.get(session.SHUFFLE_CLEANUP) == "false"
+
+
 def test_gate_moves_its_outcome_and_not_the_columns_it_reads(spark):
     """What is shuffled for the notices is the names of failed clauses, not the columns behind them."""
     rows = frame(spark, [{"id": 1}, {"id": 2, "unit_no": "", "notice_id": 5, "deposit_krw": 0}, {"id": 3, "notice_id": None}])
