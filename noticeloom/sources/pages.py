@@ -136,18 +136,18 @@ def application_rows(pages: DataFrame, html: str = "html", page_key: tuple[str,
                      supply_type: str | None = None) -> DataFrame:
     """Application-status rows; the first row per (code, status) on a page is kept."""
     keep = [c for c in pages.columns if c != html]
-    rows = explode_rows(with_page(pages, html, "rows"), keep, F.col("_p.rows"), "position", "_row").where(F.size("_row.cells") >= 5)
-    cell = lambda i: F.coalesce(T.collapse_ws(F.col("_row.cells")[i]["text"]), F.lit(""))
+    rows = explode_rows(with_page(pages, html, "cells"), keep, F.col("_p.cells"), "position", "_row").where(F.size("_row.cells") >= 5)
+    cell = lambda i: F.coalesce(T.collapse_ws(F.get("_row.cells", F.lit(i))["text"]), F.lit(""))
     calls = F.filter(F.col("_row.cells")[1]["links"], lambda k: k["onclick"].contains(fixed.APPLICATION_CALL.split("\\")[0]))
-    rows = rows.withColumn("_link", F.get(calls, F.lit(0))).withColumn("_status", cell(4))
-    rows = hold(rows, _args=call_arguments("_link.onclick")).where(F.size("_args") >= 7)
+    rows = rows.withColumn("_link", F.get(calls, F.lit(0)))
+    rows = hold(rows, _args=call_arguments("_link.onclick"), _status=cell(4)).where(F.size("_args") >= 7)
     status_text = F.col("_status")
-    arg = lambda i: T.trim_ws(F.element_at("_args", i))
-    out = rows.select(
+    arg = lambda i: F.element_at("_args", i)
+    out = rows.select(  # arguments and collapsed texts have no white space at their ends
         *keep, "position", arg(1).alias("recruit_code"),
-        T.first_non_blank(arg(3), F.col(supply_type) if supply_type else F.lit("")).alias("supply_type"),
+        T.first_non_empty(arg(3), T.trim_ws(supply_type) if supply_type else F.lit("")).alias("supply_type"),
         arg(4).alias("recruit_type"), arg(5).alias("no_house_flag"), arg(6).alias("region_priority"),
-        T.first_non_blank(arg(7), T.collapse_ws("_link.text")).alias("title"),
+        F.coalesce(F.nullif(arg(7), F.lit("")), T.collapse_ws("_link.text"), F.lit("")).alias("title"),
         F.replace(cell(2), F.lit(","), F.lit("")).try_cast("int").alias("supply_count"),
         F.to_date(F.try_to_timestamp(cell(3), F.lit("yyyy-MM-dd"))).alias("posted_at"),
         F.when(status_text.contains(fixed.APP_OPEN), fixed.APP_OPEN)

@@ -123,3 +123,46 @@ def test_tokens_of_all_kinds():
     assert page["rows"] == [{"tables": ["listTb"], "in_body": True, "heads": [], "cells": [
         {"text": "lék 1 < 2 34", "links": [{"href": "?a=1&b=2", "onclick": 'f("x>y")', "text": "lék", "marked": False}]}, {"text": "5", "links": []}]}]
     assert [k["href"] for k in page["links"]] == ["?a=1&b=2", "k"]
+
+
+def test_rows_of_texts_and_links_are_read_with_one_pattern(monkeypatch):
+    """Equal to reading them tag by tag, whatever stands around and inside them; their elements are not opened one by one."""
+    import random
+    import re
+
+    from noticeloom.sources import markup
+
+    row = ["<tr>", "<td>", "t", "</td>", "<td>", "<a href=1>", "l", "</a>", "x", "</td>", "<th>", "h", "</th>", " ", "</tr>"]
+    odd = ["<table id=t>", "<table class=detailTable>", "</table>", "<TR x='1'>", "</tr >", "<td class='t'>", "<td class=cont>", "<td class='&#99;ont'>", "<td/>", "<td nowrap x=a/b>", "</TD\n>",
+           "<th class=icoNew>", "<a href=\"x?a=1&amp;b\" onclick='f(1)'>", "<a x=\"y>z\">", "<a q'r=\"s'>", "<a>", "</a>", "<thead>", "</thead>", "<tbody>", "<caption>", "</caption>", "<p>",
+           "<li>", "<noscript>", "</noscript>", "<script>", "</script>", "<br>", "<span class=icoNew>", "</span>", "a &lt; b", "1 < 2", "\"", "'", "<!-- x -->", "\n"]
+    rng, plain, hits = random.Random(7), markup._ROW, 0
+    for _ in range(1500):
+        parts = []
+        for _ in range(rng.randrange(1, 8)):
+            part = list(row) if rng.random() < 0.6 else rng.sample(odd, rng.randrange(1, 5))
+            for _ in range(rng.choice([0, 0, 1, 2])):
+                part[rng.randrange(len(part))] = rng.choice(odd + row)
+            parts += part
+        html = "".join(parts)
+        monkeypatch.setattr(markup, "_ROW", plain)
+        fast, hits = parse(html), hits + bool(plain.search(html))
+        monkeypatch.setattr(markup, "_ROW", re.compile("(?!)"))
+        assert fast == parse(html), html
+    assert hits > 500
+    opened, start = [], markup.PageParser._start
+    monkeypatch.setattr(markup, "_ROW", plain)
+    monkeypatch.setattr(markup.PageParser, "_start", lambda self, tag, attributes: opened.append(tag) or start(self, tag, attributes))
+    assert len(parse("<table>" + "".join(row) * 50 + "</table>")["rows"]) == 50 and opened == ["table"]
+    open_rows = "<table>" + "<tr><td>x" * 20_000
+    assert len(parse(open_rows)["rows"]) == 20_000
+
+
+def test_application_rows_of_other_shapes(spark):
+    call = lambda *a: "<a onclick=\"userSsnCheck(" + ",".join(f"'{x}'" for x in a) + ")\">  link\n text </a>"
+    row = lambda link, *more: f"<tr><td>1</td><td>{link}</td>" + "".join(f"<td>{x}</td>" for x in more) + "</tr>"
+    html = "<table>" + row(call("A", "N", " ", "R", "Y", "", " \u3000"), "1,200", "2026-05-01", " [청약중] ") + row(call("A", "N"), "1", "-", "청약중") + row("x", "1") + row("x", "1", "-", "청약중") \
+        + row(call("B", "N", "04 ", "R", "Y", "", " t  u "), "x", "-", "접수예정") + row(call("C", "N", "04", "R", "Y", "", "t"), "1", "-", "마감") + "</table>"
+    rows = pages.application_rows(spark.createDataFrame([(1, html, " 09 "), (2, None, "")], "page int, html string, own string"), page_key=("page",), supply_type="own").orderBy("position")
+    got = [tuple(r) for r in rows.select("position", "recruit_code", "supply_type", "title", "supply_count", "posted_at", "status").collect()]
+    assert got == [(0, "A", "09", "link text", 1200, dt.date(2026, 5, 1), "청약중"), (4, "B", "04", "t  u", None, None, "접수예정")]
